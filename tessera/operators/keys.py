@@ -143,3 +143,37 @@ def sorted_with_position(df: DataFrame, keys: Sequence[str], order: Sequence[Col
         p = join_on(p, firsts, keys, "left", null_safe=True)
         p = p.withColumn(ordinal, F.col(pos) - F.col(first)).drop(first)
     return p
+
+
+def attach_scalar(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """Attach a 1-row statistics frame to every row as struct column ``name``.
+
+    Uses a scalar subquery (evaluated once, result shipped with the plan), so
+    no join is planned; ``stats`` must be a global aggregate (one row).
+    """
+    return df.withColumn(name, stats.select(F.struct(*[F.col(c) for c in stats.columns])).scalar())
+
+
+def running_sums(df: DataFrame, order: Sequence[Column | str], cols: Sequence[str],
+                 names: Sequence[str], inclusive: bool = False) -> DataFrame:
+    """Cumulative sums of ``cols`` in the total order ``order`` (exclusive by
+    default: the sum over all earlier rows).
+
+    Distributed prefix sum: range-sort, per-partition running sums (window
+    over one partition's rows), plus the totals of all earlier partitions
+    from a table with one row per partition.
+    """
+    pid, mid = tmp_names(df, "pid", "mid")
+    s = (df.orderBy(*order)
+         .withColumn(pid, F.spark_partition_id())
+         .withColumn(mid, F.monotonically_increasing_id()))
+    part = s.groupBy(pid).agg(*[F.sum(c).alias(f"{n}__p") for c, n in zip(cols, names)])
+    w_before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = part.select(pid, *[F.coalesce(F.sum(f"{n}__p").over(w_before), F.lit(0)).alias(f"{n}__o")
+                                 for n in names])
+    frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
+    w_local = Window.partitionBy(pid).orderBy(mid).rowsBetween(*frame)
+    local = s.withColumns({f"{n}__l": F.coalesce(F.sum(c).over(w_local), F.lit(0)) for c, n in zip(cols, names)})
+    out = local.join(F.broadcast(offsets), pid)
+    return out.withColumns({n: F.col(f"{n}__l") + F.col(f"{n}__o") for n in names}) \
+              .drop(pid, mid, *[f"{n}__l" for n in names], *[f"{n}__o" for n in names])

@@ -34,3 +34,94 @@ def mine_pair_lookup(spark, sf_dir):
     """Flagship: per discount value, the value it most often co-occurs with."""
     out = mine.mine_pair_lookup(line4(spark, sf_dir), V, min_count=10)
     return out.withColumn("rate", F.round("rate", R6))
+
+
+def _mined_rows(spark, sf_dir):
+    rows = line4(spark, sf_dir).select(*V).distinct()
+    return rows.filter(row_nunique(V) > 2)
+
+
+def _counts(spark, sf_dir):
+    return (mine.pair_stream(_mined_rows(spark, sf_dir), V)
+                .groupBy("first", "second").agg(F.count(F.lit(1)).alias("pair_count")))
+
+
+_D = """d AS (SELECT DISTINCT v1, v2, v3, v4 FROM line4
+  WHERE len(list_distinct([v1, v2, v3, v4])) > 2)"""
+_C = """c AS (SELECT first, second, count(*) AS pair_count FROM p
+  WHERE first IS NOT NULL AND second IS NOT NULL GROUP BY first, second)"""
+_TAGGED = " UNION ALL ".join(
+    f"SELECT {a} AS first, {b} AS second, '{a}_{b}' AS pair FROM d" for a, b in mine.ordered_pairs(V))
+_PAIR_COLS = ", ".join(
+    f"CAST(nullif(count(*) FILTER (WHERE pair = '{a}_{b}'), 0) AS BIGINT) AS {a}_{b}"
+    for a, b in mine.ordered_pairs(V))
+
+
+@query("pair_counts", with_frames(f"""
+SELECT first, second, {_PAIR_COLS}, count(*) AS pair_count FROM pt
+WHERE first IS NOT NULL AND second IS NOT NULL GROUP BY first, second""",
+                                  "line4", extra=f"{_D},\npt AS ({_TAGGED})"))
+def pair_counts(spark, sf_dir):
+    """Count table of every ordered column pair, one column per pair (the
+    12-way full outer join chain as one union + group-by)."""
+    return mine.pair_counts(_mined_rows(spark, sf_dir), V)
+
+
+@query("top1_per_key", with_frames("""
+SELECT first, second, pair_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY first ORDER BY pair_count DESC, second ASC) AS rn FROM c) t
+WHERE rn = 1""", "line4", extra=f"{_D},\np AS ({_PAIRS_SQL}),\n{_C}"))
+def top1_per_key(spark, sf_dir):
+    """Per first value: the most frequent second value (smallest on ties)."""
+    return mine.top1_per_key(_counts(spark, sf_dir), "first", "second",
+                             [F.col("pair_count"), -F.col("second")])
+
+
+@query("share_of_group", with_frames(f"""
+SELECT first, second, pair_count, round(pair_count / sum(pair_count) OVER (PARTITION BY second), {R6}) AS rate
+FROM c""", "line4", extra=f"{_D},\np AS ({_PAIRS_SQL}),\n{_C}"))
+def share_of_group(spark, sf_dir):
+    """Share of each pair count in the total of its second value."""
+    out = mine.share_of_group(_counts(spark, sf_dir), "pair_count", "second", "rate")
+    return out.withColumn("rate", F.round("rate", R6))
+
+
+@query("filter_support", with_frames("""
+SELECT first, second, pair_count FROM c WHERE pair_count > 10""",
+                                     "line4", extra=f"{_D},\np AS ({_PAIRS_SQL}),\n{_C}"))
+def filter_support(spark, sf_dir):
+    """Pairs whose support exceeds 10 (HAVING on the count table)."""
+    return mine.filter_support(_counts(spark, sf_dir), "pair_count", 10)
+
+
+@query("row_nunique", with_frames("""
+SELECT l_orderkey, CAST(len(list_distinct([v1, v2, v3, v4])) AS INTEGER) AS nunique FROM line4""", "line4"))
+def row_nunique_q(spark, sf_dir):
+    """Distinct non-null values across v1..v4 of each row."""
+    return line4(spark, sf_dir).select("l_orderkey", row_nunique(V).alias("nunique"))
+
+
+_LOOKUP_JOINS = "\n".join(
+    f"LEFT JOIN lk AS k{i} ON l.{c} = k{i}.first" for i, c in enumerate(V))
+_LOOKUP_COLS = ", ".join(f"k{i}.second AS {c}_most" for i, c in enumerate(V))
+
+
+_MINE_BODY = f"""SELECT first, second FROM (
+  SELECT *, row_number() OVER (PARTITION BY first ORDER BY pair_count DESC, rate DESC, second ASC) AS rn
+  FROM (SELECT *, pair_count / sum(pair_count) OVER (PARTITION BY second) AS rate
+        FROM (SELECT first, second, count(*) AS pair_count FROM p
+              WHERE first IS NOT NULL AND second IS NOT NULL AND second <> 0
+              GROUP BY first, second) c) s
+  WHERE pair_count > 10) r
+WHERE rn = 1"""
+
+
+@query("lookup_most", with_frames(f"""
+SELECT l.l_orderkey, l.v1, l.v2, l.v3, l.v4, {_LOOKUP_COLS}
+FROM line4 l
+{_LOOKUP_JOINS}""", "line4", extra=f"{_D},\np AS ({_PAIRS_SQL}),\nlk AS ({_MINE_BODY})"))
+def lookup_most(spark, sf_dir):
+    """Each of v1..v4 looked up in the mined lookup (``<col>_most``)."""
+    l4 = line4(spark, sf_dir)
+    lk = mine.mine_pair_lookup(l4, V, min_count=10)
+    return mine.lookup_most(l4, lk, V).select("l_orderkey", *V, *[f"{c}_most" for c in V])

@@ -24,14 +24,23 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
+    if isinstance(v, bool):
+        return int(v)
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer() and abs(v) < 2 ** 53:
+            return int(v)
         return round(v, 6)
-    if hasattr(v, "item"):
-        return _norm(v.item())
+    if hasattr(v, "item") and not isinstance(v, (list, tuple)):
+        try:
+            return _norm(v.item())
+        except (ValueError, AttributeError):
+            pass
+    if hasattr(v, "tolist"):
+        return _norm(v.tolist())
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if isinstance(v, pd.Timestamp):
