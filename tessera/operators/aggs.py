@@ -95,7 +95,10 @@ def groupby_join(data: DataFrame, stats_source: DataFrame, keys: Sequence[str],
                  func: str, name: str = "feat") -> DataFrame:
     """Aggregate ``value`` on ``stats_source`` per key, attach to ``data``."""
     keys = as_list(keys)
-    st = stats_source.groupBy(*keys).agg(stat(func, value).alias(name))
+    if func == "median":
+        st = group_median(stats_source, keys, value, name)
+    else:
+        st = stats_source.groupBy(*keys).agg(stat(func, value).alias(name))
     return join_back(data, st, keys)
 
 
@@ -243,3 +246,19 @@ def importance_summary(imp: DataFrame, top: int | None = None, by: str = "gain")
     out = imp.groupBy("feature").agg(F.avg("split").alias("split"), F.avg("gain").alias("gain"))
     out = out.orderBy(F.col(by).desc(), F.col("feature"))
     return out.limit(top) if top else out
+
+
+# ---------------------------------------------------------------- exact per-key median
+def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Exact median of ``value`` per key (mean of the two middle values for
+    an even count).  Values are ranked inside the key from a range-sorted
+    global position, so no key's values are ever gathered in one buffer."""
+    keys = as_list(keys)
+    d = df.select(*keys, value).filter(F.col(value).isNotNull() & ~any_null(keys))
+    p = sorted_with_position(d, keys, [F.col(value)], "__pos", ordinal="__ord")
+    n = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    j = p.join(n, keys)
+    lo = F.floor((F.col("__n") - 1) / 2)
+    hi = F.ceil((F.col("__n") - 1) / 2)
+    mid = j.filter((F.col("__ord") == lo) | (F.col("__ord") == hi))
+    return mid.groupBy(*keys).agg(F.avg(value).alias(name))
