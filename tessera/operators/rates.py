@@ -52,11 +52,12 @@ def oof_class_rates(df: DataFrame, category: str, label: str, fold: str,
     per = (df.filter(F.col(category).isNotNull()).groupBy(category, fold)
              .agg(F.count(lab).alias("__m"),
                   *[F.count(F.when(lab == F.lit(c), 1)).alias(f"__c{i}") for i, c in enumerate(classes)]))
-    tot = per.groupBy(category).agg(F.sum("__m").alias("__M"),
-                                    *[F.sum(f"__c{i}").alias(f"__C{i}") for i in range(len(classes))])
+    # Spark resolves names case-insensitively: totals get distinct names
+    tot = per.groupBy(category).agg(F.sum("__m").alias("__tm"),
+                                    *[F.sum(f"__c{i}").alias(f"__t{i}") for i in range(len(classes))])
     rates = per.join(tot, category).select(
         category, fold,
-        *[F.try_divide((F.col(f"__C{i}") - F.col(f"__c{i}")).cast("double"), F.col("__M") - F.col("__m"))
+        *[F.try_divide((F.col(f"__t{i}") - F.col(f"__c{i}")).cast("double"), F.col("__tm") - F.col("__m"))
           .alias(_rate_name(category, c)) for i, c in enumerate(classes)])
     return join_back(df, rates, [category, fold])
 

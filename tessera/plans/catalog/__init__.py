@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from tessera.plans.catalog import aggs, cleaning, dates, mining, numeric, text  # noqa: F401
+from tessera.plans.catalog import aggs, cleaning, dates, encode, mining, numeric, text  # noqa: F401
