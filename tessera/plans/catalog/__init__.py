@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from tessera.plans.catalog import aggs, cleaning, dates, encode, mining, numeric, relate, text, windows  # noqa: F401
+from tessera.plans.catalog import aggs, cleaning, dates, encode, mining, numeric, relate, stages, text, windows  # noqa: F401
