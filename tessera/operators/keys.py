@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import checkpoint_dir
+
 
 def as_list(x) -> list:
     if x is None:
@@ -94,13 +96,18 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
          .withColumn(pid, F.spark_partition_id())
          .withColumn(mid, F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition index << 33) + row index
-    s = s.withColumn(loc, F.col(mid) - F.shiftleft(F.col(pid).cast("long"), 33))
+    s = s.withColumn(loc, F.col(mid) - F.shiftleft(F.col(pid).cast("long"), 33)).drop(mid)
+    # The partition sizes and the rows are two branches over the same sorted
+    # data; writing it once (reliable checkpoint in the shared folder) keeps
+    # it from being scanned and range-sorted once per branch.
+    checkpoint_dir(df.sparkSession)
+    s = s.checkpoint(eager=True)
     per_part = s.groupBy(pid).agg(F.count(F.lit(1)).alias(cnt))
     w = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(pid, F.coalesce(F.sum(cnt).over(w), F.lit(0)).alias(off))
     return (s.join(F.broadcast(offsets), pid)
              .withColumn(name, F.col(off) + F.col(loc))
-             .drop(pid, mid, loc, off))
+             .drop(pid, loc, off))
 
 
 def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
