@@ -184,8 +184,10 @@ def beta_smoothed_rate(spark, sf_dir):
 
 # ------------------------------------------------------------------ one-hot (long form: key, dummy, value)
 def _long(df, key, names):
-    return df.select(key, F.inline(F.array(*[F.struct(F.lit(n).alias("dummy"), F.col(n).alias("value"))
-                                             for n in names])))
+    arr = F.array(*[F.struct(F.lit(n).alias("dummy"), F.col(n).cast("int").alias("value")) for n in names])
+    if not names:  # no value passed the filter: no dummy rows
+        arr = F.array().cast("array<struct<dummy:string,value:int>>")
+    return df.select(key, F.inline(arr))
 
 
 @query("one_hot_frequent", """
