@@ -17,7 +17,10 @@ def filter_sentinel(df: DataFrame, label: str, sentinel=SENTINEL_LABEL) -> DataF
     """Drop rows whose label is the sentinel; null labels are kept
     (pandas ``!=`` is true for NaN)."""
     c = F.col(label)
-    return df.filter(c.isNull() | (c != F.lit(sentinel)))
+    if sentinel is None:
+        return df
+    s = F.lit(sentinel).cast(df.schema[label].dataType)  # same type as the label column
+    return df.filter(c.isNull() | (c != s))
 
 
 def split_by_null_label(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:

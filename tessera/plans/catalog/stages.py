@@ -193,3 +193,32 @@ def topic_factors(spark, sf_dir):
     """5 LDA topics, 5 SVD components and 5 NMF factors per supplier."""
     d = _supplier_brands(spark, sf_dir)
     return topics.topic_factors(d, d, "l_suppkey", "p_brand", k=5)
+
+
+@query("stacked_prediction")
+def stacked_prediction(spark, sf_dir):
+    """The whole best-single-model flow on the per-customer amounts:
+    value-association lookup mined from all rows, feature block, 5-fold
+    random forest on the labelled customers, arg-max segment for the
+    withheld ones, overridden where an exact-match label exists."""
+    from tessera.plans import chains
+    f = fees4(spark, sf_dir).withColumns({f"m{i}": F.col(f"f{i}") / 100.0 for i in range(1, 5)})
+    f = folds.kfold(f, "c_custkey", 5, 66)
+    is_test = F.pmod("c_custkey", F.lit(10)) == 0
+    train, test = f.filter(~is_test), f.filter(is_test).drop("c_mktsegment")
+    fee = ["m1", "m2", "m3", "m4"]
+    lookup, _ = chains.magic_lookups(train, test, None, ["c_nationkey", "f1", "f2", "f3", "f4"],
+                                     ["f1", "f2", "f3", "f4"], ["c_custkey"], min_count=1)
+    # keys stay integer cents; the looked-up value is an amount
+    lookup = lookup.select("first", (F.col("second") / 100.0).alias("second"))
+    feats_all = chains.build_features(f, fee, lookup, size_cols=["c_nationkey"], group_key="c_nationkey",
+                                      group_values=["m1"])
+    feats_all = materialize(feats_all, "stack-features")
+    predictors = [c for c, t in feats_all.dtypes
+                  if c not in ("c_custkey", "c_mktsegment", "fold", "f1", "f2", "f3", "f4")
+                  and t in ("double", "int", "bigint", "float")]
+    tr = feats_all.filter(~is_test)
+    te = feats_all.filter(is_test).drop("c_mktsegment")
+    classes = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    white = chains.white_list(tr, te, ["c_nationkey", "f4"], "c_custkey", "c_mktsegment", ["c_custkey"])
+    return chains.stacked_prediction(tr, te, predictors, "c_mktsegment", "c_custkey", classes, white, _rf())

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference is a set of one-shot batch stages: it has no watermark, time
+window, state or late-data logic, so there is no streaming operator to
+rebuild.  Every operator in this library is a pure DataFrame function and
+applies unchanged to each micro-batch of a Structured Streaming query via
+``writeStream.foreachBatch``; nothing streaming-specific is provided.
+"""
