@@ -68,7 +68,9 @@ def one_hot_pruned(df: DataFrame, min_count: int = 100, nan_as_category: bool =
     unp = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
                                        for c in cols])))
     counts = unp.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n")).collect()
-    total = df.count()
+    # every row contributes one (col, value) pair per column: the row count
+    # is the sum over any one column's values, no second pass needed
+    total = sum(r["n"] for r in counts if r["col"] == cols[0])
     keep, exprs = [], {}
     for r in sorted(counts, key=lambda r: (r["col"], r["val"] is None, r["val"] or "")):
         if r["val"] is None and not nan_as_category:
