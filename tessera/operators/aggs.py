@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import any_null, as_list, global_position, join_back, sorted_with_position, tmp_names
+from tessera.operators.keys import any_null, as_list, global_position, join_back, ordinal_within, tmp_names, with_group_count
 
 
 # ---------------------------------------------------------------- registry
@@ -168,8 +168,7 @@ def trend_per_key(df: DataFrame, key: str, value: str, order: Sequence[Column |
                   name: str = "trend") -> DataFrame:
     """Least-squares slope of ``value`` against its 0-based position in
     ``order`` within the key; null when any value is null; 0 for one row."""
-    p = sorted_with_position(df.select(key, value, *[o for o in order if isinstance(o, str) and o not in (key, value)]),
-                             [key], order, "__pos", ordinal="__x")
+    p = ordinal_within(df, [key], order, "__x")  # Catalyst prunes unused columns
     x, y = F.col("__x").cast("double"), F.col(value).cast("double")
     return p.groupBy(key).agg(
         F.when(F.count(y) < F.count(F.lit(1)), F.lit(None).cast("double"))
@@ -251,13 +250,12 @@ def importance_summary(imp: DataFrame, top: int | None = None, by: str = "gain")
 # ---------------------------------------------------------------- exact per-key median
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
     """Exact median of ``value`` per key (mean of the two middle values for
-    an even count).  Values are ranked inside the key from a range-sorted
-    global position, so no key's values are ever gathered in one buffer."""
+    an even count).  Values are ranked inside the key (hot keys through the
+    range-sorted global position), so no key's values are ever gathered in
+    one buffer."""
     keys = as_list(keys)
     d = df.select(*keys, value).filter(F.col(value).isNotNull() & ~any_null(keys))
-    p = sorted_with_position(d, keys, [F.col(value)], "__pos", ordinal="__ord")
-    n = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    j = p.join(n, keys)
+    j = with_group_count(ordinal_within(d, keys, [F.col(value)], "__ord"), keys, "__n")
     lo = F.floor((F.col("__n") - 1) / 2)
     hi = F.ceil((F.col("__n") - 1) / 2)
     mid = j.filter((F.col("__ord") == lo) | (F.col("__ord") == hi))

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import cut_lineage
 
 
 def as_list(x) -> list:
@@ -98,10 +98,11 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
     # monotonically_increasing_id = (partition index << 33) + row index
     s = s.withColumn(loc, F.col(mid) - F.shiftleft(F.col(pid).cast("long"), 33)).drop(mid)
     # The partition sizes and the rows are two branches over the same sorted
-    # data; writing it once (reliable checkpoint in the shared folder) keeps
-    # it from being scanned and range-sorted once per branch.
-    checkpoint_dir(df.sparkSession)
-    s = s.checkpoint(eager=True)
+    # data.  Writing it once as a table in the shared checkpoint folder (one
+    # sort, one write; survives executor loss) keeps it from being scanned
+    # and range-sorted once per branch.  Row order need not survive the
+    # write: each row carries its partition index and offset.
+    s = cut_lineage(s, "sorted")
     per_part = s.groupBy(pid).agg(F.count(F.lit(1)).alias(cnt))
     w = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(pid, F.coalesce(F.sum(cnt).over(w), F.lit(0)).alias(off))
@@ -110,46 +111,67 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
              .drop(pid, loc, off))
 
 
-def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                   name: str = "ordinal", descending: bool = False) -> DataFrame:
-    """0-based row number within each key in ``order`` (skew-safe row_number).
+# A key with more rows than this is "hot": its rows are ranked through the
+# range-sorted global position instead of a window partition.  At most
+# rows / HOT_KEY_ROWS keys can be hot, which bounds the broadcast key list.
+HOT_KEY_ROWS = 2_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> list[tuple]:
+    """Key tuples holding more than ``hot_rows`` rows (partial aggregate; the
+    result has at most rows / hot_rows entries)."""
+    keys = as_list(keys)
+    hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    return [tuple(r[k] for k in keys) for r in counts.select(*keys).collect()]
+
+
+def _is_hot(keys: Sequence[str], hot: list[tuple]) -> Column:
+    cond = None
+    for t in hot:
+        c = None
+        for k, v in zip(keys, t):
+            e = F.col(k).isNull() if v is None else (F.col(k) == F.lit(v))
+            c = e if c is None else (c & e)
+        cond = c if cond is None else (cond | c)
+    return F.coalesce(cond, F.lit(False)) if cond is not None else F.lit(False)
 
-    Equivalent to ``row_number() over (partition by keys order by order) - 1``
-    but a hot key never lands in a single task: positions come from
-    :func:`global_position` and the first position of each key from a
-    partially aggregated ``groupBy``.
+
+def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                   name: str = "ordinal", hot_rows: int | None = None) -> DataFrame:
+    """0-based row number within each key in ``order`` (``order`` should end
+    in a unique column).
+
+    Ordinary keys use ``row_number()`` over a window partitioned by the key
+    (one shuffle, per-key sort).  Hot keys (more than ``hot_rows`` rows) are
+    split off and ranked through :func:`global_position`: a range-partitioned
+    sort spreads each hot key over many tasks, and the rank is the position
+    minus the key's first position.  The hot-key list comes from one partial
+    aggregate and is bounded by rows / ``hot_rows``.
     """
     keys = as_list(keys)
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    hot = hot_keys(df, keys, hot_rows)
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
+    if not hot:
+        return df.withColumn(name, F.row_number().over(w) - 1)
+    flag = _is_hot(keys, hot)
+    normal = df.filter(~flag).withColumn(name, F.row_number().over(w) - 1)
     pos, first = tmp_names(df, "gpos", "first")
     ordered = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    p = global_position(df, ordered, pos)
+    p = global_position(df.filter(flag), ordered, pos)
     firsts = p.groupBy(*keys).agg(F.min(pos).alias(first))
-    out = join_on(p, firsts, keys, "left", null_safe=True)
-    out = out.withColumn(name, F.col(pos) - F.col(first)).drop(first)
-    if descending:
-        lasts = out.groupBy(*keys).agg(F.max(name).alias(first))
-        out = (join_on(out, lasts, keys, "left", null_safe=True)
-               .withColumn(name, F.col(first) - F.col(name)).drop(first))
-    return out.drop(pos)
-
-
-def sorted_with_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                         pos: str, ordinal: str | None = None) -> DataFrame:
-    """Global position ``pos`` over (keys, order) plus optional in-key ordinal.
-
-    Rows of one key occupy consecutive positions, so the row ``n`` places
-    earlier in the same key is the row at ``pos - n`` with equal keys: shifts
-    become equi-joins on (keys, pos) and never need a per-key window.
-    """
+    hot_part = (join_on(p, firsts, keys, "left", null_safe=True)
+                .withColumn(name, F.col(pos) - F.col(first)).drop(pos, first))
+    return normal.unionByName(hot_part)
+
+
+def with_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Rows per key attached to every row (partial aggregate + join-back,
+    null keys form one group)."""
     keys = as_list(keys)
-    ordered = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    p = global_position(df, ordered, pos)
-    if ordinal:
-        (first,) = tmp_names(p, "first")
-        firsts = p.groupBy(*keys).agg(F.min(pos).alias(first))
-        p = join_on(p, firsts, keys, "left", null_safe=True)
-        p = p.withColumn(ordinal, F.col(pos) - F.col(first)).drop(first)
-    return p
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return join_on(df, n, keys, "left", null_safe=True)
 
 
 def attach_scalar(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import any_null, as_list, join_back, ordinal_within, sorted_with_position, tmp_names
+from tessera.operators.keys import any_null, as_list, join_back, ordinal_within, tmp_names, with_group_count
 
 
 def grp_standard(df: DataFrame, key: str | Sequence[str], names: Sequence[str], drop: bool = False) -> DataFrame:
@@ -78,12 +78,13 @@ def _shifted(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
              n: int, name: str) -> DataFrame:
     """``value`` of the row ``n`` places earlier (n > 0) or later (n < 0) in
     the same key, as column ``name`` (null when there is none or the key is
-    null): an equi-join on (keys, position)."""
+    null): an equi-join on (keys, in-key ordinal), which spreads a hot key
+    over the join's partitions."""
     keys = as_list(keys)
-    (pos,) = tmp_names(df, "pos")
-    p = sorted_with_position(df, keys, order, pos)
-    src = p.select(*keys, (F.col(pos) + F.lit(n)).alias(pos), F.col(value).alias(name))
-    return p.join(src, on=keys + [pos], how="left").drop(pos)
+    (o,) = tmp_names(df, "ord")
+    p = ordinal_within(df, keys, order, o)
+    src = p.select(*keys, (F.col(o) + F.lit(n)).alias(o), F.col(value).alias(name))
+    return p.join(src, on=keys + [o], how="left").drop(o)
 
 
 def diff_prev(df: DataFrame, keys: Sequence[str], value: str, n: int, order: Sequence[Column | str],
@@ -98,14 +99,10 @@ def diff_prev(df: DataFrame, keys: Sequence[str], value: str, n: int, order: Seq
 def _nth_from_end(data: DataFrame, stat: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                   value: str, shift: int, name: str, from_last: bool) -> DataFrame:
     keys = as_list(keys)
-    (pos, edge) = tmp_names(stat, "pos", "edge")
-    cols = list(dict.fromkeys(keys + [value] + [o for o in order if isinstance(o, str)]))
-    p = sorted_with_position(stat.select(*cols), keys, order, pos)
-    ends = p.groupBy(*keys).agg((F.max(pos) - F.lit(shift) if from_last else F.min(pos) + F.lit(shift)).alias(edge),
-                                (F.min(pos) if from_last else F.max(pos)).alias("__other"))
-    ends = ends.filter((F.col(edge) >= F.col("__other")) if from_last else (F.col(edge) <= F.col("__other")))
-    vals = p.select(*keys, F.col(pos).alias(edge), F.col(value).alias(name))
-    picked = ends.join(vals, on=keys + [edge], how="inner").select(*keys, name)
+    o, cnt = tmp_names(stat, "ord", "cnt")
+    p = with_group_count(ordinal_within(stat, keys, order, o), keys, cnt)  # Catalyst prunes unused columns
+    target = (F.col(cnt) - 1 - F.lit(shift)) if from_last else F.lit(shift)
+    picked = p.filter(F.col(o) == target).select(*keys, F.col(value).alias(name))
     return join_back(data, picked, keys)
 
 

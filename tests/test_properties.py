@@ -230,3 +230,29 @@ def test_topic_factors_rows(spark):
     out = topics.topic_factors(df, df, "k", "f", k=3, max_iter=5).collect()
     assert len(out) == 30
     assert all(abs(sum(r[f"lda_f_{i}"] for i in range(3)) - 1) < 1e-6 for r in out)
+
+
+@pytest.fixture()
+def low_hot_threshold(monkeypatch):
+    monkeypatch.setattr(keys, "HOT_KEY_ROWS", 500)   # the 'hot' key (1000 rows) takes the split path
+
+
+def test_hot_key_path_ordinal(skewed, low_hot_threshold):
+    assert keys.hot_keys(skewed, ["k"]) == [("hot",)]
+    o = keys.ordinal_within(skewed, ["k"], [F.col("v"), F.col("id")], "o")
+    w = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")) - 1)
+    assert {r["id"]: r["o"] for r in o.collect()} == {r["id"]: r["rn"] for r in w.collect()}
+
+
+def test_hot_key_path_shift_median_nth(skewed, low_hot_threshold):
+    from tessera.operators import windows
+    d = windows.diff_prev(skewed, ["k"], "v", 3, ["id"], "d")
+    lag = skewed.withColumn("d2", F.col("v") - F.lag("v", 3).over(Window.partitionBy("k").orderBy("id")))
+    assert {r["id"]: r["d"] for r in d.collect()} == {r["id"]: r["d2"] for r in lag.collect()}
+    med = {r["k"]: r["median"] for r in aggs.group_median(skewed, ["k"], "v").collect()}
+    assert med == pytest.approx(skewed.toPandas().groupby("k")["v"].median().to_dict())
+    data = skewed.select("k").distinct()
+    last = {r["k"]: r["value"] for r in windows.nth_from_last(data, skewed, ["k"], ["id"], "v", 2).collect()}
+    pdf = skewed.toPandas().sort_values("id")
+    expect = {k: (g["v"].iloc[-3] if len(g) > 2 else None) for k, g in pdf.groupby("k")}
+    assert last == expect
