@@ -78,24 +78,27 @@ def multi_f1_threshold(df: DataFrame, probs: Sequence[str], name: str = "pred",
     """Re-assign uncertain rows (max p <= ``confident``) to the class with the
     largest expected-F1 gain ``2 (p s - r) / ((s + 1) s)``, s = m + n, with
     the class totals (m = sum p, n = predicted count, r = sum p over rows
-    predicted as the class) recomputed before each pass."""
-    k = len(probs)
-    flag, st = tmp_names(df, "flag", "st")
+    predicted as the class) recomputed before each pass.
+
+    Each pass is one aggregate job whose 3k totals (one row, bounded by the
+    class count) enter the next projection as literals, so later passes do
+    not re-evaluate earlier ones.
+    """
+    (flag,) = tmp_names(df, "flag")
     cur = df.withColumn(name, argmax(probs)).withColumn(flag, F.greatest(*[F.col(c) for c in probs]) > confident)
     for _ in range(passes):
         aggs = []
         for i, pc in enumerate(probs):
             aggs += [F.sum(pc).alias(f"m{i}"), F.count(F.when(F.col(name) == i, 1)).cast("double").alias(f"n{i}"),
                      F.coalesce(F.sum(F.when(F.col(name) == i, F.col(pc))), F.lit(0.0)).alias(f"r{i}")]
-        stats = cur.agg(*aggs)
-        cur = attach_scalar(cur, stats, st)
+        st = cur.agg(*aggs).first()
         gains = []
         for i, pc in enumerate(probs):
-            s = F.col(f"{st}.m{i}") + F.col(f"{st}.n{i}")
-            gains.append(2 * (F.col(pc) * s - F.col(f"{st}.r{i}")) / (s + 1) / s)
+            s_ = F.lit(st[f"m{i}"]) + F.lit(st[f"n{i}"])
+            gains.append(2 * (F.col(pc) * s_ - F.lit(st[f"r{i}"])) / (s_ + 1) / s_)
         arr = F.array(*gains)
         best = (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
-        cur = cur.withColumn(name, F.when(F.col(flag), F.col(name)).otherwise(best)).drop(st)
+        cur = cur.withColumn(name, F.when(F.col(flag), F.col(name)).otherwise(best))
     return cur.drop(flag)
 
 
