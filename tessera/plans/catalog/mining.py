@@ -9,6 +9,7 @@ from tessera.operators import mine
 from tessera.plans.frames import line4
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query
+from tessera.sources.store import materialize
 
 V = ["v1", "v2", "v3", "v4"]
 R6 = 6  # doubles are rounded to 6 decimals before value comparison
@@ -123,5 +124,6 @@ FROM line4 l
 def lookup_most(spark, sf_dir):
     """Each of v1..v4 looked up in the mined lookup (``<col>_most``)."""
     l4 = line4(spark, sf_dir)
-    lk = mine.mine_pair_lookup(l4, V, min_count=10)
+    # the lookup is read once per looked-up column: write it once
+    lk = materialize(mine.mine_pair_lookup(l4, V, min_count=10), "lookup")
     return mine.lookup_most(l4, lk, V).select("l_orderkey", *V, *[f"{c}_most" for c in V])

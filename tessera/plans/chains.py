@@ -91,7 +91,7 @@ def build_features(df: DataFrame, fee_cols: Sequence[str], lookup: DataFrame | N
     d = d.withColumns(block)
     if lookup is not None:
         # lookup keys are cents (exact integers), never float equality
-        lk = lookup.select("first", "second")
+        lk = materialize(lookup.select("first", "second"), "lookup")  # read once per column
         for c in cols:
             d = d.withColumn(f"__{c}_cents", F.rint(F.col(c) * 100.0).cast("bigint"))
             d = d.join(lk.withColumnsRenamed({"first": f"__{c}_cents", "second": f"{c}_most"}),
