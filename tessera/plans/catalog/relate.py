@@ -168,14 +168,15 @@ def exact_match_transfer(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ unions
-_A = "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey <= 900"
-_B = "SELECT c_custkey, c_mktsegment, c_nationkey FROM customer WHERE c_custkey > 600"
+# two overlapping sources that together cover the whole customer table
+_A = "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal < 5000"
+_B = "SELECT c_custkey, c_mktsegment, c_nationkey FROM customer WHERE c_acctbal >= 2000"
 
 
 def _slices(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer")
-    a = c.filter(F.col("c_custkey") <= 900).select("c_custkey", "c_mktsegment", "c_acctbal")
-    b = c.filter(F.col("c_custkey") > 600).select("c_custkey", "c_mktsegment", "c_nationkey")
+    a = c.filter(F.col("c_acctbal") < 5000).select("c_custkey", "c_mktsegment", "c_acctbal")
+    b = c.filter(F.col("c_acctbal") >= 2000).select("c_custkey", "c_mktsegment", "c_nationkey")
     return a, b
 
 
