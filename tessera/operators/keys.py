@@ -154,9 +154,9 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     hot = hot_keys(df, keys, hot_rows)
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
     if not hot:
-        return df.withColumn(name, F.row_number().over(w) - 1)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     flag = _is_hot(keys, hot)
-    normal = df.filter(~flag).withColumn(name, F.row_number().over(w) - 1)
+    normal = df.filter(~flag).withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     pos, first = tmp_names(df, "gpos", "first")
     ordered = [F.col(k).asc_nulls_first() for k in keys] + list(order)
     p = global_position(df.filter(flag), ordered, pos)

@@ -23,4 +23,4 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int, rank: str = "ran
     """First ``k`` rows in ``order`` (per-partition top-k, then merge) with
     a 0-based ``rank``; the window runs over the k survivors only."""
     head = df.orderBy(*order).limit(k)
-    return head.withColumn(rank, F.row_number().over(Window.orderBy(*order)) - 1)
+    return head.withColumn(rank, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))

@@ -173,7 +173,7 @@ SELECT c_custkey, {r6('s')} AS row_sum, {r6('s / nullif(n, 0)')} AS row_mean,
   {r6('sqrt(CASE WHEN n >= 2 THEN ss / (n - 1.0) END)')} AS row_std,
   least({', '.join(_MS)}) AS row_min, greatest({', '.join(_MS)}) AS row_max,
   CASE WHEN n >= 2 THEN list_sort(l)[2] END AS row_second_min,
-  CASE WHEN n >= 1 THEN list_max(list_transform(l, lambda x: len(list_filter(l, lambda y: y = x)))) END AS row_mode_count
+  CAST(CASE WHEN n >= 1 THEN list_max(list_transform(l, lambda x: len(list_filter(l, lambda y: y = x)))) END AS INTEGER) AS row_mode_count
 FROM (SELECT *, list_sum(list_transform(l, lambda x: (x - s / n) * (x - s / n))) AS ss
       FROM (SELECT *, len(l) AS n, coalesce(list_sum(l), 0.0) AS s
             FROM (SELECT c_custkey, f1, f2, f3, f4, {_LIST} AS l FROM fees4) a) b) c""", "fees4"))

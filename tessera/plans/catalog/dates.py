@@ -15,8 +15,8 @@ def _txt(c):
 
 @query("diff_days", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey,
-  date_diff('day', CAST(substr(CAST(o.o_orderdate AS VARCHAR), 1, 10) AS DATE),
-                   CAST(substr(CAST(l.l_shipdate AS VARCHAR), 1, 10) AS DATE)) AS days
+  CAST(date_diff('day', CAST(substr(CAST(o.o_orderdate AS VARCHAR), 1, 10) AS DATE),
+                   CAST(substr(CAST(l.l_shipdate AS VARCHAR), 1, 10) AS DATE)) AS INTEGER) AS days
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 def diff_days(spark, sf_dir):
     """Whole days from order date to ship date (first 10 characters)."""

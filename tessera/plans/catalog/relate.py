@@ -203,7 +203,7 @@ def union_dedup_prefer_first(spark, sf_dir):
 
 @query("upweight", """
 SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
-                                     THEN 2.0 ELSE 1.0 END AS weight
+                                     THEN CAST(2.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS weight
 FROM customer""")
 def upweight(spark, sf_dir):
     """Weight 2 for customers in a subset (instead of appending them twice)."""

@@ -32,7 +32,7 @@ def have_0(spark, sf_dir):
 
 
 @query("decimal_length", with_frames("""
-SELECT o_orderkey, CASE WHEN contains(fee, '.') THEN length(split_part(fee, '.', 2)) ELSE 0 END AS fee_len
+SELECT o_orderkey, CAST(CASE WHEN contains(fee, '.') THEN length(split_part(fee, '.', 2)) ELSE 0 END AS INTEGER) AS fee_len
 FROM rawtext""", "rawtext"))
 def decimal_length(spark, sf_dir):
     """Number of characters after the decimal point (0 without one)."""
@@ -40,8 +40,8 @@ def decimal_length(spark, sf_dir):
 
 
 @query("text_lengths", with_frames("""
-SELECT o_orderkey, length(split_part(fee, '.', 1)) AS len_before,
-       CASE WHEN contains(fee, '.') THEN length(split_part(fee, '.', 2)) END AS len_after
+SELECT o_orderkey, CAST(length(split_part(fee, '.', 1)) AS INTEGER) AS len_before,
+       CAST(CASE WHEN contains(fee, '.') THEN length(split_part(fee, '.', 2)) END AS INTEGER) AS len_after
 FROM rawtext""", "rawtext"))
 def text_lengths(spark, sf_dir):
     """Text lengths before and after the decimal point."""

@@ -80,10 +80,27 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame, tol: float = 1e-6)
     return None
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "boolean": "BOOLEAN", "date": "DATE"}
+
+
+def type_diffs(spark_df, rel) -> list:
+    st = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return [(c, st.get(c), dt.get(c)) for c in sorted(set(st) | set(dt))
+            if SPARK_TO_DUCK.get(st.get(c), st.get(c)) != dt.get(c)]
+
+
 def run_pair(spark, name: str, sf_dir: str, queries: dict, oracle: dict, con=None):
-    sdf = queries[name](spark, sf_dir).toPandas()
+    sdf_spark = queries[name](spark, sf_dir)
+    sdf = sdf_spark.toPandas()
     if name not in oracle:
         return sdf, None, None
     con = con or duck(sf_dir)
-    ddf = con.execute(oracle[name]).df()
-    return sdf, ddf, compare(sdf, ddf)
+    rel = con.sql(oracle[name])
+    ddf = rel.df()
+    err = compare(sdf, ddf)
+    td = type_diffs(sdf_spark, rel)
+    if err is None and td:
+        err = f"column types differ: {td}"
+    return sdf, ddf, err
