@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import numeric as N
 from tessera.functions import rows as RW
 from tessera.operators import aggs
-from tessera.plans.catalog.sqlutil import R6, pmod, r6, rint
+from tessera.plans.catalog.sqlutil import R6, pmod, r6, rint, spark_r6
 from tessera.plans.frames import fees4, line4, users
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query
@@ -16,7 +16,7 @@ from tessera.session import read_table
 
 
 def _r(c):
-    return F.round(c, R6)
+    return spark_r6(c)
 
 
 def _orders_nullstatus(spark, sf_dir):
@@ -167,6 +167,15 @@ _MS = [f"(f{i} / 100.0)" for i in range(1, 5)]
 _LIST = "list_filter([" + ", ".join(_MS) + "], lambda x: x IS NOT NULL)"
 
 
+_X = [f"(f{i} / 100.0)" for i in range(1, 5)]
+# sums written left to right, nulls adding 0.0: the same operation order as
+# Spark's aggregate() over the compacted array, so both are bitwise equal
+_S = "(" * 4 + "0.0" + "".join(f" + coalesce({x}, 0.0))" for x in _X)
+_N = " + ".join(f"CAST({x} IS NOT NULL AS INTEGER)" for x in _X)
+_SS = "(" * 4 + "0.0" + "".join(
+    f" + CASE WHEN {x} IS NULL THEN 0.0 ELSE ({x} - s / n) * ({x} - s / n) END)" for x in _X)
+
+
 @query("row_stats", with_frames(f"""
 SELECT c_custkey, {r6('s')} AS row_sum, {r6('s / nullif(n, 0)')} AS row_mean,
   {r6('CASE WHEN n >= 2 THEN ss / (n - 1.0) END')} AS row_var,
@@ -174,9 +183,8 @@ SELECT c_custkey, {r6('s')} AS row_sum, {r6('s / nullif(n, 0)')} AS row_mean,
   least({', '.join(_MS)}) AS row_min, greatest({', '.join(_MS)}) AS row_max,
   CASE WHEN n >= 2 THEN list_sort(l)[2] END AS row_second_min,
   CAST(CASE WHEN n >= 1 THEN list_max(list_transform(l, lambda x: len(list_filter(l, lambda y: y = x)))) END AS INTEGER) AS row_mode_count
-FROM (SELECT *, list_sum(list_transform(l, lambda x: (x - s / n) * (x - s / n))) AS ss
-      FROM (SELECT *, len(l) AS n, coalesce(list_sum(l), 0.0) AS s
-            FROM (SELECT c_custkey, f1, f2, f3, f4, {_LIST} AS l FROM fees4) a) b) c""", "fees4"))
+FROM (SELECT *, {_SS} AS ss
+      FROM (SELECT c_custkey, f1, f2, f3, f4, {_LIST} AS l, {_S} AS s, CAST({_N} AS DOUBLE) AS n FROM fees4) a) b""", "fees4"))
 def row_stats(spark, sf_dir):
     """Row-wise sum, mean, var, std, min, max, second smallest and mode
     count across the four amounts, nulls skipped."""

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tessera.ml.folds import hash_bucket
 from tessera.operators import bins, onehot, rates
-from tessera.plans.catalog.sqlutil import R6, r6
+from tessera.plans.catalog.sqlutil import R6, r6, spark_r6
 from tessera.plans.registry import query
 from tessera.session import read_table
 
 
 def _r(c):
-    return F.round(c, R6)
+    return spark_r6(c)
 
 
 # ------------------------------------------------------------------ bins

@@ -8,6 +8,7 @@ from tessera.functions.rows import row_nunique
 from tessera.operators import mine
 from tessera.plans.frames import line4
 from tessera.plans.oracle_frames import with_frames
+from tessera.plans.catalog.sqlutil import r6, spark_r6
 from tessera.plans.registry import query
 from tessera.sources.store import materialize
 
@@ -18,7 +19,7 @@ _PAIRS_SQL = " UNION ALL ".join(
     f"SELECT {a} AS first, {b} AS second FROM d" for a, b in mine.ordered_pairs(V))
 
 MINE_SQL = with_frames(f"""
-SELECT first, second, pair_count, round(rate, {R6}) AS rate FROM (
+SELECT first, second, pair_count, {r6('rate')} AS rate FROM (
   SELECT *, row_number() OVER (PARTITION BY first ORDER BY pair_count DESC, rate DESC, second ASC) AS rn
   FROM (SELECT *, pair_count / sum(pair_count) OVER (PARTITION BY second) AS rate
         FROM (SELECT first, second, count(*) AS pair_count FROM p
@@ -34,7 +35,7 @@ p AS ({_PAIRS_SQL})""")
 def mine_pair_lookup(spark, sf_dir):
     """Flagship: per discount value, the value it most often co-occurs with."""
     out = mine.mine_pair_lookup(line4(spark, sf_dir), V, min_count=10)
-    return out.withColumn("rate", F.round("rate", R6))
+    return out.withColumn("rate", spark_r6("rate"))
 
 
 def _mined_rows(spark, sf_dir):
@@ -79,12 +80,12 @@ def top1_per_key(spark, sf_dir):
 
 
 @query("share_of_group", with_frames(f"""
-SELECT first, second, pair_count, round(pair_count / sum(pair_count) OVER (PARTITION BY second), {R6}) AS rate
+SELECT first, second, pair_count, {r6('pair_count / sum(pair_count) OVER (PARTITION BY second)')} AS rate
 FROM c""", "line4", extra=f"{_D},\np AS ({_PAIRS_SQL}),\n{_C}"))
 def share_of_group(spark, sf_dir):
     """Share of each pair count in the total of its second value."""
     out = mine.share_of_group(_counts(spark, sf_dir), "pair_count", "second", "rate")
-    return out.withColumn("rate", F.round("rate", R6))
+    return out.withColumn("rate", spark_r6("rate"))
 
 
 @query("filter_support", with_frames("""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.rows import argmax
 from tessera.ml import folds
 from tessera.operators import dedup, metrics, order, relate
-from tessera.plans.catalog.sqlutil import R6, r6
+from tessera.plans.catalog.sqlutil import R6, r6, spark_r6
 from tessera.plans.frames import prob3
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query
@@ -16,7 +16,7 @@ from tessera.session import read_table
 
 
 def _r(c):
-    return F.round(c, R6)
+    return spark_r6(c)
 
 
 # ------------------------------------------------------------------ dedup
@@ -65,7 +65,7 @@ def _halves(spark, sf_dir):
 
 @query("stack_join", """
 WITH s AS (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey)
-SELECT c.c_custkey, c.c_mktsegment, s.n AS m1_n, round(s.total, 6) AS m1_total
+SELECT c.c_custkey, c.c_mktsegment, s.n AS m1_n, round_even(s.total * 1000000.0, 0) / 1000000.0 AS m1_total
 FROM customer c LEFT JOIN s ON c.c_custkey = s.o_custkey""")
 def stack_join(spark, sf_dir):
     """A stage output (per-customer order stats) left-joined on the row key
@@ -128,7 +128,7 @@ def map_codes(spark, sf_dir):
 @query("concat_columns", """
 SELECT c.c_custkey, c.c_mktsegment, a.c_acctbal, b.n_orders
 FROM customer c
-LEFT JOIN (SELECT c_custkey, round(c_acctbal * 2, 6) AS c_acctbal FROM customer WHERE c_custkey % 2 = 0) a
+LEFT JOIN (SELECT c_custkey, round_even(c_acctbal * 2 * 1000000.0, 0) / 1000000.0 AS c_acctbal FROM customer WHERE c_custkey % 2 = 0) a
   ON c.c_custkey = a.c_custkey
 LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) b ON c.c_custkey = b.o_custkey""")
 def concat_columns(spark, sf_dir):

@@ -19,4 +19,13 @@ def rint(x: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"round({x}, {R6})"
+    """Round to 6 decimals with the same IEEE steps as :func:`spark_r6`."""
+    return f"(round_even(({x}) * 1000000.0, 0) / 1000000.0)"
+
+
+def spark_r6(c):
+    """``rint(x * 1e6) / 1e6``: identical doubles in Spark and DuckDB (the
+    engines' own ``round(x, 6)`` differ for large magnitudes)."""
+    from pyspark.sql import functions as F
+    c = F.col(c) if isinstance(c, str) else c
+    return F.rint(c * 1000000.0) / 1000000.0

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import windows as Wn
-from tessera.plans.catalog.sqlutil import R6, r6
+from tessera.plans.catalog.sqlutil import R6, r6, spark_r6
 from tessera.plans.frames import users
 from tessera.plans.registry import query
 from tessera.session import read_table
 
 
 def _r(c):
-    return F.round(c, R6)
+    return spark_r6(c)
 
 
 def _cust(spark, sf_dir):

@@ -56,7 +56,7 @@ def _rows(df: pd.DataFrame, cols):
     return sorted(out, key=key)
 
 
-def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame, tol: float = 1e-6) -> str | None:
+def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame, tol: float = 0.0) -> str | None:
     sc, dc = sorted(spark_pdf.columns), sorted(duck_pdf.columns)
     if sc != dc:
         return f"columns differ: spark={sc} duck={dc}"
