@@ -36,11 +36,31 @@ def vocabulary(counts: DataFrame, key: str, min_df: int = 2) -> DataFrame:
     return dense_codes(df_, ["term"], "idx")
 
 
-def doc_vectors(counts: DataFrame, vocab: DataFrame, key: str, size: int, out: str = "tf") -> DataFrame:
-    """One dense count vector per key (length = vocabulary size)."""
+DENSE_MAX = 4096  # above this vocabulary size documents are sparse vectors
+
+
+def _sparse(size: int):
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    def build(entries):
+        pairs = sorted((e["idx"], e["n"]) for e in entries)
+        return SparseVector(size, [i for i, _ in pairs], [v for _, v in pairs])
+    return F.udf(build, VectorUDT())
+
+
+def doc_vectors(counts: DataFrame, vocab: DataFrame, key: str, size: int, out: str = "tf",
+                dense_max: int = DENSE_MAX) -> DataFrame:
+    """One count vector per key.  A document holds at most one entry per
+    vocabulary term (never one per row).  Small vocabularies give dense
+    vectors built JVM-side; larger ones sparse vectors (a per-document
+    constructor: Spark SQL has no sparse-vector expression)."""
     j = counts.join(vocab, "term")
-    per = j.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx").cast("int"), F.col("n").cast("double")))).alias("__m"))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.element_at(F.col("__m"), i), F.lit(0.0)))
+    entries = F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("n").cast("double").alias("n")))
+    per = j.groupBy(key).agg(entries.alias("__e"))
+    if size > dense_max:
+        return per.select(key, _sparse(size)(F.col("__e")).alias(out))
+    m = F.map_from_entries(F.col("__e"))
+    arr = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.element_at(m, i), F.lit(0.0)))
     return per.select(key, array_to_vector(arr).alias(out))
 
 

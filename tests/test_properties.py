@@ -256,3 +256,11 @@ def test_hot_key_path_shift_median_nth(skewed, low_hot_threshold):
     pdf = skewed.toPandas().sort_values("id")
     expect = {k: (g["v"].iloc[-3] if len(g) > 2 else None) for k, g in pdf.groupby("k")}
     assert last == expect
+
+
+def test_doc_vectors_dense_equals_sparse(spark):
+    counts = spark.createDataFrame([(1, "a", 2), (1, "c", 1), (2, "b", 5)], "k int, term string, n long")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "term string, idx long")
+    dense = {r["k"]: r["tf"].toArray().tolist() for r in topics.doc_vectors(counts, vocab, "k", 3).collect()}
+    sparse = {r["k"]: r["tf"].toArray().tolist() for r in topics.doc_vectors(counts, vocab, "k", 3, dense_max=1).collect()}
+    assert dense == sparse == {1: [2.0, 0.0, 1.0], 2: [0.0, 5.0, 0.0]}
