@@ -128,3 +128,39 @@ def lookup_most(spark, sf_dir):
     # the lookup is read once per looked-up column: write it once
     lk = materialize(mine.mine_pair_lookup(l4, V, min_count=10), "lookup")
     return mine.lookup_most(l4, lk, V).select("l_orderkey", *V, *[f"{c}_most" for c in V])
+
+
+def _sources(spark, sf_dir):
+    """line4 rows split into three sources by order status (F train, O to
+    score, P extra/old rows)."""
+    from tessera.session import read_table
+    l4 = line4(spark, sf_dir)
+    st = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    j = l4.join(st, "l_orderkey")
+    return [j.filter(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in ("F", "O", "P")]
+
+
+_SRC_SQL = """src AS (
+  SELECT l.*, CASE o.o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS s
+  FROM line4 l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus IN ('F', 'O', 'P')),
+kept AS (SELECT v1, v2, v3, v4 FROM (
+  SELECT *, row_number() OVER (PARTITION BY v1, v2, v3 ORDER BY s, l_orderkey) AS rn FROM src) t WHERE rn = 1),
+d AS (SELECT DISTINCT v1, v2, v3, v4 FROM kept WHERE len(list_distinct([v1, v2, v3, v4])) > 2)"""
+
+
+@query("magic_lookup_with_old", with_frames(f"""
+SELECT first, second, pair_count, {r6('rate')} AS rate FROM (
+  SELECT *, row_number() OVER (PARTITION BY first ORDER BY pair_count DESC, rate DESC, second ASC) AS rn
+  FROM (SELECT *, pair_count / sum(pair_count) OVER (PARTITION BY second) AS rate
+        FROM (SELECT first, second, count(*) AS pair_count FROM p
+              WHERE first IS NOT NULL AND second IS NOT NULL AND second <> 0
+              GROUP BY first, second) c) s
+  WHERE pair_count > 10) r
+WHERE rn = 1""", "line4", extra=f"{_SRC_SQL},\np AS ({_PAIRS_SQL})"))
+def magic_lookup_with_old(spark, sf_dir):
+    """Lookup mined after deduplicating train ∪ to-score on (v1, v2, v3)
+    (earlier source first) and adding the extra source the same way."""
+    from tessera.plans import chains
+    train, test, old = _sources(spark, sf_dir)
+    _, inc = chains.magic_lookups(train, test, old, ["v1", "v2", "v3"], V, ["l_orderkey"], min_count=10)
+    return inc.withColumn("rate", spark_r6("rate"))
