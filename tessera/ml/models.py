@@ -23,7 +23,6 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import tmp_names
 from tessera.session import cut_lineage
 
 MISSING = -999.0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import numeric as N
 from tessera.functions import rows as RW
 from tessera.operators import aggs
-from tessera.plans.catalog.sqlutil import R6, pmod, r6, rint, spark_r6
+from tessera.plans.catalog.sqlutil import pmod, r6, rint, spark_r6
 from tessera.plans.frames import fees4, line4, users
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query

@@ -13,7 +13,6 @@ from tessera.plans.registry import query
 from tessera.sources.store import materialize
 
 V = ["v1", "v2", "v3", "v4"]
-R6 = 6  # doubles are rounded to 6 decimals before value comparison
 
 _PAIRS_SQL = " UNION ALL ".join(
     f"SELECT {a} AS first, {b} AS second FROM d" for a, b in mine.ordered_pairs(V))

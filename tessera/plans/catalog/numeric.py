@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import numeric as N
-from tessera.plans.catalog.sqlutil import R6, multiple, pmod, r6, rint, spark_r6
+from tessera.plans.catalog.sqlutil import multiple, pmod, r6, rint, spark_r6
 from tessera.plans.frames import fees4
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query

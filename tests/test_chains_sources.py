@@ -3,7 +3,6 @@
 import os
 import uuid
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tessera.plans import chains
