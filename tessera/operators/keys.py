@@ -117,24 +117,14 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
 HOT_KEY_ROWS = 2_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> list[tuple]:
-    """Key tuples holding more than ``hot_rows`` rows (partial aggregate; the
-    result has at most rows / hot_rows entries)."""
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Key tuples holding more than ``hot_rows`` rows (partial aggregate).
+    The result has at most rows / hot_rows entries, which is the proven
+    bound that lets it be broadcast."""
     keys = as_list(keys)
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    return [tuple(r[k] for k in keys) for r in counts.select(*keys).collect()]
-
-
-def _is_hot(keys: Sequence[str], hot: list[tuple]) -> Column:
-    cond = None
-    for t in hot:
-        c = None
-        for k, v in zip(keys, t):
-            e = F.col(k).isNull() if v is None else (F.col(k) == F.lit(v))
-            c = e if c is None else (c & e)
-        cond = c if cond is None else (cond | c)
-    return F.coalesce(cond, F.lit(False)) if cond is not None else F.lit(False)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.filter(F.col("__n") > hot_rows).select(*keys)
 
 
 def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -144,22 +134,22 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
     Ordinary keys use ``row_number()`` over a window partitioned by the key
     (one shuffle, per-key sort).  Hot keys (more than ``hot_rows`` rows) are
-    split off and ranked through :func:`global_position`: a range-partitioned
-    sort spreads each hot key over many tasks, and the rank is the position
-    minus the key's first position.  The hot-key list comes from one partial
-    aggregate and is bounded by rows / ``hot_rows``.
+    split off with a broadcast semi/anti join on the hot-key table and ranked
+    through :func:`global_position`: a range-partitioned sort spreads each hot
+    key over many tasks, and the rank is the position minus the key's first
+    position.
     """
     keys = as_list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    hot = hot_keys(df, keys, hot_rows)
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-    if not hot:
+    hot = hot_keys(df, keys, hot_rows)
+    if not hot.take(1):
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-    flag = _is_hot(keys, hot)
-    normal = df.filter(~flag).withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+    hot = F.broadcast(hot)
+    normal = join_on(df, hot, keys, "left_anti").withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     pos, first = tmp_names(df, "gpos", "first")
     ordered = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    p = global_position(df.filter(flag), ordered, pos)
+    p = global_position(join_on(df, hot, keys, "left_semi"), ordered, pos)
     firsts = p.groupBy(*keys).agg(F.min(pos).alias(first))
     hot_part = (join_on(p, firsts, keys, "left", null_safe=True)
                 .withColumn(name, F.col(pos) - F.col(first)).drop(pos, first))

@@ -27,16 +27,17 @@ def _check(n: int, column: str, limit: int):
         raise ValueError(f"{column}: {n} dummy columns exceed the limit {limit}; use one_hot_vector")
 
 
-def frequent_values(df: DataFrame, column: str, n: int) -> list:
-    """Non-null values occurring more than ``n`` times, sorted."""
+def frequent_values(df: DataFrame, column: str, n: int, limit: int = MAX_DUMMIES) -> list:
+    """Non-null values occurring more than ``n`` times, sorted (at most
+    ``limit + 1`` are collected; callers raise beyond ``limit``)."""
     rows = (df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("c"))
-              .filter(F.col("c") > n).select(column).collect())
+              .filter(F.col("c") > n).select(column).limit(limit + 1).collect())
     return sorted(r[0] for r in rows)
 
 
 def one_hot_frequent(df: DataFrame, column: str, n: int = 100, limit: int = MAX_DUMMIES) -> DataFrame:
     """0/1 column ``<col>N_<value>`` for each value with frequency > n."""
-    vals = frequent_values(df, column, n)
+    vals = frequent_values(df, column, n, limit)
     _check(len(vals), column, limit)
     c = F.col(column)
     return df.withColumns({f"{column}N_{_fmt(v)}": F.coalesce(c == F.lit(v), F.lit(False)).cast("int") for v in vals})
@@ -46,7 +47,8 @@ def dummies_with_null(df: DataFrame, columns: Sequence[str], limit: int = MAX_DU
     """Dummies for every value plus ``<col>_nan``; source columns dropped."""
     out = df
     for column in as_list(columns):
-        vals = sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+        vals = sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct()
+                      .limit(limit + 1).collect())
         _check(len(vals), column, limit)
         c = F.col(column)
         d = {f"{column}_{_fmt(v)}": F.coalesce(c == F.lit(v), F.lit(False)).cast("int") for v in vals}
@@ -67,16 +69,16 @@ def one_hot_pruned(df: DataFrame, min_count: int = 100, nan_as_category: bool =
         return df, []
     unp = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
                                        for c in cols])))
-    counts = unp.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n")).collect()
-    # every row contributes one (col, value) pair per column: the row count
-    # is the sum over any one column's values, no second pass needed
-    total = sum(r["n"] for r in counts if r["col"] == cols[0])
+    total = df.count()
+    counts = unp.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
+    # prune on the cluster: only kept dummies (at most rows / min_count per
+    # column) reach the driver, never the full value list
+    kept_rows = (counts.filter((F.col("n") >= min_count) & (F.lit(total) - F.col("n") >= min_count))
+                       .limit(limit + 1).collect())
+    if not nan_as_category:
+        kept_rows = [r for r in kept_rows if r["val"] is not None]
     keep, exprs = [], {}
-    for r in sorted(counts, key=lambda r: (r["col"], r["val"] is None, r["val"] or "")):
-        if r["val"] is None and not nan_as_category:
-            continue
-        if r["n"] < min_count or total - r["n"] < min_count:
-            continue
+    for r in sorted(kept_rows, key=lambda r: (r["col"], r["val"] is None, r["val"] or "")):
         name = f"{r['col']}_{'nan' if r['val'] is None else r['val']}"
         c = F.col(r["col"])
         exprs[name] = (c.isNull() if r["val"] is None else F.coalesce(c == F.lit(r["val"]), F.lit(False))).cast("int")

@@ -238,7 +238,7 @@ def low_hot_threshold(monkeypatch):
 
 
 def test_hot_key_path_ordinal(skewed, low_hot_threshold):
-    assert keys.hot_keys(skewed, ["k"]) == [("hot",)]
+    assert [tuple(r) for r in keys.hot_keys(skewed, ["k"]).collect()] == [("hot",)]
     o = keys.ordinal_within(skewed, ["k"], [F.col("v"), F.col("id")], "o")
     w = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")) - 1)
     assert {r["id"]: r["o"] for r in o.collect()} == {r["id"]: r["rn"] for r in w.collect()}
