@@ -41,7 +41,6 @@ def stat(name: str, x: str) -> Column:
         "var": lambda: F.var_samp(c),
         "std": lambda: F.stddev_samp(c),
         "skew": lambda: _skew_adjusted(c),
-        "median": lambda: F.median(c),
         "nunique": lambda: F.count_distinct(c),
     }
     if name not in table:
@@ -74,11 +73,16 @@ def stat_name(base: Sequence[str], other: Sequence[str], stats: Sequence[str], s
 
 def group_stats(df: DataFrame, keys: Sequence[str], value: str,
                 stats: Sequence[str] = ("min", "max", "var", "size", "mean", "skew")) -> DataFrame:
-    """Statistics of ``value`` per key joined back, one pass for all stats.
+    """Statistics of ``value`` per key joined back, one aggregate pass for
+    all stats (``median`` is exact and rank-based, see :func:`group_median`).
     Names follow ``<keys>_<value>_<stats joined><stat>``."""
     keys = as_list(keys)
-    aggs = [stat(s, value).alias(stat_name(keys, [value], stats, s)) for s in stats]
-    return join_back(df, df.groupBy(*keys).agg(*aggs), keys)
+    plain = [s for s in stats if s != "median"]
+    aggs = [stat(s, value).alias(stat_name(keys, [value], stats, s)) for s in plain]
+    out = join_back(df, df.groupBy(*keys).agg(*aggs), keys) if aggs else df
+    if "median" in stats:
+        out = join_back(out, group_median(df, keys, value, stat_name(keys, [value], stats, "median")), keys)
+    return out
 
 
 def group_deviation(df: DataFrame, key: str | Sequence[str], values: Sequence[str],

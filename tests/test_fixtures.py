@@ -192,3 +192,10 @@ def test_trend_and_mode(events, spark):
     df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 3), ("a", 1), ("b", 2), ("b", 5)], "k string, x int")
     m = {r["k"]: r["mode"] for r in aggs.mode_per_key(df, "k", "x").collect()}
     assert m == {"a": 1, "b": None}
+
+
+def test_group_stats_median_is_exact(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("a", 2.0), ("a", 7.0), ("b", 3.0), (None, 5.0)],
+                               "k string, v double")
+    out = {(r["k"], r["v"]): r["k_v_medianmedian"] for r in aggs.group_stats(df, ["k"], "v", ["median"]).collect()}
+    assert out[("a", 1.0)] == 3.0 and out[("b", 3.0)] == 3.0 and out[(None, 5.0)] is None
