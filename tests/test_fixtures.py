@@ -199,3 +199,14 @@ def test_group_stats_median_is_exact(spark):
                                "k string, v double")
     out = {(r["k"], r["v"]): r["k_v_medianmedian"] for r in aggs.group_stats(df, ["k"], "v", ["median"]).collect()}
     assert out[("a", 1.0)] == 3.0 and out[("b", 3.0)] == 3.0 and out[(None, 5.0)] is None
+
+
+def test_narrow_types_casts_to_chosen_types(spark):
+    df = spark.createDataFrame([(1, 100, 40000, 3000000000, 1.5, 1e12), (-5, -100, 5, 1, None, 2.0)],
+                               "a bigint, b bigint, c int, d bigint, x double, y double")
+    rep = {r["column"]: r["chosen_type"] for r in aggs.narrow_types_report(df).collect()}
+    assert rep == {"a": "tinyint", "b": "tinyint", "c": "int", "d": "bigint", "x": "float", "y": "double"}
+    out = aggs.narrow_types(df)
+    types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    assert types == {"a": "tinyint", "b": "tinyint", "c": "int", "d": "bigint", "x": "float", "y": "double"}
+    assert [tuple(r) for r in out.collect()][0][:4] == (1, 100, 40000, 3000000000)
