@@ -46,6 +46,19 @@ class OofResult:
     importance: DataFrame | None = None   # feature, fold, split, gain
 
 
+def class_probabilities(pred: DataFrame, out: str = "__p") -> DataFrame:
+    """Class probabilities as an array column: the model's ``probability``
+    when it has one, else a softmax of ``rawPrediction`` (one-vs-rest
+    ensembles of binary boosted trees expose only per-class margins)."""
+    if "probability" in pred.columns:
+        return pred.withColumn(out, vector_to_array("probability"))
+    raw = vector_to_array("rawPrediction")
+    mx = F.array_max(raw)
+    ex = F.transform(raw, lambda x: F.exp(x - mx))
+    total = F.aggregate(ex, F.lit(0.0), lambda a, x: a + x)
+    return pred.withColumn(out, F.transform(ex, lambda x: x / total))
+
+
 def _split_counts(model, n_features: int) -> list[int]:
     """Number of split nodes per feature (from the model's tree text)."""
     counts = [0] * n_features
@@ -54,12 +67,22 @@ def _split_counts(model, n_features: int) -> list[int]:
     return [c // 2 for c in counts]  # every split prints an If and an Else
 
 
+def _tree_models(m) -> list:
+    """The tree models inside a fitted estimator (one-vs-rest holds one per class)."""
+    if hasattr(m, "featureImportances"):
+        return [m]
+    return [x for sub in getattr(m, "models", []) for x in _tree_models(sub)]
+
+
 def _importance(spark, models, features: Sequence[str]) -> DataFrame:
+    import numpy as np
     rows = []
     for i, pm in enumerate(models):
-        m = pm.stages[-1]
-        gains = m.featureImportances.toArray()
-        splits = _split_counts(m, len(features))
+        trees = _tree_models(pm.stages[-1])
+        if not trees:
+            continue
+        gains = np.mean([t.featureImportances.toArray() for t in trees], axis=0)
+        splits = np.sum([_split_counts(t, len(features)) for t in trees], axis=0)
         rows += [(f, i, float(splits[j]), float(gains[j]) * 100.0) for j, f in enumerate(features)]
     return spark.createDataFrame(rows, "feature string, fold int, split double, gain double")
 
@@ -90,10 +113,10 @@ def oof_classify(df: DataFrame, features: Sequence[str], label: str, fold: str,
     for i in folds:
         model = pipe.fit(data.filter(F.col(fold) != i))
         models.append(model)
-        val = model.transform(data.filter(F.col(fold) == i)).withColumn("__p", vector_to_array("probability"))
+        val = class_probabilities(model.transform(data.filter(F.col(fold) == i)))
         oof_parts.append(val.select(key, F.lit(i).alias(fold), *classes))
         if score is not None:
-            s = model.transform(score).withColumn("__p", vector_to_array("probability"))
+            s = class_probabilities(model.transform(score))
             score_parts.append(s.select(key, *classes))
     oof = reduce(DataFrame.unionByName, oof_parts)
     scored = None

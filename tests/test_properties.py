@@ -264,3 +264,13 @@ def test_doc_vectors_dense_equals_sparse(spark):
     dense = {r["k"]: r["tf"].toArray().tolist() for r in topics.doc_vectors(counts, vocab, "k", 3).collect()}
     sparse = {r["k"]: r["tf"].toArray().tolist() for r in topics.doc_vectors(counts, vocab, "k", 3, dense_max=1).collect()}
     assert dense == sparse == {1: [2.0, 0.0, 1.0], 2: [0.0, 5.0, 0.0]}
+
+
+def test_oof_classify_one_vs_rest_boosting(train_frame):
+    from pyspark.ml.classification import GBTClassifier, OneVsRest
+    est = OneVsRest(classifier=GBTClassifier(maxIter=5, maxDepth=3, seed=1))
+    res = models.oof_classify(train_frame.filter(F.col("fold") >= 0), ["x1", "x2"], "label", "fold", "id", 3,
+                              estimator=est, folds=[0, 1])
+    rows = res.oof.collect()
+    assert rows and all(abs(r["class_0"] + r["class_1"] + r["class_2"] - 1) < 1e-9 for r in rows)
+    assert res.importance.count() == 2 * 2
