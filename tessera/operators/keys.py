@@ -186,6 +186,8 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], cols: Sequence[st
     s = (df.orderBy(*order)
          .withColumn(pid, F.spark_partition_id())
          .withColumn(mid, F.monotonically_increasing_id()))
+    # sorted once, written once; both branches below read the written rows
+    s = cut_lineage(s, "sorted-sums")
     part = s.groupBy(pid).agg(*[F.sum(c).alias(f"{n}__p") for c, n in zip(cols, names)])
     w_before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     offsets = part.select(pid, *[F.coalesce(F.sum(f"{n}__p").over(w_before), F.lit(0)).alias(f"{n}__o")
