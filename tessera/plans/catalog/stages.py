@@ -222,3 +222,25 @@ def stacked_prediction(spark, sf_dir):
     classes = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     white = chains.white_list(tr, te, ["c_nationkey", "f4"], "c_custkey", "c_mktsegment", ["c_custkey"])
     return chains.stacked_prediction(tr, te, predictors, "c_mktsegment", "c_custkey", classes, white, _rf())
+
+
+_STAGE_SCHEMA = StructType([StructField("c_custkey", LongType()), StructField("n", LongType()),
+                            StructField("total", DoubleType())])
+
+
+@query("load_stack_table", """
+WITH s AS (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey)
+SELECT c.c_custkey, c.c_mktsegment, s.n AS m1_n,
+       round_even(round(s.total, 4) * 1000000.0, 0) / 1000000.0 AS m1_total
+FROM customer c LEFT JOIN s ON c.c_custkey = s.o_custkey""")
+def load_stack_table(spark, sf_dir):
+    """An earlier stage's per-customer output written as CSV (4-decimal
+    floats), read back with a model prefix and stacked onto the customers."""
+    stage = (read_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
+    path = _fresh(spark, "stage")
+    C.sink_csv(stage, path, float_digits=4)
+    st = C.load_stack_table(spark, path, "c_custkey", "m1_", _STAGE_SCHEMA)
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    out = relate.stack_join(c, st.withColumnsRenamed({"m1_n": "n", "m1_total": "total"}), "c_custkey", "m1_")
+    return out.withColumn("m1_total", F.rint(F.col("m1_total") * 1000000.0) / 1000000.0)
