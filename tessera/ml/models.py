@@ -23,6 +23,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.rates import class_list
 from tessera.session import cut_lineage
 
 MISSING = -999.0
@@ -162,7 +163,7 @@ def segment_models(df: DataFrame, segment: Column | None, features: Sequence[str
     parts_oof, parts_score, models, imps = [], [], [], []
     for seg in (segment, ~segment):
         d = df.filter(seg)
-        present = sorted(r[0] for r in d.select(label).distinct().collect())  # bounded by the class count
+        present = class_list(d, label)  # bounded by the class count (raises beyond)
         idx = F.create_map(*[x for i, c in enumerate(present) for x in (F.lit(c), F.lit(i))])
         d = d.withColumn("__seg_label", F.element_at(idx, F.col(label)))
         s = to_score.filter(seg) if to_score is not None else None

@@ -11,10 +11,16 @@ from pyspark.sql import functions as F
 from tessera.operators.keys import attach_scalar, join_back, tmp_names
 
 
-def class_list(df: DataFrame, label: str) -> list:
-    """Sorted distinct non-null labels.  Labels are class codes, so the list
-    is bounded by the number of classes."""
-    return sorted(r[0] for r in df.select(label).filter(F.col(label).isNotNull()).distinct().collect())
+MAX_CLASSES = 1000
+
+
+def class_list(df: DataFrame, label: str, limit: int = MAX_CLASSES) -> list:
+    """Sorted distinct non-null labels.  Labels are class codes: at most
+    ``limit + 1`` values are collected and more than ``limit`` raise."""
+    rows = df.select(label).filter(F.col(label).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{label}: more than {limit} classes; not a class label")
+    return sorted(r[0] for r in rows)
 
 
 def _rate_name(category: str, c) -> str:
