@@ -274,3 +274,18 @@ def test_oof_classify_one_vs_rest_boosting(train_frame):
     rows = res.oof.collect()
     assert rows and all(abs(r["class_0"] + r["class_1"] + r["class_2"] - 1) < 1e-9 for r in rows)
     assert res.importance.count() == 2 * 2
+
+
+def test_running_sums_negative_values_many_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rnd = random.Random(11)
+        vals = [rnd.uniform(-5, 5) for _ in range(500)]
+        df = spark.createDataFrame(list(enumerate(vals)), "id int, v double")
+        got = {r["id"]: r["cum"] for r in keys.running_sums(df, [F.col("id")], ["v"], ["cum"], inclusive=True).collect()}
+        acc = 0.0
+        for i, v in enumerate(vals):
+            acc += v
+            assert got[i] == pytest.approx(acc, abs=1e-9)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
