@@ -128,7 +128,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
 
 
 def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                   name: str = "ordinal", hot_rows: int | None = None) -> DataFrame:
+                   name: str = "ordinal", hot_rows: int | None = None,
+                   hot: DataFrame | None = None) -> DataFrame:
     """0-based row number within each key in ``order`` (``order`` should end
     in a unique column).
 
@@ -137,12 +138,13 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     split off with a broadcast semi/anti join on the hot-key table and ranked
     through :func:`global_position`: a range-partitioned sort spreads each hot
     key over many tasks, and the rank is the position minus the key's first
-    position.
+    position.  ``hot`` may pass a hot-key table already computed for the
+    same rows and keys.
     """
     keys = as_list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
     if not hot.take(1):
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     hot = F.broadcast(hot)
