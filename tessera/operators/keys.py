@@ -180,43 +180,24 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], cols: Sequence[st
     """Cumulative sums of ``cols`` in the total order ``order`` (exclusive by
     default: the sum over all earlier rows).
 
-    Distributed prefix sum without a per-partition shuffle: after the range
-    sort each partition holds a contiguous run of the order, so a
-    ``mapInPandas`` pass accumulates running sums over the partition's Arrow
-    batches in order; the totals of all earlier partitions come from a table
-    with one row per partition (broadcast).  The tagged rows are written once
-    so both branches read the same sorted data.
+    Distributed prefix sum: range-sort, per-partition running sums (a window
+    over one Spark partition's rows, ordered by their position), plus the
+    totals of all earlier partitions from a table with one row per partition
+    (broadcast).  The sorted, tagged rows are written once so both branches
+    read them without re-sorting.
     """
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-    pid, bno = tmp_names(df, "pid", "batch")
-    local = [f"{n}__l" for n in names]
-    last = [f"{n}__t" for n in names]
-    s = df.orderBy(*order).withColumn(pid, F.spark_partition_id())
-    schema = StructType(s.schema.fields + [StructField(c, DoubleType()) for c in local + last]
-                        + [StructField(bno, LongType())])
-    cols, names = list(cols), list(names)
-
-    def accumulate(batches):
-        acc = [0.0] * len(cols)
-        for k, b in enumerate(batches):
-            b[bno] = k
-            for i, c in enumerate(cols):
-                v = b[c].astype("float64").fillna(0.0)
-                inc = v.cumsum() + acc[i]
-                b[local[i]] = inc if inclusive else inc.shift(1, fill_value=acc[i])
-                if len(inc):
-                    acc[i] = float(inc.iloc[-1])
-                b[last[i]] = acc[i]
-            yield b
-
-    t = cut_lineage(s.mapInPandas(accumulate, schema), "sorted-sums")
-    # the partition total is the running total after its last batch
-    part = t.groupBy(pid).agg(*[F.max_by(l, bno).alias(f"{n}__p") for l, n in zip(last, names)])
+    pid, mid = tmp_names(df, "pid", "mid")
+    s = (df.orderBy(*order)
+         .withColumn(pid, F.spark_partition_id())
+         .withColumn(mid, F.monotonically_increasing_id()))
+    s = cut_lineage(s, "sorted-sums")
+    part = s.groupBy(pid).agg(*[F.sum(c).alias(f"{n}__p") for c, n in zip(cols, names)])
     w_before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part.select(pid, *[F.coalesce(F.sum(f"{n}__p").over(w_before), F.lit(0.0)).alias(f"{n}__o")
+    offsets = part.select(pid, *[F.coalesce(F.sum(f"{n}__p").over(w_before), F.lit(0)).alias(f"{n}__o")
                                  for n in names])
-    out = t.join(F.broadcast(offsets), pid)
-    return out.withColumns({n: F.col(l) + F.col(f"{n}__o") for l, n in zip(local, names)}) \
-              .drop(pid, bno, *local, *last, *[f"{n}__o" for n in names])
-
-
+    frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
+    w_local = Window.partitionBy(pid).orderBy(mid).rowsBetween(*frame)
+    local = s.withColumns({f"{n}__l": F.coalesce(F.sum(c).over(w_local), F.lit(0)) for c, n in zip(cols, names)})
+    out = local.join(F.broadcast(offsets), pid)
+    return out.withColumns({n: F.col(f"{n}__l") + F.col(f"{n}__o") for n in names}) \
+              .drop(pid, mid, *[f"{n}__l" for n in names], *[f"{n}__o" for n in names])
