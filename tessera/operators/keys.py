@@ -144,7 +144,9 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     keys = as_list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
+    # bounded table (at most rows / HOT_KEY_ROWS keys): cached so the
+    # emptiness check and the split joins do not recount the keys
+    hot = (hot_keys(df, keys, hot_rows) if hot is None else hot).cache()
     if not hot.take(1):
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     hot = F.broadcast(hot)

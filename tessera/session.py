@@ -97,3 +97,16 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     path = os.path.join(checkpoint_dir(spark), f"{name or 'table'}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 ** 2,
+                  lo: int = 200, hi: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` for an input of ``input_bytes``
+    (about one ``target_bytes`` partition per input slice) and let AQE
+    coalesce small ones; scan splits use the same target.  Returns the
+    partition count."""
+    n = max(lo, min(hi, -(-int(input_bytes) // int(target_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(target_bytes)))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes) // 2))
+    return n

@@ -210,3 +210,16 @@ def test_narrow_types_casts_to_chosen_types(spark):
     types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
     assert types == {"a": "tinyint", "b": "tinyint", "c": "int", "d": "bigint", "x": "float", "y": "double"}
     assert [tuple(r) for r in out.collect()][0][:4] == (1, 100, 40000, 3000000000)
+
+
+def test_size_shuffles(spark):
+    from tessera.session import size_shuffles
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 200_000
+        assert size_shuffles(spark, 10 * 1024 ** 3) == 200
+        assert size_shuffles(spark, 1024 ** 4) == 4096
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
