@@ -63,8 +63,24 @@ def rounded_int(x, fill: float | None = 0) -> Column:
 
 
 def cents(x) -> Column:
-    """Exact integer cents of a money amount (sign dropped)."""
-    return F.rint(F.abs(col(x)) * F.lit(100.0)).cast("bigint")
+    """Integer cents of ``|x|`` as ``'%.2f'`` rounds it: the exact binary
+    value of x, half-to-even only on exact ties.
+
+    ``|x|*100`` is rounded once by the multiplication; when that lands
+    exactly on ``k + 0.5`` the exact product lies on one side of it.  The
+    rounding error is recovered exactly (Dekker's two-product with a Veltkamp
+    split; 100 needs no split) and decides the side."""
+    a = F.abs(col(x))
+    p = a * F.lit(100.0)
+    c = a * F.lit(134217729.0)          # 2^27 + 1
+    hi = c - (c - a)
+    lo = a - hi
+    err = (hi * F.lit(100.0) - p) + lo * F.lit(100.0)   # p + err == |x| * 100 exactly
+    fl = F.floor(p)
+    tie = (p - fl) == F.lit(0.5)
+    even_up = F.when(F.pmod(fl, F.lit(2)) == 1, F.lit(1)).otherwise(F.lit(0))
+    up = F.when(err > 0, F.lit(1)).when(err < 0, F.lit(0)).otherwise(even_up)
+    return F.when(tie, fl + up).otherwise(F.rint(p)).cast("bigint")
 
 
 def money_digit(x, pos: int, fill: float = -1) -> Column:

@@ -120,7 +120,15 @@ def rate_by_other_key(spark, sf_dir):
 
 
 def _cents_sql(x):
-    return f"CAST({rint(f'abs(coalesce({x}, -1.0)) * 100.0')} AS BIGINT)"
+    """SQL twin of ``numeric.cents`` on ``coalesce(x, -1)``."""
+    a = f"abs(coalesce({x}, -1.0))"
+    c = f"({a} * 134217729.0)"
+    hi = f"({c} - ({c} - {a}))"
+    err = f"(({hi} * 100.0 - {a} * 100.0) + ({a} - {hi}) * 100.0)"
+    p = f"({a} * 100.0)"
+    fl = f"floor({p})"
+    up = f"(CASE WHEN {err} > 0 THEN 1 WHEN {err} < 0 THEN 0 WHEN {fl} % 2 = 1 THEN 1 ELSE 0 END)"
+    return f"CAST(CASE WHEN {p} - {fl} = 0.5 THEN {fl} + {up} ELSE {rint(p)} END AS BIGINT)"
 
 
 _D0 = f"CAST({pmod(_cents_sql('(f1 / 100.0)'), 10)} AS INTEGER)"

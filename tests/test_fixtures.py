@@ -223,3 +223,58 @@ def test_size_shuffles(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def _py_float(x):
+    try:
+        return float(x)
+    except (TypeError, ValueError):
+        return None
+
+
+def _py_int(x):
+    try:
+        return int(x)
+    except (TypeError, ValueError):
+        return None
+
+
+def _py_have_0(x):
+    try:
+        return 0 if x.split(".")[1][-1] == "0" else 1
+    except (AttributeError, IndexError):
+        return 1
+
+
+def _py_decimal_length(x):
+    x = "nan" if x is None else x
+    return 0 if "." not in x else len(x.split(".")[1])
+
+
+def test_text_parsers_random_strings(spark):
+    import random as _r
+    rnd = _r.Random(17)
+    alphabet = "0123456789.+- e"
+    vals = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 6))) for _ in range(400)] + [None, "\\N"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
+    out = df.select("i", T.lenient_double("s").alias("d"), T.lenient_int("s").alias("n"), T.have_0("s").alias("h"),
+                    T.decimal_length("s").alias("dl")).collect()
+    for r in out:
+        v = vals[r["i"]]
+        assert r["d"] == _py_float(v), (v, r["d"])
+        assert r["n"] == _py_int(v), (v, r["n"])
+        assert r["h"] == _py_have_0(v), v
+        assert r["dl"] == _py_decimal_length(v), v
+
+
+def test_money_digits_match_two_decimal_text(spark):
+    import random as _r
+    rnd = _r.Random(23)
+    vals = [round(rnd.uniform(-1000, 1000), rnd.choice([2, 3])) for _ in range(1000)] + [None, 0.005, 1.005, 2.675]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    out = df.select("i", *[N.money_digit("x", p).alias(f"d{p}") for p in range(3)], N.tens("x").alias("t")).collect()
+    for r in out:
+        x = vals[r["i"]]
+        txt = "%.2f" % (-1 if x is None else x)
+        assert (r["d0"], r["d1"], r["d2"]) == (int(txt[-1]), int(txt[-2]), int(txt[-4])), (x, txt)
+        assert r["t"] == (-1 if x is None else x) // 10
