@@ -7,8 +7,10 @@ computed with ``groupBy`` (partial aggregation before the shuffle, so a hot
 key costs one row per map task) and attached back with a join that AQE turns
 into a broadcast when the statistics table is small at runtime or splits the
 hot partition otherwise.  Order-dependent work (ranks, shifts, first/last)
-goes through :func:`global_position`, a total order computed with a range
-shuffle that spreads one hot key over many partitions.
+goes through :func:`ordinal_within`: ordinary keys are ranked by a window,
+hot keys (found by one partial aggregate, a bounded list) through
+:func:`global_position`, a total order computed with a range shuffle that
+spreads one hot key over many partitions.
 """
 
 from __future__ import annotations
