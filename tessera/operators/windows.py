@@ -1,8 +1,9 @@
 """Per-group standardisation, normalisation, ranks and shifts.
 
 Whole-group statistics are partial aggregates joined back; order-dependent
-results (ranks, lag/lead, n-th from first/last) come from a range-sorted
-global position, so a hot key is spread over many tasks instead of one
+results (ranks, lag/lead, n-th from first/last) come from the in-key ordinal
+of ``keys.ordinal_within`` (a window for ordinary keys, a range-sorted global
+position for hot keys), so a hot key is spread over many tasks instead of one
 window partition.  Rows with a null key get the pandas ``groupby`` result
 for a dropped group (0 / ``start`` for the scalers, null otherwise).
 """

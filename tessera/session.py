@@ -43,7 +43,7 @@ def build_session(master: str | None = None, app: str = "tessera",
     conf = dict(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
-    # checkpoint files of global positions are removed once unreferenced
+    # reliable checkpoint files are removed once their RDD is unreferenced
     conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
