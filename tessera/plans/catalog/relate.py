@@ -381,3 +381,24 @@ def augmented_training_rows(spark, sf_dir):
     f = folds.kfold(o, "o_orderkey", 5, 66).withColumn(
         "fold", F.when(F.col("o_orderstatus") == "P", F.lit(-1)).otherwise(F.col("fold")))
     return folds.training_rows_per_fold(f, "fold", 5)
+
+
+@query("white_list", """
+WITH s AS (SELECT c_nationkey, c_mktsegment, c_custkey % 7 AS label,
+                  row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS rn
+           FROM customer WHERE c_acctbal >= 0 AND c_custkey % 7 <> 6),
+t AS (SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 0)
+SELECT t.c_custkey, s.label FROM t JOIN s
+  ON t.c_nationkey IS NOT DISTINCT FROM s.c_nationkey AND t.c_mktsegment IS NOT DISTINCT FROM s.c_mktsegment
+WHERE s.rn = 1 AND s.label IS NOT NULL""")
+def white_list(spark, sf_dir):
+    """Labels for rows to score (negative balances) copied from the first
+    labelled row (non-negative balances, sentinel label 6 removed first) that
+    equals them on (nation, segment)."""
+    from tessera.plans import chains
+    c = read_table(spark, sf_dir, "customer")
+    train = c.filter(F.col("c_acctbal") >= 0).select(
+        "c_custkey", "c_nationkey", "c_mktsegment", F.pmod("c_custkey", F.lit(7)).alias("label"))
+    test = c.filter(F.col("c_acctbal") < 0).select("c_custkey", "c_nationkey", "c_mktsegment")
+    return chains.white_list(train, test, ["c_nationkey", "c_mktsegment"], "c_custkey", "label", ["c_custkey"],
+                             sentinel=6)
