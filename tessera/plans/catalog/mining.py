@@ -123,8 +123,9 @@ FROM line4 l
 {_LOOKUP_JOINS}""", "line4", extra=f"{_D},\np AS ({_PAIRS_SQL}),\nlk AS ({_MINE_BODY})"))
 def lookup_most(spark, sf_dir):
     """Each of v1..v4 looked up in the mined lookup (``<col>_most``)."""
-    l4 = line4(spark, sf_dir)
-    # the lookup is read once per looked-up column: write it once
+    # line4 feeds both the mining and the joined side, and the lookup is read
+    # once per looked-up column: each is written once
+    l4 = materialize(line4(spark, sf_dir), "line4")
     lk = materialize(mine.mine_pair_lookup(l4, V, min_count=10), "lookup")
     return mine.lookup_most(l4, lk, V).select("l_orderkey", *V, *[f"{c}_most" for c in V])
 
