@@ -289,3 +289,20 @@ def test_running_sums_negative_values_many_batches(spark):
             assert got[i] == pytest.approx(acc, abs=1e-9)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_aggregate_operators_with_a_hot_key(skewed):
+    from tessera.operators import dedup
+    pdf = skewed.toPandas()
+    sizes = {r["id"]: r["k_count"] for r in aggs.group_size(skewed, ["k"]).collect()}
+    expect = pdf.groupby("k")["id"].transform("size")
+    assert all(sizes[i] == n for i, n in zip(pdf["id"], expect))
+    first = {r["k"]: r["id"] for r in dedup.dedup_first(skewed, ["k"], ["v", "id"]).collect()}
+    exp_first = pdf.sort_values(["v", "id"]).drop_duplicates("k", keep="first").set_index("k")["id"].to_dict()
+    assert first == exp_first
+    flags = {r["id"]: r["is_duplicated"] for r in dedup.flag_duplicates(skewed, ["k", "v"]).collect()}
+    exp_flags = pdf.duplicated(["k", "v"], keep=False).astype(int)
+    assert all(flags[i] == f for i, f in zip(pdf["id"], exp_flags))
+    top = {r["k"]: r["v"] for r in mine.top1_per_key(skewed.select("k", "v", "id"), "k", "v",
+                                                       [F.col("v"), -F.col("id")]).collect()}
+    assert top == pdf.groupby("k")["v"].max().to_dict()
