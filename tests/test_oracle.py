@@ -32,3 +32,10 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["first", "second", "pair_count", "rate"]
     df.collect()
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = Q["semi_join"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    orders_scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "o_orderpriority" in ln][0]
+    assert "EqualTo(o_orderpriority,1-URGENT)" in orders_scan
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in orders_scan
