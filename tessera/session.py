@@ -7,7 +7,7 @@ only holds the few things that touch the session itself.
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,21 +69,36 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver's file system client delete ``path`` when the
+    application ends (a normal end; a killed driver leaves it behind)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the launcher to storage every executor
-    can reach.  Only when it is unset (local tests) a scratch folder is
-    created and registered so that ``checkpoint()`` works.
+    On a cluster the launcher sets it to storage every executor can reach.
+    Where it is unset, a folder below the home directory of the session's
+    default file system is used; a default file system that is local to each
+    machine is refused unless the master is ``local``.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        sc = spark.sparkContext
+        fs = sc._jvm.org.apache.hadoop.fs.FileSystem.get(sc._jsc.hadoopConfiguration())
+        home = fs.getHomeDirectory().toString()
+        if home.startswith("file:"):
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share: "
+                                 "the default file system is local to each machine")
+            home = "file:" + os.path.abspath(spark.conf.get("spark.local.dir", "/tmp"))
+        d = f"{home}/tessera-scratch-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # connect sessions have no SparkContext
-        pass
+        _delete_at_exit(spark, d)
+    spark.sparkContext.setCheckpointDir(d)
     return d
 
 
@@ -91,12 +106,14 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     A written table survives executor loss (unlike cached blocks) and turns a
-    long lineage into a plain scan with its own statistics.
+    long lineage into a plain scan with its own statistics.  It is deleted
+    when the application ends.
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name or 'table'}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _delete_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 ** 2,
