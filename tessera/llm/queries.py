@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact
+from tessera.llm import exact, parity
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, by progressive refinement."""
     g = exact.exact_groups(read_table(spark, sf_dir, "documents"), digest_of_all=True)
     return g.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard
+    similarity of 0.9 or more, by the parity-sketch join."""
+    return parity.similar_groups(read_table(spark, sf_dir, "documents"), words=3, num=9, den=10)
