@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact, parity
+from tessera.llm import exact, langid, parity
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a Jaccard
     similarity of 0.9 or more, by the parity-sketch join."""
     return parity.similar_groups(read_table(spark, sf_dir, "documents"), words=3, num=9, den=10)
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by models of the rows not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = F.coalesce(langid.held_out("doc_id"), F.lit(False))
+    model = langid.fit(docs.filter(~out))
+    found = langid.identify(docs.select("doc_id", out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
