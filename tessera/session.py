@@ -69,7 +69,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _delete_at_exit(spark: SparkSession, path: str) -> None:
+def delete_at_exit(spark: SparkSession, path: str) -> None:
     """Have the driver's file system client delete ``path`` when the
     application ends (a normal end; a killed driver leaves it behind)."""
     jvm = spark.sparkContext._jvm
@@ -97,7 +97,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             home = "file:" + os.path.abspath(spark.conf.get("spark.local.dir", "/tmp"))
         d = f"{home}/tessera-scratch-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", d)
-        _delete_at_exit(spark, d)
+        delete_at_exit(spark, d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
@@ -112,7 +112,7 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name or 'table'}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    _delete_at_exit(spark, path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
