@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact, langid, parity
+from tessera.llm import exact, langid, parity, shards, tokens, urls
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,26 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(~out))
     found = langid.identify(docs.select("doc_id", out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query("op3_token_ids")
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to files and read back."""
+    import public_tokenizers
+
+    path = tokens.scratch_path(spark, "tokens")
+    tokens.write_tokens(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 0)
+    return tokens.digest(spark, path)
+
+
+@query("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url by the rules, else by the classifier."""
+    weights = urls.fit(urls.default_labels(spark))
+    return urls.judge(read_table(spark, sf_dir, "pages"), weights)
+
+
+@query("op8_sharding")
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of eight, of near equal bytes."""
+    return shards.assign(read_table(spark, sf_dir, "documents"), tokens.scratch_path(spark, "slot-map"), 8)
