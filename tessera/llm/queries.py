@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact, langid, parity, shards, tokens, urls
+from tessera.llm import exact, langid, parity, shards, tokens, toxicity, urls
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of eight, of near equal bytes."""
     return shards.assign(read_table(spark, sf_dir, "documents"), tokens.scratch_path(spark, "slot-map"), 8)
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, by a model of the rows not held out."""
+    out = F.coalesce(langid.held_out("doc_id", 3, 1), F.lit(False))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", out.alias("held_out"), "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~out)
+    model = toxicity.fit(docs.filter("not held_out"), labels)
+    return toxicity.score(docs, model, keep=["doc_id", "held_out"])
