@@ -16,15 +16,18 @@ below.  A block without elements says nothing; each scheme has a few blocks
 more than the pigeonhole needs, and only a set with more empty blocks than
 that writes keys for empty ones.
 
-A second sketch, one parity bit per slot of 1024, bounds the symmetric
+A second sketch, one parity bit per slot of 512, bounds the symmetric
 difference of a candidate pair from below by its Hamming distance before the
 sets themselves are compared.
 
 What is wanted is the connected components of the links.  Sets that are
 equal are one node from the start.  The rows of a join key are then not
 paired with each other but with the smallest node of the key; pairs already
-known to be connected are never compared; what is left, rows that share a
-key but not a component, is paired in full, so that no link is lost.
+known to be connected are never compared.  What is left are rows that share
+a key but not a component.  Their sketches are compared in tiles of at most
+2 TILE rows, a key of more rows being dealt out over tiles, and only the
+pairs that the sketches allow come out, so that no link is lost and no task
+holds more than a tile.
 """
 
 from __future__ import annotations
@@ -39,7 +42,8 @@ from pyspark.sql import functions as F
 from tessera.llm.base import components, if_small, keep_ids, mix, per_batch, shingle_set, spread_key
 from tessera.session import cut_lineage
 
-BITS = 1024
+BITS = 512
+TILE = 1500
 
 
 @cache
@@ -84,7 +88,7 @@ def block_keys(elements: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def parity_bits(elements: np.ndarray) -> np.ndarray:
-    """1024 parity bits as 16 signed 64-bit integers."""
+    """512 parity bits as 8 signed 64-bit integers."""
     odd = np.bincount((elements >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1
     return np.packbits(odd).view(np.int64)
 
@@ -116,6 +120,67 @@ def _near(a: str, b: str, num: int, den: int):
             & (apart * (den + num) <= (na + nb) * (den - num)))
 
 
+def _tiles(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` of rows ``(k, v, c, n, bits)`` with one key ``k`` and
+    different components ``c`` that sizes and sketches allow.
+
+    The rows of a key with g rows are dealt into m = ceil(g / TILE) parts and
+    each row goes to the m tiles that its part forms with every part."""
+    m = F.ceil(F.count(F.lit(1)) / F.lit(TILE)).cast("int")
+    sizes = cut_lineage(rows.groupBy("k").agg(m.alias("m")), "tile-sizes")
+    large = if_small(sizes.filter("m > 1"))
+    part = F.pmod(F.xxhash64("v", F.lit(5)), F.col("m")).cast("int")
+    many = (rows.join(large, "k").withColumn("p", part)
+            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+            .select("k", F.least("p", "o").alias("p"), F.greatest("p", "o").alias("q"), "p", "v", "c", "n", "bits")
+            .toDF("k", "p", "q", "own", "v", "c", "n", "bits"))
+    few = (rows.join(large, "k", "left_anti")
+           .select("k", *[F.lit(0).alias(x) for x in ("p", "q", "own")], "v", "c", "n", "bits"))
+    dealt = few.union(many).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
+
+    def close(v, c, n, bits, own, p, q):
+        """Allowed pairs of a tile: across its two parts, or within the one."""
+        left = np.flatnonzero(own == p)
+        right = left if p == q else np.flatnonzero(own == q)
+        for i in left:
+            # within one part each pair comes once
+            with_ = right[right > i] if p == q else right
+            with_ = with_[c[with_] != c[i]]
+            both = n[with_] + n[i]
+            with_ = with_[np.minimum(n[with_], n[i]) * den >= np.maximum(n[with_], n[i]) * num]
+            both = n[with_] + n[i]
+            apart = np.bitwise_count(bits[with_] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            for j in with_[apart * (den + num) <= both * (den - num)]:
+                yield (v[i], v[j]) if v[i] < v[j] else (v[j], v[i])
+
+    def run(batches):
+        rest = None
+        for batch in [*_chunks(batches), None]:
+            if batch is not None:
+                rest = batch if rest is None else [np.concatenate([x, y]) for x, y in zip(rest, batch)]
+            if rest is None or not len(rest[0]):
+                continue
+            k, p, q, own, v, c, n, bits = rest
+            at = np.r_[0, 1 + np.flatnonzero((k[1:] != k[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])), len(k)]
+            # the last tile may go on in the next batch
+            stop = len(at) - 1 if batch is None else len(at) - 2
+            pairs = [x for i, j in zip(at[:stop], at[1:]) for x in
+                     close(v[i:j], c[i:j], n[i:j], bits[i:j], own[i:j], p[i], q[i])]
+            rest = [x[at[stop]:] for x in rest]
+            if pairs:
+                ab = np.unique(np.array(pairs, np.int64), axis=0)
+                yield pa.RecordBatch.from_pydict({"a": ab[:, 0], "b": ab[:, 1]})
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _chunks(batches):
+    for b in batches:
+        if b.num_rows:
+            cols = [b.column(i).to_numpy() for i in range(7)]
+            yield [*cols, b.column(7).flatten().to_numpy().reshape(b.num_rows, -1)]
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs whose texts' sets have the similarity, from the whole texts."""
     ids = cut_lineage(pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct(), "ids")
@@ -185,14 +250,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if rest.limit(1).count():
         links = cut_lineage(links.union(_verified(rest, docs, words, num, den)), "links")
         label = components(links)
-    # rows that share a key and are still apart: all pairs across components
+    # rows that share a key and are still apart
     named = members.join(label.toDF("v", "c"), "v", "left").select("k", "v", F.coalesce("c", "v").alias("c"))
     named = cut_lineage(named, "named")
     split = named.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("k")
     apart = cut_lineage(named.join(split.withColumn("s", spread_key("k")), "k", "left_semi"), "apart")
-    pairs = (apart.toDF("k", "v1", "c1").join(apart.toDF("k", "v2", "c2"), "k").filter("c1 < c2")
-             .select(F.least("v1", "v2").alias("a"), F.greatest("v1", "v2").alias("b")).distinct())
-    pairs = cut_lineage(near(pairs).join(stars, ["a", "b"], "left_anti"), "pairs")
+    pairs = _tiles(apart.join(size_bits, "v").select("k", "v", "c", "n", "bits"), num, den)
+    pairs = cut_lineage(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     if pairs.limit(1).count():
         links = cut_lineage(links.union(_verified(pairs, docs, words, num, den)), "links")
         label = components(links)

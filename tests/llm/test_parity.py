@@ -54,7 +54,8 @@ def random_rows(seed, n=260):
 
 
 @pytest.mark.parametrize("seed, words, num, den", [(1, 3, 9, 10), (2, 5, 4, 5), (3, 1, 4, 5), (4, 2, 1, 2)])
-def test_components_match_brute_force(spark, seed, words, num, den):
+def test_components_match_brute_force(spark, monkeypatch, seed, words, num, den):
+    monkeypatch.setattr(parity, "TILE", 3)
     rows = random_rows(seed) + [(9001, None), (9002, ""), (9003, " \n\t"), (9004, "One"), (9005, "one")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", parity.F.lit(1))
     got = sorted(tuple(x) for x in parity.similar_groups(df, words=words, num=num, den=den).collect())
