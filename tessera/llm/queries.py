@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact, langid, parity, shards, tokens, toxicity, urls
+from tessera.llm import decontaminate, exact, langid, packing, parity, shards, tokens, toxicity, urls
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~out)
     model = toxicity.fit(docs.filter("not held_out"), labels)
     return toxicity.score(docs, model, keep=["doc_id", "held_out"])
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the sequences."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents contain a benchmark item."""
+    return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
