@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact, langid, packing, parity, shards, tokens, toxicity, urls
+from tessera.llm import decontaminate, exact, langid, packing, parity, shards, suffix, tokens, toxicity, urls
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents contain a benchmark item."""
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 100 bytes that start
+    earlier, by the sparse suffix array."""
+    return suffix.without_repeats(read_table(spark, sf_dir, "documents"))
