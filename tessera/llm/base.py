@@ -93,13 +93,17 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(windows(w, min(n, len(w)))) if len(w) else w
 
 
+#: Rows that are worked on at a time; bounds the memory of a step over texts.
+SLICE = 256
+
+
 def per_batch(fn):
-    """``mapInArrow`` function from ``fn(dict of column lists) -> dict of
-    column arrays`` applied to each record batch."""
+    """``mapInArrow`` function from ``fn(record batch) -> dict of columns``,
+    applied to slices of the record batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_pydict(fn(b))
+            for i in range(0, b.num_rows, SLICE):
+                yield pa.RecordBatch.from_pydict(fn(b.slice(i, SLICE)))
     return run
 
 

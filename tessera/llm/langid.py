@@ -30,6 +30,7 @@ from tessera.llm.base import mix, per_batch
 
 ORDER = 4
 MAX_CHARS = 1_000_000
+CHUNK = 1 << 18
 UNDECIDED = "und"
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -130,27 +131,32 @@ class Model:
         n = len(texts)
         s, owner = _padded(texts)
         total = np.zeros((n, len(self.langs)))
-        if not len(s):
-            return total, np.zeros(n, np.int64)
+        for start in range(0, len(s), CHUNK):  # bounds the memory
+            before = min(start, ORDER - 1)
+            part, own = s[start - before:start + CHUNK], owner[start:start + CHUNK]
+            score = self._scores(part)[before:]
+            real = own >= 0
+            own = own[real]
+            if len(own):
+                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                total[own[first]] += np.add.reduceat(score[real], first, axis=0, dtype=np.float64)
+        count = np.bincount(owner[owner >= 0], minlength=n)
+        return -total / np.maximum(count, 1)[:, None], count
+
+    def _scores(self, s: np.ndarray) -> np.ndarray:
+        """Log-probability of each symbol after those before it, by language."""
         rows = [self.tables[k].find(_grams(s, k + 1)) for k in range(ORDER)]
-        score = np.empty((len(s), len(self.langs)), np.float32)
+        score = np.zeros((len(s), len(self.langs)), np.float32)
         todo = np.arange(len(s))
-        extra = np.zeros((len(s), len(self.langs)), np.float32)
         for k in range(ORDER - 1, -1, -1):
             row = rows[k][todo]
             hit = row >= 0
-            at = todo[hit]
-            score[at] = self.logp[k][row[hit]] + extra[at]
+            score[todo[hit]] += self.logp[k][row[hit]]
             todo = todo[~hit]
             if k and len(todo):
-                extra[todo] += self.backoff[k - 1][rows[k - 1][todo - 1]]
-        score[todo] = self.floor + extra[todo]
-        real = owner >= 0
-        own = owner[real]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        total[own[first]] = np.add.reduceat(score[real].astype(np.float64), first, axis=0)
-        count = np.bincount(own, minlength=n)
-        return -total / np.maximum(count, 1)[:, None], count
+                score[todo] += self.backoff[k - 1][rows[k - 1][todo - 1]]
+        score[todo] += self.floor
+        return score
 
     def judge(self, texts):
         """Language number (-1: none), score and rejection of each text."""
