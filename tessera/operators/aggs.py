@@ -3,7 +3,7 @@ aggregates (A1–A6, A9, A13, A14, A19, A23, A25–A28).
 
 Every join-back computes the statistics with ``groupBy`` (partial
 aggregation: a hot key costs one buffer per map task) and attaches them
-with a left join that AQE broadcasts or skew-splits at runtime.  pandas
+with ``keys.join_back``, which AQE broadcasts or skew-splits at runtime.  pandas
 ``groupby`` drops null keys, so rows with a null key get null statistics.
 """
 
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import any_null, as_list, global_position, join_back, ordinal_within, tmp_names, with_group_count
+from tessera.operators.keys import any_null, as_list, global_position, join_back, ordinal_within, tmp_names
 
 
 # ---------------------------------------------------------------- registry
@@ -148,7 +148,7 @@ def pair_association(df: DataFrame, key1: Sequence[str], key2: Sequence[str]) ->
     pairs = df.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("key_count"))
     n1 = pairs.groupBy(*key1).agg(F.sum("key_count").alias("key1_count"))
     n2 = pairs.groupBy(*key2).agg(F.sum("key_count").alias("key2_count"))
-    out = pairs.join(n1, on=key1, how="left").join(n2, on=key2, how="left")
+    out = join_back(join_back(pairs, n1, key1), n2, key2)
     return out.withColumn(name, F.col("key_count") / F.col("key2_count") / F.col("key1_count"))
 
 
@@ -254,13 +254,14 @@ def importance_summary(imp: DataFrame, top: int | None = None, by: str = "gain")
 # ---------------------------------------------------------------- exact per-key median
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
     """Exact median of ``value`` per key (mean of the two middle values for
-    an even count).  Values are ranked inside the key (hot keys through the
-    range-sorted global position), so no key's values are ever gathered in
-    one buffer."""
+    an even count).  Equal values are counted first, so that ties collapse
+    before the shuffle, and the distinct values' positions are running counts
+    within the key; no key's values are ever gathered in one buffer."""
     keys = as_list(keys)
     d = df.select(*keys, value).filter(F.col(value).isNotNull() & ~any_null(keys))
-    j = with_group_count(ordinal_within(d, keys, [F.col(value)], "__ord"), keys, "__n")
-    lo = F.floor((F.col("__n") - 1) / 2)
-    hi = F.ceil((F.col("__n") - 1) / 2)
-    mid = j.filter((F.col("__ord") == lo) | (F.col("__ord") == hi))
-    return mid.groupBy(*keys).agg(F.avg(value).alias(name))
+    c = d.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    n = c.groupBy(*keys).agg(F.sum("__c").alias("__n"))
+    j = join_back(ordinal_within(c, keys, [F.col(value)], "__before", weight="__c"), n, keys)
+    lo, hi = F.floor((F.col("__n") - 1) / 2), F.ceil((F.col("__n") - 1) / 2)
+    holds = lambda at: F.min(F.when(F.col("__before") + F.col("__c") > at, F.col(value).cast("double")))
+    return j.groupBy(*keys).agg(((holds(lo) + holds(hi)) / 2).alias(name))

@@ -3,9 +3,9 @@ dummies (A7, A8, A18, A24).
 
 Bin numbers are 1-based and right-closed like ``pd.cut``/``pd.qcut``:
 ``bin = 1 + #(inner edges < x)``; null stays null.  Equal-frequency edges
-are exact linear-interpolated quantiles, computed from a range-sorted
-global position (no single task sees all values) or, opt-in,
-``percentile_approx``.
+are exact linear-interpolated quantiles, from running counts of the distinct
+values (equal values collapse before the shuffle, no single task sees all
+values) or, opt-in, ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import attach_scalar, global_position, tmp_names
+from tessera.operators.keys import attach_scalar, ordinal_within, tmp_names
 
 
 def _bin_of(x: Column, edges: Column, k: int) -> Column:
@@ -55,19 +55,22 @@ def quantile_edges(df: DataFrame, column: str, k: int, exact: bool = True,
     if not exact:
         return df.agg(F.percentile_approx(x, qs, accuracy).alias("edges"))
     vals = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    pos = global_position(vals, [F.col("x")], "pos")
+    c = vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.lit(0).alias("all"))
+    c = ordinal_within(c, ["all"], [F.col("x")], "before", weight="c")
     n = vals.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    targets = n.select(F.inline(F.array(*[
-        F.struct(F.lit(j).alias("j"), ((F.col("n") - 1) * F.lit(q)).alias("h")) for j, q in enumerate(qs)])))
-    targets = targets.withColumn("lo", F.floor("h")).withColumn("frac", F.col("h") - F.col("lo"))
-    lo_v = pos.select(F.col("pos").alias("lo"), F.col("x").alias("x_lo"))
-    hi_v = pos.select((F.col("pos") - 1).alias("lo"), F.col("x").alias("x_hi"))
-    # the targets table has k+1 rows: broadcasting it is bounded by k
-    t = (F.broadcast(targets).join(lo_v, "lo", "left").join(hi_v, "lo", "left"))
-    e = F.when(F.col("frac") == 0, F.col("x_lo")).otherwise(
-        F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac"))
-    per = t.select("j", e.alias("e"))
-    return per.agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "e"))), lambda s: s["e"]).alias("edges"))
+    c = attach_scalar(c, n, "st")
+
+    def order_statistic(at):  # the smallest value with more than `at` values up to it
+        return F.min(F.when(F.col("before") + F.col("c") > at, F.col("x")))
+
+    stats, edges = [], []
+    for j, q in enumerate(qs):
+        h = (F.col("st.n") - 1) * F.lit(q)
+        stats += [order_statistic(F.floor(h)).alias(f"lo{j}"), order_statistic(F.floor(h) + 1).alias(f"hi{j}"),
+                  F.max(h - F.floor(h)).alias(f"f{j}")]
+        lo, hi, frac = F.col(f"lo{j}"), F.col(f"hi{j}"), F.col(f"f{j}")
+        edges.append(F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac))
+    return c.agg(*stats).select(F.array(*edges).alias("edges"))
 
 
 def assign_bins(df: DataFrame, column: str, edges: DataFrame, k: int, name: str) -> DataFrame:

@@ -4,17 +4,17 @@ skew-safe positions.
 Skew rule used throughout: a single key may hold a third of all rows, so no
 operator puts all rows of one key into one task.  Group statistics are
 computed with ``groupBy`` (partial aggregation before the shuffle, so a hot
-key costs one row per map task) and attached back with a join that AQE turns
-into a broadcast when the statistics table is small at runtime or splits the
-hot partition otherwise.  Order-dependent work (ranks, shifts, first/last)
-goes through :func:`ordinal_within`: ordinary keys are ranked by a window,
-hot keys (found by one partial aggregate, a bounded list) through
-:func:`global_position`, a total order computed with a range shuffle that
-spreads one hot key over many partitions.
+key costs one row per map task) and attached back with a join of two shuffled
+sides, which AQE turns into a broadcast when the statistics are small at
+runtime and whose hot partition it splits otherwise (:func:`join_back`).
+Order-dependent work (ranks, shifts, first/last, running totals) goes through
+:func:`ordinal_within`, which cuts the keys with a large share of the rows
+into ordered pieces.  It plans one query and runs no job by itself.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,8 +72,19 @@ def join_back(df: DataFrame, stats: DataFrame, keys: Sequence[str],
 
     ``null_keys_match=False`` follows pandas ``groupby``: rows whose key is
     null get null statistics.
+
+    An aggregate by ``keys`` is already partitioned by them and would be
+    joined as it lies; its side would be no shuffle stage, and AQE splits hot
+    partitions of joins of two shuffle stages only.  A hash of the keys as one
+    more join key makes both sides be shuffled for the join.
     """
-    return join_on(df, stats, keys, "left", null_safe=null_keys_match)
+    keys = as_list(keys)
+    types = dict(df.dtypes)
+    if null_keys_match or any(types[k] != t for k, t in stats.dtypes if k in keys):
+        return join_on(df, stats, keys, "left", null_safe=null_keys_match)
+    (s,) = tmp_names(df, "spread")
+    spread = F.xxhash64(*keys)
+    return df.withColumn(s, spread).join(stats.withColumn(s, spread), on=[*keys, s], how="left").drop(s)
 
 
 def any_null(cols: Sequence[str]) -> Column:
@@ -113,53 +124,70 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
              .drop(pid, loc, off))
 
 
-# A key with more rows than this is "hot": its rows are ranked through the
-# range-sorted global position instead of a window partition.  At most
-# rows / HOT_KEY_ROWS keys can be hot, which bounds the broadcast key list.
-HOT_KEY_ROWS = 2_000_000
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """Key tuples holding more than ``hot_rows`` rows (partial aggregate).
-    The result has at most rows / hot_rows entries, which is the proven
-    bound that lets it be broadcast."""
-    keys = as_list(keys)
-    hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.filter(F.col("__n") > hot_rows).select(*keys)
+#: A key with more than one in HOT_SHARE of all rows is cut into about PIECES
+#: pieces.  At most HOT_SHARE keys can be, so tables about them are bounded
+#: (HOT_SHARE x PIECES rows) and broadcast.
+HOT_SHARE = 1024
+PIECES = 64
+
+_SORT = re.compile(r"Column<'(.*?)(?: (ASC|DESC) NULLS (FIRST|LAST))?'>", re.S)
+_NEGATABLE = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "boolean")
+
+
+def _sort_value(df: DataFrame, order: Sequence[Column]) -> Column:
+    """A struct that is ascending in ``order``, of its leading columns whose
+    direction a struct can express (descending text ends it)."""
+    types, parts = dict(df.dtypes), [F.lit(0)]
+    for o in order:
+        m = _SORT.fullmatch(str(o))
+        name = m[1].strip("`") if m else None
+        if name not in types or types[name].startswith(("map", "array", "struct")):
+            break
+        down, nulls_first = m[2] == "DESC", m[3] != "LAST"
+        v = F.col(name)
+        if down:
+            t = types[name]
+            if t not in _NEGATABLE and not t.startswith("decimal"):
+                break
+            v = F.unix_date(v) if t == "date" else F.unix_micros(v) if t == "timestamp" else v.cast("int") if t == "boolean" else v
+            v = -(v.cast("decimal(38,0)") if t in ("bigint", "timestamp") else v)
+        parts += [(F.col(name).isNotNull() if nulls_first else F.col(name).isNull()).cast("int"), v]
+    return F.struct(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
 
 
 def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                   name: str = "ordinal", hot_rows: int | None = None,
-                   hot: DataFrame | None = None) -> DataFrame:
-    """0-based row number within each key in ``order`` (``order`` should end
-    in a unique column).
-
-    Ordinary keys use ``row_number()`` over a window partitioned by the key
-    (one shuffle, per-key sort).  Hot keys (more than ``hot_rows`` rows) are
-    split off with a broadcast semi/anti join on the hot-key table and ranked
-    through :func:`global_position`: a range-partitioned sort spreads each hot
-    key over many tasks, and the rank is the position minus the key's first
-    position.  ``hot`` may pass a hot-key table already computed for the
-    same rows and keys.
+                   name: str = "ordinal", weight: str | None = None) -> DataFrame:
+    """0-based row number within each key in ``order`` (columns, possibly with
+    a direction, that should end in a unique one); with ``weight``, the sum of
+    that column over the earlier rows of the key instead.
+
+    A key with a large share of the rows (see HOT_SHARE) is cut into pieces
+    at sampled values of its order; every row of a piece precedes every row of
+    the next.  Rows are numbered by a window over (key, piece), and the sizes
+    of the earlier pieces of the key are added.  Other keys are one piece.
+    Null keys form a group.
     """
     keys = as_list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-    # bounded table (at most rows / HOT_KEY_ROWS keys): cached so the
-    # emptiness check and the split joins do not recount the keys
-    hot = (hot_keys(df, keys, hot_rows) if hot is None else hot).cache()
-    if not hot.take(1):
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-    hot = F.broadcast(hot)
-    normal = join_on(df, hot, keys, "left_anti").withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-    pos, first = tmp_names(df, "gpos", "first")
-    ordered = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    p = global_position(join_on(df, hot, keys, "left_semi"), ordered, pos)
-    firsts = p.groupBy(*keys).agg(F.min(pos).alias(first))
-    hot_part = (join_on(p, firsts, keys, "left", null_safe=True)
-                .withColumn(name, F.col(pos) - F.col(first)).drop(pos, first))
-    return normal.unionByName(hot_part)
+    v, n, total, cuts, piece, size, off = tmp_names(df, "v", "n", "total", "cuts", "piece", "size", "off")
+    d = df.withColumn(v, _sort_value(df, order))
+    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    hot = (counts.withColumn(total, counts.agg(F.sum(n).alias(total)).scalar())
+           .filter(F.col(n) * HOT_SHARE > F.col(total)).drop(total))
+    sampled = (join_on(d.select(*keys, v), F.broadcast(hot), keys, "inner")
+               .filter(F.pmod(F.xxhash64(v), F.floor(F.col(n) / PIECES) + 1) == 0))
+    cut_at = sampled.groupBy(*keys).agg(F.sort_array(F.collect_set(v)).alias(cuts))
+    p = join_on(d, F.broadcast(cut_at), keys, "left")
+    p = p.withColumn(piece, F.coalesce(F.size(F.filter(F.col(cuts), lambda c: c < F.col(v))), F.lit(0)))
+    each = F.lit(1) if weight is None else F.col(weight)
+    sizes = p.filter(F.col(cuts).isNotNull()).groupBy(*keys, piece).agg(F.sum(each).alias(size))
+    earlier = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, piece, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(off))
+    p = join_on(p.drop(v, cuts), F.broadcast(offsets), [*keys, piece], "left")
+    w = Window.partitionBy(*keys, piece).orderBy(*order)
+    inner = (F.row_number().over(w) - 1 if weight is None else
+             F.coalesce(F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return p.withColumn(name, (inner + F.coalesce(off, F.lit(0))).cast("bigint")).drop(piece, off)
 
 
 def with_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -177,31 +205,3 @@ def attach_scalar(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
     no join is planned; ``stats`` must be a global aggregate (one row).
     """
     return df.withColumn(name, stats.select(F.struct(*[F.col(c) for c in stats.columns])).scalar())
-
-
-def running_sums(df: DataFrame, order: Sequence[Column | str], cols: Sequence[str],
-                 names: Sequence[str], inclusive: bool = False) -> DataFrame:
-    """Cumulative sums of ``cols`` in the total order ``order`` (exclusive by
-    default: the sum over all earlier rows).
-
-    Distributed prefix sum: range-sort, per-partition running sums (a window
-    over one Spark partition's rows, ordered by their position), plus the
-    totals of all earlier partitions from a table with one row per partition
-    (broadcast).  The sorted, tagged rows are written once so both branches
-    read them without re-sorting.
-    """
-    pid, mid = tmp_names(df, "pid", "mid")
-    s = (df.orderBy(*order)
-         .withColumn(pid, F.spark_partition_id())
-         .withColumn(mid, F.monotonically_increasing_id()))
-    s = cut_lineage(s, "sorted-sums")
-    part = s.groupBy(pid).agg(*[F.sum(c).alias(f"{n}__p") for c, n in zip(cols, names)])
-    w_before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part.select(pid, *[F.coalesce(F.sum(f"{n}__p").over(w_before), F.lit(0)).alias(f"{n}__o")
-                                 for n in names])
-    frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
-    w_local = Window.partitionBy(pid).orderBy(mid).rowsBetween(*frame)
-    local = s.withColumns({f"{n}__l": F.coalesce(F.sum(c).over(w_local), F.lit(0)) for c, n in zip(cols, names)})
-    out = local.join(F.broadcast(offsets), pid)
-    return out.withColumns({n: F.col(f"{n}__l") + F.col(f"{n}__o") for n in names}) \
-              .drop(pid, mid, *[f"{n}__l" for n in names], *[f"{n}__o" for n in names])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rows import argmax
-from tessera.operators.keys import attach_scalar, running_sums, tmp_names
+from tessera.operators.keys import attach_scalar, tmp_names
 
 
 def smape(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -57,17 +57,20 @@ def f1_threshold(df: DataFrame, p: str, name: str = "pred") -> DataFrame:
     descending order accumulating ``sum(p) / (count + sum of all p)`` and
     stop at the first decrease; predict 1 where p exceeds the stopping value.
 
-    Works on the table of distinct probabilities (ties cannot stop the walk
-    mid-way), with a distributed prefix sum for the walk.
+    The walk rises while p is at least the ratio so far, so it stops at the
+    largest p below the ratio's maximum.  The maximum is the fixed point of
+    ``r = sum(p >= r) / (count(p >= r) + sum of all p)``, which is reached
+    from below in a few rounds: a one-row aggregate each, no sort.
     """
-    n_all = df.agg(F.sum(p).alias("n"))
-    g = df.filter(F.col(p).isNotNull()).groupBy(F.col(p).alias("v")).agg(
-        F.count(F.lit(1)).cast("double").alias("c"), F.sum(p).alias("s"))
-    r = running_sums(g, [F.col("v").desc()], ["c", "s"], ["m_before", "e_before"])
-    (st,) = tmp_names(r, "n")
-    r = attach_scalar(r, n_all, st)
-    f1_before = F.col("e_before") / (F.col("m_before") + F.col(f"{st}.n"))
-    th = r.agg(F.coalesce(F.max(F.when(F.col("v") < f1_before, F.col("v"))), F.min("v")).alias("threshold"))
+    v = F.col(p).cast("double")
+    total = df.agg(F.sum(v)).first()[0] or 0.0
+    r, n = 0.0, None
+    while True:
+        st = df.agg(F.sum(F.when(v >= r, v)).alias("s"), F.count(F.when(v >= r, 1)).alias("n")).first()
+        if not st["n"] or st["n"] == n or st["n"] + total == 0:
+            break
+        n, r = st["n"], st["s"] / (st["n"] + total)
+    th = df.agg(F.coalesce(F.max(F.when(v < r, F.col(p))), F.min(p)).alias("threshold"))
     (t,) = tmp_names(df, "t")
     out = attach_scalar(df, th, t)
     return out.withColumn(name, F.coalesce(F.col(p) > F.col(f"{t}.threshold"), F.lit(False)).cast("int")).drop(t)

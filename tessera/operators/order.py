@@ -7,16 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import global_position
 
-
-def sorted_output(df: DataFrame, order: Sequence[Column | str], rank: str | None = "rank") -> DataFrame:
-    """Rows in ``order`` (one range-partitioned sort).  With ``rank`` the
-    0-based position is added as a column, which survives order-insensitive
-    consumers; that costs a second sort, on the single position column."""
-    if rank is None:
-        return df.orderBy(*order)
-    return global_position(df, list(order), rank).orderBy(rank)
+def sorted_output(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Rows in ``order`` (one range-partitioned sort)."""
+    return df.orderBy(*order)
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:

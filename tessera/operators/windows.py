@@ -2,9 +2,8 @@
 
 Whole-group statistics are partial aggregates joined back; order-dependent
 results (ranks, lag/lead, n-th from first/last) come from the in-key ordinal
-of ``keys.ordinal_within`` (a window for ordinary keys, a range-sorted global
-position for hot keys), so a hot key is spread over many tasks instead of one
-window partition.  Rows with a null key get the pandas ``groupby`` result
+of ``keys.ordinal_within``, which spreads a hot key over many tasks instead
+of one window partition.  Rows with a null key get the pandas ``groupby`` result
 for a dropped group (0 / ``start`` for the scalers, null otherwise).
 """
 
@@ -15,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import any_null, as_list, hot_keys, join_back, ordinal_within, tmp_names, with_group_count
+from tessera.operators.keys import any_null, as_list, join_back, ordinal_within, tmp_names, with_group_count
 
 
 def grp_standard(df: DataFrame, key: str | Sequence[str], names: Sequence[str], drop: bool = False) -> DataFrame:
@@ -58,13 +57,10 @@ def grp_rank(df: DataFrame, key: str | Sequence[str], names: Sequence[str], tieb
     null for a null key."""
     keys = as_list(key)
     out = df
-    # same rows and keys for every ranked column: find the hot keys once
-    # (a table of at most rows / HOT_KEY_ROWS keys, so caching it is cheap)
-    hot = hot_keys(df, keys).cache()
     for n in as_list(names):
         v = F.col(n).asc_nulls_last() if ascending else F.col(n).desc_nulls_last()
         order = [v] + [F.col(t) for t in as_list(tiebreak)]
-        out = ordinal_within(out, keys, order, f"{n}{suffix}", hot=hot)
+        out = ordinal_within(out, keys, order, f"{n}{suffix}")
         out = out.withColumn(f"{n}{suffix}", F.when(~any_null(keys), F.col(f"{n}{suffix}")))
     return out
 

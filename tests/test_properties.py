@@ -39,14 +39,86 @@ def test_ordinal_within_hot_key_matches_row_number(skewed):
     assert a == b
 
 
-def test_running_sums(skewed):
-    r = keys.running_sums(skewed, [F.col("id")], ["v"], ["cum"])
+def test_ordinal_within_weights_and_directions(skewed):
+    r = keys.ordinal_within(skewed.withColumn("all", F.lit(1)), ["all"], [F.col("id")], "cum", weight="v")
     got = {x["id"]: x["cum"] for x in r.collect()}
     vals = {x["id"]: x["v"] for x in skewed.collect()}
     acc = 0
     for i in range(3000):
         assert got[i] == acc
         acc += vals[i]
+    holes = skewed.withColumn("v", F.when(F.col("id") % 7 != 0, F.col("v"))).withColumn("t", F.col("v").cast("string"))
+    for order in ([F.col("v").desc(), F.col("id")], [F.col("v").asc_nulls_last(), F.col("id").desc()],
+                  [F.col("v").desc_nulls_first(), F.col("id")], [F.col("t"), F.col("id")], [F.col("t").desc(), F.col("id")]):
+        want = holes.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)) - 1)
+        a = {r["id"]: r["o"] for r in keys.ordinal_within(holes, ["k"], order, "o").collect()}
+        assert a == {r["id"]: r["rn"] for r in want.collect()}
+
+
+def test_hot_key_is_cut_into_pieces(spark, skewed):
+    p = keys.ordinal_within(skewed, ["k"], [F.col("v"), F.col("id")], "o")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = p.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) >= 6 and max(r["count"] for r in parts) < 500  # 1000 rows, 8 partitions
+
+
+def test_no_job_while_a_plan_is_built(spark):
+    import __spark_entry__ as entry
+    q = entry.queries()
+    sf = "/root/testdata/sf0.001"
+    seen = lambda: set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    for t in ("events", "orders", "lineitem", "customer"):
+        spark.read.parquet(f"{sf}/{t}.parquet")
+    for name in ("diff_prev", "grp_rank", "nth_from_last", "nth_from_first", "trend_per_key", "stratified_folds",
+                 "ratio_features", "mine_pair_lookup", "groupby_join", "qcut_bins", "rate_equal_freq", "sorted_output"):
+        before = seen()
+        df = q[name](spark, sf)
+        jobs = len(seen() - before)
+        scans = df._jdf.queryExecution().analyzed().toString().count("Relation [")
+        assert jobs <= scans, name  # schema reads only
+
+
+@pytest.mark.parametrize("name", ["group_size", "distinct_pairs", "group_stats", "group_deviation", "groupby_join",
+                                  "rate_by_other_key", "class_rates", "oof_class_rates", "count_encoding",
+                                  "pair_association", "grp_standard", "grp_normalize", "nth_from_last"])
+def test_join_back_splits_a_hot_key(spark, name):
+    from tessera.operators import rates, windows
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    n = 120_000
+    d = spark.range(n).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 5000).cast("long").alias("k"),
+                              (F.col("id") % 97).cast("double").alias("v"), (F.col("id") % 3).cast("int").alias("y"),
+                              (F.col("id") % 5).cast("int").alias("fold"), F.col("id").alias("j"), F.col("id"),
+                              F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 5000).cast("long").alias("k2"))
+    run = {"group_size": lambda: aggs.group_size(d, ["k"]),
+           "distinct_pairs": lambda: aggs.distinct_pairs(d, ["k", "v"], ["k"]),
+           "group_stats": lambda: aggs.group_stats(d, ["k"], "v", ["mean", "max"]),
+           "group_deviation": lambda: aggs.group_deviation(d, "k", ["v"]),
+           "groupby_join": lambda: aggs.groupby_join(d, d, ["k"], "v", "median"),
+           "rate_by_other_key": lambda: aggs.rate_by_other_key(d, "k", "k2", "y"),
+           "class_rates": lambda: rates.class_rates(d, "k", "y", [0, 1, 2]),
+           "oof_class_rates": lambda: rates.oof_class_rates(d.withColumn("fold", F.lit(1)), "k", "y", "fold", [0, 1, 2]),
+           "count_encoding": lambda: aggs.count_encoding(d, "k", "c"),
+           "pair_association": lambda: aggs.pair_association(d, ["k"], ["j"]),
+           "grp_standard": lambda: windows.grp_standard(d, "k", ["v"]),
+           "grp_normalize": lambda: windows.grp_normalize(d, "k", ["v"]),
+           "nth_from_last": lambda: windows.nth_from_last(d, d, ["k"], ["id"], "v", 2)}[name]
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = run()
+        assert len(out.collect()) == n
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        from tessera.session import apply_scale_conf
+        apply_scale_conf(spark)
 
 
 def test_group_median_exact(skewed):
@@ -232,19 +304,7 @@ def test_topic_factors_rows(spark):
     assert all(abs(sum(r[f"lda_f_{i}"] for i in range(3)) - 1) < 1e-6 for r in out)
 
 
-@pytest.fixture()
-def low_hot_threshold(monkeypatch):
-    monkeypatch.setattr(keys, "HOT_KEY_ROWS", 500)   # the 'hot' key (1000 rows) takes the split path
-
-
-def test_hot_key_path_ordinal(skewed, low_hot_threshold):
-    assert [tuple(r) for r in keys.hot_keys(skewed, ["k"]).collect()] == [("hot",)]
-    o = keys.ordinal_within(skewed, ["k"], [F.col("v"), F.col("id")], "o")
-    w = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")) - 1)
-    assert {r["id"]: r["o"] for r in o.collect()} == {r["id"]: r["rn"] for r in w.collect()}
-
-
-def test_hot_key_path_shift_median_nth(skewed, low_hot_threshold):
+def test_hot_key_path_shift_median_nth(skewed):
     from tessera.operators import windows
     d = windows.diff_prev(skewed, ["k"], "v", 3, ["id"], "d")
     lag = skewed.withColumn("d2", F.col("v") - F.lag("v", 3).over(Window.partitionBy("k").orderBy("id")))
@@ -276,21 +336,6 @@ def test_oof_classify_one_vs_rest_boosting(train_frame):
     assert res.importance.count() == 2 * 2
 
 
-def test_running_sums_negative_values_many_batches(spark):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        rnd = random.Random(11)
-        vals = [rnd.uniform(-5, 5) for _ in range(500)]
-        df = spark.createDataFrame(list(enumerate(vals)), "id int, v double")
-        got = {r["id"]: r["cum"] for r in keys.running_sums(df, [F.col("id")], ["v"], ["cum"], inclusive=True).collect()}
-        acc = 0.0
-        for i, v in enumerate(vals):
-            acc += v
-            assert got[i] == pytest.approx(acc, abs=1e-9)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-
-
 def test_aggregate_operators_with_a_hot_key(skewed):
     from tessera.operators import dedup
     pdf = skewed.toPandas()
