@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import numeric as N
 from tessera.functions import rows as RW
 from tessera.operators import aggs
-from tessera.plans.catalog.sqlutil import pmod, r6, rint, spark_r6
+from tessera.plans.catalog.sqlutil import cents_sql, pmod, r6, rint, spark_r6
 from tessera.plans.frames import fees4, line4, users
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query
@@ -119,19 +119,7 @@ def rate_by_other_key(spark, sf_dir):
     return out.select("l_orderkey", _r(F.col("rate")).alias("rate"))
 
 
-def _cents_sql(x):
-    """SQL twin of ``numeric.cents`` on ``coalesce(x, -1)``."""
-    a = f"abs(coalesce({x}, -1.0))"
-    c = f"({a} * 134217729.0)"
-    hi = f"({c} - ({c} - {a}))"
-    err = f"(({hi} * 100.0 - {a} * 100.0) + ({a} - {hi}) * 100.0)"
-    p = f"({a} * 100.0)"
-    fl = f"floor({p})"
-    up = f"(CASE WHEN {err} > 0 THEN 1 WHEN {err} < 0 THEN 0 WHEN {fl} % 2 = 1 THEN 1 ELSE 0 END)"
-    return f"CAST(CASE WHEN {p} - {fl} = 0.5 THEN {fl} + {up} ELSE {rint(p)} END AS BIGINT)"
-
-
-_D0 = f"CAST({pmod(_cents_sql('(f1 / 100.0)'), 10)} AS INTEGER)"
+_D0 = f"CAST({pmod(cents_sql('(f1 / 100.0)'), 10)} AS INTEGER)"
 _T = "CAST(floor(coalesce(f1 / 100.0, -1.0) / 10.0) AS BIGINT)"
 
 

@@ -17,17 +17,24 @@ V = ["v1", "v2", "v3", "v4"]
 _PAIRS_SQL = " UNION ALL ".join(
     f"SELECT {a} AS first, {b} AS second FROM d" for a, b in mine.ordered_pairs(V))
 
-MINE_SQL = with_frames(f"""
-SELECT first, second, pair_count, {r6('rate')} AS rate FROM (
+_D = """d AS (SELECT DISTINCT v1, v2, v3, v4 FROM line4
+  WHERE len(list_distinct([v1, v2, v3, v4])) > 2)"""
+
+
+def _mine_sql(columns: str) -> str:
+    """The mined lookup over the pair table ``p``."""
+    return f"""SELECT {columns} FROM (
   SELECT *, row_number() OVER (PARTITION BY first ORDER BY pair_count DESC, rate DESC, second ASC) AS rn
   FROM (SELECT *, pair_count / sum(pair_count) OVER (PARTITION BY second) AS rate
         FROM (SELECT first, second, count(*) AS pair_count FROM p
               WHERE first IS NOT NULL AND second IS NOT NULL AND second <> 0
               GROUP BY first, second) c) s
   WHERE pair_count > 10) r
-WHERE rn = 1""", "line4", extra=f"""d AS (SELECT DISTINCT v1, v2, v3, v4 FROM line4
-  WHERE len(list_distinct([v1, v2, v3, v4])) > 2),
-p AS ({_PAIRS_SQL})""")
+WHERE rn = 1"""
+
+
+_MINED = _mine_sql(f"first, second, pair_count, {r6('rate')} AS rate")
+MINE_SQL = with_frames(_MINED, "line4", extra=f"{_D},\np AS ({_PAIRS_SQL})")
 
 
 @query("mine_pair_lookup", MINE_SQL)
@@ -47,8 +54,6 @@ def _counts(spark, sf_dir):
                 .groupBy("first", "second").agg(F.count(F.lit(1)).alias("pair_count")))
 
 
-_D = """d AS (SELECT DISTINCT v1, v2, v3, v4 FROM line4
-  WHERE len(list_distinct([v1, v2, v3, v4])) > 2)"""
 _C = """c AS (SELECT first, second, count(*) AS pair_count FROM p
   WHERE first IS NOT NULL AND second IS NOT NULL GROUP BY first, second)"""
 _TAGGED = " UNION ALL ".join(
@@ -107,14 +112,7 @@ _LOOKUP_JOINS = "\n".join(
 _LOOKUP_COLS = ", ".join(f"k{i}.second AS {c}_most" for i, c in enumerate(V))
 
 
-_MINE_BODY = f"""SELECT first, second FROM (
-  SELECT *, row_number() OVER (PARTITION BY first ORDER BY pair_count DESC, rate DESC, second ASC) AS rn
-  FROM (SELECT *, pair_count / sum(pair_count) OVER (PARTITION BY second) AS rate
-        FROM (SELECT first, second, count(*) AS pair_count FROM p
-              WHERE first IS NOT NULL AND second IS NOT NULL AND second <> 0
-              GROUP BY first, second) c) s
-  WHERE pair_count > 10) r
-WHERE rn = 1"""
+_MINE_BODY = _mine_sql("first, second")
 
 
 @query("lookup_most", with_frames(f"""
@@ -144,23 +142,15 @@ _SRC_SQL = """src AS (
   SELECT l.*, CASE o.o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS s
   FROM line4 l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus IN ('F', 'O', 'P')),
 kept AS (SELECT v1, v2, v3, v4 FROM (
-  SELECT *, row_number() OVER (PARTITION BY v1, v2, v3 ORDER BY s, l_orderkey) AS rn FROM src) t WHERE rn = 1),
+  SELECT *, row_number() OVER (PARTITION BY v1, v2, v3 ORDER BY s, l_orderkey, chunk) AS rn FROM src) t WHERE rn = 1),
 d AS (SELECT DISTINCT v1, v2, v3, v4 FROM kept WHERE len(list_distinct([v1, v2, v3, v4])) > 2)"""
 
 
-@query("magic_lookup_with_old", with_frames(f"""
-SELECT first, second, pair_count, {r6('rate')} AS rate FROM (
-  SELECT *, row_number() OVER (PARTITION BY first ORDER BY pair_count DESC, rate DESC, second ASC) AS rn
-  FROM (SELECT *, pair_count / sum(pair_count) OVER (PARTITION BY second) AS rate
-        FROM (SELECT first, second, count(*) AS pair_count FROM p
-              WHERE first IS NOT NULL AND second IS NOT NULL AND second <> 0
-              GROUP BY first, second) c) s
-  WHERE pair_count > 10) r
-WHERE rn = 1""", "line4", extra=f"{_SRC_SQL},\np AS ({_PAIRS_SQL})"))
+@query("magic_lookup_with_old", with_frames(_MINED, "line4", extra=f"{_SRC_SQL},\np AS ({_PAIRS_SQL})"))
 def magic_lookup_with_old(spark, sf_dir):
     """Lookup mined after deduplicating train ∪ to-score on (v1, v2, v3)
     (earlier source first) and adding the extra source the same way."""
     from tessera.plans import chains
     train, test, old = _sources(spark, sf_dir)
-    _, inc = chains.magic_lookups(train, test, old, ["v1", "v2", "v3"], V, ["l_orderkey"], min_count=10)
+    _, inc = chains.magic_lookups(train, test, old, ["v1", "v2", "v3"], V, ["l_orderkey", "chunk"], min_count=10)
     return inc.withColumn("rate", spark_r6("rate"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import numeric as N
-from tessera.plans.catalog.sqlutil import multiple, pmod, r6, rint, spark_r6
+from tessera.plans.catalog.sqlutil import cents_sql, multiple, pmod, r6, rint, spark_r6
 from tessera.plans.frames import fees4
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query
@@ -88,25 +88,13 @@ def int_part(spark, sf_dir):
                     N.rounded_int("m1", 0).alias("m1_rounded"))
 
 
-def _cents_sql(x):
-    """SQL twin of ``numeric.cents`` on ``coalesce(x, -1)``."""
-    a = f"abs(coalesce({x}, -1.0))"
-    c = f"({a} * 134217729.0)"
-    hi = f"({c} - ({c} - {a}))"
-    err = f"(({hi} * 100.0 - {a} * 100.0) + ({a} - {hi}) * 100.0)"
-    p = f"({a} * 100.0)"
-    fl = f"floor({p})"
-    up = f"(CASE WHEN {err} > 0 THEN 1 WHEN {err} < 0 THEN 0 WHEN {fl} % 2 = 1 THEN 1 ELSE 0 END)"
-    return f"CAST(CASE WHEN {p} - {fl} = 0.5 THEN {fl} + {up} ELSE {rint(p)} END AS BIGINT)"
-
-
 @query("money_digits", with_frames(f"""
 SELECT c_custkey,
-  CAST({pmod(_cents_sql(M[1]), 10)} AS INTEGER) AS m1_d0,
-  CAST({pmod(f"CAST(floor({_cents_sql(M[1])} / 10) AS BIGINT)", 10)} AS INTEGER) AS m1_d1,
-  CAST({pmod(f"CAST(floor({_cents_sql(M[1])} / 100) AS BIGINT)", 10)} AS INTEGER) AS m1_d2,
-  CAST({pmod(_cents_sql(M[4]), 10)} AS INTEGER) AS m4_d0,
-  CAST({pmod(f"CAST(floor({_cents_sql(M[4])} / 100) AS BIGINT)", 10)} AS INTEGER) AS m4_d2,
+  CAST({pmod(cents_sql(M[1]), 10)} AS INTEGER) AS m1_d0,
+  CAST({pmod(f"CAST(floor({cents_sql(M[1])} / 10) AS BIGINT)", 10)} AS INTEGER) AS m1_d1,
+  CAST({pmod(f"CAST(floor({cents_sql(M[1])} / 100) AS BIGINT)", 10)} AS INTEGER) AS m1_d2,
+  CAST({pmod(cents_sql(M[4]), 10)} AS INTEGER) AS m4_d0,
+  CAST({pmod(f"CAST(floor({cents_sql(M[4])} / 100) AS BIGINT)", 10)} AS INTEGER) AS m4_d2,
   CAST(floor(coalesce({M[4]}, -1.0) / 10.0) AS BIGINT) AS m4_tens
 FROM fees4""", "fees4"))
 def money_digits(spark, sf_dir):

@@ -224,9 +224,9 @@ def union_fill(spark, sf_dir):
 
 # ------------------------------------------------------------------ order
 @query("sorted_output", """
-SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS rank FROM orders""")
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey""")
 def sorted_output(spark, sf_dir):
-    """Orders by descending price with their position as ``rank``."""
+    """Orders by descending price."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return order.sorted_output(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
 

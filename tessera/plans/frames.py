@@ -16,33 +16,37 @@ from tessera.operators.keys import ordinal_within
 from tessera.session import read_table
 
 
-def _first_n_wide(df: DataFrame, key: str, order, value, n: int, prefix: str) -> DataFrame:
-    """Per key, the first ``n`` values in ``order`` as columns prefix1..prefixn."""
-    o = ordinal_within(df.select(key, *[c for c in df.columns if c != key]), [key], order, "_ord")
-    o = o.filter(F.col("_ord") < n)
-    return o.groupBy(key).agg(*[
-        F.max(F.when(F.col("_ord") == i, value)).alias(f"{prefix}{i + 1}") for i in range(n)
+def _wide(df: DataFrame, key: str, order, value, n: int, prefix: str) -> DataFrame:
+    """Per key and ``chunk`` of ``n`` rows in ``order``: their values as
+    columns prefix1..prefixn (null-padded), so that every row has a place."""
+    o = ordinal_within(df, [key], order, "_ord")
+    o = o.withColumn("chunk", F.floor(F.col("_ord") / n).cast("bigint"))
+    return o.groupBy(key, "chunk").agg(*[
+        F.max(F.when(F.pmod("_ord", F.lit(n)) == i, value)).alias(f"{prefix}{i + 1}") for i in range(n)
     ])
 
 
 def line4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: discount cents of its first four lines (v1..v4, null-padded)."""
+    """Per order and chunk of four lines: their discount cents (v1..v4)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount")
     order = [F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
     cents = F.rint(F.col("l_discount") * 100.0).cast("bigint")
-    return _first_n_wide(li, "l_orderkey", order, cents, 4, "v")
+    return _wide(li, "l_orderkey", order, cents, 4, "v")
 
 
 def fees4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per customer: cents of the four latest order totals (f1 = latest)
-    plus customer attributes."""
+    """Per customer and chunk of four orders, latest first: the cents of their
+    totals (f1..f4), with customer attributes and a number of the row.
+    Customers without orders have one row of nulls."""
     o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     order = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
     cents = F.rint(F.col("o_totalprice") * 100.0).cast("bigint")
-    wide = _first_n_wide(o, "o_custkey", order, cents, 4, "f")
+    wide = _wide(o, "o_custkey", order, cents, 4, "f")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    return wide.join(cust, wide.o_custkey == cust.c_custkey, "inner").drop("o_custkey")
+    j = cust.join(wide, wide.o_custkey == cust.c_custkey, "left").drop("o_custkey")
+    j = j.withColumn("chunk", F.coalesce("chunk", F.lit(0).cast("bigint")))
+    return j.withColumn("row_id", F.col("c_custkey") * 1048576 + F.col("chunk"))
 
 
 def rawtext(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 LINE4 = """line4 AS (
-  SELECT l_orderkey,
-         max(CASE WHEN rn = 1 THEN c END) AS v1, max(CASE WHEN rn = 2 THEN c END) AS v2,
-         max(CASE WHEN rn = 3 THEN c END) AS v3, max(CASE WHEN rn = 4 THEN c END) AS v4
-  FROM (SELECT l_orderkey, CAST(round_even(l_discount * 100, 0) AS BIGINT) AS c,
-               row_number() OVER (PARTITION BY l_orderkey
-                                  ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rn
-        FROM lineitem) t
-  WHERE rn <= 4 GROUP BY l_orderkey)"""
+  SELECT l_orderkey, chunk,
+         max(CASE WHEN i = 0 THEN c END) AS v1, max(CASE WHEN i = 1 THEN c END) AS v2,
+         max(CASE WHEN i = 2 THEN c END) AS v3, max(CASE WHEN i = 3 THEN c END) AS v4
+  FROM (SELECT l_orderkey, c, (rn - 1) // 4 AS chunk, (rn - 1) % 4 AS i
+        FROM (SELECT l_orderkey, CAST(round_even(l_discount * 100, 0) AS BIGINT) AS c,
+                     row_number() OVER (PARTITION BY l_orderkey
+                                        ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rn
+              FROM lineitem) t) t
+  GROUP BY l_orderkey, chunk)"""
 
 FEES4 = """fees4 AS (
-  SELECT w.f1, w.f2, w.f3, w.f4, c.c_custkey, c.c_nationkey, c.c_mktsegment, c.c_acctbal
-  FROM (SELECT o_custkey,
-               max(CASE WHEN rn = 1 THEN c END) AS f1, max(CASE WHEN rn = 2 THEN c END) AS f2,
-               max(CASE WHEN rn = 3 THEN c END) AS f3, max(CASE WHEN rn = 4 THEN c END) AS f4
-        FROM (SELECT o_custkey, CAST(round_even(o_totalprice * 100, 0) AS BIGINT) AS c,
-                     row_number() OVER (PARTITION BY o_custkey
-                                        ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-              FROM orders) t
-        WHERE rn <= 4 GROUP BY o_custkey) w
-  JOIN customer c ON w.o_custkey = c.c_custkey)"""
+  SELECT w.f1, w.f2, w.f3, w.f4, c.c_custkey, c.c_nationkey, c.c_mktsegment, c.c_acctbal,
+         coalesce(w.chunk, 0) AS chunk, c.c_custkey * 1048576 + coalesce(w.chunk, 0) AS row_id
+  FROM customer c LEFT JOIN (SELECT o_custkey, chunk,
+               max(CASE WHEN i = 0 THEN c END) AS f1, max(CASE WHEN i = 1 THEN c END) AS f2,
+               max(CASE WHEN i = 2 THEN c END) AS f3, max(CASE WHEN i = 3 THEN c END) AS f4
+        FROM (SELECT o_custkey, c, (rn - 1) // 4 AS chunk, (rn - 1) % 4 AS i
+              FROM (SELECT o_custkey, CAST(round_even(o_totalprice * 100, 0) AS BIGINT) AS c,
+                           row_number() OVER (PARTITION BY o_custkey
+                                              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+                    FROM orders) t) t
+        GROUP BY o_custkey, chunk) w
+  ON w.o_custkey = c.c_custkey)"""
 
 RAWTEXT = """rawtext AS (
   SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus,
