@@ -19,11 +19,10 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.rates import class_list
 from tessera.session import cut_lineage
 
 MISSING = -999.0
@@ -61,11 +60,12 @@ def class_probabilities(pred: DataFrame, out: str = "__p") -> DataFrame:
 
 
 def _split_counts(model, n_features: int) -> list[int]:
-    """Number of split nodes per feature (from the model's tree text)."""
+    """Number of split nodes per feature, from the model's text, in which
+    every split prints one If (and one Else)."""
     counts = [0] * n_features
     for m in re.finditer(r"If \(feature (\d+) ", model.toDebugString):
         counts[int(m.group(1))] += 1
-    return [c // 2 for c in counts]  # every split prints an If and an Else
+    return counts
 
 
 def _tree_models(m) -> list:
@@ -129,12 +129,15 @@ def oof_classify(df: DataFrame, features: Sequence[str], label: str, fold: str,
 
 def oof_regress(df: DataFrame, features: Sequence[str], target: str, fold: str, key: str,
                 to_score: DataFrame | None = None, estimator=None, folds: Sequence[int] | None = None,
-                pred: str = "pred") -> OofResult:
-    """k-fold out-of-fold regression (``fold_mae`` scores it per fold)."""
+                pred: str = "pred", weight: str | None = None) -> OofResult:
+    """k-fold out-of-fold regression (``fold_mae`` scores it per fold);
+    boosted trees unless another estimator is given."""
     spark = df.sparkSession
     folds = list(folds) if folds is not None else list(range(5))
-    est = (estimator or RandomForestRegressor(numTrees=40, maxDepth=8, seed=66))
+    est = estimator or GBTRegressor(maxIter=20, maxDepth=5, seed=66)
     est = est.setLabelCol("__y").setFeaturesCol("__features").setPredictionCol(pred)
+    if weight:
+        est = est.setWeightCol(weight)
     data = cut_lineage(fill_missing(df, features).withColumn("__y", F.col(target).cast("double")), "oof-train")
     score = cut_lineage(fill_missing(to_score, features), "oof-score") if to_score is not None else None
     pipe = Pipeline(stages=[assemble(features, "__features"), est])
@@ -156,14 +159,17 @@ def oof_regress(df: DataFrame, features: Sequence[str], target: str, fold: str,
 def segment_models(df: DataFrame, segment: Column | None, features: Sequence[str], label: str, fold: str,
                    key: str, all_classes: Sequence[int], to_score: DataFrame | None = None,
                    estimator=None, prefix: str = "class_") -> OofResult:
-    """Independent models for ``segment`` and its complement, each with its
-    own label map (the classes present in the segment); outputs unioned on
-    the full class list, absent classes filled with 0."""
+    """Independent models for ``segment`` and its complement (a null segment
+    belongs to the complement), each with its own label map (which of
+    ``all_classes`` the segment has); outputs unioned on the full class list,
+    absent classes filled with 0."""
     from tessera.operators.relate import union_fill
     parts_oof, parts_score, models, imps = [], [], [], []
-    for seg in (segment, ~segment):
+    inside = F.coalesce(segment, F.lit(False))
+    for seg in (inside, ~inside):
         d = df.filter(seg)
-        present = class_list(d, label)  # bounded by the class count (raises beyond)
+        n = d.agg(*[F.count(F.when(F.col(label) == F.lit(c), 1)).alias(f"n{i}") for i, c in enumerate(all_classes)]).first()
+        present = [c for i, c in enumerate(all_classes) if n[f"n{i}"]]
         idx = F.create_map(*[x for i, c in enumerate(present) for x in (F.lit(c), F.lit(i))])
         d = d.withColumn("__seg_label", F.element_at(idx, F.col(label)))
         s = to_score.filter(seg) if to_score is not None else None

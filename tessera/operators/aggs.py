@@ -227,6 +227,7 @@ def narrow_types_report(df: DataFrame) -> DataFrame:
                      F.col(f"{f.name}__min").alias("min"), F.col(f"{f.name}__max").alias("max"))
             for f in numeric]
     rep = stats.select(F.inline(F.array(*rows)))
+    # fixed values: the bounds of the narrow types, and of what is kept as float
     integral = F.col("source_type").isin("bigint", "int", "smallint")
     int_choice = (F.when(integral & (F.col("max") <= 127) & (F.col("min") >= -128), F.lit("tinyint"))
                    .when(integral & (F.col("max") <= 32767) & (F.col("min") >= -32768), F.lit("smallint"))

@@ -1,90 +1,77 @@
 """One-hot encodings.
 
-Dummy columns need their value list on the driver to build the schema.
-That list is a ``groupBy`` result bounded by the column's cardinality (and
-by rows/n for frequency filters); a hard limit raises instead of silently
-truncating.  Beyond it use :func:`one_hot_vector` (sparse vector column).
+The values that get a dummy are found by an aggregate and stay a table: the
+encodings come in long form, one row ``(keys, dummy, value)`` per 1-entry,
+for any number of values.  :func:`one_hot_wide` makes 0/1 columns of the
+values that the caller names, :func:`one_hot_vector` a sparse vector.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import as_list
+from tessera.operators.keys import as_list, join_back, tmp_names
 
-MAX_DUMMIES = 2000
 
+def frequent_values(df: DataFrame, column: str, n: int) -> DataFrame:
+    """Table of the non-null values that occur more than ``n`` times."""
+    return (df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+              .filter(F.col("count") > n).select(column))
 
-def _fmt(v) -> str:
-    return str(v)
 
+def _entry(column: str, value: Column, infix: str) -> Column:
+    return F.concat(F.lit(f"{column}{infix}"), F.coalesce(value.cast("string"), F.lit("nan")))
 
-def _check(n: int, column: str, limit: int):
-    if n > limit:
-        raise ValueError(f"{column}: {n} dummy columns exceed the limit {limit}; use one_hot_vector")
 
+def one_hot_frequent(df: DataFrame, keys: Sequence[str], column: str, n: int = 100) -> DataFrame:
+    """``(keys, dummy, value)`` of the 1-entries of the dummies
+    ``<col>N_<value>`` of values with frequency > n."""
+    (hit,) = tmp_names(df, "hit")
+    f = join_back(df.select(*as_list(keys), column), frequent_values(df, column, n).withColumn(hit, F.lit(1)), [column])
+    return f.filter(F.col(hit).isNotNull()).select(*as_list(keys), _entry(column, F.col(column), "N_").alias("dummy"),
+                                                   F.col(hit).alias("value"))
 
-def frequent_values(df: DataFrame, column: str, n: int, limit: int = MAX_DUMMIES) -> list:
-    """Non-null values occurring more than ``n`` times, sorted (at most
-    ``limit + 1`` are collected; callers raise beyond ``limit``)."""
-    rows = (df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("c"))
-              .filter(F.col("c") > n).select(column).limit(limit + 1).collect())
-    return sorted(r[0] for r in rows)
 
+def dummies_with_null(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``(keys, dummy, value)`` of the 1-entries of the dummies of every value
+    and of ``<col>_nan``: one per row and column."""
+    entries = [F.struct(_entry(c, F.col(c), "_").alias("dummy"), F.lit(1).alias("value")) for c in as_list(columns)]
+    return df.select(*as_list(keys), F.inline(F.array(*entries)))
 
-def one_hot_frequent(df: DataFrame, column: str, n: int = 100, limit: int = MAX_DUMMIES) -> DataFrame:
-    """0/1 column ``<col>N_<value>`` for each value with frequency > n."""
-    vals = frequent_values(df, column, n, limit)
-    _check(len(vals), column, limit)
-    c = F.col(column)
-    return df.withColumns({f"{column}N_{_fmt(v)}": F.coalesce(c == F.lit(v), F.lit(False)).cast("int") for v in vals})
-
-
-def dummies_with_null(df: DataFrame, columns: Sequence[str], limit: int = MAX_DUMMIES) -> DataFrame:
-    """Dummies for every value plus ``<col>_nan``; source columns dropped."""
-    out = df
-    for column in as_list(columns):
-        vals = sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct()
-                      .limit(limit + 1).collect())
-        _check(len(vals), column, limit)
-        c = F.col(column)
-        d = {f"{column}_{_fmt(v)}": F.coalesce(c == F.lit(v), F.lit(False)).cast("int") for v in vals}
-        d[f"{column}_nan"] = c.isNull().cast("int")
-        out = out.withColumns(d).drop(column)
-    return out
-
-
-def one_hot_pruned(df: DataFrame, min_count: int = 100, nan_as_category: bool = True,
-                   columns: Sequence[str] | None = None, limit: int = MAX_DUMMIES) -> tuple[DataFrame, list[str]]:
-    """Dummies for all string columns (null indicator included); dummies with
-    fewer than ``min_count`` ones or zeros are dropped.  One shuffle for all
-    columns: the (column, value) counts come from a single unpivot + groupBy.
-    Returns (frame without the source columns, kept dummy names)."""
+
+def one_hot_pruned(df: DataFrame, keys: Sequence[str], min_count: int = 100, nan_as_category: bool = True,
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """As :func:`dummies_with_null` for all string columns, without dummies
+    of fewer than ``min_count`` ones or zeros.  The (column, value) counts
+    come from one unpivot and one aggregate."""
+    keys = as_list(keys)
     cols = as_list(columns) if columns is not None else [f.name for f in df.schema.fields
-                                                         if f.dataType.typeName() == "string"]
+                                                         if f.dataType.typeName() == "string" and f.name not in keys]
     if not cols:
-        return df, []
-    unp = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
-                                       for c in cols])))
-    total = df.count()
-    counts = unp.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
-    # prune on the cluster: only kept dummies (at most rows / min_count per
-    # column) reach the driver, never the full value list
-    kept_rows = (counts.filter((F.col("n") >= min_count) & (F.lit(total) - F.col("n") >= min_count))
-                       .limit(limit + 1).collect())
+        return df.select(*keys, F.lit("").alias("dummy"), F.lit(1).alias("value")).limit(0)
+    unp = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
+                                              for c in cols])))
     if not nan_as_category:
-        kept_rows = [r for r in kept_rows if r["val"] is not None]
-    keep, exprs = [], {}
-    for r in sorted(kept_rows, key=lambda r: (r["col"], r["val"] is None, r["val"] or "")):
-        name = f"{r['col']}_{'nan' if r['val'] is None else r['val']}"
-        c = F.col(r["col"])
-        exprs[name] = (c.isNull() if r["val"] is None else F.coalesce(c == F.lit(r["val"]), F.lit(False))).cast("int")
-        keep.append(name)
-    _check(len(keep), ",".join(cols), limit)
-    return df.withColumns(exprs).drop(*cols), keep
+        unp = unp.filter(F.col("val").isNotNull())
+    unp = unp.withColumn("dummy", F.concat("col", F.lit("_"), F.coalesce("val", F.lit("nan"))))
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    kept = (unp.groupBy("dummy").agg(F.count(F.lit(1)).alias("n")).withColumn("total", total)
+            .filter((F.col("n") >= min_count) & (F.col("total") - F.col("n") >= min_count))
+            .select("dummy", F.lit(1).alias("value")))
+    return join_back(unp.select(*keys, "dummy"), kept, ["dummy"]).filter(F.col("value").isNotNull()).select(*keys, "dummy", "value")
+
+
+def one_hot_wide(df: DataFrame, column: str, values: Sequence, infix: str = "_", nan: bool = False) -> DataFrame:
+    """0/1 columns ``<col><infix><value>`` of the named values (and
+    ``<col><infix>nan``)."""
+    c = F.col(column)
+    new = {f"{column}{infix}{v}": F.coalesce(c == F.lit(v), F.lit(False)).cast("int") for v in values}
+    if nan:
+        new[f"{column}{infix}nan"] = c.isNull().cast("int")
+    return df.withColumns(new)
 
 
 def one_hot_vector(df: DataFrame, column: str, output: str | None = None) -> DataFrame:

@@ -11,30 +11,27 @@ from pyspark.sql import functions as F
 from tessera.operators.keys import attach_scalar, join_back, tmp_names
 
 
-MAX_CLASSES = 1000
-
-
-def class_list(df: DataFrame, label: str, limit: int = MAX_CLASSES) -> list:
-    """Sorted distinct non-null labels.  Labels are class codes: at most
-    ``limit + 1`` values are collected and more than ``limit`` raise."""
-    rows = df.select(label).filter(F.col(label).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{label}: more than {limit} classes; not a class label")
-    return sorted(r[0] for r in rows)
-
-
 def _rate_name(category: str, c) -> str:
     return f"{category}_{c}_conversion"
 
 
-def class_rates(df: DataFrame, category: str, label: str, classes: Sequence | None = None,
-                min_support: int = 20) -> DataFrame:
-    """P(label = c | category) for each class, as columns
+def class_rate_table(df: DataFrame, category: str, label: str, min_support: int = 20) -> DataFrame:
+    """P(label = c | category) as a table (category, class, rate) of the
+    classes that a category has, for any number of classes; support and
+    denominator as in :func:`class_rates`."""
+    d = df.filter(F.col(category).isNotNull())
+    n = d.groupBy(category).agg(F.count(F.lit(1)).alias("__n"))
+    c = d.filter(F.col(label).isNotNull()).groupBy(category, F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("__c"))
+    return (join_back(c, n, [category]).filter(F.col("__n") >= min_support)
+            .select(category, "class", (F.col("__c") / F.col("__n")).alias("rate")))
+
+
+def class_rates(df: DataFrame, category: str, label: str, classes: Sequence, min_support: int = 20) -> DataFrame:
+    """P(label = c | category) for each of the named classes, as columns
     ``<category>_<c>_conversion``.  Denominator: all rows of the category,
     null labels included; categories with fewer than ``min_support`` rows or
     without any labelled row get nulls (in-sample: the row's own label counts).
     """
-    classes = list(classes) if classes is not None else class_list(df, label)
     lab = F.col(label)
     st = (df.filter(F.col(category).isNotNull()).groupBy(category)
             .agg(F.count(F.lit(1)).alias("__n"), F.count(lab).alias("__m"),
@@ -46,14 +43,13 @@ def class_rates(df: DataFrame, category: str, label: str, classes: Sequence | No
 
 
 def oof_class_rates(df: DataFrame, category: str, label: str, fold: str,
-                    classes: Sequence | None = None) -> DataFrame:
-    """Out-of-fold class rates: for a row in fold f, counts from the other
+                    classes: Sequence) -> DataFrame:
+    """Out-of-fold rates of the named classes: for a row in fold f, counts from the other
     folds only, denominator = labelled rows of the category in those folds.
 
     Totals per (category, fold) and per category are partial aggregates;
     the other-fold count is total minus own fold.  No loop over folds.
     """
-    classes = list(classes) if classes is not None else class_list(df, label)
     lab = F.col(label)
     per = (df.filter(F.col(category).isNotNull()).groupBy(category, fold)
              .agg(F.count(lab).alias("__m"),
@@ -74,6 +70,7 @@ def beta_smoothed_rate(df: DataFrame, success: str, tries: str, name: str = "bay
     r = F.col(success).cast("double") / F.col(tries)
     st = df.agg(F.avg(r).alias("mean"), F.var_samp(r).alias("var"))
     m, v = F.col("mean"), F.col("var")
+    # fixed values of the moment fit: 1e-6 and 1.000001
     common = (m + 1e-6) * (1.000001 - m) / (v + 1e-6) - 1
     ab = st.select(((m + 1e-6) * common).alias("alpha"), ((1.000001 - m) * common).alias("beta"))
     (s,) = tmp_names(df, "ab")

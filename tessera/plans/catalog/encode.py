@@ -182,54 +182,57 @@ def beta_smoothed_rate(spark, sf_dir):
     return out.select("o_custkey", _r(F.col("bayes_rate")).alias("bayes_rate"))
 
 
-# ------------------------------------------------------------------ one-hot (long form: key, dummy, value)
-def _long(df, key, names):
-    arr = F.array(*[F.struct(F.lit(n).alias("dummy"), F.col(n).cast("int").alias("value")) for n in names])
-    if not names:  # no value passed the filter: no dummy rows
-        arr = F.array().cast("array<struct<dummy:string,value:int>>")
-    return df.select(key, F.inline(arr))
-
-
+# ------------------------------------------------------------------ one-hot (long form: key, dummy, 1)
 @query("one_hot_frequent", """
-WITH v AS (SELECT p_type FROM part WHERE p_type IS NOT NULL GROUP BY p_type HAVING count(*) > 300)
-SELECT p.p_partkey, 'p_typeN_' || v.p_type AS dummy, CAST(coalesce(p.p_type = v.p_type, false) AS INTEGER) AS value
-FROM part p, v""")
+SELECT p_partkey, 'p_typeN_' || p_type AS dummy, 1 AS value
+FROM part WHERE p_type IN (SELECT p_type FROM part WHERE p_type IS NOT NULL GROUP BY p_type HAVING count(*) > 300)""")
 def one_hot_frequent(spark, sf_dir):
-    """Dummies for types occurring more than 300 times (long form)."""
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    w = onehot.one_hot_frequent(p, "p_type", 300)
-    return _long(w, "p_partkey", [c for c in w.columns if c.startswith("p_typeN_")])
+    """Dummies for types occurring more than 300 times (1-entries)."""
+    return onehot.one_hot_frequent(read_table(spark, sf_dir, "part"), ["p_partkey"], "p_type", 300)
 
 
 _SEG_NULL = "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END"
 
 
 @query("dummies_with_null", f"""
-WITH t AS (SELECT c_custkey, {_SEG_NULL} AS seg FROM customer),
-v AS (SELECT DISTINCT seg FROM t WHERE seg IS NOT NULL)
-SELECT t.c_custkey, 'seg_' || v.seg AS dummy, CAST(coalesce(t.seg = v.seg, false) AS INTEGER) AS value FROM t, v
-UNION ALL
-SELECT c_custkey, 'seg_nan' AS dummy, CAST(seg IS NULL AS INTEGER) AS value FROM t""")
+SELECT c_custkey, 'seg_' || coalesce({_SEG_NULL}, 'nan') AS dummy, 1 AS value FROM customer""")
 def dummies_with_null(spark, sf_dir):
-    """Dummies of every segment plus a null indicator (long form)."""
+    """Dummies of every segment plus a null indicator (1-entries)."""
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("seg"))
-    w = onehot.dummies_with_null(c, ["seg"])
-    return _long(w, "c_custkey", [x for x in w.columns if x.startswith("seg_")])
+    return onehot.dummies_with_null(c, ["c_custkey"], ["seg"])
+
+
+@query("one_hot_wide", f"""
+SELECT c_custkey, {', '.join(f"CAST(coalesce(seg = '{v}', false) AS INTEGER) AS seg_{v}" for v in ('BUILDING', 'MACHINERY'))},
+       CAST(seg IS NULL AS INTEGER) AS seg_nan
+FROM (SELECT c_custkey, {_SEG_NULL} AS seg FROM customer) t""")
+def one_hot_wide(spark, sf_dir):
+    """0/1 columns of two named segments and of null."""
+    c = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("seg"))
+    return onehot.one_hot_wide(c, "seg", ["BUILDING", "MACHINERY"], nan=True).drop("seg")
 
 
 @query("one_hot_pruned", """
-WITH u AS (SELECT p_partkey, 'p_brand' AS col, p_brand AS val FROM part
-           UNION ALL SELECT p_partkey, 'p_type' AS col, p_type AS val FROM part),
-n AS (SELECT count(*) AS total FROM part),
-k AS (SELECT col, val, count(*) AS c FROM u GROUP BY col, val),
-kept AS (SELECT k.col, k.val FROM k, n WHERE k.c >= 70 AND n.total - k.c >= 70)
-SELECT u.p_partkey, kept.col || '_' || coalesce(kept.val, 'nan') AS dummy,
-       CAST(CASE WHEN kept.val IS NULL THEN u.val IS NULL ELSE coalesce(u.val = kept.val, false) END AS INTEGER) AS value
-FROM u JOIN kept ON u.col = kept.col""")
+WITH u AS (SELECT p_partkey, 'p_brand_' || coalesce(p_brand, 'nan') AS dummy FROM part
+           UNION ALL SELECT p_partkey, 'p_type_' || coalesce(p_type, 'nan') AS dummy FROM part)
+SELECT p_partkey, dummy, 1 AS value FROM u WHERE dummy IN (
+  SELECT dummy FROM u GROUP BY dummy HAVING count(*) >= 70 AND (SELECT count(*) FROM part) - count(*) >= 70)""")
 def one_hot_pruned(spark, sf_dir):
     """Dummies of all string columns, near-constant ones (<70 ones or
-    zeros) dropped (long form)."""
+    zeros) dropped (1-entries)."""
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    w, kept = onehot.one_hot_pruned(p, min_count=70, columns=["p_brand", "p_type"])
-    return _long(w, "p_partkey", kept)
+    return onehot.one_hot_pruned(p, ["p_partkey"], min_count=70)
+
+
+@query("class_rate_table", f"""
+WITH {_RATE_BASE},
+n AS (SELECT c_mktsegment, count(*) AS n FROM base WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment)
+SELECT b.c_mktsegment, b.label AS class, {r6('count(*) / max(n.n)')} AS rate
+FROM base b JOIN n ON b.c_mktsegment = n.c_mktsegment WHERE b.label IS NOT NULL AND n.n >= 20
+GROUP BY b.c_mktsegment, b.label""")
+def class_rate_table(spark, sf_dir):
+    """P(priority class | segment) as a table of classes."""
+    t = rates.class_rate_table(_rate_base(spark, sf_dir), "c_mktsegment", "label")
+    return t.withColumn("rate", _r("rate"))

@@ -13,6 +13,7 @@ import uuid
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -73,8 +74,8 @@ FEATS = ["m1", "m2", "m3", "m4", "c_acctbal", "c_nationkey", "row_mean", "row_st
 
 
 def _features(spark, sf_dir):
-    """fees4 with features, label index of the segment, folds; customers
-    with key % 10 == 0 play the rows to score (label withheld)."""
+    """fees4 with features, label index of the segment, folds by customer;
+    customers with key % 10 == 0 play the rows to score (label withheld)."""
     f = fees4(spark, sf_dir).withColumns({f"m{i}": F.col(f"f{i}") / 100.0 for i in range(1, 5)})
     ms = ["m1", "m2", "m3", "m4"]
     f = f.withColumns({"row_mean": RW.row_mean(ms), "row_std": RW.row_std(ms),
@@ -95,23 +96,50 @@ def _prob_cols(n=5):
     return [f"class_{i}" for i in range(n)]
 
 
+def _both(res):
+    """Out-of-fold rows of the labelled part and mean scores of the rest."""
+    return relate.union_by_name([res.oof.withColumn("part", F.lit("oof")),
+                                 res.scored.withColumn("part", F.lit("score"))])
+
+
 @query("oof_classify")
 def oof_classify(spark, sf_dir):
     """5-fold out-of-fold segment probabilities (random forest) for the
-    labelled customers plus fold-averaged probabilities for the rest."""
+    labelled rows plus fold-averaged probabilities for the rest."""
     train, test = _features(spark, sf_dir)
-    res = models.oof_classify(train, FEATS, "label", "fold", "c_custkey", 5, test, _rf())
-    return relate.union_by_name([res.oof.withColumn("part", F.lit("oof")),
-                                 res.scored.withColumn("part", F.lit("score"))])
+    return _both(models.oof_classify(train, FEATS, "label", "fold", "row_id", 5, test, _rf()))
 
 
 @query("oof_regress")
 def oof_regress(spark, sf_dir):
-    """5-fold out-of-fold prediction of the latest amount from the others."""
+    """5-fold out-of-fold prediction of the latest amount from the others
+    (boosted trees), and the mean of the folds' predictions for the rest."""
     train, test = _features(spark, sf_dir)
     feats = [c for c in FEATS if c not in ("m1", "row_mean", "row_std", "m1_d0", "m1_d1")]
-    res = models.oof_regress(train.filter(F.col("m1").isNotNull()), feats, "m1", "fold", "c_custkey", test)
-    return res.oof
+    return _both(models.oof_regress(train.filter(F.col("m1").isNotNull()), feats, "m1", "fold", "row_id", test))
+
+
+_LINE_FOLD = "CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || ':66'), 1, 8))::UBIGINT % 5 AS INTEGER)"
+_THOUSANDS = "round_even(({}), 0) / 1000.0"
+
+
+@query("oof_regress_line", with_frames(f"""
+SELECT t.row_id, CAST(t.fold AS INTEGER) AS fold, t.m1, {_THOUSANDS.format('l.a + l.b * t.x')} AS pred, 'oof' AS part
+FROM t JOIN l ON t.fold = l.f WHERE t.m1 IS NOT NULL AND t.c_custkey % 10 <> 0
+UNION ALL
+SELECT t.row_id, NULL AS fold, NULL AS m1, {_THOUSANDS.format('avg(l.a + l.b * t.x)')} AS pred, 'score' AS part
+FROM t, l WHERE t.c_custkey % 10 = 0 GROUP BY t.row_id""", "fees4", extra=f"""
+t AS (SELECT row_id, c_custkey, f1 / 100.0 AS m1, coalesce(f2 / 100.0, -999.0) AS x, {_LINE_FOLD} AS fold FROM fees4),
+l AS (SELECT f, regr_intercept(m1, x) AS a, regr_slope(m1, x) AS b
+      FROM t, (SELECT unnest([0, 1, 2, 3, 4]) AS f) k
+      WHERE t.fold <> k.f AND m1 IS NOT NULL AND c_custkey % 10 <> 0 GROUP BY f)"""))
+def oof_regress_line(spark, sf_dir):
+    """The out-of-fold regression with a learner of closed form (a line
+    through one feature), so that SQL can state it; thousands, 3 decimals."""
+    train, test = _features(spark, sf_dir)
+    res = _both(models.oof_regress(train.filter(F.col("m1").isNotNull()), ["m2"], "m1", "fold", "row_id", test,
+                                   LinearRegression(solver="normal", standardization=False)))
+    return res.select("row_id", "fold", "m1", (F.rint("pred") / 1000.0).alias("pred"), "part")
 
 
 @query("segment_models")
@@ -119,33 +147,31 @@ def segment_models(spark, sf_dir):
     """Separate models for nations < 12 and the rest, each with its own
     class map; outputs on the full 5-class layout."""
     train, test = _features(spark, sf_dir)
-    res = models.segment_models(train, F.col("c_nationkey") < 12, FEATS, "label", "fold", "c_custkey",
-                                list(range(5)), test, _rf())
-    return res.oof
+    return _both(models.segment_models(train, F.col("c_nationkey") < 12, FEATS, "label", "fold", "row_id",
+                                       list(range(5)), test, _rf()))
 
 
 @query("stacking")
 def stacking(spark, sf_dir):
     """Second-level model on first-level out-of-fold probabilities."""
     train, test = _features(spark, sf_dir)
-    first = models.oof_classify(train, FEATS, "label", "fold", "c_custkey", 5, test, _rf())
-    res = models.stacking(train, [first.oof], "c_custkey", ["c_acctbal"], "label", "fold", 5,
-                          test, [first.scored], _rf())
-    return res.oof
+    first = models.oof_classify(train, FEATS, "label", "fold", "row_id", 5, test, _rf())
+    return _both(models.stacking(train, [first.oof], "row_id", ["c_acctbal"], "label", "fold", 5,
+                                 test, [first.scored], _rf()))
 
 
 @query("fold_importance")
 def fold_importance(spark, sf_dir):
     """Per-fold split counts and gain (%) of every feature."""
     train, test = _features(spark, sf_dir)
-    return models.oof_classify(train, FEATS, "label", "fold", "c_custkey", 5, None, _rf()).importance
+    return models.oof_classify(train, FEATS, "label", "fold", "row_id", 5, None, _rf()).importance
 
 
 @query("importance_summary")
 def importance_summary(spark, sf_dir):
     """Mean split/gain per feature over folds, top 8 by gain."""
     train, test = _features(spark, sf_dir)
-    imp = models.oof_classify(train, FEATS, "label", "fold", "c_custkey", 5, None, _rf()).importance
+    imp = models.oof_classify(train, FEATS, "label", "fold", "row_id", 5, None, _rf()).importance
     return aggs.importance_summary(imp, top=8)
 
 
@@ -162,9 +188,9 @@ def save_models_q(spark, sf_dir):
               for i in range(5)]
     loaded = load_models(RandomForestClassificationModel, save_models(fitted, spark=spark))
     te = asm.transform(models.fill_missing(test, feats))
-    parts = [m.transform(te).select("c_custkey", vector_to_array("probability").alias("p")) for m in loaded]
+    parts = [m.transform(te).select("row_id", vector_to_array("probability").alias("p")) for m in loaded]
     u = relate.union_by_name(parts)
-    return u.groupBy("c_custkey").agg(*[F.avg(F.col("p")[i]).alias(f"class_{i}") for i in range(5)])
+    return u.groupBy("row_id").agg(*[F.avg(F.col("p")[i]).alias(f"class_{i}") for i in range(5)])
 
 
 # ------------------------------------------------------------------ topic factors: supplier → brand terms
@@ -208,20 +234,20 @@ def stacked_prediction(spark, sf_dir):
     train, test = f.filter(~is_test), f.filter(is_test).drop("c_mktsegment")
     fee = ["m1", "m2", "m3", "m4"]
     lookup, _ = chains.magic_lookups(train, test, None, ["c_nationkey", "f1", "f2", "f3", "f4"],
-                                     ["f1", "f2", "f3", "f4"], ["c_custkey"], min_count=1)
+                                     ["f1", "f2", "f3", "f4"], ["row_id"], min_count=1)
     # keys stay integer cents; the looked-up value is an amount
     lookup = lookup.select("first", (F.col("second") / 100.0).alias("second"))
     feats_all = chains.build_features(f, fee, lookup, size_cols=["c_nationkey"], group_key="c_nationkey",
                                       group_values=["m1"])
     feats_all = materialize(feats_all, "stack-features")
     predictors = [c for c, t in feats_all.dtypes
-                  if c not in ("c_custkey", "c_mktsegment", "fold", "f1", "f2", "f3", "f4")
+                  if c not in ("c_custkey", "row_id", "chunk", "c_mktsegment", "fold", "f1", "f2", "f3", "f4")
                   and t in ("double", "int", "bigint", "float")]
     tr = feats_all.filter(~is_test)
     te = feats_all.filter(is_test).drop("c_mktsegment")
     classes = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    white = chains.white_list(tr, te, ["c_nationkey", "f4"], "c_custkey", "c_mktsegment", ["c_custkey"])
-    return chains.stacked_prediction(tr, te, predictors, "c_mktsegment", "c_custkey", classes, white, _rf())
+    white = chains.white_list(tr, te, ["c_nationkey", "f4"], "row_id", "c_mktsegment", ["row_id"])
+    return chains.stacked_prediction(tr, te, predictors, "c_mktsegment", "row_id", classes, white, _rf())
 
 
 _STAGE_SCHEMA = StructType([StructField("c_custkey", LongType()), StructField("n", LongType()),
