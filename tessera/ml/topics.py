@@ -1,25 +1,31 @@
 """Topic factors of per-key "documents" (M10).
 
 The reference concatenates every value of a feature per id into one text.
-Here a document is never materialised as a list: term counts per (id,
-term) are a partial aggregate, the vocabulary is the terms present in at
-least ``min_df`` documents of the fitting table, and each document becomes
-a vector of at most vocabulary-size entries.  Factors: LDA (online) and PCA
-(the truncated SVD) fitted on ``stat`` and applied to ``data``;
-non-negative ALS as the NMF, fitted on ``data``'s (key, term, count)
-triples because ALS has no fold-in for unseen keys.
+Here term counts per (id, term) are a partial aggregate and the vocabulary
+is the terms present in at least ``min_df`` documents of the fitting table;
+a document is a sparse vector with one entry per vocabulary term it has,
+built by Spark ML's ``CountVectorizerModel``.  Factors, fitted on ``stat``
+and applied to ``data``: LDA (online), and a truncated SVD (not centred;
+``RowMatrix.computeSVD``, whose right vectors are a vocabulary x k table
+that is joined to the counts); non-negative ALS as the NMF, fitted on
+``data``'s (key, term, count) triples because ALS has no fold-in for unseen
+keys.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
+from pyspark.mllib.linalg import Vectors
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.aggs import dense_codes
+from tessera.session import cut_lineage
 
 TOKEN_SPLIT = r"(?U)\W+"
 
@@ -36,53 +42,46 @@ def vocabulary(counts: DataFrame, key: str, min_df: int = 2) -> DataFrame:
     return dense_codes(df_, ["term"], "idx")
 
 
-DENSE_MAX = 4096  # above this vocabulary size documents are sparse vectors
+def doc_vectors(counts: DataFrame, terms: list[str], key: str, out: str = "tf") -> DataFrame:
+    """One sparse count vector per key over ``terms``."""
+    tokens = F.flatten(F.collect_list(F.array_repeat("term", F.col("n").cast("int"))))
+    per = counts.groupBy(key).agg(tokens.alias("__tokens"))
+    return CountVectorizerModel.from_vocabulary(terms, "__tokens", out).transform(per).drop("__tokens")
 
 
-def _sparse(size: int):
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    def build(entries):
-        pairs = sorted((e["idx"], e["n"]) for e in entries)
-        return SparseVector(size, [i for i, _ in pairs], [v for _, v in pairs])
-    return F.udf(build, VectorUDT())
-
-
-def doc_vectors(counts: DataFrame, vocab: DataFrame, key: str, size: int, out: str = "tf",
-                dense_max: int = DENSE_MAX) -> DataFrame:
-    """One count vector per key.  A document holds at most one entry per
-    vocabulary term (never one per row).  Small vocabularies give dense
-    vectors built JVM-side; larger ones sparse vectors (a per-document
-    constructor: Spark SQL has no sparse-vector expression)."""
-    j = counts.join(vocab, "term")
-    entries = F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("n").cast("double").alias("n")))
-    per = j.groupBy(key).agg(entries.alias("__e"))
-    if size > dense_max:
-        return per.select(key, _sparse(size)(F.col("__e")).alias(out))
-    m = F.map_from_entries(F.col("__e"))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.element_at(m, i), F.lit(0.0)))
-    return per.select(key, array_to_vector(arr).alias(out))
+def truncated_svd(vectors: DataFrame, column: str, k: int) -> tuple[list[float], list[list[float]]]:
+    """The k largest singular values of the document-term matrix and the
+    right singular vectors (one list of k per term), the largest entry of
+    each vector positive."""
+    rows = vectors.select(column).rdd.map(lambda r: Vectors.fromML(r[0]))
+    svd = RowMatrix(rows).computeSVD(k)
+    v = svd.V.toArray()
+    v = v * np.sign(v[np.abs(v).argmax(axis=0), range(v.shape[1])])
+    return [float(x) for x in svd.s.toArray()], v.tolist()
 
 
 def topic_factors(stat: DataFrame, data: DataFrame, key: str, feature: str, k: int = 5, min_df: int = 2,
                   seed: int = 520, max_iter: int = 20) -> DataFrame:
     """Per key of ``data``: k LDA topic weights, k SVD components and k NMF
     factors, all fitted on ``stat``'s documents with ``stat``'s vocabulary."""
-    sc = term_counts(stat, key, feature)
-    vocab = vocabulary(sc, key, min_df).cache()
-    size = vocab.count()  # one number: the vocabulary size
-    if size == 0:
+    # read by every fit below: written once
+    sc = cut_lineage(term_counts(stat, key, feature), "terms")
+    vocab = cut_lineage(vocabulary(sc, key, min_df), "vocabulary")
+    terms = [r["term"] for r in vocab.orderBy("idx").collect()]  # as large as the models themselves
+    if not terms:
         raise ValueError("empty vocabulary")
-    dc = term_counts(data, key, feature)
-    train = doc_vectors(sc, vocab, key, size)
-    docs = doc_vectors(dc, vocab, key, size)
+    dc = sc if data is stat else cut_lineage(term_counts(data, key, feature), "terms")
+    train = cut_lineage(doc_vectors(sc, terms, key), "vectors")
+    docs = train if data is stat else doc_vectors(dc, terms, key)
     lda = LDA(k=k, optimizer="online", seed=seed, maxIter=max_iter, featuresCol="tf").fit(train)
     t = lda.transform(docs).withColumn("__t", vector_to_array("topicDistribution"))
-    kk = min(k, size)
-    pca = PCA(k=kk, inputCol="tf", outputCol="__svd").fit(train)
-    t = pca.transform(t).withColumn("__s", vector_to_array("__svd"))
-    out = t.select(key, *[F.col("__t")[i].alias(f"lda_{feature}_{i}") for i in range(k)],
-                   *[F.col("__s")[i].alias(f"svd_{feature}_{i}") for i in range(kk)])
+    kk = min(k, len(terms))
+    _, v = truncated_svd(train, "tf", kk)
+    loads = dc.sparkSession.createDataFrame([(w, *x) for w, x in zip(terms, v)],
+                                            ["term", *[f"__v{i}" for i in range(len(v[0]))]])
+    svd = dc.join(loads, "term", "left").groupBy(key).agg(
+        *[F.coalesce(F.sum(F.col("n") * F.col(f"__v{i}")), F.lit(0.0)).alias(f"svd_{feature}_{i}") for i in range(len(v[0]))])
+    out = t.select(key, *[F.col("__t")[i].alias(f"lda_{feature}_{i}") for i in range(k)]).join(svd, key, "left")
     ids = dense_codes(dc, [key], "__uid")
     ratings = dc.join(ids, key).join(vocab, "term").select(
         F.col("__uid").cast("int").alias("user"), F.col("idx").cast("int").alias("item"), F.col("n").cast("float").alias("rating"))

@@ -318,12 +318,32 @@ def test_hot_key_path_shift_median_nth(skewed):
     assert last == expect
 
 
-def test_doc_vectors_dense_equals_sparse(spark):
-    counts = spark.createDataFrame([(1, "a", 2), (1, "c", 1), (2, "b", 5)], "k int, term string, n long")
-    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "term string, idx long")
-    dense = {r["k"]: r["tf"].toArray().tolist() for r in topics.doc_vectors(counts, vocab, "k", 3).collect()}
-    sparse = {r["k"]: r["tf"].toArray().tolist() for r in topics.doc_vectors(counts, vocab, "k", 3, dense_max=1).collect()}
-    assert dense == sparse == {1: [2.0, 0.0, 1.0], 2: [0.0, 5.0, 0.0]}
+def test_doc_vectors_and_truncated_svd(spark):
+    counts = spark.createDataFrame([(1, "a", 2), (1, "c", 1), (2, "b", 5), (3, "a", 1), (3, "x", 9), (4, "x", 1)],
+                                   "k int, term string, n long")
+    v = topics.doc_vectors(counts, ["a", "b", "c"], "k")
+    rows = {r["k"]: r["tf"].toArray().tolist() for r in v.collect()}
+    assert rows == {1: [2.0, 0.0, 1.0], 2: [0.0, 5.0, 0.0], 3: [1.0, 0.0, 0.0], 4: [0.0, 0.0, 0.0]}
+    s, right = topics.truncated_svd(v, "tf", 2)
+    m = np.array([rows[k] for k in sorted(rows)])
+    _, want, vt = np.linalg.svd(m, full_matrices=False)  # not centred
+    assert s == pytest.approx(want[:2])
+    assert np.abs(np.array(right).T) == pytest.approx(np.abs(vt[:2]), abs=1e-9)
+
+
+def test_split_counts_are_all_splits(train_frame):
+    from pyspark.ml.classification import RandomForestClassifier
+    est = RandomForestClassifier(numTrees=3, maxDepth=3, seed=1)
+    res = models.oof_classify(train_frame, ["x1", "x2"], "label", "fold", "id", 3, None, est)
+    for i, m in enumerate(res.models):
+        splits = sum(r["split"] for r in res.importance.filter(F.col("fold") == i).collect())
+        assert splits == sum((t.numNodes - 1) // 2 for t in m.stages[-1].trees) > 0
+
+
+def test_segment_models_keep_rows_without_segment(train_frame):
+    d = train_frame.filter(F.col("fold") >= 0).withColumn("seg", F.when(F.col("id") % 4 != 0, F.col("id") % 2 == 0))
+    res = models.segment_models(d, F.col("seg"), ["x1", "x2"], "label", "fold", "id", [0, 1, 2], d.drop("label"))
+    assert res.oof.count() == res.scored.count() == d.count()
 
 
 def test_oof_classify_one_vs_rest_boosting(train_frame):
