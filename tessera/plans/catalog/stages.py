@@ -223,9 +223,11 @@ def topic_factors(spark, sf_dir):
 
 @query("stacked_prediction")
 def stacked_prediction(spark, sf_dir):
-    """The whole best-single-model flow on the per-customer amounts:
+    """The best-single-model flow on the per-customer amounts:
     value-association lookup mined from all rows, feature block, 5-fold
-    random forest on the labelled customers, arg-max segment for the
+    random forest on the labelled customers (those with key % 10 == 1 play
+    the old rows, in training folds only), a second one on the features and
+    the first one's out-of-fold probabilities, arg-max segment for the
     withheld ones, overridden where an exact-match label exists."""
     from tessera.plans import chains
     f = fees4(spark, sf_dir).withColumns({f"m{i}": F.col(f"f{i}") / 100.0 for i in range(1, 5)})
@@ -243,11 +245,13 @@ def stacked_prediction(spark, sf_dir):
     predictors = [c for c, t in feats_all.dtypes
                   if c not in ("c_custkey", "row_id", "chunk", "c_mktsegment", "fold", "f1", "f2", "f3", "f4")
                   and t in ("double", "int", "bigint", "float")]
-    tr = feats_all.filter(~is_test)
+    is_old = F.pmod("c_custkey", F.lit(10)) == 1
+    tr = feats_all.filter(~is_test & ~is_old)
     te = feats_all.filter(is_test).drop("c_mktsegment")
     classes = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     white = chains.white_list(tr, te, ["c_nationkey", "f4"], "row_id", "c_mktsegment", ["row_id"])
-    return chains.stacked_prediction(tr, te, predictors, "c_mktsegment", "row_id", classes, white, _rf())
+    return chains.stacked_prediction(tr, te, predictors, "c_mktsegment", "row_id", classes, white, _rf(),
+                                     old=feats_all.filter(is_old))
 
 
 _STAGE_SCHEMA = StructType([StructField("c_custkey", LongType()), StructField("n", LongType()),

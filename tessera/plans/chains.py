@@ -12,8 +12,9 @@ later jobs read them).
 * :func:`build_features`  — the per-row feature block (digits, flags, ratios,
   row statistics, lookups, group statistics) in a handful of projections and
   one aggregate per key.
-* :func:`stacked_prediction` — out-of-fold model on the features, arg-max
-  class, label map back, override by the white list.
+* :func:`stacked_prediction` — out-of-fold model on the features (old rows in
+  every training fold), its probabilities as features of a second one,
+  arg-max class, label map back, override by the white list.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ from tessera.operators import aggs, clean, mine, relate
 from tessera.sources.store import materialize
 
 
+#: The multiples (in cents) that deltas of amounts are tested for.
+DELTA_MULTIPLES = (5, 10, 15, 27, 30, 50, 100, 500, 6000)
+
+
 def magic_lookups(train: DataFrame, test: DataFrame, old: DataFrame | None, match_keys: Sequence[str],
                   fee_cols: Sequence[str], order: Sequence[Column | str], min_count: int = 10
                   ) -> tuple[DataFrame, DataFrame | None]:
@@ -82,7 +87,7 @@ def build_features(df: DataFrame, fee_cols: Sequence[str], lookup: DataFrame | N
         cents = F.coalesce(F.rint((F.col(a) - F.col(b)) * 100.0), F.lit(999999.9)).cast("bigint")
         name = f"{a}_{b}_delta_cents"
         block[name] = cents
-        for k in (5, 10, 15, 27, 30, 50, 100, 500, 6000):
+        for k in DELTA_MULTIPLES:
             block[f"{name}_is_{k}"] = N.multiple_of(cents, k)
         block[f"{a}_{b}_ratio"] = N.ratio(a, b, 0.00001)
     block.update({"fee_sum": RW.row_sum(fee_cols), "fee_var": RW.row_var(fee_cols), "fee_max": RW.row_max(fee_cols),
@@ -107,16 +112,30 @@ def build_features(df: DataFrame, fee_cols: Sequence[str], lookup: DataFrame | N
 
 def stacked_prediction(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str,
                        classes: Sequence, overrides: DataFrame | None = None, estimator=None,
-                       fold: str = "fold") -> DataFrame:
-    """Out-of-fold model on ``train`` scored on ``test``; the predicted class
-    is the arg-max mapped back to the original label; listed ids are
-    overridden.  Returns (key, label)."""
+                       fold: str = "fold", old: DataFrame | None = None,
+                       final_features: Sequence[str] | None = None) -> DataFrame:
+    """Two levels of out-of-fold models, then overrides.
+
+    The first model is fitted fold by fold on ``train`` with the rows of
+    ``old`` appended to every training fold; its out-of-fold probabilities
+    (for ``test``: the folds' mean) are joined to the rows as features of the
+    second model, which is fitted on ``train``.  The predicted class of a
+    ``test`` row is the arg-max of the second model, mapped back to the label;
+    listed ids are overridden.  Returns (key, label)."""
     idx = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))])
-    tr = materialize(train.withColumn("__y", F.element_at(idx, F.col(label))), "stack-train")
-    res = models.oof_classify(tr, features, "__y", fold, key, len(classes), test, estimator)
+    own = train.withColumn("__y", F.element_at(idx, F.col(label)))
+    own = materialize(own, "stack-train")
+    first_rows = own
+    if old is not None:
+        extra = old.withColumn("__y", F.element_at(idx, F.col(label))).withColumn(fold, F.lit(-1))
+        first_rows = relate.union_by_name([own, extra.select(*own.columns)])
+    first = models.oof_classify(first_rows, features, "__y", fold, key, len(classes), test, estimator)
+    oof, scored = materialize(first.oof, "stack-oof"), materialize(first.scored, "stack-scored")
+    final = models.stacking(own, [oof], key, list(final_features or features), "__y", fold, len(classes),
+                            test, [scored], estimator)
     probs = [f"class_{i}" for i in range(len(classes))]
     back = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(c))])
-    pred = res.scored.select(key, F.element_at(back, RW.argmax(probs)).alias(label))
+    pred = final.scored.select(key, F.element_at(back, RW.argmax(probs)).alias(label))
     if overrides is not None:
         pred = relate.override_join(pred, overrides, key, label)
     return pred

@@ -42,6 +42,24 @@ def test_build_features_columns(spark):
     assert r[2]["b_a_delta_cents_is_5"] == 0        # zero delta is not a multiple
 
 
+def test_stacked_prediction_uses_both_levels(spark):
+    import random
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.sql import functions as F
+    rnd = random.Random(3)
+    rows = [(i, "abc"[i % 3], i % 3 + 0.8 * rnd.random(), i // 3 % 5) for i in range(120)]
+    d = spark.createDataFrame(rows, "id int, y string, x double, fold int")
+    train, test, old = d.filter("id < 60"), d.filter("id >= 90").drop("y"), d.filter("id >= 60 and id < 90")
+    white = spark.createDataFrame([(95, "z"), (1, "z")], "id int, y string")
+    est = DecisionTreeClassifier(maxDepth=3, seed=1)
+    # the second level sees the first one's probabilities and nothing else of use
+    out = chains.stacked_prediction(train, test, ["x"], "y", "id", ["a", "b", "c"], white, est, old=old,
+                                    final_features=["fold"])
+    got = {r["id"]: r["y"] for r in out.collect()}
+    assert len(got) == 30 and got.pop(95) == "z"
+    assert sum(y == "abc"[i % 3] for i, y in got.items()) >= 27
+
+
 def test_csv_typed_scan_keeps_raw_text(spark):
     df = spark.createDataFrame([(1, "1.50"), (2, "\\N"), (3, "7"), (4, None)], "k long, fee string")
     path = os.path.join(checkpoint_dir(spark), f"t-{uuid.uuid4().hex}")
