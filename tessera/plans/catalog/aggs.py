@@ -277,3 +277,12 @@ def narrow_types(spark, sf_dir):
     li = aggs.narrow_types_report(read_table(spark, sf_dir, "lineitem")).withColumn("tbl", F.lit("lineitem"))
     pa = aggs.narrow_types_report(read_table(spark, sf_dir, "part")).withColumn("tbl", F.lit("part"))
     return li.unionByName(pa).select("tbl", "column", "source_type", "min", "max", "chosen_type")
+
+
+@query("narrow_types_cast", """
+SELECT CAST(p_partkey AS SMALLINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS TINYINT) AS p_size,
+       CAST(p_retailprice AS FLOAT) AS p_retailprice FROM part""")
+def narrow_types_cast(spark, sf_dir):
+    """Parts with every numeric column cast to its narrowest holding type
+    (the types stated in SQL hold up to 32,767 parts)."""
+    return aggs.narrow_types(read_table(spark, sf_dir, "part"))
