@@ -16,8 +16,11 @@ writes them, so that a lost executor leaves no broken file, in any store.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -50,71 +53,131 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
-class Pieces(dict):
-    """Ids (as bytes) of text pieces that begin at a blank.
-
-    Byte-level BPE never merges across the place before a blank that follows
-    a text and precedes a non-blank, so a text's ids are those of its pieces
-    in order.  Each distinct piece is encoded by the tokenizer once; ``most``
-    bounds the memory."""
+#: A blank that another character than white space follows, and one that not.
+_BLANK, _ODD_BLANK = re.compile(r" (?=\S)"), re.compile(r" (?=\s|$)")
+_SPACE = re.compile(r"\s")
+_PUNCTUATION = ".,;:!?"
 
-    most = 400_000
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+class Pieces(dict):
+    """Ids (as bytes) of the pieces of texts between single blanks, each with
+    the blank before it.
+
+    The tokenizer's pre-tokenizer begins a new token at a blank that is
+    followed by another character than white space, and between a letter and
+    punctuation, whatever stands before or behind.  So a text's ids are those
+    of its pieces in order, and each distinct piece is encoded once.  ``most``
+    bounds the memory; when it is full, new pieces are not remembered."""
+
+    most = 1_000_000
+
+    def __init__(self, tokenizer, dtype: str):
+        self.tokenizer, self.dtype = tokenizer, dtype
+        vocabulary = tokenizer.get_vocab()
+        self.starts = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that begin with a blank
+        self.starts[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word behind a blank.  Many words are encoded as one
+        text, whose ids are cut where a token begins with a blank; words with
+        white space inside go one by one."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if not _SPACE.search(w)]
+        runs = [plain[i:i + 500] for i in range(0, len(plain), 500)]
+        coded = self.tokenizer.encode_batch_fast(["".join([" " + w for w in r]) for r in runs], add_special_tokens=False)
+        for r, e in zip(runs, coded):
+            ids = np.array(e.ids, self.dtype)
+            at = np.flatnonzero(self.starts[ids])
+            if len(at) == len(r) and at[0] == 0:
+                raw, width = ids.tobytes(), ids.itemsize
+                edge = [*(at * width).tolist(), len(raw)]
+                out.update(zip(r, [raw[a:b] for a, b in zip(edge, edge[1:])]))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self.encode([" " + w for w in rest])))
+        return [out[w] for w in words]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        split = [_BLANK.split(t) if _ODD_BLANK.search(t) else t.split(" ") for t in texts]
+        firsts = self.encode([p[0] for p in split])
+        parts = [p[1:] for p in split]
+        got = [list(map(self.get, p)) for p in parts]
+        open_ = [i for i, g in enumerate(got) if None in g]
+        new: set[str] = set()
+        for i in open_:
+            new.update(compress(parts[i], map(is_, got[i], repeat(None))))
+        # a word and the punctuation behind it are separate tokens
+        cut = {w: w.rstrip(_PUNCTUATION) for w in new}
+        cut = {w: c if c and c[-1].isalpha() else w for w, c in cut.items()}
+        words = [c for c in set(cut.values()) if c not in self]
+        known = dict(zip(words, self.encode_words(words)))
+        tails = list({w[len(c):] for w, c in cut.items() if len(c) < len(w)})
+        tail_ids = dict(zip(tails, self.encode(tails)))
+        tail_ids[""] = b""
+        for w, c in cut.items():
+            if w not in known:
+                known[w] = (known[c] if c in known else self[c]) + tail_ids[w[len(c):]]
         if len(self) < self.most:
-            self[piece] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        parts = text.split(" ")
-        pieces = [parts[0]]
-        for p in parts[1:]:
-            if p and not p[0].isspace():
-                pieces.append(" " + p)
-            else:
-                pieces[-1] += " " + p
-        return b"".join(map(self.__getitem__, pieces))
+            self.update(known)
+            for i in open_:
+                got[i] = list(map(self.__getitem__, parts[i]))
+        else:
+            for i in open_:
+                got[i] = [known[w] if ids is None else ids for w, ids in zip(parts[i], got[i])]
+        return [first + b"".join(g) for first, g in zip(firsts, got)]
 
 
 _LOADED: dict[int, Pieces] = {}
 
 
-def _pieces(json: str) -> Pieces:
+def _pieces(json: str, dtype: str) -> Pieces:
     key = hash(json)
     if key not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _LOADED[key] = Pieces(Tokenizer.from_str(json))
+        _LOADED[key] = Pieces(Tokenizer.from_str(json), dtype)
     return _LOADED[key]
 
 
+def id_type(tokenizer_path: str) -> str:
+    """Narrowest unsigned type that holds the tokenizer's ids."""
+    from tokenizers import Tokenizer
+    return "<u2" if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """``(doc_id, ids)``: the ids of the whole text and ``end_id``, as
-    little-endian unsigned 32-bit integers.  The tokenizer's file (a
+    little-endian integers of :func:`id_type`.  The tokenizer's file (a
     byte-level BPE of the tokenizers library) is read by the driver and
     broadcast."""
     with open(tokenizer_path, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
-    end = np.array([end_id], "<u4").tobytes()
+    dtype = id_type(tokenizer_path)
+    end = np.array([end_id], dtype).tobytes()
 
     def run(b):
-        p = _pieces(model.value)
-        ids = [p.ids(t or "") + end for t in b["text"].to_pylist()]
+        ids = [x + end for x in _pieces(model.value, dtype).ids([t or "" for t in b["text"].to_pylist()])]
         return {"doc_id": b["doc_id"], "ids": pa.array(ids, pa.binary())}
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return d.mapInArrow(per_batch(run), "doc_id long, ids binary")
 
 
-def _counts(b):
-    ids = np.frombuffer(b"".join(b["ids"].to_pylist()), "<u4")
-    ids, n = np.unique(ids, return_counts=True)
-    return {"id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64())}
+def _counts(dtype: str):
+    def count(batches):
+        total = np.zeros(0, np.int64)
+        for b in batches:
+            n = np.bincount(np.frombuffer(b"".join(b["ids"].to_pylist()), dtype), minlength=len(total))
+            n[:len(total)] += total
+            total = n
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"id": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
+    return count
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id",
@@ -126,12 +189,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     and ids), an empty table gives files without rows.  Other columns are not
     read.  The rank table is bounded by the tokenizer's vocabulary.
     """
-    spark = docs.sparkSession
+    spark, dtype = docs.sparkSession, id_type(tokenizer_path)
     raw = f"{path}/raw"
     (encode(docs, tokenizer_path, end_id, id_col, text_col)
      .write.option("compression", "zstd").parquet(raw))
     rows = spark.read.schema("doc_id long, ids binary").parquet(raw)
-    counts = (rows.select("ids").mapInArrow(per_batch(_counts), "id long, n long")
+    counts = (rows.select("ids").mapInArrow(_counts(dtype), "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
     by_rank = counts.sort_values(["n", "id"], ascending=[False, True], ignore_index=True)
     spark.createDataFrame([(i, int(t), int(n)) for i, (t, n) in enumerate(zip(by_rank["id"], by_rank["n"]))],
@@ -143,7 +206,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     def code(b):
         control, data, n = [], [], []
         for ids in b["ids"].to_pylist():
-            r = shared.value[np.frombuffer(ids, "<u4")]
+            r = shared.value[np.frombuffer(ids, dtype)]
             c, d = encode_ranks(r)
             control.append(c), data.append(d), n.append(len(r))
         return {"doc_id": b["doc_id"], "n_tokens": pa.array(n, pa.int64()), "control": pa.array(control, pa.binary()),
@@ -170,14 +233,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                zip(b["control"].to_pylist(), b["data"].to_pylist(), b["n_tokens"].to_pylist())]
         return {"doc_id": b["doc_id"], "start": b["start"], "n_tokens": b["n_tokens"], "ids": pa.array(out, pa.binary())}
 
-    return _with_start(rows).mapInArrow(per_batch(decode), "doc_id long, start long, n_tokens long, ids binary")
+    return _with_start(rows, rows).mapInArrow(per_batch(decode), "doc_id long, start long, n_tokens long, ids binary")
 
 
-def _with_start(rows: DataFrame) -> DataFrame:
-    """``start`` from the totals of the parts before (one row a part, hence
-    broadcast) and the running total within the part."""
+def _with_start(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``start`` from the totals of the parts before, as the files have them
+    (one row a part, hence broadcast), and the running total in the part."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    offsets = (files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
                .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
     within = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
@@ -201,7 +264,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
                 "part": b["part"], "row": b["row"]}
 
     d = rows.mapInArrow(per_batch(crc), "doc_id long, n_tokens long, ids_crc32 long, part int, row long")
-    return _with_start(d).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return _with_start(d, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -29,12 +29,16 @@ def test_coding_round_trip(ranks):
 
 
 def test_pieces_equal_whole_text():
-    p = tokens.Pieces(TOK)
     r = random.Random(5)
-    parts = ["a", "Wort", "é", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "12", "!?", "'s", "<|endoftext|>", "don't", "\r\n", "🙂", "\u3000x", ""]
-    texts = ["".join(r.choice(parts) for _ in range(r.randrange(14))) for _ in range(4000)]
-    for t in texts:
-        assert np.frombuffer(p.ids(t), "<u4").tolist() == TOK.encode(t, add_special_tokens=False).ids, repr(t)
+    parts = ["a", "Wort", "é", " ", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "12", "!?", ".", ",", "'s", "<|endoftext|>", "don't",
+             "\r\n", "🙂", "\u3000x", "", "5.", "x.y", "\x1c", "\x85"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(14))) for _ in range(6000)]
+    for most in (10 ** 6, 50):
+        p = tokens.Pieces(TOK, "<u4")
+        p.most = most
+        for i in range(0, len(texts), 100):
+            for t, ids in zip(texts[i:i + 100], p.ids(texts[i:i + 100])):
+                assert np.frombuffer(ids, "<u4").tolist() == TOK.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def brute(rows):
