@@ -47,7 +47,7 @@ def spread_key(*cols: str) -> Column:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to ``most`` words."""
 
-    most = 500_000
+    most = 150_000
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)

@@ -50,30 +50,41 @@ _PLACE = np.array([0, 0x1111, 0x2222, 0x3333], np.uint64)
 
 
 class Words(dict):
-    """Distinct raw words -> row of the tables of their properties; both are
-    emptied when they reach ``most`` rows."""
+    """Distinct raw words -> row of the tables of their properties (hash,
+    kind, whether a sentence ends), or -1 when ``most`` words are known; a
+    word beyond them is looked at each time it occurs."""
 
-    most = 500_000
+    most = 200_000
 
     def __init__(self):
-        self.rows: list[tuple] = []
+        self.hash = np.zeros(self.most, np.uint64)
+        self.kind = np.zeros(self.most, np.int8)
+        self.ends = np.zeros(self.most, bool)
 
     def __missing__(self, raw: str) -> int:
-        core = raw.strip(_EDGE)
-        low = core.lower()
-        kind = LITERAL
-        if NUMBER.fullmatch(low) or low in NUMBER_WORDS:
-            kind = NUM
-        elif (m := MEASURE.fullmatch(low)) and m[2] in UNITS:
-            kind = NUM
-        elif low in UNITS:
-            kind = UNIT
-        elif len(core) > 1 and core[0].isupper() and core[1:].islower():
-            kind = NAME
-        h = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
-        self[raw] = len(self.rows)
-        self.rows.append((h, kind, raw.rstrip("\"')”’»").endswith((".", "!", "?", ":"))))
-        return len(self.rows) - 1
+        at = len(self)
+        if at >= self.most:
+            return -1
+        self.hash[at], self.kind[at], self.ends[at] = properties(raw)
+        self[raw] = at
+        return at
+
+
+def properties(raw: str) -> tuple[int, int, bool]:
+    """Hash of the bare lower-case word, kind, and whether a sentence ends."""
+    core = raw.strip(_EDGE)
+    low = core.lower()
+    kind = LITERAL
+    if NUMBER.fullmatch(low) or low in NUMBER_WORDS:
+        kind = NUM
+    elif (m := MEASURE.fullmatch(low)) and m[2] in UNITS:
+        kind = NUM
+    elif low in UNITS:
+        kind = UNIT
+    elif len(core) > 1 and core[0].isupper() and core[1:].islower():
+        kind = NAME
+    return (xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")), kind,
+            raw.rstrip("\"')”’»").endswith((".", "!", "?", ":")))
 
 
 _WORDS = Words()
@@ -81,16 +92,14 @@ _WORDS = Words()
 
 def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word: template hash, value hash (0 for literals), kind."""
-    if len(_WORDS) > Words.most:
-        _WORDS.clear()
-        _WORDS.rows.clear()
     raw = (text or "").split()
-    at = [_WORDS[w] for w in raw]
-    if not at:
+    if not raw:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
-    h, kind, ends = zip(*map(_WORDS.rows.__getitem__, at))
-    h, kind = np.array(h, np.uint64), np.array(kind, np.int8)
-    first = np.r_[True, np.array(ends[:-1], bool)]
+    at = np.fromiter(map(_WORDS.__getitem__, raw), np.int64, len(raw))
+    h, kind, ends = _WORDS.hash[at], _WORDS.kind[at], _WORDS.ends[at]
+    for i in np.flatnonzero(at < 0):
+        h[i], kind[i], ends[i] = properties(raw[i])
+    first = np.r_[True, ends[:-1]]
     after_number = np.r_[False, kind[:-1] == NUM]
     # a capital letter at the start of a sentence makes no name, and a unit stands behind a number
     kind = np.where((kind == NAME) & first | (kind == UNIT) & ~after_number, LITERAL, kind)

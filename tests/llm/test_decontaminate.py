@@ -65,6 +65,18 @@ def brute(docs, items):
     return out
 
 
+def test_template_beyond_the_word_table(monkeypatch):
+    text = ITEM + " " + LONG + ". He paid $5.50 for 3 kg, Mary said. Then 7km on."
+    want = [x.tolist() for x in dec.template(text)]
+    monkeypatch.setattr(dec.Words, "most", 5)
+    monkeypatch.setattr(dec, "_WORDS", dec.Words())
+    for _ in range(2):
+        assert [x.tolist() for x in dec.template(text)] == want
+    kinds = dict(zip(text.split(), want[2]))
+    assert kinds["$5.50"] == kinds["3"] == kinds["7km"] == dec.NUM and kinds["kg,"] == dec.UNIT and kinds["Mary"] == dec.NAME
+    assert kinds["A"] == kinds["He"] == kinds["Then"] == dec.LITERAL
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_matches_brute_force(spark, seed):
     r = random.Random(seed)
