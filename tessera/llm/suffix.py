@@ -20,8 +20,9 @@ Neighbouring windows of one anchor form a segment, some 30 windows long.
     very many segments share is split, too).  Each bucket sorts its suffixes
     by multikey quicksort on 8-byte characters.  Within a run of one K-gram,
     windows are compared by what they hold; all but the earliest repeat.
-4.  A run may cross buckets.  The windows that a bucket's first and last run
-    hold for the first time are compared across the buckets by an aggregate.
+4.  Only a run of more than a quarter of a bucket may cross buckets.  The
+    windows that such a run, first or last in a bucket, holds for the first
+    time are compared across the buckets by an aggregate.
 
 Windows and segments are told apart by the K-gram and a 64-bit hash of all
 their bytes, 128 bits in all.
@@ -139,10 +140,10 @@ def _characters(suffixes: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(flat, ">u8").reshape(len(suffixes), -1).astype(np.uint64)
 
 
-def repeats_in_bucket(doc, th, first, last, anchor, suffix, left, length: int = LENGTH, k: int = K):
+def repeats_in_bucket(doc, th, first, last, anchor, suffix, left, large, length: int = LENGTH, k: int = K):
     """Of a bucket's segments (lists; ``left``: the bytes before the anchor,
-    backwards): repeated stretches ``(segment, start, end)`` and the windows
-    of the bucket's outer runs that are new to it, ``(segment, start, K-gram
+    backwards; ``large``: its run may cross buckets): repeated stretches ``(segment, start, end)`` and the windows
+    of the bucket's outer large runs that are new to it, ``(segment, start, K-gram
     hash, offset, window hash)``, as arrays."""
     none = np.zeros(0, np.int64)
     if not len(doc):
@@ -153,7 +154,7 @@ def repeats_in_bucket(doc, th, first, last, anchor, suffix, left, length: int =
     start = np.r_[True, (grams[1:] != grams[:-1]).any(axis=1)]
     run = np.empty(len(order), np.int64)
     run[order] = np.cumsum(start) - 1
-    outer = (run == 0) | (run == run.max())
+    outer = large & ((run == 0) | (run == run.max()))
     # segments by place, one of those given twice
     place = np.lexsort((first, th, doc))
     same = np.r_[False, (doc[place][1:] == doc[place][:-1]) & (th[place][1:] == th[place][:-1])
@@ -258,20 +259,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .select("d", "th", F.col("f").alias("s"), (F.col("l") + length).alias("e")))
     # those whose K-gram has other segments, with their bytes
     several = (firsts.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-               .select("g", spread_key("g").alias("x")))
-    open_ = (firsts.withColumn("x", spread_key("g")).join(several, ["g", "x"], "left_semi").select("r.*")
-             .groupBy("d", "th").agg(F.collect_list(F.struct("f", "l", "a")).alias("refs")))
+               .select("g", spread_key("g").alias("x"), (F.col("n") > BUCKET_ROWS // 4).alias("large")))
+    open_ = (firsts.withColumn("x", spread_key("g")).join(several, ["g", "x"]).select("r.*", "large")
+             .groupBy("d", "th").agg(F.collect_list(F.struct("f", "l", "a", "large")).alias("refs")))
 
     def fetch(b):
-        out = {c: [] for c in ("d", "th", "f", "l", "a", "suffix", "left")}
+        out = {c: [] for c in ("d", "th", "f", "l", "a", "large", "suffix", "left")}
         for d, th, t, refs_ in zip(*(b[c].to_pylist() for c in ("d", "th", "raw", "refs"))):
             for r in refs_:
                 f, l, a = r["f"], r["l"], r["a"]
-                for c, x in zip(out, (d, th, f, l, a, t[a:l + length], t[f:a][::-1])):
+                for c, x in zip(out, (d, th, f, l, a, r["large"], t[a:l + length], t[f:a][::-1])):
                     out[c].append(x)
-        return {c: pa.array(v, pa.binary() if c in ("suffix", "left") else pa.int64()) for c, v in out.items()}
+        kinds = {"suffix": pa.binary(), "left": pa.binary(), "large": pa.bool_()}
+        return {c: pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()}
 
-    rows = "d long, th long, f long, l long, a long, suffix binary, left binary"
+    rows = "d long, th long, f long, l long, a long, large boolean, suffix binary, left binary"
     suffixes = cut_lineage(texts.join(open_, ["d", "th"]).select("d", "th", "raw", "refs").mapInArrow(per_batch(fetch), rows), "suffixes")
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-suffixes.count() // BUCKET_ROWS))
 
@@ -282,7 +284,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         t = pa.Table.from_batches(got)
         d, th, f, l, a = (t[c].to_numpy() for c in ("d", "th", "f", "l", "a"))
         (seg, s, e), (fseg, fs, g, off, win) = repeats_in_bucket(
-            d, th, f, l, a, t["suffix"].to_pylist(), t["left"].to_pylist(), length, k)
+            d, th, f, l, a, t["suffix"].to_pylist(), t["left"].to_pylist(),
+            t["large"].to_numpy(), length, k)
         seg_ = np.r_[seg, fseg]
         fresh = np.r_[np.zeros(len(seg), bool), np.ones(len(fseg), bool)]
         long = lambda x, y: pa.array(np.r_[x, y].astype(np.int64), pa.int64())
@@ -291,7 +294,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 "w": long(np.zeros(len(seg)), win.view(np.int64))}
         yield pa.RecordBatch.from_pydict(cols)
 
-    sorted_ = (suffixes.repartitionByRange(buckets, "suffix", "left")
+    # equal keys stay together: those of a run that is not large are its K-gram
+    gram, rest = F.substring("suffix", 1, k), [F.when(F.col("large"), F.col(c)) for c in ("suffix", "left")]
+    sorted_ = (suffixes.repartitionByRange(buckets, gram, *rest)
                .mapInArrow(sort_bucket, "d long, th long, s long, e long, fresh boolean, g long, o long, w long"))
     sorted_ = cut_lineage(sorted_, "buckets")
     edge = sorted_.filter("fresh")
