@@ -104,3 +104,25 @@ def test_query_finds_whole_items(spark):
     want = {d for d, t in docs.items() if any(i in t for i in items)}
     got = {r.doc_id for r in entry.queries()["op9_decontamination"](spark, sf).collect() if r.contaminated}
     assert want <= got and len(got - want) <= len(docs) // 200
+
+
+def leaks(spark, items, texts):
+    it = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {d: set() for d in range(len(texts))}
+    for m in dec.contained(df, it).collect():
+        got[m.id].add(m.item)
+    flagged = {r.doc_id for r in dec.report(df, it).collect() if r.contaminated}
+    assert flagged == {d for d in got if got[d]} == set(got) - {r.doc_id for r in dec.drop_contaminated(df, it).collect()}
+    return [got[d] for d in range(len(texts))]
+
+
+def test_one_conflict_does_not_hide_an_equal_run(spark):
+    w = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(50)]
+    w[5], w[45] = "9", "9"
+    slots = "the red box holds 3 stones while the blue box holds 8 stones and nothing else here"
+    assert leaks(spark, [" ".join(w), slots], [
+        "zz " + " ".join(w[:45] + ["5"] + w[46:]),             # 44 equal words before the conflict
+        slots.replace("3", "4").replace("8", "4"),             # two slots, the same new value
+        " ".join(w[6:18]) + " zz " + " ".join(w[20:32])]       # two runs of 12
+    ) == [{0}, {1}, set()]
