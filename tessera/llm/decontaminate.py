@@ -20,6 +20,7 @@ positive in it only means a row that finds no partner in the join.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(st|nd|rd|th|%)?")
 MEASURE = re.compile(r"([+-]?[$€£]?\d[\d.,]*)([a-z/%]+)")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "$%") + "“”‘’«»…–—¿¡"
 
+OPERATORS = set("+=<>×÷±−")
 EXACT = np.uint64(0x5851F42D4C957F2D)  # sets hashes of equal runs apart from those of templates
 #: Words that are worked on at a time.
 SOME_WORDS = 1 << 17
@@ -83,9 +85,21 @@ def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
+def bare(raw: str, core: str) -> str:
+    """Case-folded word without punctuation, but for what stands between
+    digits; of a word of punctuation the operators of arithmetic."""
+    word = core.casefold()
+    if word.isalnum():
+        return word
+    if not core:
+        return "".join(c for c in raw if c in OPERATORS)
+    return "".join(c for i, c in enumerate(word) if unicodedata.category(c)[0] not in "PSCZ" or c in "$€£%"
+                   or 0 < i < len(word) - 1 and word[i - 1].isdigit() and word[i + 1].isdigit())
+
+
 def properties(raw: str) -> tuple[int, int, bool, int]:
     """Hash of the bare lower-case word, kind, whether a sentence ends, and
-    the hash that equal runs are sought by."""
+    hash of :func:`bare` (0 if nothing is left)."""
     core = raw.strip(_EDGE)
     low = core.lower()
     kind = LITERAL
@@ -97,9 +111,9 @@ def properties(raw: str) -> tuple[int, int, bool, int]:
         kind = UNIT
     elif len(core) > 1 and core[0].isupper() and core[1:].islower():
         kind = NAME
-    h = _hash(low)
+    h, word = _hash(low), bare(raw, core)
     return (h, kind, raw.rstrip("\"')”’»").endswith((".", "!", "?", ":")),
-            h)
+            h if word == low and word else _hash(word) if word else 0)
 
 
 _WORDS = Words()

@@ -126,3 +126,12 @@ def test_one_conflict_does_not_hide_an_equal_run(spark):
         slots.replace("3", "4").replace("8", "4"),             # two slots, the same new value
         " ".join(w[6:18]) + " zz " + " ".join(w[20:32])]       # two runs of 12
     ) == [{0}, {1}, set()]
+
+
+def test_copies_up_to_case_and_punctuation(spark):
+    named = " ".join(f"{a} went to {b} for tea." for a, b in [("Anna", "Bo"), ("Carl", "Dan"), ("Eve", "Finn"), ("Gus", "Hal")])
+    short = "Paris is the capital of France today"
+    assert leaks(spark, [named, short, "The self-made man's house – built in 1,000 B.C. – stands on sand and still holds out"], [
+        named.lower(), named.upper(), named.title(), named.replace(".", ""), "see\n" + short, "the word " + short.upper() + "?!",
+        "The selfmade mans house built in 1,000 BC stands on sand and still holds out", "Paris is the capital of no land today"]
+    ) == [{0}] * 4 + [{1}, {1}, {2}, set()]
