@@ -177,7 +177,7 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str, window: int, cov
             plain = templates([t])[3]
             plain = plain[plain != 0]
             n = min(covered, len(plain))
-            for pos, h in enumerate(windows(plain, n) ^ EXACT if exact and len(plain) >= covered else []):
+            for pos, h in enumerate(windows(plain, n) ^ EXACT if exact and n else []):
                 put(i, len(plain), True, n, pos, int(h.view(np.int64)), [])
         kinds = {"ivals": pa.list_(pa.int64()), "exact": pa.bool_()}
         return {k: pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()}

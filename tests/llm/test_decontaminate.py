@@ -135,3 +135,47 @@ def test_copies_up_to_case_and_punctuation(spark):
         named.lower(), named.upper(), named.title(), named.replace(".", ""), "see\n" + short, "the word " + short.upper() + "?!",
         "The selfmade mans house built in 1,000 BC stands on sand and still holds out", "Paris is the capital of no land today"]
     ) == [{0}] * 4 + [{1}, {1}, {2}, set()]
+
+
+def test_items_with_few_literals(spark):
+    items = ["12 + 7 = 19", "Bob 3 kg Ann 4 kg Tom 5 km 6 7 8 9 10 11 12", "Xylograph", "two words"]
+    assert leaks(spark, items, [
+        "so 12 + 7 = 19 holds", "so 12 + 7 = 18 holds", "x " + items[1].lower() + " y", items[1].replace("5", "6"),
+        "a xylograph, a xylograph", "Two words!", "two other words", "12", "..."]
+    ) == [{0}, set(), {1}, set(), {2}, {3}, set(), set(), set()]
+
+
+def folded(text):
+    return [w for w in (dec.bare(x, x.strip(dec._EDGE)) for x in (text or "").split()) if w]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_contained_matches_brute_force(spark, seed, monkeypatch):
+    """Equal runs against a search of all sub-runs, texts cut into small parts."""
+    monkeypatch.setattr(dec, "SOME_WORDS", 30)
+    r = random.Random(seed)
+    vocab = ["ab", "cd", "Ef", "Kim", "5", "7", "km", "end.", "-"]
+    text = lambda n: " ".join(r.choice(vocab) for _ in range(n))
+    items = [(i, text(r.choice([1, 2, 5, 9, 13, 14, 30]))) for i in range(12)]
+    docs = []
+    for d in range(120):
+        i = items[r.randrange(12)][1].split()
+        part = [r.choice(vocab) if r.random() < 0.04 else w.upper() if r.random() < 0.3 else w for w in i[r.randrange(2):]]
+        docs.append((d, text(r.randrange(20)) + " " + " ".join(part) + " " + text(r.randrange(10))))
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {d: {} for d, _ in docs}
+    for m in dec.contained(df, it).collect():
+        got[m.id][m.item] = m.covered
+    templates, n = brute(docs, items), 0
+    for d, t in docs:
+        a = folded(t)
+        for i, u in items:
+            b = folded(u)
+            best = max((k for p in range(len(b)) for q in range(len(a)) for k in [next(
+                (k for k in range(len(b)) if p + k >= len(b) or q + k >= len(a) or b[p + k] != a[q + k]), len(b))]), default=0)
+            if b and best >= min(dec.COVERED, len(b)):
+                assert got[d].get(i, 0) >= best, (t, u)
+                n += 1
+            elif i not in templates[d] and i in got[d]:  # the template, two values becoming one
+                assert got[d][i] >= min(dec.COVERED, len(u.split()))
+    assert n > 40 and all(templates[d] <= set(got[d]) for d in got)
