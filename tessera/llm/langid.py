@@ -11,7 +11,8 @@ Fit: the models take a bounded sample of the labelled documents, about
 ``max_chars`` characters per language (a fifth of it held back for
 calibration); the counting is a Spark aggregate, and what is brought to the
 driver is bounded by that sample.  Calibration sets the temperature of the
-score and, per language, the cross-entropy beyond which a text is rejected.
+score and, per language, the cross-entropy beyond which a text is rejected, by a
+quantile that mislabelled and odd held-back texts do not move.
 """
 
 from __future__ import annotations
@@ -32,6 +33,14 @@ ORDER = 4
 MAX_CHARS = 1_000_000
 CHUNK = 1 << 18
 UNDECIDED = "und"
+#: Share of the texts of a language that its limit may reject, by an
+#: exponential tail through the median and the quantile TAIL of the excess.
+REJECTED, TAIL = 1e-4, 0.95
+#: Least limit: junk lines and mixed languages reach 22 in the test tables,
+#: the unlearned languages tried begin at 54.
+LEAST = 30.0
+#: Held-back texts below which a language takes spread and limit from all.
+FEW = 20
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,7 +133,7 @@ class Model:
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None   # per character
     between: np.ndarray | None = None  # between documents
-    limit: float = np.inf              # of the standardised excess
+    limit: np.ndarray | None = None    # of the standardised excess
 
     def cross_entropy(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Nats per symbol (text x language) and symbols per text."""
@@ -168,7 +177,7 @@ class Model:
         if self.mean is None:
             far = np.zeros(len(texts), bool)
         else:
-            far = (h[np.arange(len(texts)), best] - self.mean[best]) > self.limit * self._sd(best, n)
+            far = (h[np.arange(len(texts)), best] - self.mean[best]) > self.limit[best] * self._sd(best, n)
         return np.where(none, -1, best), np.where(none, 0.0, score), far | none
 
     def _sd(self, best, n):
@@ -308,10 +317,15 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_ch
 
 
 def _calibrated(m: Model, lang: np.ndarray, n: np.ndarray, h: np.ndarray) -> Model:
-    """Temperature by likelihood of the held-back documents' languages;
-    rejection beyond twice their largest standardised excess (at least 12)."""
+    """Temperature by likelihood of the held-back documents' languages; per
+    language a rejection limit of the standardised excess, for a share
+    REJECTED of its texts (at least LEAST).  Held-back rows that another language
+    fits better set no limit, and a few odd ones lie beyond the quantile.  A
+    language of fewer than FEW rows takes spread and limit from the rows of
+    all, one without any also the typical level; with fewer than 3 rows in all
+    nothing is rejected."""
     L = len(m.langs)
-    m.mean, m.spread, m.between = np.full(L, np.inf), np.ones(L), np.zeros(L)
+    m.mean, m.spread, m.between, m.limit = np.full(L, np.inf), np.ones(L), np.zeros(L), np.full(L, np.inf)
     if not len(lang):
         return m
     own = h[np.arange(len(lang)), lang]
@@ -321,17 +335,28 @@ def _calibrated(m: Model, lang: np.ndarray, n: np.ndarray, h: np.ndarray) -> Mod
         z = gap * t
         return -np.mean(z[np.arange(len(lang)), lang] - np.log(np.exp(z).sum(axis=1)))
     m.heat = float(min(np.geomspace(0.002, 1, 28), key=loss))
-    worst = 6.0
+    right = h.argmin(axis=1) == lang
+    own, n, lang = own[right], n[right], lang[right]
+    if len(lang) < 3:
+        return m
+    there = np.unique(lang)
+    for l in there:
+        m.mean[l] = np.median(own[lang == l])
+    typical = np.median(m.mean[there])
+    apart = np.max(np.abs(m.mean[there] - typical))
+    off = own - m.mean[lang]
     for l in range(L):
-        x, k = own[lang == l], n[lang == l]
-        if len(x) < 3:
-            continue
-        m.mean[l] = np.median(x)
-        scaled = (x - m.mean[l]) * np.sqrt(k)
-        m.spread[l] = max(1.4826 * np.median(np.abs(scaled)), 1.0)
-        m.between[l] = max(1.4826 * np.median(np.abs(x - m.mean[l])), 0.02)
-        worst = max(worst, float(np.max((x - m.mean[l]) / m._sd(np.full(len(x), l), k))))
-    m.limit = 2 * worst
+        some = lang == l
+        if some.sum() < FEW:
+            some = np.ones(len(lang), bool)
+        x, k = off[some], n[some]
+        m.spread[l] = max(1.4826 * np.median(np.abs(x * np.sqrt(k))), 1.0)
+        m.between[l] = max(1.4826 * np.median(np.abs(x)), 0.02)
+        if l not in there:
+            m.mean[l], m.between[l] = typical, np.hypot(m.between[l], apart)
+        z = x / m._sd(np.full(len(x), l), k)
+        q = np.quantile(z, TAIL, method="lower")
+        m.limit[l] = max(LEAST, q * (1 + np.log((1 - TAIL) / REJECTED) / np.log(0.5 / (1 - TAIL))))
     return m
 
 

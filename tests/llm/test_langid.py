@@ -100,3 +100,33 @@ def test_edges(spark):
     assert langid.identify(df.limit(0), m).count() == 0
     none = langid.fit(df.limit(0))
     assert {r.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
+
+
+def calibrated(rows, langs=3):
+    """Limits from ``(language, symbols, own cross-entropy, others')`` rows."""
+    m = langid.Model([str(i) for i in range(langs)], [], [], [], np.zeros(langs))
+    h = np.array([[own if l == i else other for i in range(langs)] for l, _, own, other in rows])
+    return langid._calibrated(m, np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), h)
+
+
+def beyond(m, lang, n, h):
+    return bool(h - m.mean[lang] > m.limit[lang] * m._sd(np.array([lang]), np.array([n]))[0])
+
+
+def test_wrong_and_odd_rows_do_not_switch_rejection_off():
+    r = np.random.default_rng(5)
+    clean = [(l, 1000, 2.0 + l / 10 + r.normal() * 0.03, 4.0) for l in (0, 1) for _ in range(150)]
+    wrong = [(0, 1000, 5.0, 2.1)] * 3 + [(1, 1000, 4.5, 4.8)] * 4  # another language's texts; odd ones
+    for rows in (clean, clean + wrong):
+        m = calibrated(rows)
+        assert beyond(m, 0, 1000, 3.9) and beyond(m, 1, 1000, 3.9)
+        assert not any(beyond(m, l, n, own) for l, n, own, _ in clean)
+
+
+def test_a_language_of_few_held_back_rows_rejects():
+    r = np.random.default_rng(6)
+    clean = [(l, 1000, 2.0 + r.normal() * 0.03, 4.0) for l in (0, 1) for _ in range(100)]
+    m = calibrated(clean + [(2, 1000, 2.2, 4.0)])
+    assert beyond(m, 2, 1000, 4.0) and not beyond(m, 2, 1000, 2.3)
+    m = calibrated(clean)  # none at all
+    assert beyond(m, 2, 1000, 4.0) and not beyond(m, 2, 1000, 2.1)
