@@ -7,10 +7,10 @@ with the log-probability of each n-gram in each language, already
 interpolated over all lower orders, and the back-off weight of each context.
 A text gets the language of the lowest cross-entropy per character.
 
-Fit: the models take a bounded sample of the labelled documents, about
-``max_chars`` characters per language (a fifth of it held back for
-calibration); the counting is a Spark aggregate, and what is brought to the
-driver is bounded by that sample.  Calibration sets the temperature of the
+Fit: the n-grams of all labelled documents are counted by a Spark aggregate,
+copies of a text once; the driver gets the ``max_grams`` most frequent of each
+language.  For calibration a fifth of the texts of a language is held back, at
+most about MAX_HELD.  Calibration sets the temperature of the
 score and, per language, the cross-entropy beyond which a text is rejected, by a
 quantile that mislabelled and odd held-back texts do not move.
 """
@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.base import mix, per_batch
+from tessera.session import cut_lineage
 
 ORDER = 4
-MAX_CHARS = 1_000_000
+MAX_GRAMS = 1 << 18
+MAX_HELD = 2_000
 CHUNK = 1 << 18
+HOLD = 1 << 18
 UNDECIDED = "und"
 #: Share of the texts of a language that its limit may reject, by an
 #: exponential tail through the median and the quantile TAIL of the excess.
@@ -259,44 +262,98 @@ def _row_hash(g: np.ndarray) -> np.ndarray:
     return mix(h)
 
 
-def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_chars: int = MAX_CHARS) -> Model:
+def _tally(key: np.ndarray, cols: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with one row of ``cols`` and the sum of ``n`` each."""
+    key, at, of = np.unique(key, return_index=True, return_inverse=True)
+    return key, cols[at], np.bincount(of, weights=n, minlength=len(key)).astype(np.int64)
+
+
+def _counted_grams(batches):
+    """``(a, b, n)`` of the n-grams of batches of ``(text, l)``: three symbols
+    in ``a``, the fourth and the language in ``b``.  Memory is bounded by the
+    longest text and HOLD n-grams."""
+    none = (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+
+    def out(held):
+        return pa.RecordBatch.from_pydict({"a": held[1][:, 0], "b": held[1][:, 1], "n": held[2]})
+
+    def pieces():
+        for batch in batches:
+            texts, langs, size = [], [], 0
+            for t, l in zip(batch["text"], batch["l"]):
+                t = t.as_py()
+                texts.append(t)
+                langs.append(l.as_py())
+                size += len(t)
+                if size >= CHUNK:
+                    yield texts, langs
+                    texts, langs, size = [], [], 0
+            if texts:
+                yield texts, langs
+
+    held = none
+    for texts, langs in pieces():
+        symbols, owner = _padded(texts)
+        for start in range(ORDER - 1, len(symbols), 4 * CHUNK):
+            s = symbols[start - ORDER + 1:start + 4 * CHUNK].astype(np.int64)
+            own = owner[start:start + 4 * CHUNK]
+            real = own >= 0
+            a = (s[:-3] << 42 | s[1:-2] << 21 | s[2:-1])[real]
+            b = (s[3:] | np.asarray(langs, np.int64)[own] << 21)[real]
+            with np.errstate(over="ignore"):
+                key = mix(mix(a.view(np.uint64)) + b.view(np.uint64) * _SEED)
+            new = _tally(key, np.c_[a, b], np.ones(len(a)))
+            held = _tally(*(np.concatenate(x) for x in zip(held, new)))
+        if len(held[0]) > HOLD:
+            yield out(held)
+            held = none
+    yield out(held)
+
+
+def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """At most about ``most`` rows of each language ``l`` of ``(l, a, b, n)``,
+    those of the largest counts; among equal ones by a hash."""
+    level = F.floor(F.log("n") * 32).cast("long")  # some 1,400 levels at most
+    there = counted.groupBy("l", level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    keep = F.lit(False)
+    for l in {r["l"] for r in there}:
+        left, cut, share = most, -1, 1.0
+        for r in sorted((r for r in there if r["l"] == l), key=lambda r: -r["level"]):
+            if r["rows"] > left:
+                cut, share = r["level"], left / r["rows"]
+                break
+            left -= r["rows"]
+        u = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 30)) / float(1 << 30)
+        keep = keep | (F.col("l") == l) & ((level > cut) | (level == cut) & (u < share))
+    return counted.filter(keep)
+
+
+def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_grams: int = MAX_GRAMS) -> Model:
     """Models of every language of ``train`` (rows with a null text or
     language are left out; a text without letters teaches nothing).
 
-    The sample takes each document with a chance that makes up ``max_chars``
-    characters per language, by a hash of its text, so that copies fall
-    together; a language with fewer characters is taken whole.  Without any
+    All distinct texts of a language are counted, but for those held back by
+    a hash of the text; the text of the smallest hash never is.  The models
+    keep the ``max_grams`` most frequent n-grams of a language.  Without any
     letter in ``train`` the model has no language and everything is
     undecided."""
-    docs = train.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
-    size = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect() if r["n"]}
-    langs = sorted(size)
-    u = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.create_map(*[F.lit(x) for l in langs for x in (l, min(1.0, max_chars / size[l]))]) if langs else None
+    docs = train.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna().filter(F.col("text").rlike("\\p{L}"))
+    u = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(1 << 30)) / float(1 << 30)
+    stats = docs.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"), F.min(u).alias("u")).collect()
+    stats = {r["lang"]: r for r in stats}
+    langs = sorted(stats)
     if not langs:
         return Model([], [], [], [], np.zeros(0, np.float32))
-    part = docs.filter(u < rate[F.col("lang")])
-    number = F.create_map(*[F.lit(x) for i, l in enumerate(langs) for x in (l, i)])
-    held = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(5)) == 0
-
-    def count(b):
-        out = []
-        for l in range(len(langs)):
-            texts = [t for t, i in zip(b["text"].to_pylist(), b["l"].to_pylist()) if i == l]
-            s, owner = _padded(texts)
-            if len(s):
-                g = np.lib.stride_tricks.sliding_window_view(s, ORDER)[owner[ORDER - 1:] >= 0]
-                g, c = np.unique(g, axis=0, return_counts=True)
-                out.append(np.c_[np.full(len(g), l), g, c])
-        m = np.concatenate(out) if out else np.zeros((0, ORDER + 2))
-        m = m.astype(np.int64)
-        return {"l": m[:, 0], **{f"c{i}": m[:, 1 + i] for i in range(ORDER)}, "n": m[:, -1]}
-
+    per_lang = lambda f: F.create_map(*[F.lit(x) for i, l in enumerate(langs) for x in (l, f(i, stats[l]))])[F.col("lang")]
+    held = (u < per_lang(lambda i, r: min(0.2, MAX_HELD / max(r["n"], 1)))) & (u > per_lang(lambda i, r: r["u"]))
+    chosen = docs.select("text", per_lang(lambda i, r: i).cast("long").alias("l"), held.alias("held"))
     cols = [f"c{i}" for i in range(ORDER)]
-    chosen = part.select("text", number[F.col("lang")].cast("long").alias("l"), held.alias("held"))
-    counted = (chosen.filter("not held").drop("held")
-               .mapInArrow(per_batch(count), "l long, " + ", ".join(c + " long" for c in cols) + ", n long")
-               .groupBy("l", *cols).agg(F.sum("n").alias("n")).toPandas())
+    counted = (chosen.filter("not held").select("text", "l").distinct().mapInArrow(_counted_grams, "a long, b long, n long")
+               .groupBy("a", "b").agg(F.sum("n").alias("n")).withColumn("l", F.shiftright("b", 21)))
+    counted = _most_frequent(cut_lineage(counted, "n-grams"), max_grams).toPandas()
+    a, b, low = counted["a"].to_numpy(), counted["b"].to_numpy(), (1 << 21) - 1
+    for c, x in zip(cols, (a >> 42, a >> 21 & low, a & low, b & low)):
+        counted[c] = x
     counted = counted.sort_values(["l", *cols])
     there = sorted(counted["l"].unique())
     if not there:
@@ -309,7 +366,7 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_ch
         h, n = model.cross_entropy(b["text"].to_pylist())
         return {"l": b["l"], "n": pa.array(n, pa.int64()), "h": pa.array(list(h), pa.list_(pa.float64()))}
 
-    cal = chosen.filter("held").select("text", "l").mapInArrow(per_batch(entropies), "l long, n long, h array<double>")
+    cal = chosen.filter("held").select("text", "l").distinct().mapInArrow(per_batch(entropies), "l long, n long, h array<double>")
     cal = cal.filter("n > 0").toPandas()
     cal = cal[cal["l"].isin(renumber)]
     return _calibrated(model, cal["l"].map(renumber).to_numpy(), cal["n"].to_numpy(),
@@ -364,7 +421,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     """``docs`` with ``lang_pred`` (``und`` for a null text or one without a
     letter), ``score`` (0 to 1, calibrated chance of that language; 0 if
     undecided) and ``rejected`` (no learned language fits, or undecided).
-    The model travels as one broadcast; its size is bounded by ``max_chars``.
+    The model travels as one broadcast; its size is bounded by ``max_grams``.
     Only the columns ``keep`` of ``docs`` come along (all if not given);
     columns of ``docs`` with the new names are replaced."""
     spark = docs.sparkSession

@@ -130,3 +130,39 @@ def test_a_language_of_few_held_back_rows_rejects():
     assert beyond(m, 2, 1000, 4.0) and not beyond(m, 2, 1000, 2.3)
     m = calibrated(clean)  # none at all
     assert beyond(m, 2, 1000, 4.0) and not beyond(m, 2, 1000, 2.1)
+
+
+def _counts(monkeypatch):
+    seen = []
+    real = langid.kneser_ney
+    monkeypatch.setattr(langid, "kneser_ney", lambda *a: seen.append(a) or real(*a))
+    return seen
+
+
+def test_all_texts_are_counted_copies_once(spark, monkeypatch):
+    monkeypatch.setattr(langid, "HOLD", 50)
+    monkeypatch.setattr(langid, "CHUNK", 64)
+    monkeypatch.setattr(langid, "MAX_HELD", 0)
+    r = np.random.default_rng(7)
+    word = lambda: "".join(r.choice(list("abcdeöñ"), 5))
+    texts = [" ".join(word() for _ in range(30)) for _ in range(200)] + [("lange rede " * 110_000).strip()]
+    rows = [(t, "xx" if i % 2 else "yy") for i, t in enumerate(texts)]
+    seen = _counts(monkeypatch)
+    langid.fit(spark.createDataFrame(rows + rows[:50], "text string, lang string"))
+    langs, grams, lang_of, n = seen[0]
+    want = Counter()
+    for t, l in rows:
+        s = langid._padded([t])[0]
+        w = np.lib.stride_tricks.sliding_window_view(s, 4)
+        g, c = np.unique(w, axis=0, return_counts=True)
+        want.update({(l, *map(int, x)): int(k) for x, k in zip(g, c)})
+    assert {(langs[l], *map(int, g)): int(k) for l, g, k in zip(lang_of, grams, n)} == dict(want)
+
+
+def test_every_language_is_learned_and_rare_grams_go_first(spark, monkeypatch):
+    seen = _counts(monkeypatch)
+    rows = [(EN[i:], "en") for i in range(40)] + [(f"{DE} {k}" * 9000, l) for k, l in enumerate("abcdefgh")] + [("123", "none")]
+    m = langid.fit(spark.createDataFrame(rows, "text string, lang string"), max_grams=40)
+    assert m.langs == sorted([*"abcdefgh", "en"])
+    langs, _, lang_of, n = seen[0]
+    assert np.bincount(lang_of).max() <= 60 and n[lang_of == m.langs.index("en")].min() > 20
