@@ -3,8 +3,9 @@
 The reference concatenates every value of a feature per id into one text.
 Here term counts per (id, term) are a partial aggregate and the vocabulary
 is the terms present in at least ``min_df`` documents of the fitting table;
-a document is a sparse vector with one entry per vocabulary term it has,
-built by Spark ML's ``CountVectorizerModel``.  Factors, fitted on ``stat``
+a document is a sparse vector with one entry per vocabulary term it has.
+The driver holds the vocabulary and the vocabulary x k table of the SVD.
+  Factors, fitted on ``stat``
 and applied to ``data``: LDA (online), and a truncated SVD (not centred;
 ``RowMatrix.computeSVD``, whose right vectors are a vocabulary x k table
 that is joined to the counts); non-negative ALS as the NMF, fitted on
@@ -16,13 +17,15 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors as Vectors_
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.recommendation import ALS
 from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.aggs import dense_codes
 from tessera.session import cut_lineage
@@ -42,11 +45,20 @@ def vocabulary(counts: DataFrame, key: str, min_df: int = 2) -> DataFrame:
     return dense_codes(df_, ["term"], "idx")
 
 
-def doc_vectors(counts: DataFrame, terms: list[str], key: str, out: str = "tf") -> DataFrame:
-    """One sparse count vector per key over ``terms``."""
-    tokens = F.flatten(F.collect_list(F.array_repeat("term", F.col("n").cast("int"))))
-    per = counts.groupBy(key).agg(tokens.alias("__tokens"))
-    return CountVectorizerModel.from_vocabulary(terms, "__tokens", out).transform(per).drop("__tokens")
+def doc_vectors(counts: DataFrame, terms: list[str] | DataFrame, key: str, out: str = "tf") -> DataFrame:
+    """One sparse count vector per key over ``terms`` (a list, or the table of
+    :func:`vocabulary`): an entry per distinct term, whatever its count."""
+    spark = counts.sparkSession
+    if isinstance(terms, list):
+        terms = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, idx long")
+    size = terms.count()
+    entry = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx").cast("int").alias("i"), F.col("n").cast("double").alias("x")))
+    per = counts.join(terms, "term", "left").groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("__e"))
+
+    def vector(r):
+        return (r[0], Vectors_.sparse(size, [e["i"] for e in r[1]], [e["x"] for e in r[1]]))
+    schema = T.StructType([counts.schema[key], T.StructField(out, VectorUDT())])
+    return spark.createDataFrame(per.select(key, "__e").rdd.map(vector), schema)
 
 
 def truncated_svd(vectors: DataFrame, column: str, k: int) -> tuple[list[float], list[list[float]]]:
@@ -71,8 +83,8 @@ def topic_factors(stat: DataFrame, data: DataFrame, key: str, feature: str, k: i
     if not terms:
         raise ValueError("empty vocabulary")
     dc = sc if data is stat else cut_lineage(term_counts(data, key, feature), "terms")
-    train = cut_lineage(doc_vectors(sc, terms, key), "vectors")
-    docs = train if data is stat else doc_vectors(dc, terms, key)
+    train = cut_lineage(doc_vectors(sc, vocab, key), "vectors")
+    docs = train if data is stat else doc_vectors(dc, vocab, key)
     lda = LDA(k=k, optimizer="online", seed=seed, maxIter=max_iter, featuresCol="tf").fit(train)
     t = lda.transform(docs).withColumn("__t", vector_to_array("topicDistribution"))
     kk = min(k, len(terms))

@@ -331,6 +331,14 @@ def test_doc_vectors_and_truncated_svd(spark):
     assert np.abs(np.array(right).T) == pytest.approx(np.abs(vt[:2]), abs=1e-9)
 
 
+def test_doc_vectors_do_not_expand_counts(spark):
+    """A count that no array of tokens could hold is one entry."""
+    counts = spark.createDataFrame([(1, "a", 3_000_000_000), (1, "b", 2), (2, "z", 1)], "k int, term string, n long")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "term string, idx long")
+    rows = {r["k"]: r["tf"] for r in topics.doc_vectors(counts, vocab, "k").collect()}
+    assert rows[1].toArray().tolist() == [3e9, 2.0] and len(rows[1].indices) == 2 and rows[2].numNonzeros() == 0
+
+
 def test_split_counts_are_all_splits(train_frame):
     from pyspark.ml.classification import RandomForestClassifier
     est = RandomForestClassifier(numTrees=3, maxDepth=3, seed=1)
