@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact, langid, packing, parity, shards, suffix, tokens, toxicity, urls
+from tessera.llm import decontaminate, exact, langid, merkle, packing, parity, shards, suffix, tokens, toxicity, urls
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,63 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 100 bytes that start
     earlier, by the sparse suffix array."""
     return suffix.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
+#: What a reader finds where 7 divides the id's checksum: one more in n_chars.
+TAMPERED = {"n_chars": "cast(n_chars as decimal(20,0)) + "
+                       "cast(coalesce(pmod(crc32(cast(cast(doc_id as string) as binary)), 7) = 0, false) as int)"}
+
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({s}, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]))"""
+
+
+@query("op13_merkle_manifest", """
+WITH RECURSIVE
+crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, x:
+          CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) ORDER BY i) AS t
+        FROM range(256) r(i)),
+said AS (SELECT doc_id, lang, n_chars,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+    coalesce(strlen(text) || ':' || text, '-') AS z,
+    xor(""" + _CRC.format(s="doc_id::VARCHAR") + """, 4294967295) % 7 = 0 AS hit
+  FROM documents, crc),
+leaf0 AS (SELECT doc_id, lang,
+    sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS h,
+    sha256(a || coalesce(strlen((n_chars + hit::INT)::VARCHAR) || ':' || (n_chars + hit::INT), '-') || z) AS seen
+  FROM said),
+langs AS (SELECT lang, n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g
+  FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang) x),
+leaf AS (SELECT g, n, doc_id, h, seen, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i
+  FROM leaf0 JOIN langs ON leaf0.lang IS NOT DISTINCT FROM langs.lang),
+up AS (SELECT 0 AS lvl, g, n, i, h FROM leaf
+  UNION ALL
+  SELECT lvl + 1, g, n, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM up
+  WHERE n > (1::BIGINT << lvl) GROUP BY lvl, g, n, i // 2),
+subs AS (SELECT g, arg_max(h, lvl) AS sub, max(lvl) AS top FROM up GROUP BY g),
+up2 AS (SELECT 0 AS lvl, g AS i, sub AS h, (SELECT count(*) FROM subs) AS n FROM subs
+  UNION ALL
+  SELECT lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), n FROM up2
+  WHERE n > (1::BIGINT << lvl) GROUP BY lvl, i // 2, n),
+tip AS (SELECT arg_max(h, lvl) AS root, max(lvl) AS top FROM up2),
+steps AS (SELECT leaf.g, leaf.i, u.lvl, (leaf.i >> u.lvl) & 1 AS bit, s.h AS sib
+  FROM leaf JOIN subs USING (g) JOIN (SELECT DISTINCT lvl FROM up) u ON u.lvl < subs.top
+  LEFT JOIN up s ON s.lvl = u.lvl AND s.g = leaf.g AND s.i = xor(leaf.i >> u.lvl, 1)
+  UNION ALL
+  SELECT leaf.g, leaf.i, subs.top + u.lvl, (leaf.g >> u.lvl) & 1, s.h
+  FROM leaf JOIN subs USING (g) JOIN (SELECT DISTINCT lvl FROM up2) u ON u.lvl < (SELECT top FROM tip)
+  LEFT JOIN up2 s ON s.lvl = u.lvl AND s.i = xor(leaf.g >> u.lvl, 1)),
+folded AS (SELECT 0 AS lvl, g, i, seen AS h FROM leaf
+  UNION ALL
+  SELECT f.lvl + 1, f.g, f.i,
+    sha256(CASE WHEN s.bit = 1 THEN coalesce(s.sib, '') || f.h ELSE f.h || coalesce(s.sib, '') END)
+  FROM folded f JOIN steps s ON s.g = f.g AND s.i = f.i AND s.lvl = f.lvl),
+ended AS (SELECT g, i, arg_max(h, lvl) AS h FROM folded GROUP BY g, i),
+proofs AS (SELECT g, i, sha256(coalesce(string_agg(sib, '' ORDER BY lvl), '')) AS p FROM steps GROUP BY g, i)
+SELECT doc_id, leaf.h AS leaf, sub AS subroot, root, coalesce(p, sha256('')) AS proof_sha256, ended.h AS folded_root,
+       ended.h = root AS verified
+FROM leaf JOIN subs USING (g) JOIN ended USING (g, i) LEFT JOIN proofs USING (g, i), tip""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, checked against a
+    table tampered with."""
+    return merkle.audit(read_table(spark, sf_dir, "documents"), changed=TAMPERED)
