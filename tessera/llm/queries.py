@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact, langid, merkle, packing, parity, shards, suffix, tokens, toxicity, urls
+from tessera.llm import ctph, decontaminate, exact, langid, merkle, packing, parity, shards, suffix, tokens, toxicity, urls
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,10 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, subroot, root and proof, checked against a
     table tampered with."""
     return merkle.audit(read_table(spark, sf_dir, "documents"), changed=TAMPERED)
+
+
+@query("op12_piecewise_fingerprints")
+def op12_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, beside that of its edited text and of the
+    next document."""
+    return ctph.compare_edits(read_table(spark, sf_dir, "documents"))
