@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ctph, decontaminate, exact, langid, merkle, packing, parity, shards, suffix, tokens, toxicity, urls
+from tessera.llm import ctph, decontaminate, exact, langid, merkle, packing, parity, shards, spelling, suffix, tokens, toxicity, urls
 from tessera.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,40 @@ def op12_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, beside that of its edited text and of the
     next document."""
     return ctph.compare_edits(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling_variants", """
+WITH RECURSIVE
+crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, x:
+          CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) ORDER BY i) AS t
+        FROM range(256) r(i)),
+found AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+          FROM documents),
+runs AS (SELECT doc_id, w, count(*) AS k FROM found GROUP BY doc_id, w),
+bytes AS (SELECT doc_id, w, k, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+    lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+                    ELSE [192 + unicode(ch) // 64, 128 + unicode(ch) % 64] END)) AS b FROM runs),
+summed AS (SELECT w, k, xor(list_reduce(list_concat([4294967295::BIGINT], b),
+    lambda c, x: xor(c >> 8, crc.t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, k
+        FROM summed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+holes AS (SELECT word, i, left(word, i) AS l, substr(word, i + 2) AS r FROM (SELECT word, unnest(range(length(word)))::INT AS i FROM words) x),
+shorter AS (SELECT DISTINCT holes.word AS a, words.word AS b FROM holes JOIN words ON words.word = l || r),
+near AS (SELECT x.word AS a, y.word AS b FROM holes x JOIN holes y ON x.l = y.l AND x.r = y.r AND x.word <> y.word
+  UNION SELECT a, b FROM shorter UNION SELECT b, a FROM shorter),
+best AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b, max(n) AS m
+  FROM near JOIN words ON words.word = near.b GROUP BY a),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN b END AS form,
+  CASE WHEN m >= 10 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
+steps AS (SELECT word, word AS at, 0 AS d FROM forms
+  UNION ALL SELECT steps.word, forms.form, d + 1 FROM steps JOIN forms ON forms.word = steps.at WHERE forms.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(at, d) AS root FROM steps GROUP BY word) s USING (word)""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents (some with a code point deleted), the near word that
+    each is a variant of, and the root of that."""
+    runs = spelling.runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_len=7)
+    words = (spelling.with_typos(runs.select("doc_id", "run"), "doc_id").groupBy(F.col("run").alias("word"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    return spelling.variants(words, ratio=10, min_len=7, min_count=2)
