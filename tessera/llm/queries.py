@@ -198,9 +198,9 @@ best AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b,
   FROM near JOIN words ON words.word = near.b GROUP BY a),
 forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN b END AS form,
   CASE WHEN m >= 10 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
-steps AS (SELECT word, word AS at, 0 AS d FROM forms
-  UNION ALL SELECT steps.word, forms.form, d + 1 FROM steps JOIN forms ON forms.word = steps.at WHERE forms.form IS NOT NULL)
-SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(at, d) AS root FROM steps GROUP BY word) s USING (word)""")
+steps AS (SELECT word, word AS here, 0 AS d FROM forms
+  UNION ALL SELECT steps.word, forms.form, d + 1 FROM steps JOIN forms ON forms.word = steps.here WHERE forms.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(here, d) AS root FROM steps GROUP BY word) s USING (word)""")
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents (some with a code point deleted), the near word that
     each is a variant of, and the root of that."""

@@ -15,15 +15,17 @@ number of a word's grams that end within q code points in a row.  (A gram cut
 off by the word's end may grow when something is appended: that is one gram,
 ending at the last code point, which a replacement there affects as well.)
 
-A pair of near words so has all grams in common but for each word's bound, and
-with one order for all grams, rare ones first, the first ``bound + 1`` grams of
-both words have one in common.  Only these lists are merged.  A common gram is
-at the same position, or is shifted by the difference in length if it stands
-behind the edit, so position and lengths are part of the join key: "scheme" L
-is for pairs whose shorter word has L code points.  Its grams have at most
+So a gram and another that ends q or more code points behind it are never both
+affected: every near word has one of the two.  For each word only the lists of
+two such grams are merged, the pair that is rarest in the dictionary.  A common
+gram is at the same position, or is shifted by the difference in length if it
+stands behind the edit, so position and lengths are part of the join key:
+"scheme" L is for pairs whose shorter word has L code points, which looks up
+its two grams in the lists of all grams of the others.  Grams have at most
 L // 2, which keeps the first and the last gram of a word out of reach of one
-edit: no word is without a bound.  Candidates are verified by their edit
-distance in the condition of the join, so that only near words come out.
+edit: no word is without such a pair.  Candidates are verified in the condition
+of the join, first by the parities of their letters, of which an edit changes
+two at most, then by their edit distance, so that only near words come out.
 """
 
 from __future__ import annotations
@@ -75,34 +77,35 @@ def decompose(word: str, frequent: dict[str, int], longest: int) -> list[tuple[i
     return out
 
 
-def affected(grams: list[tuple[int, str]], longest: int) -> int:
-    """How many of a word's grams one edit affects at most: the largest number
-    that end within ``longest`` code points in a row."""
+def out_of_reach(grams: list[tuple[int, str]], frequent: dict[str, int], longest: int) -> list[tuple[int, str]]:
+    """The rarest two of a word's grams that one edit does not both affect."""
+    cost = [frequent.get(g, 0) for _, g in grams]
     ends = [p + len(g) for p, g in grams]
-    most = j = 0
-    for i, e in enumerate(ends):
-        while e - ends[j] >= longest:
-            j += 1
-        most = max(most, i - j + 1)
-    return most
+    pairs = [(cost[i] + cost[j], i, j) for i in range(len(grams)) for j in range(i + 1, len(grams))
+             if ends[j] - ends[i] >= longest]
+    _, i, j = min(pairs)
+    return [grams[i], grams[j]]
 
 
-def merged(word: str, frequent: dict[str, int], longest: int) -> list[tuple[int, str]]:
-    """The grams whose lists are merged for a word: the rarest, one more than
-    an edit affects."""
-    grams = decompose(word, frequent, longest)
-    rare = sorted(grams, key=lambda g: (frequent.get(g[1], 0), -len(g[1]), g[1], g[0]))
-    return rare[:affected(grams, longest) + 1]
-
-
-def keys_of(word: str, frequent: dict[str, int]) -> tuple[list[int], list[int]]:
-    """The word's join keys as one of its own length's scheme, and as the
-    longer word of the scheme below."""
+def keys_of(word: str, frequent: dict[str, int]) -> tuple[list[int], list[int], list[int]]:
+    """Join keys: of the two grams that the word looks up as the shorter one
+    of a pair (or one of two equally long ones), and of the lists that it is
+    in for words of its own length and for words of one code point less."""
     key = lambda scheme, p, g: xxhash.xxh3_64_intdigest(f"{scheme},{p},{g}") - (1 << 63)
     n = len(word)
-    own = [key(n, p, g) for p, g in merged(word, frequent, _longest(n))]
-    below = {key(n - 1, q, g) for p, g in merged(word, frequent, _longest(n - 1)) for q in (p, p - 1) if q >= 0}
-    return own, list(below)
+    grams = decompose(word, frequent, _longest(n))
+    up = decompose(word, frequent, _longest(n - 1))
+    return ([key(n, p, g) for p, g in out_of_reach(grams, frequent, _longest(n))],
+            [key(n, p, g) for p, g in grams],
+            list({key(n - 1, q, g) for p, g in up for q in (p, p - 1) if q >= 0}))
+
+
+def letter_parities(word: str) -> int:
+    """64 bits, each the parity of the number of the letters that fall on it."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << (ord(c) * 0x9E3779B1 >> 7) % 64
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def gram_dictionary(words: DataFrame) -> dict[str, int]:
@@ -126,21 +129,23 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     def index(batches):
         known = frequent.value
+        keys = pa.list_(pa.int64())
         for b in batches:
             for i in range(0, b.num_rows, 2048):
                 s = b.slice(i, 2048)
-                own, below = zip(*[keys_of(w, known) for w in s["word"].to_pylist()])
+                words = s["word"].to_pylist()
+                looked, same, longer = zip(*[keys_of(w, known) for w in words])
                 yield pa.RecordBatch.from_pydict({
-                    "word": s["word"], "n": s["n"], "own": pa.array(own, pa.list_(pa.int64())),
-                    "below": pa.array(below, pa.list_(pa.int64()))})
-
-    lists = cut_lineage(words.select("word", "n").mapInArrow(index, "word string, n long, own array<long>, below array<long>"),
-                        "gram-lists")
-    own = lists.select(F.explode("own").alias("k"), "word", "n")
-    longer = lists.select(F.explode("below").alias("k"), "word", "n")
-    a = own.toDF("k", "a", "n_a")
-    b = own.withColumn("longer", F.lit(False)).union(longer.withColumn("longer", F.lit(True))).toDF("k", "b", "n_b", "longer")
-    return (a.join(b, "k").filter((F.col("longer") | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
+                    "word": s["word"], "n": s["n"], "bits": pa.array(map(letter_parities, words), pa.int64()),
+                    "looked": pa.array(looked, keys), "same": pa.array(same, keys), "longer": pa.array(longer, keys)})
+
+    lists = cut_lineage(words.select("word", "n").mapInArrow(
+        index, "word string, n long, bits long, looked array<long>, same array<long>, longer array<long>"), "gram-lists")
+    of = lambda keys, *more: lists.select(F.explode(keys).alias("k"), "word", "n", "bits", *more)
+    a = of("looked").toDF("k", "a", "n_a", "bits_a")
+    b = (of("same", F.lit(False)).union(of("longer", F.lit(True)))).toDF("k", "b", "n_b", "bits_b", "longer")
+    alike = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 2
+    return (a.join(b, "k").filter(alike & (F.col("longer") | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
             .select("a", "n_a", "b", "n_b").distinct())
 
 

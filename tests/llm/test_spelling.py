@@ -63,7 +63,7 @@ def edits(r, w, letters):
 
 
 @pytest.mark.parametrize("letters, share", [("ab", 0.9), ("ab", 0.5), ("abcd", 0.3), ("abcdefghé\U0001F600", 0.1)])
-def test_an_edit_affects_no_more_grams_than_the_bound(letters, share):
+def test_an_edit_affects_only_grams_within_reach(letters, share):
     r = random.Random(len(letters))
     for _ in range(1500):
         w = "".join(r.choice(letters) for _ in range(r.randrange(7, 16)))
@@ -77,10 +77,14 @@ def test_an_edit_affects_no_more_grams_than_the_bound(letters, share):
         for a, b in ((w, v), (v, w)):
             mine, other, d = spelling.decompose(a, frequent, q), spelling.decompose(b, frequent, q), len(b) - len(a)
             kept = [g for g in mine if g in other or (g[0] + d, g[1]) in other]
-            assert len(mine) - len(kept) <= spelling.affected(mine, q) < len(mine)
+            ends = [p + len(g) for p, g in mine if (p, g) not in kept]
+            assert not ends or max(ends) - min(ends) < q
+            assert set(spelling.out_of_reach(mine, frequent, q)) & set(kept)
         (s, l) = sorted((w, v), key=len)
-        own, below = spelling.keys_of(l, frequent)
-        assert set(spelling.keys_of(s, frequent)[0]) & set(own if len(s) == len(l) else below)
+        _, same, longer = spelling.keys_of(l, frequent)
+        assert set(spelling.keys_of(s, frequent)[0]) & set(same if len(s) == len(l) else longer)
+        assert (spelling.letter_parities(s) ^ spelling.letter_parities(l)).bit_count() <= 2 or \
+            ((spelling.letter_parities(s) ^ spelling.letter_parities(l)) % 2 ** 64).bit_count() <= 2
 
 
 def test_variants_match_brute_force(spark, monkeypatch):
