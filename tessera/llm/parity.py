@@ -16,18 +16,22 @@ below.  A block without elements says nothing; each scheme has a few blocks
 more than the pigeonhole needs, and only a set with more empty blocks than
 that writes keys for empty ones.
 
-A second sketch, one parity bit per slot of 512, bounds the symmetric
+A second sketch, one parity bit per slot of 2048, bounds the symmetric
 difference of a candidate pair from below by its Hamming distance before the
-sets themselves are compared.
+sets themselves are compared.  The bound is the difference itself unless
+elements share slots, and then it decides the pair, as the sizes are known.
 
 What is wanted is the connected components of the links.  Sets that are
 equal are one node from the start.  The rows of a join key are then not
 paired with each other but with the smallest node of the key; pairs already
 known to be connected are never compared.  What is left are rows that share
 a key but not a component.  Their sketches are compared in tiles of at most
-2 TILE rows, a key of more rows being dealt out over tiles, and only the
-pairs that the sketches allow come out, so that no link is lost and no task
-holds more than a tile.
+2 TILE rows, a key of more rows being dealt out over tiles.  A tile joins its
+components as it finds pairs that the sketches allow and gives out only these
+joins, fewer than it has rows, however many of its pairs are close.  They are
+verified; where one fails, the tile took components as joined that may not be,
+so its key is compared again, with sketches four times as wide, until none
+fails.  No link is lost and no task holds more than a tile.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 from tessera.llm.base import components, if_small, keep_ids, mix, per_batch, shingle_set, spread_key
 from tessera.session import cut_lineage
 
-BITS = 512
+BITS = 2048
 TILE = 1500
 
 
@@ -87,13 +91,13 @@ def block_keys(elements: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def parity_bits(elements: np.ndarray) -> np.ndarray:
-    """512 parity bits as 8 signed 64-bit integers."""
-    odd = np.bincount((elements >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1
+def parity_bits(elements: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """So many parity bits (a multiple of 64) as signed 64-bit integers."""
+    odd = np.bincount((elements >> np.uint64(24)).astype(np.int64) % bits, minlength=bits).astype(np.uint8) & 1
     return np.packbits(odd).view(np.int64)
 
 
-def _sketches(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def _sketches(docs: DataFrame, words: int, num: int, den: int, width: int) -> DataFrame:
     def sketch(b):
         n, x, s, keys, bits = [], [], [], [], []
         for t in b["text"]:
@@ -102,7 +106,7 @@ def _sketches(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             x.append(np.bitwise_xor.reduce(e) if len(e) else 0)
             s.append(mix(e).sum() if len(e) else 0)
             keys.append(block_keys(e, num, den).view(np.int64))
-            bits.append(parity_bits(e))
+            bits.append(parity_bits(e, width))
         signed = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
         return {"id": b["id"], "n": pa.array(n, pa.int64()), "f1": signed(x), "f2": signed(s),
                 "bits": pa.array(bits, pa.list_(pa.int64())), "keys": pa.array(keys, pa.list_(pa.int64()))}
@@ -120,13 +124,14 @@ def _near(a: str, b: str, num: int, den: int):
             & (apart * (den + num) <= (na + nb) * (den - num)))
 
 
-def _tiles(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``(a, b)`` of rows ``(k, v, c, n, bits)`` with one key ``k`` and
-    different components ``c`` that sizes and sketches allow.
+def _tiles(rows: DataFrame, num: int, den: int, tile: int) -> DataFrame:
+    """Pairs ``(k, a, b)`` that sizes and sketches allow of rows ``(k, v, c,
+    n, bits)`` with one key ``k``; taken as links, they join the components
+    ``c`` of each tile that any of its allowed pairs joins.
 
-    The rows of a key with g rows are dealt into m = ceil(g / TILE) parts and
+    The rows of a key with g rows are dealt into m = ceil(g / tile) parts and
     each row goes to the m tiles that its part forms with every part."""
-    m = F.ceil(F.count(F.lit(1)) / F.lit(TILE)).cast("int")
+    m = F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int")
     sizes = cut_lineage(rows.groupBy("k").agg(m.alias("m")), "tile-sizes")
     large = if_small(sizes.filter("m > 1"))
     part = F.pmod(F.xxhash64("v", F.lit(5)), F.col("m")).cast("int")
@@ -136,22 +141,23 @@ def _tiles(rows: DataFrame, num: int, den: int) -> DataFrame:
             .toDF("k", "p", "q", "own", "v", "c", "n", "bits"))
     few = (rows.join(large, "k", "left_anti")
            .select("k", *[F.lit(0).alias(x) for x in ("p", "q", "own")], "v", "c", "n", "bits"))
-    dealt = few.union(many).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
+    dealt = few.union(many).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q", "v")
 
-    def close(v, c, n, bits, own, p, q):
-        """Allowed pairs of a tile: across its two parts, or within the one."""
+    def joins(v, c, n, bits, own, p, q):
+        """The joins of a tile: across its two parts, or within the one."""
+        c = c.copy()
         left = np.flatnonzero(own == p)
         right = left if p == q else np.flatnonzero(own == q)
         for i in left:
-            # within one part each pair comes once
-            with_ = right[right > i] if p == q else right
-            with_ = with_[c[with_] != c[i]]
-            both = n[with_] + n[i]
+            with_ = right[c[right] != c[i]]
             with_ = with_[np.minimum(n[with_], n[i]) * den >= np.maximum(n[with_], n[i]) * num]
-            both = n[with_] + n[i]
             apart = np.bitwise_count(bits[with_] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            for j in with_[apart * (den + num) <= both * (den - num)]:
+            with_ = with_[apart * (den + num) <= (n[with_] + n[i]) * (den - num)]
+            others, first = np.unique(c[with_], return_index=True)
+            for j in with_[first]:
                 yield (v[i], v[j]) if v[i] < v[j] else (v[j], v[i])
+            if len(others):
+                c[np.isin(c, others)] = c[i]
 
     def run(batches):
         rest = None
@@ -164,21 +170,22 @@ def _tiles(rows: DataFrame, num: int, den: int) -> DataFrame:
             at = np.r_[0, 1 + np.flatnonzero((k[1:] != k[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])), len(k)]
             # the last tile may go on in the next batch
             stop = len(at) - 1 if batch is None else len(at) - 2
-            pairs = [x for i, j in zip(at[:stop], at[1:]) for x in
-                     close(v[i:j], c[i:j], n[i:j], bits[i:j], own[i:j], p[i], q[i])]
+            found = [(k[i], *x) for i, j in zip(at[:stop], at[1:]) for x in
+                     joins(v[i:j], c[i:j], n[i:j], bits[i:j], own[i:j], p[i], q[i])]
             rest = [x[at[stop]:] for x in rest]
-            if pairs:
-                ab = np.unique(np.array(pairs, np.int64), axis=0)
-                yield pa.RecordBatch.from_pydict({"a": ab[:, 0], "b": ab[:, 1]})
+            if found:
+                kab = np.array(found, np.int64)
+                yield pa.RecordBatch.from_pydict({"k": kab[:, 0], "a": kab[:, 1], "b": kab[:, 2]})
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "k long, a long, b long")
 
 
 def _chunks(batches):
     for b in batches:
         if b.num_rows:
             cols = [b.column(i).to_numpy() for i in range(7)]
-            yield [*cols, b.column(7).flatten().to_numpy().reshape(b.num_rows, -1)]
+            # unsigned: numpy counts the bits of the absolute value
+            yield [*cols, b.column(7).flatten().to_numpy().reshape(b.num_rows, -1).view(np.uint64)]
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -202,6 +209,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int)
     return both.select("a", "b", "ta", "tb").mapInArrow(per_batch(check), "a long, b long")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """``rows`` with the second join key ``s`` (see :func:`spread_key`) to ``k``."""
+    return rows.withColumn("s", spread_key("k"))
+
+
+def _apart(members: DataFrame, label: DataFrame) -> DataFrame:
+    """The written rows ``(k, v, c)`` of keys that have rows of more than one
+    component."""
+    named = cut_lineage(members.join(label.toDF("v", "c"), "v", "left").select("k", "v", F.coalesce("c", "v").alias("c")), "named")
+    split = named.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("k")
+    return cut_lineage(_spread(named).join(_spread(split), ["k", "s"], "left_semi").drop("s"), "apart")
+
+
+def _wider(docs: DataFrame, ids: DataFrame, words: int, width: int) -> DataFrame:
+    """``(v, n, bits)`` with ``width`` parity bits of the rows of some ids
+    (a written table), from the whole texts."""
+    def sketch(b):
+        sets = [shingle_set(t.as_py(), words) for t in b["text"]]
+        return {"v": b["id"], "n": pa.array(map(len, sets), pa.int64()),
+                "bits": pa.array([parity_bits(e, width) for e in sets], pa.list_(pa.int64()))}
+
+    return cut_lineage(keep_ids(docs, ids, "id").mapInArrow(per_batch(sketch), "v long, n long, bits array<long>")
+                       .distinct(), "wider")
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                    num: int = 9, den: int = 10) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles`` (distinct shingles of
@@ -215,7 +247,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    all_rows = cut_lineage(_sketches(docs, words, num, den), "sketches")
+    all_rows = cut_lineage(_sketches(docs, words, num, den, BITS), "sketches")
     sets = all_rows.filter("n > 0 and id is not null")
     same = ["n", "f1", "f2"]
     # nodes: the smallest id of each group of equal sets
@@ -225,8 +257,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = node_rows.select("v", F.explode("keys").alias("k"))
     shared = cut_lineage(keys.groupBy("k").agg(F.min("v").alias("a"), F.max("v").alias("z"), F.count(F.lit(1)).alias("c"))
                          .filter("a < z"), "shared")
-    members = cut_lineage(keys.join(shared.filter("c > 2").select("k", "a", spread_key("k").alias("s")),
-                                    ["k"]).select("k", "a", "v"), "members")
+    members = cut_lineage(_spread(keys).join(_spread(shared.filter("c > 2").select("k", "a")), ["k", "s"])
+                          .select("k", "a", "v"), "members")
     stars = (shared.filter("c = 2").select("a", F.col("z").alias("b"))
              .union(members.filter("a <> v").select("a", F.col("v").alias("b"))).distinct())
     size_bits = node_rows.select("v", "n", "bits")
@@ -251,15 +283,23 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = cut_lineage(links.union(_verified(rest, docs, words, num, den)), "links")
         label = components(links)
     # rows that share a key and are still apart
-    named = members.join(label.toDF("v", "c"), "v", "left").select("k", "v", F.coalesce("c", "v").alias("c"))
-    named = cut_lineage(named, "named")
-    split = named.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("k")
-    apart = cut_lineage(named.join(split.withColumn("s", spread_key("k")), "k", "left_semi"), "apart")
-    pairs = _tiles(apart.join(size_bits, "v").select("k", "v", "c", "n", "bits"), num, den)
-    pairs = cut_lineage(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    if pairs.limit(1).count():
-        links = cut_lineage(links.union(_verified(pairs, docs, words, num, den)), "links")
+    width, tile = BITS, TILE
+    apart = _apart(members, label)
+    bits = size_bits
+    while apart.limit(1).count():
+        found = cut_lineage(_tiles(apart.join(bits, "v").select("k", "v", "c", "n", "bits"), num, den, tile), "joins")
+        pairs = cut_lineage(found.select("a", "b").distinct(), "pairs")
+        if not pairs.limit(1).count():
+            break
+        new = cut_lineage(_verified(pairs, docs, words, num, den), "verified")
+        links = cut_lineage(links.union(new), "links")
         label = components(links)
+        failed = cut_lineage(found.join(pairs.exceptAll(new.distinct()), ["a", "b"], "left_semi").select("k").distinct(), "failed")
+        if not failed.limit(1).count():
+            break
+        apart = _apart(_spread(members).join(_spread(failed), ["k", "s"], "left_semi"), label)
+        width, tile = 4 * width, max(tile // 2, 2)
+        bits = _wider(docs, cut_lineage(apart.select("v").distinct(), "wider"), words, width)
     group = (nodes.join(label.toDF("node", "c"), "node", "left")
              .select(*same, F.coalesce("c", "node").alias("c"), spread_key(*same).alias("s")))
     linked = (sets.select("id", *same, spread_key(*same).alias("s")).join(group, [*same, "s"])

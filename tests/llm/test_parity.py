@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tessera.llm import parity
@@ -77,10 +78,39 @@ def test_linked_sets_share_a_key(num, den):
                 assert np.intersect1d(parity.block_keys(np.unique(a), num, den), parity.block_keys(b, num, den)).size
 
 
+@pytest.mark.parametrize("bits, tile", [(64, 40), (64, 5), (2048, 1500)])
+def test_large_families_of_close_texts(spark, monkeypatch, bits, tile):
+    """Texts around one base, most of them too far apart to be linked; narrow
+    sketches allow many pairs that fail."""
+    monkeypatch.setattr(parity, "BITS", bits)
+    monkeypatch.setattr(parity, "TILE", tile)
+    r = random.Random(7)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(220):
+        t = list(base)
+        for _ in range(r.choice([1, 2, 2, 3])):
+            t[r.randrange(len(t))] = f"e{r.randrange(10 ** 6)}"
+        rows.append((i, " ".join(t)))
+    want = brute(rows, 3, 9, 10)
+    assert 20 < len({c for _, _, c in want}) < 220
+    got = sorted(tuple(x) for x in parity.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == want
+
+
+def test_a_tile_gives_fewer_pairs_than_rows(spark):
+    """A family of 3,000 close rows: what comes out grows with the rows, not
+    with their pairs."""
+    df = spark.range(3000).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("v"), F.col("id").alias("c"),
+                                  F.lit(200).cast("long").alias("n"), F.array_repeat(F.lit(0).cast("long"), 32).alias("bits"))
+    out = parity._tiles(df, 9, 10, 1500).collect()
+    assert 2999 <= len(out) < 3 * 3000
+
+
 def test_parity_bits_bound_the_difference():
     a = shingle_set(" ".join(f"x{i}" for i in range(300)), 3)
     b = shingle_set(" ".join(f"x{i}" for i in range(20, 310)), 3)
-    apart = np.unpackbits((parity.parity_bits(a) ^ parity.parity_bits(b)).view(np.uint8)).sum()
+    apart = np.bitwise_count((parity.parity_bits(a) ^ parity.parity_bits(b)).view(np.uint64)).sum()
     assert 0 < apart <= len(np.setxor1d(a, b))
 
 
