@@ -3,9 +3,9 @@
 Folds are a pure function of the row key and a seed (md5 of ``key:seed``),
 so they are reproducible across runs and executors and need no driver-side
 index lists.  Stratified folds deal rows round-robin inside each class in
-hash order; the in-class position comes from ``keys.ordinal_within``, so a
-dominant class is ranked through the range-sorted global position rather
-than in a single task.
+hash order; the in-class position comes from the rank index of ``keys``, so a
+dominant class is numbered in as many parts as it fills rather than in a
+single task.
 """
 
 from __future__ import annotations

@@ -3,13 +3,16 @@ dummies (A7, A8, A18, A24).
 
 Bin numbers are 1-based and right-closed like ``pd.cut``/``pd.qcut``:
 ``bin = 1 + #(inner edges < x)``; null stays null.  Equal-frequency edges
-are exact linear-interpolated quantiles, from running counts of the distinct
-values (equal values collapse before the shuffle, no single task sees all
-values) or, opt-in, ``percentile_approx``.
+are exact linear-interpolated quantiles by multi-selection (a mergeable
+sketch brackets every order statistic, a second aggregate counts between the
+brackets and keeps the values inside them) or, opt-in, the sketch's own
+``percentile_approx``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,27 +52,49 @@ def equal_width_edges(df: DataFrame, column: str, k: int) -> DataFrame:
 def quantile_edges(df: DataFrame, column: str, k: int, exact: bool = True,
                    accuracy: int = 10000) -> DataFrame:
     """1-row frame with ``edges``: the quantiles 0, 1/k, …, 1 of the non-null
-    values, linear interpolation between order statistics (as ``qcut``)."""
+    values, linear interpolation between order statistics (as ``qcut``); null
+    edges without values.
+
+    Exact in two scans.  The first takes the sketch of ``percentile_approx``,
+    whose ranks are off by n / accuracy at most; values at three times that
+    before and behind a quantile bracket its two order statistics.  The second
+    counts the values between the brackets, and the distinct ones inside them
+    (some 6 k / accuracy of the rows), whose running counts give the ranks."""
     qs = [j * (1.0 / k) for j in range(k)] + [1.0]
     x = F.col(column).cast("double")
     if not exact:
         return df.agg(F.percentile_approx(x, qs, accuracy).alias("edges"))
     vals = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    c = vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.lit(0).alias("all"))
-    c = ordinal_within(c, ["all"], [F.col("x")], "before", weight="c")
-    n = vals.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    c = attach_scalar(c, n, "st")
+    at = [min(max(q + d * 3.0 / accuracy, 0.0), 1.0) for q in qs for d in (-1, 1)]
+    # one row of 2 (k + 1) numbers
+    n, marks = vals.agg(F.count(F.lit(1)), F.percentile_approx("x", at, accuracy)).first()
+    if not n:
+        return df.sparkSession.range(1).select(F.array(*[F.lit(None).cast("double")] * (k + 1)).alias("edges"))
+    if n <= 2 * accuracy:
+        inside, slot = F.col("x"), F.lit(0)
+    else:
+        ends: list[list[float]] = []
+        for lo, hi in zip(marks[::2], marks[1::2]):
+            if ends and not lo > ends[-1][1]:
+                ends[-1][1] = max(ends[-1][1], hi)
+            else:
+                ends.append([lo, hi])
+        # odd inside a bracket, even between them
+        passed = [c.cast("int") for lo, hi in ends for c in (F.col("x") >= lo, F.col("x") > hi)]
+        slot = sum(passed[1:], passed[0])
+        inside = F.when(F.pmod(slot, F.lit(2)) == 1, F.col("x"))
+    c = vals.groupBy(slot.alias("slot"), inside.alias("x")).agg(F.count(F.lit(1)).alias("c"), F.lit(0).alias("all"))
+    c = ordinal_within(c, ["all"], [F.col("slot"), F.col("x")], "before", weight="c")
 
     def order_statistic(at):  # the smallest value with more than `at` values up to it
         return F.min(F.when(F.col("before") + F.col("c") > at, F.col("x")))
 
     stats, edges = [], []
     for j, q in enumerate(qs):
-        h = (F.col("st.n") - 1) * F.lit(q)
-        stats += [order_statistic(F.floor(h)).alias(f"lo{j}"), order_statistic(F.floor(h) + 1).alias(f"hi{j}"),
-                  F.max(h - F.floor(h)).alias(f"f{j}")]
-        lo, hi, frac = F.col(f"lo{j}"), F.col(f"hi{j}"), F.col(f"f{j}")
-        edges.append(F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac))
+        h = (float(n) - 1) * q
+        stats += [order_statistic(math.floor(h)).alias(f"lo{j}"), order_statistic(math.floor(h) + 1).alias(f"hi{j}")]
+        lo, hi, frac = F.col(f"lo{j}"), F.col(f"hi{j}"), h - math.floor(h)
+        edges.append(lo if frac == 0 else lo + (hi - lo) * frac)
     return c.agg(*stats).select(F.array(*edges).alias("edges"))
 
 

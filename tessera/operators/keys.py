@@ -8,14 +8,15 @@ key costs one row per map task) and attached back with a join of two shuffled
 sides, which AQE turns into a broadcast when the statistics are small at
 runtime and whose hot partition it splits otherwise (:func:`join_back`).
 Order-dependent work (ranks, shifts, first/last, running totals) goes through
-:func:`ordinal_within`, which cuts the keys with a large share of the rows
-into ordered pieces.  It plans one query and runs no job by itself.
+a written rank index (:func:`rank_index`): rows range-partitioned by key and
+order, numbered within (key, part), and for the few keys that go on from one
+part to the next the rows of their earlier parts.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,70 +125,88 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
              .drop(pid, loc, off))
 
 
-#: A key with more than one in HOT_SHARE of all rows is cut into about PIECES
-#: pieces.  At most HOT_SHARE keys can be, so tables about them are bounded
-#: (HOT_SHARE x PIECES rows) and broadcast.
-HOT_SHARE = 1024
-PIECES = 64
-
-_SORT = re.compile(r"Column<'(.*?)(?: (ASC|DESC) NULLS (FIRST|LAST))?'>", re.S)
-_NEGATABLE = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "boolean")
-
-
-def _sort_value(df: DataFrame, order: Sequence[Column]) -> Column:
-    """A struct that is ascending in ``order``, of its leading columns whose
-    direction a struct can express (descending text ends it)."""
-    types, parts = dict(df.dtypes), [F.lit(0)]
-    for o in order:
-        m = _SORT.fullmatch(str(o))
-        name = m[1].strip("`") if m else None
-        if name not in types or types[name].startswith(("map", "array", "struct")):
-            break
-        down, nulls_first = m[2] == "DESC", m[3] != "LAST"
-        v = F.col(name)
-        if down:
-            t = types[name]
-            if t not in _NEGATABLE and not t.startswith("decimal"):
-                break
-            v = F.unix_date(v) if t == "date" else F.unix_micros(v) if t == "timestamp" else v.cast("int") if t == "boolean" else v
-            v = -(v.cast("decimal(38,0)") if t in ("bigint", "timestamp") else v)
-        parts += [(F.col(name).isNotNull() if nulls_first else F.col(name).isNull()).cast("int"), v]
-    return F.struct(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
+class RankIndex(NamedTuple):
+    """A written table of rows dealt out by ranges of (key, order).
 
+    ``rows`` has the input's columns and ``part``, the number of the range;
+    every row of a part comes before every row of the next one.  ``carried``
+    has a row per (key, part) that continues a key of earlier parts: the rows
+    (or the weight) of the key in these, ``before``, and its ``last`` part.
+    Ranges are in the order of the keys, so that at most one key goes on from
+    a part to the next: ``carried`` has fewer rows than there are parts."""
 
-def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                   name: str = "ordinal", weight: str | None = None) -> DataFrame:
-    """0-based row number within each key in ``order`` (columns, possibly with
-    a direction, that should end in a unique one); with ``weight``, the sum of
-    that column over the earlier rows of the key instead.
+    rows: DataFrame
+    carried: DataFrame
+    keys: list[str]
+    order: list[Column]
+    part: str
 
-    A key with a large share of the rows (see HOT_SHARE) is cut into pieces
-    at sampled values of its order; every row of a piece precedes every row of
-    the next.  Rows are numbered by a window over (key, piece), and the sizes
-    of the earlier pieces of the key are added.  Other keys are one piece.
-    Null keys form a group.
-    """
+    def window(self):
+        """A key's rows of one part, in order."""
+        return Window.partitionBy(*self.keys, self.part).orderBy(*self.order)
+
+    def with_carried(self, rows: DataFrame, before: str) -> DataFrame:
+        """``rows`` with column ``before``: what the key's earlier parts have."""
+        few = self.carried.select(*self.keys, self.part, F.col("before").alias(before))
+        out = join_on(rows, F.broadcast(few), [*self.keys, self.part], "left")  # under one row per part
+        return out.withColumn(before, F.coalesce(before, F.lit(0)))
+
+
+def rank_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], weight: str | None = None) -> RankIndex:
+    """The rank index of ``df``: one scan and one shuffle by ranges, as many
+    as there are shuffle partitions with rows, so that parts grow in number
+    with the rows and a key of any share of them is cut into as many as it
+    fills.  Written once: rows and part sizes are read from the same parts."""
     keys = as_list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    v, n, total, cuts, piece, size, off = tmp_names(df, "v", "n", "total", "cuts", "piece", "size", "off")
-    d = df.withColumn(v, _sort_value(df, order))
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
-    hot = (counts.withColumn(total, counts.agg(F.sum(n).alias(total)).scalar())
-           .filter(F.col(n) * HOT_SHARE > F.col(total)).drop(total))
-    sampled = (join_on(d.select(*keys, v), F.broadcast(hot), keys, "inner")
-               .filter(F.pmod(F.xxhash64(v), F.floor(F.col(n) / PIECES) + 1) == 0))
-    cut_at = sampled.groupBy(*keys).agg(F.sort_array(F.collect_set(v)).alias(cuts))
-    p = join_on(d, F.broadcast(cut_at), keys, "left")
-    p = p.withColumn(piece, F.coalesce(F.size(F.filter(F.col(cuts), lambda c: c < F.col(v))), F.lit(0)))
+    (part,) = tmp_names(df, "part")
+    rows = cut_lineage(df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *order)
+                       .withColumn(part, F.spark_partition_id()), "rank-index")
     each = F.lit(1) if weight is None else F.col(weight)
-    sizes = p.filter(F.col(cuts).isNotNull()).groupBy(*keys, piece).agg(F.sum(each).alias(size))
-    earlier = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, piece, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(off))
-    p = join_on(p.drop(v, cuts), F.broadcast(offsets), [*keys, piece], "left")
-    w = Window.partitionBy(*keys, piece).orderBy(*order)
+    sizes = rows.groupBy(*keys, part).agg(F.sum(each).alias("size"))
+    # at most as many rows of a key as there are parts
+    key_parts = Window.partitionBy(*keys).orderBy(part)
+    carried = sizes.select(*keys, part, F.sum("size").over(key_parts.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    return RankIndex(rows, carried.filter("before is not null"), keys, order, part)
+
+
+def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                   name: str = "ordinal", weight: str | None = None) -> DataFrame:
+    """0-based row number within each key in ``order`` (columns, possibly with
+    a direction, that should end in a unique one); with ``weight``, the sum of
+    that column over the earlier rows of the key instead.  Null keys form a
+    group.  Rows are numbered within the parts of a :func:`rank_index`."""
+    (off,) = tmp_names(df, "off")
+    index = rank_index(df, keys, order, weight)
+    w = index.window()
     inner = (F.row_number().over(w) - 1 if weight is None else
              F.coalesce(F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return p.withColumn(name, (inner + F.coalesce(off, F.lit(0))).cast("bigint")).drop(piece, off)
+    p = index.with_carried(index.rows.withColumn(name, inner), off)
+    return p.withColumn(name, (F.col(name) + F.col(off)).cast("bigint")).drop(index.part, off)
+
+
+def lag_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, n: int,
+               name: str) -> DataFrame:
+    """``value`` of the row ``n`` places earlier (n > 0) or later (n < 0) of
+    the same key as column ``name``, null where there is none: ``lag`` within
+    the parts of a :func:`rank_index`, and for the first ``n`` rows of a part
+    that continues a key the last ``n`` before it, which are carried over (at
+    most ``n`` rows for each part of the table)."""
+    index = rank_index(df, keys, order)
+    keys = index.keys
+    at, off, has, got = tmp_names(df, "at", "off", "has", "got")
+    w = index.window()
+    moved_by = (lambda c: F.lag(c, n)) if n >= 0 else (lambda c: F.lead(c, -n))
+    p = index.rows.withColumns({at: F.row_number().over(w) - 1, has: moved_by(F.lit(1)).over(w), name: moved_by(value).over(w)})
+    p = index.with_carried(p, off).withColumn(at, F.col(at) + F.col(off))
+    # the places of a key that rows on the other side of one of its cuts look for
+    cut = F.col("before")
+    places = F.sequence(cut - n, cut - 1) if n > 0 else F.sequence(cut, cut - n - 1) if n < 0 else F.array()
+    wanted = index.carried.select(*keys, F.explode(places.cast("array<bigint>")).alias(at)).distinct()
+    seen = join_on(p.select(*keys, at, F.col(value).alias(got)), F.broadcast(wanted), [*keys, at], "inner")
+    found = seen.select(*keys, (F.col(at) + n).alias(at), got)
+    out = join_on(p.withColumn(at, F.when(F.col(has).isNull(), F.col(at))), F.broadcast(found), [*keys, at], "left")
+    return out.withColumn(name, F.when(F.col(has).isNull(), F.col(got)).otherwise(F.col(name))).drop(at, off, has, got, index.part)
 
 
 def with_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

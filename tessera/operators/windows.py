@@ -1,8 +1,8 @@
 """Per-group standardisation, normalisation, ranks and shifts.
 
 Whole-group statistics are partial aggregates joined back; order-dependent
-results (ranks, lag/lead, n-th from first/last) come from the in-key ordinal
-of ``keys.ordinal_within``, which spreads a hot key over many tasks instead
+results (ranks, lag/lead, n-th from first/last) come from the written rank
+index of ``keys``, which cuts a hot key into as many parts as it fills instead
 of one window partition.  Rows with a null key get the pandas ``groupby`` result
 for a dropped group (0 / ``start`` for the scalers, null otherwise).
 """
@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import any_null, as_list, join_back, ordinal_within, tmp_names, with_group_count
+from tessera.operators.keys import any_null, as_list, join_back, lag_within, ordinal_within, tmp_names, with_group_count
+from tessera.session import cut_lineage
 
 
 def grp_standard(df: DataFrame, key: str | Sequence[str], names: Sequence[str], drop: bool = False) -> DataFrame:
@@ -54,15 +55,25 @@ def grp_rank(df: DataFrame, key: str | Sequence[str], names: Sequence[str], tieb
              ascending: bool = True, suffix: str = "_rank") -> DataFrame:
     """0-based position of each row within its key ordered by the value
     (nulls last, ties by ``tiebreak``); one ``<name><suffix>`` per column;
-    null for a null key."""
-    keys = as_list(key)
-    out = df
-    for n in as_list(names):
-        v = F.col(n).asc_nulls_last() if ascending else F.col(n).desc_nulls_last()
-        order = [v] + [F.col(t) for t in as_list(tiebreak)]
-        out = ordinal_within(out, keys, order, f"{n}{suffix}")
+    null for a null key.
+
+    Several columns: the rows are written once with a row number, each column
+    is ranked as a narrow table of keys, value and ties, and the ranks are
+    joined to the rows by the number; the input is read once however many
+    columns are ranked."""
+    keys, names, ties = as_list(key), as_list(names), as_list(tiebreak)
+    row, v = tmp_names(df, "row", "v")
+    rows = df if len(names) < 2 else cut_lineage(df.withColumn(row, F.monotonically_increasing_id()), "ranked-rows")
+    out = rows
+    for n in names:
+        order = [F.col(v).asc_nulls_last() if ascending else F.col(v).desc_nulls_last(), *[F.col(t) for t in ties]]
+        if len(names) == 1:
+            out = ordinal_within(rows.withColumn(v, F.col(n)), keys, order, f"{n}{suffix}").drop(v)
+        else:
+            narrow = rows.select(*dict.fromkeys([*keys, *ties, row]), F.col(n).alias(v))
+            out = out.join(ordinal_within(narrow, keys, order, f"{n}{suffix}").select(row, f"{n}{suffix}"), row)
         out = out.withColumn(f"{n}{suffix}", F.when(~any_null(keys), F.col(f"{n}{suffix}")))
-    return out
+    return out.drop(row)
 
 
 def group_rank(df: DataFrame, keys: Sequence[str], value: str, tiebreak: Sequence[str],
@@ -74,26 +85,15 @@ def group_rank(df: DataFrame, keys: Sequence[str], value: str, tiebreak: Sequenc
     return out.withColumn(name, F.when(~any_null(keys), F.col(name)))
 
 
-def _shifted(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str,
-             n: int, name: str) -> DataFrame:
-    """``value`` of the row ``n`` places earlier (n > 0) or later (n < 0) in
-    the same key, as column ``name`` (null when there is none or the key is
-    null): an equi-join on (keys, in-key ordinal), which spreads a hot key
-    over the join's partitions."""
-    keys = as_list(keys)
-    (o,) = tmp_names(df, "ord")
-    p = ordinal_within(df, keys, order, o)
-    src = p.select(*keys, (F.col(o) + F.lit(n)).alias(o), F.col(value).alias(name))
-    return p.join(src, on=keys + [o], how="left").drop(o)
-
-
 def diff_prev(df: DataFrame, keys: Sequence[str], value: str, n: int, order: Sequence[Column | str],
               name: str | None = None) -> DataFrame:
-    """``value - value n rows earlier`` within the key (pandas ``shift(n)``)."""
+    """``value - value n rows earlier`` (n < 0: later) within the key (pandas
+    ``shift(n)``); null where there is none or the key is null."""
+    keys = as_list(keys)
     name = name or f"{value}_diff{n}"
     (prev,) = tmp_names(df, "prev")
-    out = _shifted(df, keys, order, value, n, prev)
-    return out.withColumn(name, F.col(value) - F.col(prev)).drop(prev)
+    out = lag_within(df, keys, order, value, n, prev)
+    return out.withColumn(name, F.when(~any_null(keys), F.col(value) - F.col(prev))).drop(prev)
 
 
 def _nth_from_end(data: DataFrame, stat: DataFrame, keys: Sequence[str], order: Sequence[Column | str],

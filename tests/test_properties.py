@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.ml import folds, models, topics
-from tessera.operators import aggs, bins, keys, metrics, mine, relate
+from tessera.operators import aggs, bins, keys, metrics, mine, relate, windows
 
 
 @pytest.fixture(scope="module")
@@ -55,30 +55,94 @@ def test_ordinal_within_weights_and_directions(skewed):
         assert a == {r["id"]: r["rn"] for r in want.collect()}
 
 
-def test_hot_key_is_cut_into_pieces(spark, skewed):
-    p = keys.ordinal_within(skewed, ["k"], [F.col("v"), F.col("id")], "o")
+def test_parts_of_a_hot_key_grow_with_its_rows(spark):
+    """A key with a third of the rows fills as many parts as the rows need, and
+    few rows carry its earlier parts."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        parts = p.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        for parts in (8, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+            index = keys.rank_index(df, ["k"], ["id"])
+            hot = index.rows.filter("k = -1").groupBy(index.part).count().collect()
+            assert len(hot) >= parts // 3 and max(r["count"] for r in hot) < 2 * 30_000 / parts
+            assert index.carried.count() < parts
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(parts) >= 6 and max(r["count"] for r in parts) < 500  # 1000 rows, 8 partitions
 
 
-def test_no_job_while_a_plan_is_built(spark):
-    import __spark_entry__ as entry
-    q = entry.queries()
-    sf = "/root/testdata/sf0.001"
+def test_ranks_of_odd_values_equal_row_number(spark):
+    """NaN, infinities, the smallest integers, null keys, expressions as order."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(None if i % 11 == 0 else i % 3, [nan, -inf, inf, -0.0, 0.0, None, 1.5][i % 7] if i % 2 else float(i),
+             [-2 ** 31, 2 ** 31 - 1, 0, None][i % 4], [-128, 127, 0][i % 3], i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, d double, n int, t int, id int").withColumn("t", F.col("t").cast("tinyint"))
+    for order in ([F.col("d").desc(), "id"], [F.col("d"), F.col("id").desc()], [F.col("n").desc(), "id"],
+                  [F.col("t").desc_nulls_first(), F.col("id")], [(F.col("id") * -2).desc()], [F.col("id").cast("string").desc()]):
+        w = Window.partitionBy("k").orderBy(*order)
+        want = {r["id"]: (r["a"], r["b"], r["c"]) for r in df.withColumns(
+            {"a": F.row_number().over(w) - 1, "b": F.lag("n", 3).over(w), "c": F.lead("d", 2).over(w).cast("string")}).collect()}
+        got = keys.ordinal_within(df, ["k"], order, "a")
+        got = keys.lag_within(got, ["k"], order, "n", 3, "b")
+        got = keys.lag_within(got, ["k"], order, "d", -2, "c")
+        assert {r["id"]: (r["a"], r["b"], r["c"] if r["c"] is None else str(r["c"]).replace("inf", "Infinity").replace("nan", "NaN"))
+                for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("n", [1, 4, 700, -1, -5, 0])
+def test_lag_across_parts_of_a_hot_key(skewed, n):
+    w = Window.partitionBy("k").orderBy("v", "id")
+    want = {r["id"]: r["x"] for r in skewed.withColumn("x", F.lag("id", n).over(w) if n >= 0 else F.lead("id", -n).over(w)).collect()}
+    got = keys.lag_within(skewed, ["k"], ["v", "id"], "id", n, "x")
+    assert got.columns == skewed.columns + ["x"]
+    assert {r["id"]: r["x"] for r in got.collect()} == want
+
+
+def _leaves(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_input_is_read_once_whatever_the_number_of_columns(spark, skewed, tmp_path):
+    """The source is scanned while the index is written; the plan that is left
+    reads written tables, and grows by a constant for each ranked column."""
+    skewed.withColumns({"x": F.col("v") * 2, "y": -F.col("v")}).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    leaves = []
+    for names in (["v"], ["v", "x"], ["v", "x", "y"]):
+        out = windows.grp_rank(df, "k", names, ["id"])
+        assert out.columns == df.columns + [f"{c}_rank" for c in names]
+        leaves.append(_leaves(out))
+        for c in names:
+            rn = Window.partitionBy("k").orderBy(F.col(c).asc_nulls_last(), "id")
+            want = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(rn) - 1).collect()}
+            assert {r["id"]: r[f"{c}_rank"] for r in out.collect()} == want
+    assert leaves[2] - leaves[1] <= 3 and leaves[0] <= 3
+
+
+def test_quantiles_of_many_values_by_two_scans(spark):
+    """More values than the sketch keeps, half of them equal."""
+    df = spark.range(90_000).select(F.when(F.col("id") % 2 == 0, 7.0).otherwise(F.pmod(F.hash("id"), F.lit(10 ** 6)) / 7.0).alias("x"))
+    x = np.array([r.x for r in df.collect()])
+    for k in (4, 10):
+        got = bins.quantile_edges(df, "x", k, accuracy=2000).first()["edges"]
+        want = np.quantile(x, [j / k for j in range(k)] + [1.0])
+        assert np.allclose(got, want, rtol=1e-12, atol=0)
+    assert bins.quantile_edges(df.limit(0), "x", 3).first()["edges"] == [None] * 4
+
+
+def test_no_job_while_a_plan_is_built(spark, skewed):
+    """Operators without ordered work; a rank index is written when they are called."""
     seen = lambda: set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
-    for t in ("events", "orders", "lineitem", "customer"):
-        spark.read.parquet(f"{sf}/{t}.parquet")
-    for name in ("diff_prev", "grp_rank", "nth_from_last", "nth_from_first", "trend_per_key", "stratified_folds",
-                 "ratio_features", "mine_pair_lookup", "groupby_join", "qcut_bins", "rate_equal_freq", "sorted_output"):
-        before = seen()
-        df = q[name](spark, sf)
-        jobs = len(seen() - before)
-        scans = df._jdf.queryExecution().analyzed().toString().count("Relation [")
-        assert jobs <= scans, name  # schema reads only
+    before = seen()
+    aggs.group_stats(skewed, ["k"], "v", ["mean", "max"])
+    aggs.count_encoding(skewed, "k", "n")
+    aggs.pair_association(skewed, ["k"], ["v"])
+    windows.grp_standard(skewed, "k", ["v", "id"])
+    mine.mine_pair_lookup(skewed, ["v", "id"], min_count=1)
+    bins.equal_width_bins(skewed, "v", 5)
+    assert seen() == before
 
 
 @pytest.mark.parametrize("name", ["group_size", "distinct_pairs", "group_stats", "group_deviation", "groupby_join",
