@@ -77,3 +77,25 @@ def test_stack_table_roundtrip(spark):
                          StructField("class_1", DoubleType())])
     r = C.load_stack_table(spark, path, "user_id", "m1_", schema).first()
     assert r["m1_class_0"] == 0.1235 and r["m1_class_1"] == 0.8765
+
+
+def test_a_named_table_is_reused_until_plan_or_input_change(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tessera.sources.store import materialize, plan_fingerprint
+    src, root = str(tmp_path / "src"), str(tmp_path / "tables")
+    rows = spark.range(50).select("id", (F.col("id") % 5).alias("k"), *[F.lit(i).alias(f"c{i}") for i in range(40)])
+    rows.write.parquet(src)
+    made = lambda c=7: spark.read.parquet(src).groupBy("k").agg(F.sum(F.col("id") * c).alias("s"), F.max("c39").alias("m"))
+    files = lambda: sorted(str(f.relative_to(root)) + str(f.stat().st_mtime_ns) for f in (tmp_path / "tables").rglob("*.parquet"))
+    first = sorted(tuple(r) for r in materialize(made(), "t", root).collect())
+    kept = files()
+    assert sorted(tuple(r) for r in materialize(made(), "t", root).collect()) == first
+    assert files() == kept  # read, not written
+    assert sorted(tuple(r) for r in materialize(made(8), "t", root).collect()) != first
+    assert len(files()) > len(kept)
+    next((tmp_path / "tables").rglob("_SUCCESS")).unlink()  # a run that was lost before its commit
+    assert sorted(tuple(r) for r in materialize(made(), "t", root).collect()) == first
+    rows.filter("id < 10").write.mode("append").parquet(src)
+    assert sorted(tuple(r) for r in materialize(made(), "t", root).collect()) != first
+    assert plan_fingerprint(spark.createDataFrame([(1,)], "a int")) is None
+    assert plan_fingerprint(made().withColumn("u", F.udf(lambda x: x, "long")("s"))) is None
