@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.rows import argmax
 from tessera.operators.keys import attach_scalar, tmp_names
+from tessera.session import cut_lineage
 
 
 def smape(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -60,17 +61,19 @@ def f1_threshold(df: DataFrame, p: str, name: str = "pred") -> DataFrame:
     The walk rises while p is at least the ratio so far, so it stops at the
     largest p below the ratio's maximum.  The maximum is the fixed point of
     ``r = sum(p >= r) / (count(p >= r) + sum of all p)``, which is reached
-    from below in a few rounds: a one-row aggregate each, no sort.
+    from below in a few rounds: a one-row aggregate each, no sort, over the
+    one column, which is written once.
     """
-    v = F.col(p).cast("double")
-    total = df.agg(F.sum(v)).first()[0] or 0.0
+    scores = cut_lineage(df.select(F.col(p).alias("p")), "scores")
+    v = F.col("p").cast("double")
+    total = scores.agg(F.sum(v)).first()[0] or 0.0
     r, n = 0.0, None
     while True:
-        st = df.agg(F.sum(F.when(v >= r, v)).alias("s"), F.count(F.when(v >= r, 1)).alias("n")).first()
+        st = scores.agg(F.sum(F.when(v >= r, v)).alias("s"), F.count(F.when(v >= r, 1)).alias("n")).first()
         if not st["n"] or st["n"] == n or st["n"] + total == 0:
             break
         n, r = st["n"], st["s"] / (st["n"] + total)
-    th = df.agg(F.coalesce(F.max(F.when(v < r, F.col(p))), F.min(p)).alias("threshold"))
+    th = scores.agg(F.coalesce(F.max(F.when(v < r, F.col("p"))), F.min("p")).alias("threshold"))
     (t,) = tmp_names(df, "t")
     out = attach_scalar(df, th, t)
     return out.withColumn(name, F.coalesce(F.col(p) > F.col(f"{t}.threshold"), F.lit(False)).cast("int")).drop(t)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rows import row_nunique
-from tessera.operators.keys import join_on
+from tessera.operators.keys import join_back, join_on
 
 
 def ordered_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
@@ -99,10 +99,11 @@ def lookup_most(df: DataFrame, lookup: DataFrame, cols: Sequence[str], suffix: s
                 key: str = "first", value: str = "second") -> DataFrame:
     """Left-join the mined lookup on each column in turn: ``<col><suffix>``.
 
-    The lookup has one row per key; AQE broadcasts it when small at runtime.
+    The lookup has one row per key; AQE broadcasts it when small at runtime
+    and splits a hot value's rows otherwise (see ``keys.join_back``).
     """
     lk = lookup.select(key, value)
     out = df
     for c in cols:
-        out = out.join(lk.withColumnsRenamed({key: c, value: f"{c}{suffix}"}), on=c, how="left")
+        out = join_back(out, lk.withColumnsRenamed({key: c, value: f"{c}{suffix}"}), [c])
     return out
