@@ -8,9 +8,11 @@ each voter's rates in both classes and the correlations between voters, and
 gives every vote pattern a posterior.  A linear classifier over words and
 word beginnings is trained on the posterior labels and scores every text.
 
-The fit takes a bounded sample (``MAX_LABELLED`` and ``MAX_PLAIN`` rows, near
-copies left out); counting runs in Spark, and what comes to the driver is
-bounded by the sample and by ``MAX_FEATURES``.
+The label model and the choice of features count all training rows, in Spark.
+Bounded samples, dealt by class, are taken for the mined lexicons
+(``MAX_LABELLED`` labelled rows) and for the final classifier (``MAX_ROWS``
+rows).  What comes to the driver is bounded by these, by the number of vote
+patterns and by ``MAX_FEATURES``.
 """
 
 from __future__ import annotations
@@ -20,15 +22,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.base import mix, per_batch, shingle_set
+from tessera.llm.base import SLICE, if_small, mix, per_batch, shingle_set, windows
 from tessera.session import cut_lineage
 
 MAX_LABELLED = 12_000
-MAX_PLAIN = 6_000
+MAX_ROWS = 18_000
 MAX_FEATURES = 20_000
 MINED_VOTERS = 10
 THRESHOLD = 0.7
@@ -197,137 +200,243 @@ class Model:
 DEFAULT = Model({"0:lexicon": 4.0}, -2.5)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, max_labelled: int, max_plain: int) -> DataFrame:
-    """``(text, toxic)`` with null labels for plain rows, near copies (one of
-    three minima of the hashes of their 3-word shingles the same) left out."""
-    gold = labels.dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    gold = cut_lineage(gold, "gold")
-    u = lambda seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    # at most max_labelled rows but for the spread of a binomial count
-    gold = F.broadcast(gold.filter(u(3) < min(1.0, max_labelled / max(gold.count(), 1))))
-    texts = docs.select("doc_id", "text").filter("text is not null")
-    marked = texts.join(gold, "doc_id").select("text", "toxic")
-    plain = (texts.filter(u(4) < min(1.0, max_plain / max(docs.count(), 1))).join(gold, "doc_id", "left_anti")
-             .select("text", F.lit(None).cast("int").alias("toxic")))
+def _signature(text: str | None) -> int:
+    """Three minima of the hashes of a text's 3-word shingles, as one number:
+    near copies mostly have the same one, other texts that share a passage
+    hardly ever."""
+    h = shingle_set(text, 3)
+    if not len(h):
+        return 0
+    low = np.array([mix(h ^ np.uint64(k * 77 + 1)).min() for k in range(3)])
+    return int(windows(low, 3)[0] >> np.uint64(1))
+
+
+def _uniform(seed: int, col: str):
+    return F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def _labelled(docs: DataFrame, gold: DataFrame, most: int) -> DataFrame:
+    """``(text, q)`` of at most about ``most`` labelled rows, toxic ones first
+    (up to half of ``most``); of texts with one signature one stays, toxic
+    if one is."""
+    n = {r["toxic"]: r["count"] for r in gold.groupBy("toxic").count().collect()}
+    toxic = min(n.get(1, 0), most // 2)
+    part = {1: toxic / max(n.get(1, 0), 1), 0: min(1.0, (most - toxic) / max(n.get(0, 0), 1))}
+    share = F.when(F.col("toxic") == 1, part[1]).otherwise(part[0])
+    # at most `most` rows but for the spread of a binomial count
+    few = F.broadcast(gold.filter(_uniform(3, "doc_id") < share))
 
     def signed(b):
-        out = [[], [], []]
-        for t in b["text"].to_pylist():
-            h = shingle_set(t, 3)
-            for k in range(3):
-                out[k].append(int(mix(h ^ np.uint64(k * 77 + 1)).min() >> np.uint64(1)) if len(h) else k)
-        return {"text": b["text"], "toxic": b["toxic"], **{f"s{k}": pa.array(out[k], pa.int64()) for k in range(3)}}
-
-    both = marked.union(plain).mapInArrow(per_batch(signed), "text string, toxic int, s0 long, s1 long, s2 long")
-    for k in range(3):  # a labelled row before a plain one
-        first = F.min_by(F.struct("text", "toxic", "s0", "s1", "s2"),
-                         F.struct(F.col("toxic").isNull(), F.xxhash64("text"), F.col("toxic")))
-        both = both.groupBy(F.col(f"s{k}").alias("g")).agg(first.alias("r")).select("r.*")
-    return cut_lineage(both.select("text", "toxic"), "sample")
-
-
-def _telling_features(rows: DataFrame) -> list[str]:
-    """Features that tell toxic rows of ``(text, q)`` apart, surest first, at
-    most MAX_FEATURES: at least half of their rows' mass is q, and the
-    log-likelihood ratio against the overall share of q exceeds what chance
-    yields among as many features as are tested."""
-    total = rows.agg(F.sum("q").alias("q"), F.count(F.lit(1)).alias("n")).first()
-    share = float(np.clip((total["q"] or 0) / max(total["n"], 1), 1e-6, 0.5))
-
-    def count(b):
-        pos, n = {}, {}
-        for t, q in zip(b["text"].to_pylist(), b["q"].to_pylist()):
-            words, counts = word_set(t), {}
-            for w in words:
-                for f in features(w):
-                    counts[f] = counts.get(f, 0) + 1
-            for f in leveled(counts, len(words)):
-                pos[f] = pos.get(f, 0.0) + q
-                n[f] = n.get(f, 0) + 1
-        return {"f": list(n), "pos": pa.array([pos[f] for f in n], pa.float64()), "n": pa.array(list(n.values()), pa.int64())}
-
-    c = rows.mapInArrow(per_batch(count), "f string, pos double, n long").groupBy("f")
-    c = cut_lineage(c.agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")), "features")
-    sure = F.col("pos") / F.col("n")
-    rest = F.col("n") - F.col("pos")
-    ratio = 2 * (F.col("pos") * F.log(sure / share)
-                 + F.when(rest > 1e-9, rest * F.log((1 - sure) / (1 - share))).otherwise(0.0))
-    least = 2 * np.log(max(c.count(), 1)) + 6
-    return [r["f"] for r in c.filter((sure >= 0.5) & (ratio >= least)).withColumn("ratio", ratio)
+        return {"text": b["text"], "toxic": b["toxic"],
+                "s": pa.array([_signature(t) for t in b["text"].to_pylist()], pa.int64())}
+
+    rows = (docs.join(few, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+            .mapInArrow(per_batch(signed), "text string, toxic int, s long"))
+    one = rows.groupBy("s").agg(F.max(F.struct("toxic", "text")).alias("r"))
+    return cut_lineage(one.select("r.text", F.col("r.toxic").cast("double").alias("q")), "labelled")
+
+
+class Marked:
+    """The features whose hash is marked in a bitmap of fixed size: those
+    sought, and some others (which cost a row each, and no result)."""
+
+    bits = 1 << 23
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    @classmethod
+    def at(cls, feature: str) -> int:
+        return xxhash.xxh3_64_intdigest(feature.encode("utf-8", "surrogatepass")) % cls.bits
+
+    @classmethod
+    def of(cls, table: DataFrame) -> Marked:
+        """From the column ``h`` of a table; at most ``bits / 32`` rows are
+        collected."""
+        got = (table.groupBy(F.shiftright("h", 5).alias("at"))
+               .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 31 as int))")).alias("m")).collect())
+        words = np.zeros(cls.bits // 32, np.uint32)
+        for r in got:
+            words[r["at"]] = r["m"]
+        return cls(words)
+
+    def __contains__(self, feature: str) -> bool:
+        at = self.at(feature)
+        return bool(self.words[at >> 5] >> np.uint32(at & 31) & np.uint32(1))
+
+
+def _counts(rows: DataFrame, known: Marked | None = None) -> DataFrame:
+    """``(f, n, h)``: in how many rows of ``text`` a feature occurs, and the
+    place of its hash; of the marked features, or of all."""
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        seek = shared.value
+        stems = None if seek is None else Stems(seek)
+        for b in batches:
+            n = {}
+            for t in b.column(0).to_pylist():
+                if stems is None:
+                    words, counts = word_set(t), {}
+                    for w in words:
+                        for f in features(w):
+                            counts[f] = counts.get(f, 0) + 1
+                    got = leveled(counts, len(words))
+                else:
+                    got = stems.of(t)
+                for f in got:
+                    n[f] = n.get(f, 0) + 1
+            yield pa.RecordBatch.from_pydict({"f": pa.array(list(n), pa.string()),
+                                              "n": pa.array(list(n.values()), pa.int64()),
+                                              "h": pa.array([Marked.at(f[2:]) for f in n], pa.int64())})
+
+    c = rows.select("text").mapInArrow(run, "f string, n long, h long")
+    return c.groupBy("f").agg(F.sum("n").alias("n"), F.min("h").alias("h"))
+
+
+def _telling_features(pos: DataFrame, neg: DataFrame, n_pos: int, n_neg: int) -> list[str]:
+    """Features that tell the texts ``pos`` from the texts ``neg``, surest
+    first, at most MAX_FEATURES: at least half of a feature's rows are in
+    ``pos``, and the log-likelihood ratio against the share of ``pos`` exceeds
+    what chance yields among as many features as ``pos`` has.
+
+    Only features of ``pos`` can be such, and only those in so many of its
+    rows that they would exceed it without any row of ``neg``; these alone are
+    counted in ``neg``."""
+    if not n_pos:
+        return []
+    share = float(np.clip(n_pos / (n_pos + n_neg), 1e-6, 0.5))
+    found = cut_lineage(_counts(pos), "features")
+    least = 2 * np.log(max(found.count(), 1)) + 6
+    able = cut_lineage(found.filter(-2 * np.log(share) * F.col("n") >= float(least)), "candidates")
+    other = _counts(neg, Marked.of(able)).select("f", F.col("n").alias("rest"))
+    c = able.join(other, "f", "left").withColumn("rest", F.coalesce("rest", F.lit(0)))
+    sure = F.col("n") / (F.col("n") + F.col("rest"))
+    ratio = 2 * (F.col("n") * F.log(sure / share)
+                 + F.when(F.col("rest") > 0, F.col("rest") * F.log((1 - sure) / (1 - share))).otherwise(0.0))
+    return [r["f"] for r in c.filter((sure >= 0.5) & (ratio >= float(least))).withColumn("ratio", ratio)
             .orderBy(F.col("ratio").desc(), "f").limit(MAX_FEATURES).collect()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_plain: int = MAX_PLAIN) -> Model:
-    """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of
-    training rows.  Null texts and labels teach nothing; a doc_id labelled
-    twice counts as toxic if one label says so.  Without any training text
-    the fixed lexicons decide."""
-    sample = _sample(docs, labels, max_labelled, max_plain)
-    gold = sample.filter("toxic is not null").select("text", F.col("toxic").cast("double").alias("q"))
-    stats = gold.agg(F.avg("q"), F.count(F.lit(1))).first()
-    share, rows = stats[0] or 0.05, stats[1]
-    mined = [f for f in _telling_features(gold) if f != "0:lexicon"] if rows else []
-    groups = {f: i % MINED_VOTERS for i, f in enumerate(mined)}
-    lexicons, patterns = list(LEXICONS), [re.compile(p) for p in PATTERNS.values()]
-    voters = lexicons + list(PATTERNS) + [f"mined_{k}" for k in range(MINED_VOTERS)]
-
-    stems = stems_of(mined)
-
-    def mask(text: str) -> int:
-        v, low = 0, len(lexicons) + len(patterns)
-        for w in word_set(text):
-            f = features(w)
-            if f[-1] == "lexicon":
-                v |= 1 << lexicons.index(FIXED[f[0][1:]])
-        for x in stems.of(text):
-            if x in groups:
-                v |= 1 << (low + groups[x])
-        for k, p in enumerate(patterns):
-            if p.search(text if k == 3 else text.lower()):
-                v |= 1 << (len(lexicons) + k)
+class Voters:
+    """The votes of a text as bits: lexicons, patterns, mined lexicons."""
+
+    def __init__(self, mined: list[str]):
+        self.names = list(LEXICONS) + list(PATTERNS) + [f"mined_{k}" for k in range(MINED_VOTERS)]
+        self.bit = {f: 1 << (len(LEXICONS) + len(PATTERNS) + i % MINED_VOTERS) for i, f in enumerate(mined)}
+        self.lexicon = {w: 1 << list(LEXICONS).index(name) for w, name in FIXED.items()}
+        self.patterns = [re.compile(p) for p in PATTERNS.values()]
+        self.stems = stems_of(mined)
+        self.stems.known |= {"=" + w for w in FIXED}
+
+    def mask(self, text: str) -> int:
+        v, counts, words = 0, {}, word_set(text)
+        for t in filter(None, map(self.stems.__getitem__, words)):
+            for f in t:
+                counts[f] = counts.get(f, 0) + 1
+                if f[0] == "=":
+                    v |= self.lexicon.get(f[1:], 0)
+        for x in leveled(counts, len(words)):
+            v |= self.bit.get(x, 0)
+        low = text.lower()
+        # what every match of a pattern holds is looked for before the pattern
+        may = ("u are " in low or "u r " in low, "shut " in low or "go to hell" in low or "get lost" in low,
+               " will " in low, True)
+        for k, (p, possible) in enumerate(zip(self.patterns, may)):
+            if possible and p.search(text if k == 3 else low):
+                v |= 1 << (len(LEXICONS) + k)
         return v
 
-    def vote(b):
-        return {"text": b["text"], "toxic": b["toxic"], "v": pa.array([mask(t) for t in b["text"].to_pylist()], pa.int64())}
 
-    voted = cut_lineage(sample.mapInArrow(per_batch(vote), "text string, toxic int, v long"), "votes")
-    patterns_seen = voted.groupBy("v", "toxic").count().orderBy("v", "toxic").collect()
-    if not patterns_seen:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_rows: int = MAX_ROWS) -> Model:
+    """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of
+    training rows.  Null texts and labels teach nothing; a doc_id labelled
+    twice counts as toxic if one label says so.  Without any training text
+    the fixed lexicons decide.
+
+    All rows vote, and the label model sees the votes of all texts (of texts
+    with one signature one, a labelled one before others).  The features are
+    counted over all rows: those whose posterior is half or more (one a
+    signature) against the rest."""
+    spark = docs.sparkSession
+    docs = docs.select("doc_id", "text").filter("text is not null")
+    gold = labels.dropna().groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    gold = cut_lineage(gold, "gold")
+    marked = _labelled(docs, gold, max_labelled)
+    n = {r["q"]: r["count"] for r in marked.groupBy("q").count().collect()}
+    mined = [f for f in _telling_features(marked.filter("q = 1"), marked.filter("q = 0"), n.get(1.0, 0), n.get(0.0, 0))
+             if f != "0:lexicon"]
+    shared = spark.sparkContext.broadcast(mined)
+
+    def vote(batches):
+        voters = Voters(shared.value)
+        for b in batches:
+            for i in range(0, b.num_rows, SLICE):
+                part = b.slice(i, SLICE)
+                texts = part.column(1).to_pylist()
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": part.column(0), "text": part.column(1),
+                    "s": pa.array([_signature(t) for t in texts], pa.int64()),
+                    "v": pa.array([voters.mask(t) for t in texts], pa.int64())})
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("s", T.LongType()), T.StructField("v", T.LongType())])
+    voted = cut_lineage(docs.mapInArrow(vote, schema), "votes")
+    known = voted.select("doc_id", "s", "v").join(gold, "doc_id", "left")
+    first = F.min(F.struct(F.col("toxic").isNull().alias("open"), "v", "toxic"))
+    seen = (known.groupBy("s").agg(first.alias("r")).groupBy(F.col("r.v").alias("v"), F.col("r.toxic").alias("toxic"))
+            .count().orderBy("v", "toxic").collect())  # at most 3 x 2^voters rows
+    if not seen:
         return DEFAULT
-    v = np.array([r["v"] for r in patterns_seen], np.int64)
-    n = np.array([r["count"] for r in patterns_seen], float)
-    votes = (v[:, None] >> np.arange(len(voters)) & 1).astype(int)
-    known = np.array([np.nan if r["toxic"] is None else r["toxic"] for r in patterns_seen], float)
-    label_model = fit_label_model(votes, n, share, known)
-    post = dict(zip(v.tolist(), label_model.posterior(votes).tolist()))
-
-    def soft(b):
-        return {"text": b["text"], "q": pa.array([post[x] for x in b["v"].to_pylist()], pa.float64())}
-
-    soft_rows = voted.select("text", "v").mapInArrow(per_batch(soft), "text string, q double")
-    chosen = _telling_features(soft_rows)
+    names = Voters([]).names
+    v = np.array([r["v"] for r in seen], np.int64)
+    count = np.array([r["count"] for r in seen], float)
+    votes = (v[:, None] >> np.arange(len(names)) & 1).astype(int)
+    truth = np.array([np.nan if r["toxic"] is None else r["toxic"] for r in seen], float)
+    told = ~np.isnan(truth)
+    share = float(count[told & (truth == 1)].sum() / count[told].sum()) if told.any() else 0.05
+    label_model = fit_label_model(votes, count, share or 0.05, truth)
+    # a pattern of rows that are all copies of others is in no representative
+    kinds = np.array([r["v"] for r in voted.select("v").distinct().collect()], np.int64)
+    q_of = label_model.posterior((kinds[:, None] >> np.arange(len(names)) & 1).astype(int))
+    table = if_small(cut_lineage(spark.createDataFrame([(int(a), float(q)) for a, q in zip(kinds, q_of)],
+                                                       "v long, q double"), "posteriors"))
+    soft = voted.join(table, "v").select("text", "s", "q")
+    high = cut_lineage(soft.filter("q >= 0.5").groupBy("s").agg(F.max(F.struct("q", "text")).alias("r"))
+                       .select("s", "r.q", "r.text"), "high")
+    n_high, n_all = high.count(), float(count.sum())
+    n_low = max(n_all - n_high, 0.0)
+    chosen = _telling_features(high, soft.filter("q < 0.5"), n_high, n_low)
     if "0:lexicon" not in chosen:
         chosen.append("0:lexicon")
+
+    # the classifier: about max_rows rows at most, half of them of high posterior
+    part = min(1.0, max_rows / 2 / max(n_high, 1))
+    rest = min(1.0, (max_rows - min(n_high, max_rows / 2)) / max(n_low, 1))
+    low = (soft.filter((F.col("q") < 0.5) & (_uniform(4, "s") < rest)).groupBy("s")
+           .agg(F.max(F.struct("q", "text")).alias("r")).select("r.q", "r.text", F.lit(1 / rest).alias("weight")))
+    sample = high.filter(_uniform(4, "s") < part).select("q", "text", F.lit(1 / part).alias("weight")).union(low)
     number = {f: i for i, f in enumerate(chosen)}
     telling = stems_of(chosen)
 
     def sparse(b):
         at = [[number[f] for f in telling.of(t) if f in number] for t in b["text"].to_pylist()]
-        return {"q": b["q"], "at": pa.array(at, pa.list_(pa.int32()))}
+        return {"q": b["q"], "weight": b["weight"], "at": pa.array(at, pa.list_(pa.int32()))}
 
-    table = soft_rows.mapInArrow(per_batch(sparse), "q double, at array<int>").toPandas()
-    w, bias = _logistic(table["q"].to_numpy(), table["at"].tolist(), len(chosen))
-    return Model({f: float(x) for f, x in zip(chosen, w) if x}, bias, label_model, voters)
+    rows = sample.mapInArrow(per_batch(sparse), "q double, weight double, at array<int>").toPandas()
+    w, bias = _logistic(rows["q"].to_numpy(), rows["at"].tolist(), len(chosen), rows["weight"].to_numpy())
+    return Model({f: float(x) for f, x in zip(chosen, w) if x}, bias, label_model, names)
 
 
-def _logistic(q: np.ndarray, at: list, size: int, steps: int = 300, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+def _logistic(q: np.ndarray, at: list, size: int, weight: np.ndarray, steps: int = 300,
+              l2: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights (not below 0: every feature was chosen for toxicity) and bias
-    of a logistic regression on soft labels, by accelerated descent.  Toxic
+    of a logistic regression on soft labels, by accelerated descent.  A row
+    stands for ``weight`` rows.  Toxic
     rows together weigh up to five times what their number says."""
     own = np.repeat(np.arange(len(q)), [len(a) for a in at])
     col = np.concatenate([np.asarray(a, np.int64) for a in at]) if len(own) else np.zeros(0, np.int64)
-    mass = max(q.sum(), 1e-9)
-    row_weight = q * min(5.0, (len(q) - mass) / mass) + (1 - q)
+    mass = max((q * weight).sum(), 1e-9)
+    row_weight = weight * (q * min(5.0, (weight.sum() - mass) / mass) + (1 - q))
     row_weight /= row_weight.sum()
     w, b = np.zeros(size), -2.0
     sw, sb = np.zeros(size) + 1e-8, 1e-8
