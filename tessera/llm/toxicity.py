@@ -78,8 +78,12 @@ LEVELS = ((1, 0.0), (2, 0.005), (3, 0.01), (4, 0.02))
 
 def leveled(counts: dict[str, int], words: int) -> list[str]:
     """The levels that a text's features reach, as ``level:feature``."""
-    return [f"{i}:{f}" for f, n in counts.items() for i, (k, share) in enumerate(LEVELS)
-            if n >= k and n >= share * words and (i == 0 or f[0] != "=")]
+    out = []
+    for f, n in counts.items():
+        out.append("0:" + f)
+        if n > 1 and f[0] != "=":
+            out += [f"{i}:{f}" for i, (k, share) in enumerate(LEVELS) if i and n >= k and n >= share * words]
+    return out
 
 
 class Stems(dict):
@@ -107,6 +111,23 @@ class Stems(dict):
         return leveled(counts, len(words)) if counts else []
 
 
+class Beginnings(Stems):
+    """As ``Stems`` where all beginnings of a known word or beginning are
+    known too: one that is not ends the search."""
+
+    def __missing__(self, word: bytes) -> tuple:
+        w = word.decode("utf-8", "replace").lower()
+        out = ["lexicon"] if w in FIXED and "lexicon" in self.known else []
+        for f in [f"{k}{w[:k]}" for k in (4, 5, 6) if len(w) >= k] + ["=" + w]:
+            if f not in self.known:
+                break
+            out.append(f)
+        t = tuple(out)
+        if len(self) < self.most:
+            self[word] = t
+        return t
+
+
 def stems_of(levels) -> Stems:
     return Stems({f[2:] for f in levels})
 
@@ -243,7 +264,7 @@ class Marked:
     bits = 1 << 23
 
     def __init__(self, words: np.ndarray):
-        self.words = words
+        self.words = words.astype("<u4").tobytes()
 
     @classmethod
     def at(cls, feature: str) -> int:
@@ -262,36 +283,36 @@ class Marked:
 
     def __contains__(self, feature: str) -> bool:
         at = self.at(feature)
-        return bool(self.words[at >> 5] >> np.uint32(at & 31) & np.uint32(1))
+        return bool(self.words[at >> 3] >> (at & 7) & 1)
+
+
+class Every:
+    """Contains every feature."""
+
+    def __contains__(self, feature: str) -> bool:
+        return True
 
 
 def _counts(rows: DataFrame, known: Marked | None = None) -> DataFrame:
-    """``(f, n, h)``: in how many rows of ``text`` a feature occurs, and the
-    place of its hash; of the marked features, or of all."""
-    shared = rows.sparkSession.sparkContext.broadcast(known)
+    """``(f, n)``: in how many rows of ``text`` a feature occurs; of the
+    marked features, or of all."""
+    shared = rows.sparkSession.sparkContext.broadcast(known or Every())
 
     def run(batches):
-        seek = shared.value
-        stems = None if seek is None else Stems(seek)
+        stems = Beginnings(shared.value)
         for b in batches:
             n = {}
             for t in b.column(0).to_pylist():
-                if stems is None:
-                    words, counts = word_set(t), {}
-                    for w in words:
-                        for f in features(w):
-                            counts[f] = counts.get(f, 0) + 1
-                    got = leveled(counts, len(words))
-                else:
-                    got = stems.of(t)
-                for f in got:
+                for f in stems.of(t):
                     n[f] = n.get(f, 0) + 1
             yield pa.RecordBatch.from_pydict({"f": pa.array(list(n), pa.string()),
-                                              "n": pa.array(list(n.values()), pa.int64()),
-                                              "h": pa.array([Marked.at(f[2:]) for f in n], pa.int64())})
+                                              "n": pa.array(list(n.values()), pa.int64())})
+
+    return rows.select("text").mapInArrow(run, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
+
 
-    c = rows.select("text").mapInArrow(run, "f string, n long, h long")
-    return c.groupBy("f").agg(F.sum("n").alias("n"), F.min("h").alias("h"))
+def _places(b: pa.RecordBatch) -> dict:
+    return {"f": b["f"], "n": b["n"], "h": pa.array([Marked.at(f[2:]) for f in b["f"].to_pylist()], pa.int64())}
 
 
 def _telling_features(pos: DataFrame, neg: DataFrame, n_pos: int, n_neg: int) -> list[str]:
@@ -308,7 +329,8 @@ def _telling_features(pos: DataFrame, neg: DataFrame, n_pos: int, n_neg: int) ->
     share = float(np.clip(n_pos / (n_pos + n_neg), 1e-6, 0.5))
     found = cut_lineage(_counts(pos), "features")
     least = 2 * np.log(max(found.count(), 1)) + 6
-    able = cut_lineage(found.filter(-2 * np.log(share) * F.col("n") >= float(least)), "candidates")
+    able = found.filter(F.lit(float(-2 * np.log(share))) * F.col("n") >= float(least))
+    able = cut_lineage(able.mapInArrow(per_batch(_places), "f string, n long, h long"), "candidates")
     other = _counts(neg, Marked.of(able)).select("f", F.col("n").alias("rest"))
     c = able.join(other, "f", "left").withColumn("rest", F.coalesce("rest", F.lit(0)))
     sure = F.col("n") / (F.col("n") + F.col("rest"))

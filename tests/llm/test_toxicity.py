@@ -87,9 +87,9 @@ def test_votes_and_signatures():
     long = " ".join(f"w{i}" for i in range(500))
     assert tox._signature(long) == tox._signature(long) != tox._signature(long[::-1])
     assert tox._signature("") == tox._signature(None) == 0
-    marked = tox.Marked(np.zeros(tox.Marked.bits // 32, np.uint32))
-    at = marked.at("=idiot")
-    marked.words[at >> 5] |= np.uint32(1 << (at & 31))
+    words, at = np.zeros(tox.Marked.bits // 32, np.uint32), tox.Marked.at("=idiot")
+    words[at >> 5] |= np.uint32(1 << (at & 31))
+    marked = tox.Marked(words)
     assert "=idiot" in marked and "=other" not in marked
 
 
