@@ -10,22 +10,26 @@ training-only extras (appended to every training fold, never validated).
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import checkpoint_dir, cut_lineage, delete_at_exit
 
 MISSING = -999.0
+#: A learner callback: validation rows of a fold (key, label, predictions) to
+#: a table of one row, e.g. ``lambda v: metrics.smape(v, "fee", "pred")``.
+Metric = Callable[[DataFrame], DataFrame]
 
 
 def assemble(features: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -43,15 +47,23 @@ class OofResult:
     oof: DataFrame                 # key, fold, class_0..class_{k-1} (or prediction)
     scored: DataFrame | None       # key, mean over folds
     models: list = field(default_factory=list)
-    importance: DataFrame | None = None   # feature, fold, split, gain
+    fold_scores: DataFrame | None = None  # fold, columns of the metric
+    explain: Callable[[], DataFrame] | None = None
+
+    @cached_property
+    def importance(self) -> DataFrame:
+        """feature, fold, split, gain; the models' nodes are written at the
+        first use."""
+        return self.explain()
 
 
 def class_probabilities(pred: DataFrame, out: str = "__p") -> DataFrame:
     """Class probabilities as an array column: the model's ``probability``
-    when it has one, else a softmax of ``rawPrediction`` (one-vs-rest
+    (a vector or an array) when it has one, else a softmax of ``rawPrediction`` (one-vs-rest
     ensembles of binary boosted trees expose only per-class margins)."""
     if "probability" in pred.columns:
-        return pred.withColumn(out, vector_to_array("probability"))
+        is_array = dict(pred.dtypes)["probability"].startswith("array")
+        return pred.withColumn(out, F.col("probability") if is_array else vector_to_array("probability"))
     raw = vector_to_array("rawPrediction")
     mx = F.array_max(raw)
     ex = F.transform(raw, lambda x: F.exp(x - mx))
@@ -59,15 +71,6 @@ def class_probabilities(pred: DataFrame, out: str = "__p") -> DataFrame:
     return pred.withColumn(out, F.transform(ex, lambda x: x / total))
 
 
-def _split_counts(model, n_features: int) -> list[int]:
-    """Number of split nodes per feature, from the model's text, in which
-    every split prints one If (and one Else)."""
-    counts = [0] * n_features
-    for m in re.finditer(r"If \(feature (\d+) ", model.toDebugString):
-        counts[int(m.group(1))] += 1
-    return counts
-
-
 def _tree_models(m) -> list:
     """The tree models inside a fitted estimator (one-vs-rest holds one per class)."""
     if hasattr(m, "featureImportances"):
@@ -75,30 +78,90 @@ def _tree_models(m) -> list:
     return [x for sub in getattr(m, "models", []) for x in _tree_models(sub)]
 
 
-def _importance(spark, models, features: Sequence[str]) -> DataFrame:
-    import numpy as np
-    rows = []
-    for i, pm in enumerate(models):
-        trees = _tree_models(pm.stages[-1])
-        if not trees:
-            continue
-        gains = np.mean([t.featureImportances.toArray() for t in trees], axis=0)
-        splits = np.sum([_split_counts(t, len(features)) for t in trees], axis=0)
-        rows += [(f, i, float(splits[j]), float(gains[j]) * 100.0) for j, f in enumerate(features)]
-    return spark.createDataFrame(rows, "feature string, fold int, split double, gain double")
+_NODES = ("fold int, part int, parts int, boosted boolean, tree int, node int, feature int, "
+          "threshold double, rows long, impurity double, gain double")
+
+
+def tree_nodes(models: Sequence, folds: Sequence[int] | None = None) -> DataFrame:
+    """One row per node of fitted tree models, read from the saved models'
+    node tables: ``fold`` (place in the list unless given), ``part`` of
+    ``parts`` (one-vs-rest holds a model per class), ``tree``, ``node``,
+    ``feature`` (index of the split; null in a leaf), ``threshold`` (null for
+    categorical splits), ``rows``, ``impurity``, ``gain`` (null in a leaf).
+    Models without trees give no rows."""
+    spark = SparkSession.getActiveSession()
+    out = [spark.createDataFrame([], _NODES)]
+    for i, m in zip(folds if folds is not None else range(len(models)), models):
+        trees = _tree_models(m.stages[-1] if isinstance(m, PipelineModel) else m)
+        for j, t in enumerate(trees):
+            path = os.path.join(checkpoint_dir(spark), f"trees-{uuid.uuid4().hex}")
+            t.write().overwrite().save(path)
+            delete_at_exit(spark, path)
+            n = spark.read.parquet(os.path.join(path, "data"))
+            n = n.select("treeID", "nodeData.*") if "nodeData" in n.columns else n.withColumn("treeID", F.lit(0))
+            inner = F.col("split.featureIndex") >= 0
+            out.append(n.select(
+                F.lit(i).alias("fold"), F.lit(j).alias("part"), F.lit(len(trees)).alias("parts"),
+                F.lit("GBT" in type(t).__name__).alias("boosted"), F.col("treeID").alias("tree"), F.col("id").alias("node"),
+                F.when(inner, F.col("split.featureIndex")).alias("feature"),
+                F.when(inner & (F.col("split.numCategories") < 0),
+                       F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
+                F.col("rawCount").alias("rows"), "impurity", F.when(inner, F.col("gain")).alias("gain")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def tree_importance(nodes: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, fold, split, gain)`` from :func:`tree_nodes`: the splits of
+    a feature and its share (per cent) of the impurity that splits take away,
+    weighted by rows.  A forest's trees count alike, a boosted model's trees by
+    what they gain; a fold of several models has their mean."""
+    inner = nodes.filter("feature IS NOT NULL")
+    per = (inner.groupBy("fold", "part", "parts", F.when(~F.col("boosted"), F.col("tree")).alias("tree"), "feature")
+           .agg(F.count(F.lit(1)).alias("split"), F.sum(F.col("gain") * F.col("rows")).alias("gain")))
+    share = lambda *by: F.try_divide(F.col("gain"), F.sum("gain").over(Window.partitionBy(*by)))
+    per = per.withColumn("gain", share("fold", "part", "tree"))
+    part = per.groupBy("fold", "part", "parts", "feature").agg(F.sum("split").alias("split"), F.sum("gain").alias("gain"))
+    part = part.withColumn("gain", share("fold", "part") / F.col("parts"))
+    got = part.groupBy("fold", "feature").agg(F.sum("split").alias("split"), F.sum("gain").alias("gain"))
+    grid = nodes.select("fold").distinct().select("fold", F.posexplode(F.array(*map(F.lit, features))).alias("index", "name"))
+    return (grid.join(got.withColumnRenamed("feature", "index"), ["fold", "index"], "left")
+            .select(F.col("name").alias("feature"), "fold", F.coalesce("split", F.lit(0)).cast("double").alias("split"),
+                    (F.coalesce("gain", F.lit(0.0)) * 100.0).alias("gain")))
+
+
+def _stopping(est):
+    if not est.hasParam("validationIndicatorCol"):
+        raise ValueError(f"{type(est).__name__} has no early stopping")
+    return est.copy({est.getParam("validationIndicatorCol"): "__valid"})
+
+
+def _fold_rows(data: DataFrame, fold: str, i: int, early_stopping: bool) -> DataFrame:
+    """Rows that fold ``i``'s model is fitted on; with early stopping also the
+    fold's own, marked as validation rows."""
+    if not early_stopping:
+        return data.filter(F.col(fold) != i)
+    return data.filter(F.col(fold).isNotNull()).withColumn("__valid", F.col(fold) == i)
+
+
+def _score_fold(metric: Metric, val: DataFrame, fold: str, i: int) -> DataFrame:
+    return metric(val).select(F.lit(i).alias(fold), "*")
 
 
 def oof_classify(df: DataFrame, features: Sequence[str], label: str, fold: str, key: str,
                  n_classes: int, to_score: DataFrame | None = None, estimator=None,
-                 folds: Sequence[int] | None = None, weight: str | None = None, prefix: str = "class_") -> OofResult:
+                 folds: Sequence[int] | None = None, weight: str | None = None, prefix: str = "class_",
+                 metric: Metric | None = None, early_stopping: bool = False) -> OofResult:
     """k-fold out-of-fold class probabilities.
 
     ``label`` holds class indexes 0..n_classes-1 (see
     ``aggs.label_index``); ``fold`` holds 0..k-1 or -1 for extra training
     rows.  Returns out-of-fold probabilities for the labelled rows, the
     fold-averaged probabilities for ``to_score`` and per-fold importances.
+    A class that no training row of a fold has gets probability 0 there.
+    ``metric`` is called on each fold's validation rows (key, label, class
+    probabilities); with ``early_stopping`` a boosting learner sees these rows
+    as its validation set and stops when they no longer improve.
     """
-    spark = df.sparkSession
     folds = list(folds) if folds is not None else list(range(5))
     est = estimator or RandomForestClassifier(numTrees=40, maxDepth=8, seed=66)
     est = est.setLabelCol("__label").setFeaturesCol("__features")
@@ -108,14 +171,18 @@ def oof_classify(df: DataFrame, features: Sequence[str], label: str, fold: str,
     # folder, survives executor loss) instead of recomputing the lineage
     data = cut_lineage(fill_missing(df, features).withColumn("__label", F.col(label).cast("double")), "oof-train")
     score = cut_lineage(fill_missing(to_score, features), "oof-score") if to_score is not None else None
+    if early_stopping:
+        est = _stopping(est)
     pipe = Pipeline(stages=[assemble(features, "__features"), est])
-    classes = [F.col("__p")[i].alias(f"{prefix}{i}") for i in range(n_classes)]
-    oof_parts, score_parts, models = [], [], []
+    classes = [F.coalesce(F.get("__p", F.lit(i)), F.lit(0.0)).alias(f"{prefix}{i}") for i in range(n_classes)]
+    oof_parts, score_parts, models, scores = [], [], [], []
     for i in folds:
-        model = pipe.fit(data.filter(F.col(fold) != i))
+        model = pipe.fit(_fold_rows(data, fold, i, early_stopping))
         models.append(model)
         val = class_probabilities(model.transform(data.filter(F.col(fold) == i)))
         oof_parts.append(val.select(key, F.lit(i).alias(fold), *classes))
+        if metric:
+            scores.append(_score_fold(metric, val.select(key, label, *classes), fold, i))
         if score is not None:
             s = class_probabilities(model.transform(score))
             score_parts.append(s.select(key, *classes))
@@ -124,15 +191,17 @@ def oof_classify(df: DataFrame, features: Sequence[str], label: str, fold: str,
     if score_parts:
         u = reduce(DataFrame.unionByName, score_parts)
         scored = u.groupBy(key).agg(*[F.avg(f"{prefix}{i}").alias(f"{prefix}{i}") for i in range(n_classes)])
-    return OofResult(oof, scored, models, _importance(spark, models, features))
+    return OofResult(oof, scored, models, reduce(DataFrame.unionByName, scores) if scores else None,
+                     lambda: tree_importance(tree_nodes(models, folds), features))
 
 
 def oof_regress(df: DataFrame, features: Sequence[str], target: str, fold: str, key: str,
                 to_score: DataFrame | None = None, estimator=None, folds: Sequence[int] | None = None,
-                pred: str = "pred", weight: str | None = None) -> OofResult:
+                pred: str = "pred", weight: str | None = None, metric: Metric | None = None,
+                early_stopping: bool = False) -> OofResult:
     """k-fold out-of-fold regression (``fold_mae`` scores it per fold);
-    boosted trees unless another estimator is given."""
-    spark = df.sparkSession
+    boosted trees unless another estimator is given.  ``metric`` and
+    ``early_stopping`` as in :func:`oof_classify`."""
     folds = list(folds) if folds is not None else list(range(5))
     est = estimator or GBTRegressor(maxIter=20, maxDepth=5, seed=66)
     est = est.setLabelCol("__y").setFeaturesCol("__features").setPredictionCol(pred)
@@ -140,20 +209,25 @@ def oof_regress(df: DataFrame, features: Sequence[str], target: str, fold: str,
         est = est.setWeightCol(weight)
     data = cut_lineage(fill_missing(df, features).withColumn("__y", F.col(target).cast("double")), "oof-train")
     score = cut_lineage(fill_missing(to_score, features), "oof-score") if to_score is not None else None
+    if early_stopping:
+        est = _stopping(est)
     pipe = Pipeline(stages=[assemble(features, "__features"), est])
-    oof_parts, score_parts, models = [], [], []
+    oof_parts, score_parts, models, scores = [], [], [], []
     for i in folds:
-        model = pipe.fit(data.filter(F.col(fold) != i))
+        model = pipe.fit(_fold_rows(data, fold, i, early_stopping))
         models.append(model)
-        oof_parts.append(model.transform(data.filter(F.col(fold) == i))
-                         .select(key, F.lit(i).alias(fold), F.col(target), F.col(pred)))
+        val = model.transform(data.filter(F.col(fold) == i)).select(key, F.lit(i).alias(fold), F.col(target), F.col(pred))
+        oof_parts.append(val)
+        if metric:
+            scores.append(_score_fold(metric, val.drop(fold), fold, i))
         if score is not None:
             score_parts.append(model.transform(score).select(key, F.col(pred)))
     oof = reduce(DataFrame.unionByName, oof_parts)
     scored = None
     if score_parts:
         scored = reduce(DataFrame.unionByName, score_parts).groupBy(key).agg(F.avg(pred).alias(pred))
-    return OofResult(oof, scored, models, _importance(spark, models, features))
+    return OofResult(oof, scored, models, reduce(DataFrame.unionByName, scores) if scores else None,
+                     lambda: tree_importance(tree_nodes(models, folds), features))
 
 
 def segment_models(df: DataFrame, segment: Column | None, features: Sequence[str], label: str, fold: str,
@@ -164,7 +238,7 @@ def segment_models(df: DataFrame, segment: Column | None, features: Sequence[str
     ``all_classes`` the segment has); outputs unioned on the full class list,
     absent classes filled with 0."""
     from tessera.operators.relate import union_fill
-    parts_oof, parts_score, models, imps = [], [], [], []
+    parts_oof, parts_score, models, results = [], [], [], []
     inside = F.coalesce(segment, F.lit(False))
     for seg in (inside, ~inside):
         d = df.filter(seg)
@@ -179,7 +253,7 @@ def segment_models(df: DataFrame, segment: Column | None, features: Sequence[str
         if res.scored is not None:
             parts_score.append(res.scored.withColumnsRenamed(ren))
         models += res.models
-        imps.append(res.importance)
+        results.append(res)
     cols = [f"{prefix}{c}" for c in all_classes]
 
     def full(frames, lead):
@@ -187,7 +261,7 @@ def segment_models(df: DataFrame, segment: Column | None, features: Sequence[str
         return u.withColumns({c: F.lit(0.0) for c in cols if c not in u.columns}).select(*lead, *cols)
     oof = full(parts_oof, [key, fold])
     scored = full(parts_score, [key]) if parts_score else None
-    return OofResult(oof, scored, models, reduce(DataFrame.unionByName, imps))
+    return OofResult(oof, scored, models, None, lambda: reduce(DataFrame.unionByName, [r.importance for r in results]))
 
 
 def stacking(base: DataFrame, stage_outputs: Sequence[DataFrame], key: str, features: Sequence[str],
@@ -209,4 +283,5 @@ def stacking(base: DataFrame, stage_outputs: Sequence[DataFrame], key: str, feat
     return oof_classify(train, list(features) + extra, label, fold, key, n_classes, score, estimator)
 
 
-__all__ = ["OofResult", "oof_classify", "oof_regress", "segment_models", "stacking", "fill_missing", "assemble"]
+__all__ = ["Metric", "OofResult", "oof_classify", "oof_regress", "segment_models", "stacking", "tree_nodes",
+           "tree_importance", "fill_missing", "assemble"]

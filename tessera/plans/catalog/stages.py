@@ -1,7 +1,9 @@
 """Queries: sources/sinks (S1–S6) and learned stages.
 
-Learned outputs cannot be reproduced by SQL; they are registered without an
-oracle and checked by properties in the tests.  ``term_counts`` (the
+Forests, boosted trees, LDA and ALS cannot be reproduced by SQL; they are
+registered without an oracle and checked by properties in the tests.  The same
+stages run with learners that SQL can state (``*_counts``, ``*_line``,
+``stump_*``) and are compared with it.  ``term_counts`` (the
 document-term table behind the topic factors) has one.
 """
 
@@ -20,7 +22,9 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from tessera.functions import numeric as N
 from tessera.functions import rows as RW
 from tessera.ml import folds, models, topics
+from tessera.ml.bayes import CategoricalNaiveBayes, CategoricalNaiveBayesModel
 from tessera.operators import aggs, relate
+from tessera.plans.catalog.sqlutil import r6, spark_r6
 from tessera.plans.frames import fees4, rawtext
 from tessera.plans.oracle_frames import with_frames
 from tessera.plans.registry import query
@@ -193,6 +197,182 @@ def save_models_q(spark, sf_dir):
     return u.groupBy("row_id").agg(*[F.avg(F.col("p")[i]).alias(f"class_{i}") for i in range(5)])
 
 
+# ------------------------------------------------------------------ stages with learners that SQL can state
+_COUNT_FEATS = ["x0", "x1", "x2", "x3"]
+_COUNT_T = f"""
+t AS (SELECT row_id, c_custkey, c_custkey % 10 = 0 AS test, {_LINE_FOLD} AS fold, c_nationkey < 12 AS low,
+             dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS label, CAST(c_nationkey % 5 AS DOUBLE) AS x0,
+             CAST(least(chunk, 3) AS DOUBLE) AS x1, CAST(coalesce(f1 % 10, -999) AS DOUBLE) AS x2,
+             CAST(coalesce(f2 % 7, -999) AS DOUBLE) AS x3 FROM fees4),
+k AS (SELECT unnest([0, 1, 2, 3, 4]) AS m)"""
+
+
+def _count_frames(spark, sf_dir):
+    """Four categorical features of the amounts; see ``_COUNT_T``."""
+    f = fees4(spark, sf_dir)
+    f = f.join(aggs.label_index(f, "c_mktsegment", "label"), "c_mktsegment", "left")
+    f = folds.kfold(f, "c_custkey", 5, 66).select(
+        "row_id", "c_custkey", "c_nationkey", "fold", "label", (F.col("c_nationkey") % 5).alias("x0"),
+        F.least("chunk", F.lit(3)).alias("x1"), (F.col("f1") % 10).alias("x2"), (F.col("f2") % 7).alias("x3"))
+    f = materialize(f, "count-features")
+    test = F.pmod("c_custkey", F.lit(10)) == 0
+    return f.filter(~test), f.filter(test).drop("label")
+
+
+def _bayes_sql(name, train, rows, feats, where="true", width=None):
+    """CTEs ``<name>`` (m, row_id, part, p0 .. p4): naive Bayes of fold m on
+    ``train``'s other folds, for the fold's own rows and the rows to score."""
+    value = f"floor(v / {width})" if width else "v"
+    xs, n = ", ".join(feats), len(feats)
+    cells = f"unnest(range({n})) AS j, unnest([{xs}]) AS v"
+    probs = ", ".join(f"coalesce(max(p) FILTER (WHERE label = {c}), 0.0) AS p{c}" for c in range(5))
+    return f"""
+{name}_l AS (SELECT m, j, {value} AS v, label FROM (
+  SELECT k.m, label, {cells} FROM {train} t JOIN k ON t.fold <> k.m WHERE NOT test AND {where})),
+{name}_n AS (SELECT m, j, v, label, count(*) AS n FROM {name}_l GROUP BY ALL),
+{name}_c AS (SELECT m, label, sum(n) AS nc, sum(sum(n)) OVER (PARTITION BY m) AS nt,
+                    count(*) OVER (PARTITION BY m) AS c FROM {name}_n WHERE j = 0 GROUP BY m, label),
+{name}_v AS (SELECT m, j, count(DISTINCT v) AS nv FROM {name}_n GROUP BY m, j),
+{name}_r AS (SELECT m, row_id, part, j, {value} AS v FROM (
+  SELECT k.m, row_id, CASE WHEN test THEN 'score' ELSE 'oof' END AS part, {cells}
+  FROM {rows} t JOIN k ON test OR t.fold = k.m WHERE {where})),
+{name}_s AS (SELECT r.m, r.row_id, r.part, c.label, ln((any_value(c.nc) + 1.0) / (any_value(c.nt) + any_value(c.c)))
+                    + sum(ln((coalesce(n.n, 0) + 1.0) / (c.nc + v.nv + 1.0))) AS s
+  FROM {name}_r r JOIN {name}_c c ON c.m = r.m JOIN {name}_v v ON v.m = r.m AND v.j = r.j
+  LEFT JOIN {name}_n n ON n.m = r.m AND n.j = r.j AND n.v = r.v AND n.label = c.label
+  GROUP BY r.m, r.row_id, r.part, c.label),
+{name}_e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY m, row_id)) AS e FROM {name}_s),
+{name}_p AS (SELECT *, e / sum(e) OVER (PARTITION BY m, row_id) AS p FROM {name}_e),
+{name} AS (SELECT m, row_id, part, {probs} FROM {name}_p GROUP BY m, row_id, part)"""
+
+
+def _both_sql(*names):
+    cols = lambda f: ", ".join(f"{r6(f.format(c))} AS class_{c}" for c in range(5))
+    return "\nUNION ALL\n".join(
+        f"SELECT row_id, m AS fold, {cols('p{}')}, part FROM {n} WHERE part = 'oof'\nUNION ALL\n"
+        f"SELECT row_id, NULL AS fold, {cols('avg(p{})')}, part FROM {n} WHERE part = 'score' GROUP BY row_id, part"
+        for n in names)
+
+
+def _both_rounded(res):
+    return _both(res).withColumns({c: spark_r6(c) for c in _prob_cols()})
+
+
+@query("oof_classify_counts", with_frames(_both_sql("a"), "fees4", extra=_COUNT_T + "," + _bayes_sql("a", "t", "t", _COUNT_FEATS)))
+def oof_classify_counts(spark, sf_dir):
+    """5-fold out-of-fold segment probabilities of the count learner, and the
+    folds' mean for the withheld customers."""
+    train, test = _count_frames(spark, sf_dir)
+    return _both_rounded(models.oof_classify(train, _COUNT_FEATS, "label", "fold", "row_id", 5, test,
+                                             CategoricalNaiveBayes()))
+
+
+_LOW = "low AND (test OR label NOT IN (1, 4))"
+
+
+@query("segment_models_counts", with_frames(
+    _both_sql("b", "c"), "fees4",
+    extra=_COUNT_T + "," + _bayes_sql("b", "t", "t", _COUNT_FEATS, _LOW) + "," + _bayes_sql("c", "t", "t", _COUNT_FEATS, "NOT low")))
+def segment_models_counts(spark, sf_dir):
+    """Separate count learners for nations < 12, where two of the classes are
+    left out, and the rest; outputs on the full 5-class layout."""
+    train, test = _count_frames(spark, sf_dir)
+    low = F.col("c_nationkey") < 12
+    return _both_rounded(models.segment_models(train.filter(~(low & F.col("label").isin(1, 4))), low, _COUNT_FEATS, "label",
+                                               "fold", "row_id", list(range(5)), test, CategoricalNaiveBayes()))
+
+
+_STACK_FEATS = ["x0", "p0", "p1", "p2", "p3", "p4"]
+
+
+@query("stacking_counts", with_frames(_both_sql("z"), "fees4", extra=_COUNT_T + "," + _bayes_sql("a", "t", "t", _COUNT_FEATS) + """,
+a2 AS (SELECT row_id, avg(p0) AS p0, avg(p1) AS p1, avg(p2) AS p2, avg(p3) AS p3, avg(p4) AS p4 FROM a GROUP BY row_id),
+t2 AS (SELECT t.*, p0, p1, p2, p3, p4 FROM t JOIN a2 ON t.row_id = a2.row_id),"""
+                                      + _bayes_sql("z", "t2", "t2", _STACK_FEATS, width=0.03)))
+def stacking_counts(spark, sf_dir):
+    """Second-level count learner on a feature and the first level's
+    out-of-fold probabilities, in bins."""
+    train, test = _count_frames(spark, sf_dir)
+    first = models.oof_classify(train, _COUNT_FEATS, "label", "fold", "row_id", 5, test, CategoricalNaiveBayes())
+    return _both_rounded(models.stacking(train, [first.oof], "row_id", ["x0"], "label", "fold", 5, test, [first.scored],
+                                         CategoricalNaiveBayes(binWidth=0.03)))
+
+
+@query("save_models_counts", with_frames(f"""
+SELECT row_id, {', '.join(f'{r6(f"avg(p{c})")} AS class_{c}' for c in range(5))} FROM a WHERE part = 'score'
+GROUP BY row_id""", "fees4", extra=_COUNT_T + "," + _bayes_sql("a", "t", "t", _COUNT_FEATS)))
+def save_models_counts(spark, sf_dir):
+    """Count learners of the folds saved to the shared folder, loaded back and
+    used to score the withheld customers."""
+    train, test = _count_frames(spark, sf_dir)
+    asm = models.assemble(_COUNT_FEATS)
+    d = asm.transform(models.fill_missing(train, _COUNT_FEATS))
+    paths = save_models([CategoricalNaiveBayes().fit(d.filter(F.col("fold") != i)) for i in range(5)], spark=spark)
+    te = asm.transform(models.fill_missing(test, _COUNT_FEATS))
+    u = relate.union_by_name([m.transform(te).select("row_id", "probability")
+                              for m in load_models(CategoricalNaiveBayesModel, paths)])
+    return u.groupBy("row_id").agg(*[spark_r6(F.avg(F.col("probability")[i])).alias(f"class_{i}") for i in range(5)])
+
+
+@query("oof_fold_scores", with_frames(f"""
+SELECT m AS fold, count(*) AS n, {r6("avg(-ln(CASE label WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 WHEN 3 THEN p3 ELSE p4 END))")} AS log_loss
+FROM a JOIN t ON a.row_id = t.row_id WHERE part = 'oof' GROUP BY m""", "fees4",
+                                      extra=_COUNT_T + "," + _bayes_sql("a", "t", "t", _COUNT_FEATS)))
+def oof_fold_scores(spark, sf_dir):
+    """A metric callback on each fold's validation rows: their logarithmic loss."""
+    train, _ = _count_frames(spark, sf_dir)
+
+    def log_loss(val):
+        p = F.array(*_prob_cols())[F.col("label").cast("int")]
+        return val.agg(F.count(F.lit(1)).alias("n"), spark_r6(F.avg(-F.log(p))).alias("log_loss"))
+    return models.oof_classify(train, _COUNT_FEATS, "label", "fold", "row_id", 5, None, CategoricalNaiveBayes(),
+                               metric=log_loss).fold_scores
+
+
+# a split of a 0/1 feature takes sum over both sides of n_side * gini_side from n * gini
+_STUMP_SQL = """
+b AS (SELECT k.m, label, unnest([0, 1]) AS feature, unnest([low::INT, (chunk > 0)::INT]) AS x
+      FROM (SELECT t.*, f.chunk FROM t JOIN fees4 f ON t.row_id = f.row_id) t JOIN k ON t.fold <> k.m WHERE NOT test),
+h AS (SELECT m, feature, x, label, count(*) AS n FROM b GROUP BY ALL),
+s AS (SELECT m, feature, x, sum(n) AS n, sum(n) - sum(n * n) / sum(n) AS g FROM h GROUP BY ALL),
+r AS (SELECT m, sum(n) AS n, sum(n) - sum(n * n) / sum(n) AS g
+      FROM (SELECT m, label, count(*) AS n FROM b WHERE feature = 0 GROUP BY ALL) GROUP BY m),
+gains AS (SELECT s.m, s.feature, any_value(r.n) AS n, any_value(r.g) / any_value(r.n) AS impurity,
+                 (any_value(r.g) - sum(s.g)) / any_value(r.n) AS gain
+          FROM s JOIN r ON s.m = r.m GROUP BY s.m, s.feature),
+best AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY gain DESC, feature) AS i FROM gains)"""
+
+
+def _stump_models(spark, sf_dir):
+    f = fees4(spark, sf_dir)
+    f = f.join(aggs.label_index(f, "c_mktsegment", "label"), "c_mktsegment", "left")
+    f = folds.kfold(f, "c_custkey", 5, 66).filter(F.pmod("c_custkey", F.lit(10)) != 0)
+    f = f.select("row_id", "fold", "label", (F.col("c_nationkey") < 12).cast("int").alias("low"),
+                 (F.col("chunk") > 0).cast("int").alias("later"))
+    est = RandomForestClassifier(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", seed=66)
+    return models.oof_classify(f, ["low", "later"], "label", "fold", "row_id", 5, None, est)
+
+
+@query("stump_nodes", with_frames(f"""
+SELECT m AS fold, feature, CAST(n AS BIGINT) AS rows, {r6('impurity')} AS impurity, {r6('gain')} AS gain FROM best WHERE i = 1""",
+                                  "fees4", extra=_COUNT_T + "," + _STUMP_SQL))
+def stump_nodes(spark, sf_dir):
+    """Root nodes of one-split trees, one a fold, from the saved models' node
+    tables."""
+    nodes = models.tree_nodes(_stump_models(spark, sf_dir).models)
+    return nodes.filter("node = 0").select("fold", "feature", "rows", spark_r6("impurity").alias("impurity"),
+                                           spark_r6("gain").alias("gain"))
+
+
+@query("stump_importance", with_frames("""
+SELECT n.name AS feature, avg((b.feature = n.f)::INT::DOUBLE) AS split, avg(CASE WHEN b.feature = n.f THEN 100.0 ELSE 0.0 END) AS gain
+FROM best b, (SELECT unnest(['low', 'later']) AS name, unnest([0, 1]) AS f) n WHERE i = 1 GROUP BY n.name""",
+                                       "fees4", extra=_COUNT_T + "," + _STUMP_SQL))
+def stump_importance(spark, sf_dir):
+    """Mean split count and gain (%) over the folds' one-split trees."""
+    return aggs.importance_summary(_stump_models(spark, sf_dir).importance).select("feature", "split", "gain")
+
+
 # ------------------------------------------------------------------ topic factors: supplier → brand terms
 def _supplier_brands(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
