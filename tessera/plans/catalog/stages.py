@@ -401,6 +401,28 @@ def topic_factors(spark, sf_dir):
     return topics.topic_factors(d, d, "l_suppkey", "p_brand", k=5)
 
 
+# two terms: the eigenvalues of a 2 x 2 matrix
+@query("svd_two_terms", f"""
+WITH c AS (SELECT l_suppkey, count(*) FILTER (WHERE l_linestatus = 'F') AS f, count(*) FILTER (WHERE l_linestatus = 'O') AS o
+           FROM lineitem GROUP BY l_suppkey),
+g AS (SELECT sum(f * f)::DOUBLE AS a, sum(f * o)::DOUBLE AS b, sum(o * o)::DOUBLE AS d FROM c),
+e AS (SELECT a, b, (a + d) / 2 + sqrt((a - d) * (a - d) / 4 + b * b) AS l1, (a + d) / 2 - sqrt((a - d) * (a - d) / 4 + b * b) AS l2 FROM g),
+v AS (SELECT sqrt(l1) AS s1, sqrt(l2) AS s2, b / sqrt(b * b + (l1 - a) * (l1 - a)) AS x1, (l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS y1,
+             b / sqrt(b * b + (l2 - a) * (l2 - a)) AS x2, (l2 - a) / sqrt(b * b + (l2 - a) * (l2 - a)) AS y2 FROM e),
+w AS (SELECT *, CASE WHEN abs(x2) >= abs(y2) THEN sign(x2) ELSE sign(y2) END AS sg FROM v)
+SELECT l_suppkey, {_THOUSANDS.format('1000 * s1')} AS sigma_0, {_THOUSANDS.format('1000 * s2')} AS sigma_1,
+       {_THOUSANDS.format('1000 * (f * x1 + o * y1)')} AS svd_0, {_THOUSANDS.format('1000 * sg * (f * x2 + o * y2)')} AS svd_1
+FROM c, w""")
+def svd_two_terms(spark, sf_dir):
+    """SVD of the suppliers' line statuses: singular values and components, 3 decimals."""
+    c = topics.term_counts(read_table(spark, sf_dir, "lineitem"), "l_suppkey", "l_linestatus")
+    sigma, right = topics.svd_tables(c, "l_suppkey", 2)
+    wide = c.join(right, "term").groupBy("l_suppkey").agg(*[F.sum(F.col("n") * F.col("x")[i]).alias(f"svd_{i}") for i in range(2)])
+    thousands = lambda x: F.rint(x * 1000) / 1000.0
+    return wide.select("l_suppkey", *[thousands(F.lit(x)).alias(f"sigma_{i}") for i, x in enumerate(sigma)],
+                       *[thousands(F.col(f"svd_{i}")).alias(f"svd_{i}") for i in range(2)])
+
+
 @query("stacked_prediction")
 def stacked_prediction(spark, sf_dir):
     """The best-single-model flow on the per-customer amounts:
