@@ -67,6 +67,31 @@ def distinct_pairs(df: DataFrame, base: Sequence[str], other: Sequence[str], nam
     return join_back(df, counts, other)
 
 
+def distinct_sketch(df: DataFrame, keys: Sequence[str], value: str, lg_k: int = 12, name: str = "sketch") -> DataFrame:
+    """(keys, sketch): a mergeable sketch of the distinct values per key, built
+    before the shuffle, so that a key costs at most one sketch a task whatever
+    its rows.  Its estimate has a relative standard error of some
+    ``1.04 / sqrt(2 ** lg_k)`` and is exact for a few values.  Null keys and
+    values are ignored."""
+    keys = as_list(keys)
+    rows = df.filter(~any_null(keys) & F.col(value).isNotNull())
+    return rows.groupBy(*keys).agg(F.hll_sketch_agg(F.col(value).cast("string"), F.lit(lg_k)).alias(name))
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str], name: str = "sketch") -> DataFrame:
+    """Sketches of parts (days, sources) united per ``keys``."""
+    return sketches.groupBy(*as_list(keys)).agg(F.hll_union_agg(name).alias(name))
+
+
+def distinct_estimate(df: DataFrame, keys: Sequence[str], value: str, lg_k: int = 12, name: str | None = None) -> DataFrame:
+    """Estimated distinct ``value`` per ``keys``, joined back: one shuffle of
+    sketches instead of one of all distinct pairs (:func:`distinct_pairs`)."""
+    keys = as_list(keys)
+    per = distinct_sketch(df, keys, value, lg_k, "__sketch")
+    name = name or f"{value}_distinct_{'_'.join(keys)}"
+    return join_back(df, per.select(*keys, F.hll_sketch_estimate("__sketch").alias(name)), keys)
+
+
 def stat_name(base: Sequence[str], other: Sequence[str], stats: Sequence[str], s: str) -> str:
     return "_".join(base) + "_" + "_".join(other) + "_" + "_".join(stats) + s
 

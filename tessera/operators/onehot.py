@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.aggs import dense_codes
 from tessera.operators.keys import as_list, join_back, tmp_names
+from tessera.session import cut_lineage
 
 
 def frequent_values(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -75,10 +77,14 @@ def one_hot_wide(df: DataFrame, column: str, values: Sequence, infix: str = "_",
 
 
 def one_hot_vector(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
-    """Sparse-vector one-hot (any cardinality): StringIndexer + OneHotEncoder."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    idx = f"{column}__idx"
-    si = StringIndexer(inputCol=column, outputCol=idx, handleInvalid="keep", stringOrderType="alphabetAsc")
-    d = si.fit(df).transform(df)
-    enc = OneHotEncoder(inputCol=idx, outputCol=output or f"{column}_vec", dropLast=False)
-    return enc.fit(d).transform(d).drop(idx)
+    """Sparse-vector one-hot of any number of values: places in the order of the
+    sorted values from a table of codes, the last place for null."""
+    from pyspark.ml.feature import OneHotEncoder
+    (idx,) = tmp_names(df, "idx")
+    codes = cut_lineage(dense_codes(df, [column], idx), "codes")
+    size = codes.count()
+    d = join_back(df, codes, [column])
+    d = d.withColumn(idx, F.coalesce(F.col(idx), F.lit(size)).cast("double"))
+    encoder = OneHotEncoder(inputCol=idx, outputCol=output or f"{column}_vec", dropLast=False)
+    places = df.sparkSession.range(1).select(F.lit(float(size)).alias(idx))  # the largest place
+    return encoder.fit(places).transform(d).select(*df.columns, encoder.getOutputCol())

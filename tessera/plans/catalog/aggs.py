@@ -49,6 +49,16 @@ def distinct_pairs(spark, sf_dir):
         "p_partkey", "p_brand_p_type_count_p_brand")
 
 
+@query("distinct_sketch", """
+SELECT o.o_orderkey, c.n AS o_orderpriority_distinct_o_custkey
+FROM orders o LEFT JOIN (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n FROM orders GROUP BY o_custkey) c
+ON o.o_custkey = c.o_custkey""")
+def distinct_sketch(spark, sf_dir):
+    """Priorities per customer by sketches (exact for as few), joined back."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return aggs.distinct_estimate(o, ["o_custkey"], "o_orderpriority").drop("o_custkey", "o_orderpriority")
+
+
 _STATS = ["min", "max", "var", "size", "mean", "skew"]
 _SN = {s: aggs.stat_name(["p_brand"], ["p_retailprice"], _STATS, s) for s in _STATS}
 

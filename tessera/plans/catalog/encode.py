@@ -236,3 +236,15 @@ def class_rate_table(spark, sf_dir):
     """P(priority class | segment) as a table of classes."""
     t = rates.class_rate_table(_rate_base(spark, sf_dir), "c_mktsegment", "label")
     return t.withColumn("rate", _r("rate"))
+
+
+@query("one_hot_vector", """
+WITH c AS (SELECT l_suppkey, row_number() OVER (ORDER BY l_suppkey) - 1 AS i FROM (SELECT DISTINCT l_suppkey FROM lineitem) t)
+SELECT l_orderkey, l_linenumber, l_partkey,
+       '(' || ((SELECT count(*) FROM c) + 1) || ',[' || c.i || '],[1.0])' AS vector
+FROM lineitem l JOIN c ON l.l_suppkey = c.l_suppkey""")
+def one_hot_vector(spark, sf_dir):
+    """Suppliers of line items as sparse vectors (printed)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return onehot.one_hot_vector(li, "l_suppkey", "vector").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("vector").cast("string").alias("vector"))

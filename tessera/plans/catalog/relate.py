@@ -368,6 +368,16 @@ def random_split(spark, sf_dir):
     return folds.random_split(o, "o_orderkey", 3, 520)
 
 
+@query("equal_samples", """
+WITH t AS (SELECT o_orderkey, ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':520'), 1, 15))::BIGINT AS h FROM orders),
+r AS (SELECT o_orderkey, row_number() OVER (ORDER BY h) - 1 AS i, count(*) OVER () // 7 AS size FROM t)
+SELECT o_orderkey, CAST(i // size AS INTEGER) AS sample FROM r WHERE i < 7 * size""")
+def equal_samples(spark, sf_dir):
+    """Seven disjoint samples of the orders of one size, without a sort."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    return folds.equal_samples(o, "o_orderkey", 7, 520)
+
+
 @query("augmented_training_rows", f"""
 WITH f AS (SELECT CASE WHEN o_orderstatus = 'P' THEN -1 ELSE CAST({_h('o_orderkey', 66)} % 5 AS INTEGER) END AS fold
            FROM orders),

@@ -340,7 +340,13 @@ r AS (SELECT m, sum(n) AS n, sum(n) - sum(n * n) / sum(n) AS g
 gains AS (SELECT s.m, s.feature, any_value(r.n) AS n, any_value(r.g) / any_value(r.n) AS impurity,
                  (any_value(r.g) - sum(s.g)) / any_value(r.n) AS gain
           FROM s JOIN r ON s.m = r.m GROUP BY s.m, s.feature),
-best AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY gain DESC, feature) AS i FROM gains)"""
+-- the tree learner takes a split back whose two leaves predict one class
+leaf AS (SELECT m, feature, count(DISTINCT label) AS kinds
+         FROM (SELECT *, row_number() OVER (PARTITION BY m, feature, x ORDER BY n DESC, label) AS i FROM h)
+         WHERE i = 1 GROUP BY m, feature),
+best AS (SELECT g.m, g.n, g.impurity, CASE WHEN kinds > 1 THEN g.feature END AS feature, CASE WHEN kinds > 1 THEN gain END AS gain,
+                row_number() OVER (PARTITION BY g.m ORDER BY g.gain DESC, g.feature) AS i
+         FROM gains g JOIN leaf ON leaf.m = g.m AND leaf.feature = g.feature)"""
 
 
 def _stump_models(spark, sf_dir):
@@ -365,7 +371,7 @@ def stump_nodes(spark, sf_dir):
 
 
 @query("stump_importance", with_frames("""
-SELECT n.name AS feature, avg((b.feature = n.f)::INT::DOUBLE) AS split, avg(CASE WHEN b.feature = n.f THEN 100.0 ELSE 0.0 END) AS gain
+SELECT n.name AS feature, avg(CASE WHEN b.feature = n.f THEN 1.0::DOUBLE ELSE 0.0 END) AS split, avg(CASE WHEN b.feature = n.f THEN 100.0::DOUBLE ELSE 0.0 END) AS gain
 FROM best b, (SELECT unnest(['low', 'later']) AS name, unnest([0, 1]) AS f) n WHERE i = 1 GROUP BY n.name""",
                                        "fees4", extra=_COUNT_T + "," + _STUMP_SQL))
 def stump_importance(spark, sf_dir):
