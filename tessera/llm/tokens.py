@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import uuid
 import zlib
 from itertools import compress, repeat
@@ -53,19 +54,21 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
-#: A blank that another character than white space follows, and one that not.
-_BLANK, _ODD_BLANK = re.compile(r" (?=\S)"), re.compile(r" (?=\s|$)")
+#: A blank that another character than white space follows; a blank or line
+#: end that none follows, or a line end behind white space.
+_BLANK, _ODD = re.compile(r" (?=\S)"), re.compile(r"[ \n](?=\s|$)|(?<=\s)\n")
 _SPACE = re.compile(r"\s")
-_PUNCTUATION = ".,;:!?"
+_PUNCTUATION = string.punctuation
 
 
 class Pieces(dict):
-    """Ids (as bytes) of the pieces of texts between single blanks, each with
-    the blank before it.
+    """Ids (as bytes) of the pieces of texts between single blanks or line
+    ends, each with the blank (left out in the key) or line end before it.
 
     The tokenizer's pre-tokenizer begins a new token at a blank that is
-    followed by another character than white space, and between a letter and
-    punctuation, whatever stands before or behind.  So a text's ids are those
+    followed by another character than white space, at a line end between two
+    such characters, and between a letter and punctuation, whatever stands
+    before or behind.  So a text's ids are those
     of its pieces in order, and each distinct piece is encoded once.  ``most``
     bounds the memory; when it is full, new pieces are not remembered."""
 
@@ -73,36 +76,46 @@ class Pieces(dict):
 
     def __init__(self, tokenizer, dtype: str):
         self.tokenizer, self.dtype = tokenizer, dtype
+        # contractions begin with an apostrophe; added tokens are found before all others
+        kept = "'" + "".join(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        self.punctuation = "".join(c for c in _PUNCTUATION if c not in kept)
         vocabulary = tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that begin with a blank
         self.starts[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+        self.lines = np.zeros(len(self.starts), bool)  # a line end alone
+        self.lines[[i for t, i in vocabulary.items() if t == "Ċ"]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word behind a blank.  Many words are encoded as one
-        text, whose ids are cut where a token begins with a blank; words with
+        """The ids of each word behind a blank, or behind the line end that it
+        begins with.  Many words are encoded as one text, whose ids are cut
+        where a token begins with a blank or is a line end; words with other
         white space inside go one by one."""
         out: dict[str, bytes] = {}
-        plain = [w for w in words if not _SPACE.search(w)]
-        runs = [plain[i:i + 500] for i in range(0, len(plain), 500)]
-        coded = self.tokenizer.encode_batch_fast(["".join([" " + w for w in r]) for r in runs], add_special_tokens=False)
-        for r, e in zip(runs, coded):
-            ids = np.array(e.ids, self.dtype)
-            at = np.flatnonzero(self.starts[ids])
-            if len(at) == len(r) and at[0] == 0:
-                raw, width = ids.tobytes(), ids.itemsize
-                edge = [*(at * width).tolist(), len(raw)]
-                out.update(zip(r, [raw[a:b] for a, b in zip(edge, edge[1:])]))
+        for sep, starts in (" ", self.starts), ("\n", self.lines):
+            cut = 0 if sep == " " else 1
+            plain = [w for w in words if (w[:1] == "\n") == cut and len(w) > cut and not _SPACE.search(w, cut)]
+            runs = [plain[i:i + 500] for i in range(0, len(plain), 500)]
+            texts = ["".join([sep + w for w in r]) if not cut else "".join(r) for r in runs]
+            coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for r, e in zip(runs, coded):
+                ids = np.array(e.ids, self.dtype)
+                at = np.flatnonzero(starts[ids])
+                if len(at) == len(r) and at[0] == 0:
+                    raw, width = ids.tobytes(), ids.itemsize
+                    edge = [*(at * width).tolist(), len(raw)]
+                    out.update(zip(r, [raw[a:b] for a, b in zip(edge, edge[1:])]))
         rest = [w for w in words if w not in out]
-        out.update(zip(rest, self.encode([" " + w for w in rest])))
+        out.update(zip(rest, self.encode([w if w[:1] == "\n" else " " + w for w in rest])))
         return [out[w] for w in words]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        split = [_BLANK.split(t) if _ODD_BLANK.search(t) else t.split(" ") for t in texts]
+        # a line end becomes the beginning of a piece
+        split = [_BLANK.split(t) if _ODD.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
         firsts = self.encode([p[0] for p in split])
         parts = [p[1:] for p in split]
         got = [list(map(self.get, p)) for p in parts]
@@ -111,7 +124,7 @@ class Pieces(dict):
         for i in open_:
             new.update(compress(parts[i], map(is_, got[i], repeat(None))))
         # a word and the punctuation behind it are separate tokens
-        cut = {w: w.rstrip(_PUNCTUATION) for w in new}
+        cut = {w: w.rstrip(self.punctuation) for w in new}
         cut = {w: c if c and c[-1].isalpha() else w for w, c in cut.items()}
         words = [c for c in set(cut.values()) if c not in self]
         known = dict(zip(words, self.encode_words(words)))

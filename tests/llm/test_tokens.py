@@ -77,3 +77,12 @@ def test_query_matches_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(sf + "/documents.parquet").select("doc_id", "text").collect()]
     got = entry.queries()["op3_token_ids"](spark, sf).collect()
     assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == brute(rows)
+
+
+def test_pieces_are_shared_across_line_ends_and_punctuation():
+    p = tokens.Pieces(TOK, "<u2")
+    texts = ["a one.\ntwo three", "a one$$$\ntwo three", "\ntwo\nthree.", "a one.\n\ntwo", "a one. \ntwo", "one.\n"]
+    assert p.ids(texts) == p.encode(texts)
+    # each line's first word and each word before a line end is its own piece
+    assert {"one.", "one$$$", "one", "\ntwo", "three"} <= set(p)
+    assert not {"one.\ntwo", "one$$$\ntwo"} & set(p)
