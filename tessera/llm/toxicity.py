@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.base import SLICE, if_small, mix, per_batch, shingle_set, windows
+from tessera.llm.base import SLICE, if_small, mix, per_batch, windows, word_hashes, words_of
 from tessera.session import cut_lineage
 
 MAX_LABELLED = 12_000
@@ -52,6 +52,7 @@ PATTERNS = {
     "threat": r"\b(i|we) will (kill|hurt|destroy|find) (you|them)\b",
     "shouting": r"([A-Z]{4,}\W+){4,}|!{4,}",
 }
+_CAPITALS = re.compile(r"[A-Z]{4}")
 FIXED = {w: name for name, words in LEXICONS.items() for w in words.split()}
 
 #: ASCII other than letters becomes a blank; A-Z is lower-cased.
@@ -225,9 +226,10 @@ def _signature(text: str | None) -> int:
     """Three minima of the hashes of a text's 3-word shingles, as one number:
     near copies mostly have the same one, other texts that share a passage
     hardly ever."""
-    h = shingle_set(text, 3)
-    if not len(h):
+    words = word_hashes(words_of(text))
+    if not len(words):
         return 0
+    h = windows(words, min(3, len(words)))  # minima need neither order nor distinct hashes
     low = np.array([mix(h ^ np.uint64(k * 77 + 1)).min() for k in range(3)])
     return int(windows(low, 3)[0] >> np.uint64(1))
 
@@ -363,7 +365,7 @@ class Voters:
         low = text.lower()
         # what every match of a pattern holds is looked for before the pattern
         may = ("u are " in low or "u r " in low, "shut " in low or "go to hell" in low or "get lost" in low,
-               " will " in low, True)
+               " will " in low, "!!!!" in text or _CAPITALS.search(text))
         for k, (p, possible) in enumerate(zip(self.patterns, may)):
             if possible and p.search(text if k == 3 else low):
                 v |= 1 << (len(LEXICONS) + k)

@@ -2,6 +2,7 @@ import numpy as np
 
 import __spark_entry__ as entry
 from tessera.llm import toxicity as tox
+from tessera.llm.base import shingle_set
 
 
 def test_label_model_recovers_rates_and_correlation():
@@ -122,3 +123,20 @@ def test_telling_features_match_brute_force(spark):
     frame = lambda texts: spark.createDataFrame([(t,) for t in texts], "text string")
     got = tox._telling_features(frame(pos), frame(neg), 60, 600)
     assert set(got) == want and "0:=zorgle" in want and "0:=grumph" in want and "0:=mixed" not in want
+
+
+def test_shouting_is_sought_only_where_it_may_be():
+    v, bit, sought = tox.Voters([]), 1 << (len(tox.LEXICONS) + 3), []
+    whole = v.patterns[3]
+    v.patterns[3] = type("P", (), {"search": lambda self, t: sought.append(t) or whole.search(t)})()
+    shouts = ["hey!!!!", "WHAT WERE THEY DOING ", "x ABCD EFGH, IJKL\nMNOP?"]
+    others = ["Quiet, Mild Words. " * 50, "hey!!!", "", "ABC DEF GHI JKL ", "WHAT WERE they DOING THERE"]
+    assert [bool(v.mask(t) & bit) for t in shouts + others] == [True] * 3 + [False] * 5
+    assert sought == shouts + others[-1:]
+
+
+def test_signature_of_repeated_words():
+    sets = lambda t: [tox.mix(shingle_set(t, 3) ^ np.uint64(k * 77 + 1)).min() for k in range(3)]
+    for t in ("a", "a b", "a b c", "a b c " * 40, "x y z w " * 7 + "a"):
+        assert tox._signature(t) == int(tox.windows(np.array(sets(t)), 3)[0] >> np.uint64(1))
+    assert tox._signature(None) == tox._signature(" ") == 0
