@@ -15,7 +15,9 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -27,6 +29,12 @@ from pyspark.sql import functions as F
 from tessera.session import checkpoint_dir, cut_lineage, delete_at_exit
 
 MISSING = -999.0
+#: Rows of a file of the tables that the folds' models are fitted on: each fit
+#: scans them many times, on as many cores as there are files.
+FILE_ROWS = 50_000
+#: Models of a learner that are fitted at a time: one's short jobs and last
+#: tasks leave cores idle.  Each keeps its binned rows in memory, or on disk.
+AT_ONCE = 2
 #: A learner callback: validation rows of a fold (key, label, predictions) to
 #: a table of one row, e.g. ``lambda v: metrics.smape(v, "fee", "pred")``.
 Metric = Callable[[DataFrame], DataFrame]
@@ -143,6 +151,13 @@ def _fold_rows(data: DataFrame, fold: str, i: int, early_stopping: bool) -> Data
     return data.filter(F.col(fold).isNotNull()).withColumn("__valid", F.col(fold) == i)
 
 
+def _fit_folds(pipe: Pipeline, data: DataFrame, fold: str, folds: Sequence[int], early_stopping: bool) -> list:
+    """The folds' models, AT_ONCE at a time."""
+    fit = inheritable_thread_target(data.sparkSession)(lambda i: pipe.fit(_fold_rows(data, fold, i, early_stopping)))
+    with ThreadPool(AT_ONCE) as pool:
+        return pool.map(fit, folds, chunksize=1)
+
+
 def _score_fold(metric: Metric, val: DataFrame, fold: str, i: int) -> DataFrame:
     return metric(val).select(F.lit(i).alias(fold), "*")
 
@@ -169,16 +184,15 @@ def oof_classify(df: DataFrame, features: Sequence[str], label: str, fold: str,
         est = est.setWeightCol(weight)
     # k fits and 2k transforms read these tables: write them once (shared
     # folder, survives executor loss) instead of recomputing the lineage
-    data = cut_lineage(fill_missing(df, features).withColumn("__label", F.col(label).cast("double")), "oof-train")
-    score = cut_lineage(fill_missing(to_score, features), "oof-score") if to_score is not None else None
+    data = cut_lineage(fill_missing(df, features).withColumn("__label", F.col(label).cast("double")), "oof-train", FILE_ROWS)
+    score = cut_lineage(fill_missing(to_score, features), "oof-score", FILE_ROWS) if to_score is not None else None
     if early_stopping:
         est = _stopping(est)
     pipe = Pipeline(stages=[assemble(features, "__features"), est])
     classes = [F.coalesce(F.get("__p", F.lit(i)), F.lit(0.0)).alias(f"{prefix}{i}") for i in range(n_classes)]
-    oof_parts, score_parts, models, scores = [], [], [], []
-    for i in folds:
-        model = pipe.fit(_fold_rows(data, fold, i, early_stopping))
-        models.append(model)
+    oof_parts, score_parts, scores = [], [], []
+    models = _fit_folds(pipe, data, fold, folds, early_stopping)
+    for i, model in zip(folds, models):
         val = class_probabilities(model.transform(data.filter(F.col(fold) == i)))
         oof_parts.append(val.select(key, F.lit(i).alias(fold), *classes))
         if metric:
@@ -207,15 +221,14 @@ def oof_regress(df: DataFrame, features: Sequence[str], target: str, fold: str,
     est = est.setLabelCol("__y").setFeaturesCol("__features").setPredictionCol(pred)
     if weight:
         est = est.setWeightCol(weight)
-    data = cut_lineage(fill_missing(df, features).withColumn("__y", F.col(target).cast("double")), "oof-train")
-    score = cut_lineage(fill_missing(to_score, features), "oof-score") if to_score is not None else None
+    data = cut_lineage(fill_missing(df, features).withColumn("__y", F.col(target).cast("double")), "oof-train", FILE_ROWS)
+    score = cut_lineage(fill_missing(to_score, features), "oof-score", FILE_ROWS) if to_score is not None else None
     if early_stopping:
         est = _stopping(est)
     pipe = Pipeline(stages=[assemble(features, "__features"), est])
-    oof_parts, score_parts, models, scores = [], [], [], []
-    for i in folds:
-        model = pipe.fit(_fold_rows(data, fold, i, early_stopping))
-        models.append(model)
+    oof_parts, score_parts, scores = [], [], []
+    models = _fit_folds(pipe, data, fold, folds, early_stopping)
+    for i, model in zip(folds, models):
         val = model.transform(data.filter(F.col(fold) == i)).select(key, F.lit(i).alias(fold), F.col(target), F.col(pred))
         oof_parts.append(val)
         if metric:

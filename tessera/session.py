@@ -102,16 +102,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, name: str | None = None, file_rows: int = 0) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     A written table survives executor loss (unlike cached blocks) and turns a
     long lineage into a plain scan with its own statistics.  It is deleted
-    when the application ends.
+    when the application ends.  With ``file_rows`` a file has at most so many
+    rows, so that later scans can deal a table that few tasks wrote over all
+    cores (a file of one row group is read by one task).
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name or 'table'}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
     delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -117,3 +117,22 @@ def test_class_that_a_training_fold_lacks_has_probability_zero(frame):
     res = models.oof_classify(d, ["x1"], "label", "fold", "id", 3, estimator=CategoricalNaiveBayes(binWidth=0.5), folds=[0, 1])
     rows = res.oof.collect()
     assert all(r["class_2"] == 0.0 for r in rows if r["fold"] == 0) and any(r["class_2"] > 0 for r in rows if r["fold"] == 1)
+
+
+def test_fits_read_as_many_files_as_rows_need_and_overlap(spark, monkeypatch):
+    import threading
+    from tessera.ml import models
+    rows = [(i, i % 5, i % 2, float(i % 7)) for i in range(200)]
+    d = spark.createDataFrame(rows, "id long, fold int, y int, x double").coalesce(1)
+    monkeypatch.setattr(models, "FILE_ROWS", 30)
+    files, meet, fit = [], threading.Barrier(2, timeout=60), models.Pipeline.fit
+
+    def watched(self, data):
+        files.append(len(data.inputFiles()))
+        if len(files) <= 4:
+            meet.wait()  # two fits run at a time, or this breaks
+        return fit(self, data)
+    monkeypatch.setattr(models.Pipeline, "fit", watched)
+    res = models.oof_classify(d, ["x"], "y", "fold", "id", 2, None, models.RandomForestClassifier(numTrees=2, maxDepth=2, seed=1))
+    assert sorted((r["id"], r["fold"]) for r in res.oof.collect()) == [(i, i % 5) for i in range(200)]
+    assert files == [7] * 5 and len(res.models) == 5
