@@ -37,6 +37,7 @@ fails.  No link is lost and no task holds more than a tile.
 from __future__ import annotations
 
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -161,7 +162,7 @@ def _tiles(rows: DataFrame, num: int, den: int, tile: int) -> DataFrame:
 
     def run(batches):
         rest = None
-        for batch in [*_chunks(batches), None]:
+        for batch in chain(_chunks(batches), [None]):  # one at a time: a task's rows may be many
             if batch is not None:
                 rest = batch if rest is None else [np.concatenate([x, y]) for x, y in zip(rest, batch)]
             if rest is None or not len(rest[0]):

@@ -3,6 +3,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,26 @@ def test_query_matches_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(sf + "/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(tuple(r) for r in entry.queries()["op10_jaccard_join"](spark, sf).collect())
     assert got == brute(rows, 3, 9, 10)
+
+
+def test_a_tile_task_holds_one_batch_at_a_time(spark, monkeypatch):
+    """The batches of a task are read as they are worked on."""
+    read, seen = [], []
+
+    def run(self, f, schema):
+        n = 4
+        def batches():
+            for k in range(n):
+                read.append(k)
+                yield pa.RecordBatch.from_pydict({
+                    **{c: pa.array(v, pa.int64()) for c, v in zip(
+                        ("k", "p", "q", "own", "v", "c", "n"), ([k, k], [0, 0], [0, 0], [0, 0], [1, 2], [1, 2], [9, 9]))},
+                    "bits": pa.array([[1], [1]], pa.list_(pa.int64()))})
+        for b in f(batches()):
+            seen.append((b["k"].to_pylist(), len(read)))
+        return self
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", run)
+    rows = spark.createDataFrame([(1, 1, 1, 9, [1])], "k long, v long, c long, n long, bits array<long>")
+    parity._tiles(rows, 9, 10, 100)
+    # a tile is given out when the next one begins
+    assert seen == [([0], 2), ([1], 3), ([2], 4), ([3], 4)]

@@ -50,3 +50,14 @@ def test_run_chains_the_stages(spark):
     for _, f in cp.STAGES:
         docs = f(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_stages_hand_few_rows_to_python_at_a_time(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        cp.drop_near_copies(spark, spark.createDataFrame([(1, "a b c d e f"), (2, "x y")], "doc_id long, text string"), "")
+        assert int(spark.conf.get(key)) == cp.BATCH_ROWS
+    finally:
+        spark.conf.set(key, before)
