@@ -58,9 +58,21 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 #: end that none follows, or a line end behind white space.
 _BLANK, _ODD = re.compile(r" (?=\S)"), re.compile(r"[ \n](?=\s|$)|(?<=\s)\n")
 _SPACE = re.compile(r"\s")
+#: White space besides blanks and line ends, within and beyond ASCII.
+_RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_RARER = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200b)))
 _PUNCTUATION = string.punctuation
 
 
+def _odd(text: str) -> bool:
+    """Whether ``_ODD`` is in the text.  Without other white space that takes
+    two blanks or line ends in a row or one at the end, which plain searches
+    tell sooner."""
+    if any([c in text for c in _RARE]) or not text.isascii() and any([c in text for c in _RARER]):
+        return _ODD.search(text) is not None
+    return "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text.endswith((" ", "\n"))
+
+
 class Pieces(dict):
     """Ids (as bytes) of the pieces of texts between single blanks or line
     ends, each with the blank (left out in the key) or line end before it.
@@ -97,7 +109,10 @@ class Pieces(dict):
         out: dict[str, bytes] = {}
         for sep, starts in (" ", self.starts), ("\n", self.lines):
             cut = 0 if sep == " " else 1
-            plain = [w for w in words if (w[:1] == "\n") == cut and len(w) > cut and not _SPACE.search(w, cut)]
+            plain = [w for w in words if (w[:1] == "\n") == cut and len(w) > cut]
+            # all at once: most often no word has white space inside
+            if _SPACE.search("".join([w[cut:] for w in plain])):
+                plain = [w for w in plain if not _SPACE.search(w, cut)]
             runs = [plain[i:i + 500] for i in range(0, len(plain), 500)]
             texts = ["".join([sep + w for w in r]) if not cut else "".join(r) for r in runs]
             coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -115,7 +130,7 @@ class Pieces(dict):
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         # a line end becomes the beginning of a piece
-        split = [_BLANK.split(t) if _ODD.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
+        split = [_BLANK.split(t) if _odd(t) else t.replace("\n", " \n").split(" ") for t in texts]
         firsts = self.encode([p[0] for p in split])
         parts = [p[1:] for p in split]
         got = [list(map(self.get, p)) for p in parts]

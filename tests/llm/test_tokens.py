@@ -86,3 +86,15 @@ def test_pieces_are_shared_across_line_ends_and_punctuation():
     # each line's first word and each word before a line end is its own piece
     assert {"one.", "one$$$", "one", "\ntwo", "three"} <= set(p)
     assert not {"one.\ntwo", "one$$$\ntwo"} & set(p)
+
+
+def test_odd_white_space_is_told_as_by_the_pattern():
+    r = np.random.default_rng(3)
+    signs = list("ab.é \n  \n\t\r\x0b\x1c\x85\xa0    　")
+    for size in (0, 1, 2, 3, 6, 9):
+        for _ in range(400):
+            t = "".join(r.choice(signs[:9] if r.random() < 0.6 else signs, size))
+            assert tokens._odd(t) == bool(tokens._ODD.search(t)), repr(t)
+    p = tokens.Pieces(TOK, "<u2")
+    texts = ["one\ttwo three", "one\xa0two three four", "one two　", " one  two", "eins zwölf\ndrei\x85vier"]
+    assert p.ids(texts) == p.encode(texts)
