@@ -45,8 +45,9 @@ SHORTEST, LONGEST = 2, 6
 #: (and more than LEAST); so there are at most FREQUENT frequent grams of each
 #: length, (LONGEST - SHORTEST) * FREQUENT in all, which may be broadcast.
 FREQUENT, LEAST = 50_000, 32
-#: Code points of a run of letters.
-LETTERS = "[A-Za-zÀ-ÿ]"
+#: Code points of a run of letters, A-Z, a-z and À-ÿ.  One by one: Java's
+#: pattern looks single ones up in a table, but asks range after range.
+LETTERS = "[" + "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)])) + "]"
 
 
 def runs(docs: DataFrame, text_col: str = "text", min_len: int = 4, name: str = "run") -> DataFrame:
@@ -93,18 +94,25 @@ def keys_of(word: str, frequent: dict[str, int]) -> tuple[list[int], list[int],
     in for words of its own length and for words of one code point less."""
     key = lambda scheme, p, g: xxhash.xxh3_64_intdigest(f"{scheme},{p},{g}") - (1 << 63)
     n = len(word)
-    grams = decompose(word, frequent, _longest(n))
-    up = decompose(word, frequent, _longest(n - 1))
-    return ([key(n, p, g) for p, g in out_of_reach(grams, frequent, _longest(n))],
-            [key(n, p, g) for p, g in grams],
+    q, q_up = _longest(n), _longest(n - 1)
+    grams = decompose(word, frequent, q)
+    up = grams if q_up == q else decompose(word, frequent, q_up)
+    same = [key(n, p, g) for p, g in grams]
+    return ([same[grams.index(x)] for x in out_of_reach(grams, frequent, q)],
+            same,
             list({key(n - 1, q, g) for p, g in up for q in (p, p - 1) if q >= 0}))
 
 
+@cache
+def _bit(letter: str) -> int:
+    return 1 << (ord(letter) * 0x9E3779B1 >> 7) % 64
+
+
 def letter_parities(word: str) -> int:
     """64 bits, each the parity of the number of the letters that fall on it."""
     bits = 0
-    for c in word:
-        bits ^= 1 << (ord(c) * 0x9E3779B1 >> 7) % 64
+    for b in map(_bit, word):
+        bits ^= b
     return bits - (1 << 64) if bits >> 63 else bits
 
 

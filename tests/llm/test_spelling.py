@@ -128,3 +128,16 @@ def test_query_matches_brute_force(spark):
                  .select("word", "form", "root", "n", "n_near", "form_n").collect())
     assert got == brute(counted(rows))
     assert any(r[1] for r in got)
+
+
+def test_letters_one_by_one_and_grams_once(monkeypatch):
+    every = "".join(map(chr, range(0x300)))
+    assert re.findall(spelling.LETTERS, every) == re.findall("[A-Za-zÀ-ÿ]", every)
+    assert "-" not in spelling.LETTERS  # ranges are slow in Java
+    calls = []
+    real = spelling.decompose
+    monkeypatch.setattr(spelling, "decompose", lambda *a: calls.append(a) or real(*a))
+    spelling.keys_of("lengthily", {})  # grams as long as for a word of one less
+    assert len(calls) == 1
+    spelling.keys_of("lengthen", {})
+    assert len(calls) == 3
