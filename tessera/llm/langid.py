@@ -8,11 +8,14 @@ interpolated over all lower orders, and the back-off weight of each context.
 A text gets the language of the lowest cross-entropy per character.
 
 Fit: the n-grams of all labelled documents are counted by a Spark aggregate,
-copies of a text once; the driver gets the ``max_grams`` most frequent of each
-language.  For calibration a fifth of the texts of a language is held back, at
-most about MAX_HELD.  Calibration sets the temperature of the
+copies of a text once.  A model has the n-grams of a language in order of their
+counts, at most ``max_grams``; what it says of them (discounts, continuation
+counts, totals of contexts) is counted over all n-grams, and the mass of those
+left out goes to the back-off.  For calibration the texts are halved by a hash
+and each is judged by a model of the other half, so every text is counted in the
+model and every text sets limits.  Calibration sets the temperature of the
 score and, per language, the cross-entropy beyond which a text is rejected, by a
-quantile that mislabelled and odd held-back texts do not move.
+quantile that mislabelled and odd texts do not move.
 """
 
 from __future__ import annotations
@@ -32,7 +35,8 @@ from tessera.session import cut_lineage
 
 ORDER = 4
 MAX_GRAMS = 1 << 18
-MAX_HELD = 2_000
+#: 0: no calibration; None: by all texts.
+MAX_HELD = None
 CHUNK = 1 << 18
 HOLD = 1 << 18
 UNDECIDED = "und"
@@ -42,8 +46,11 @@ REJECTED, TAIL = 1e-4, 0.95
 #: Least limit: junk lines and mixed languages reach 22 in the test tables,
 #: the unlearned languages tried begin at 54.
 LEAST = 30.0
-#: Held-back texts below which a language takes spread and limit from all.
+#: Texts below which a language takes spread and limit from all.
 FEW = 20
+#: Temperatures that are tried, and the width of the bins in which
+#: cross-entropies are counted (nats; symbols: parts of a power of e).
+HEATS, BINS, LENGTH_BINS = np.geomspace(0.002, 1, 28), 1024, 32
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -188,31 +195,50 @@ class Model:
 
 
 def _discount(counts: np.ndarray) -> float:
-    one, two = (counts == 1).sum(), (counts == 2).sum()
+    return _share_off((counts == 1).sum(), (counts == 2).sum())
+
+
+def _share_off(one: int, two: int) -> float:
+    """The discount, from the numbers of n-grams counted once and twice."""
     return float(min(max(one / (one + 2 * two), 0.1), 0.9)) if one else 0.5
 
 
+@dataclass
+class Level:
+    """The n-grams of one order that a language's model has."""
+    grams: np.ndarray
+    counts: np.ndarray
+    discount: float
+    contexts: np.ndarray | None = None  # with the total of each, ``mass``; None: of the n-grams here
+    mass: np.ndarray | None = None
+
+
 def kneser_ney(langs: list[str], grams: np.ndarray, lang_of: np.ndarray, counts: np.ndarray) -> Model:
     """Models from the counted n-grams of order ORDER (rows of symbols) of
-    each language."""
-    of_order = []  # per order: hashes of all languages, probability, log back-off by context
+    each language, all of them."""
+    of_order = []
     for lang in range(len(langs)):
         mine = lang_of == lang
         g, c = grams[mine], counts[mine].astype(np.float64)
-        levels = [(g, c)]
+        levels = [Level(g, c, _discount(c))]
         for _ in range(ORDER - 1):  # continuation counts: distinct symbols before
-            g, c = np.unique(levels[0][0][:, 1:], axis=0, return_counts=True)
-            levels.insert(0, (g, c.astype(np.float64)))
+            g, c = np.unique(levels[0].grams[:, 1:], axis=0, return_counts=True)
+            levels.insert(0, Level(g, c.astype(np.float64), _discount(c)))
         of_order.append(levels)
+    return _interpolated(langs, of_order)
+
+
+def _interpolated(langs: list[str], of_order: list[list[Level]]) -> Model:
+    """Models from the levels of each language, by order."""
     hash_of = _row_hash
     L = len(langs)
     # per order the n-grams of all languages and the contexts of the next order
     known = [None] * ORDER
     for k in range(ORDER - 1, -1, -1):
-        parts = [of_order[i][k][0] for i in range(L)] + ([known[k + 1][:, :-1]] if k < ORDER - 1 else [])
+        parts = [of_order[i][k].grams for i in range(L)] + ([known[k + 1][:, :-1]] if k < ORDER - 1 else [])
         known[k] = np.unique(np.concatenate(parts), axis=0)
     tables, logp, backoff, prob, floor = [], [], [], [], None
-    vocabulary = len(np.unique(np.concatenate([of_order[i][0][0] for i in range(L)])))
+    vocabulary = len(np.unique(np.concatenate([of_order[i][0].grams for i in range(L)])))
     for k in range(ORDER):
         by_hash = np.argsort(hash_of(known[k]))
         symbols = known[k][by_hash]
@@ -223,24 +249,29 @@ def kneser_ney(langs: list[str], grams: np.ndarray, lang_of: np.ndarray, counts:
             gamma = np.zeros((len(tables[k - 1].hashes), L))  # last row: unseen context, log weight 0
         lower = (prob[k - 1][tables[k - 1].find(hash_of(symbols[:, 1:]))] if k else None)
         for i in range(L):
-            g, c = of_order[i][k]
-            d = _discount(c)
+            at = of_order[i][k]
+            g, c, d = at.grams, at.counts, at.discount
             rows = table.find(hash_of(g))
             if not k:
-                weight = d * len(c) / c.sum()
-                base = weight / (vocabulary + 1)
+                total = c.sum() if at.mass is None else at.mass.sum()
+                base = (1 - np.maximum(c - d, 0).sum() / total) / (vocabulary + 1)
                 p[:, i] = base
-                p[rows, i] += np.maximum(c - d, 0) / c.sum()
+                p[rows, i] += np.maximum(c - d, 0) / total
                 floor = np.zeros(L) if floor is None else floor
                 floor[i] = np.log(base)
                 continue
             ctx = tables[k - 1].find(hash_of(g[:, :-1]))
             size = len(tables[k - 1].hashes)
-            mass = np.bincount(ctx, weights=c, minlength=size)
-            kinds = np.bincount(ctx, minlength=size)
+            mass = np.zeros(size)
+            if at.mass is None:
+                mass += np.bincount(ctx, weights=c, minlength=size)
+            else:
+                mass[tables[k - 1].find(hash_of(at.contexts))] = at.mass
+            # discounts, and the counts of n-grams that the level is without
+            kept = np.bincount(ctx, weights=np.maximum(c - d, 0), minlength=size)
             seen = mass > 0
             w = np.ones(size)
-            w[seen] = d * kinds[seen] / mass[seen]
+            w[seen] = 1 - kept[seen] / mass[seen]
             gamma[:, i] = np.log(w)
             all_ctx = tables[k - 1].find(hash_of(symbols[:, :-1]))
             p[:, i] = w[all_ctx] * lower[:, i]
@@ -310,109 +341,210 @@ def _counted_grams(batches):
     yield out(held)
 
 
-def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
-    """At most about ``most`` rows of each language ``l`` of ``(l, a, b, n)``,
-    those of the largest counts; among equal ones by a hash."""
+def _most_frequent(counted: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """Of each language ``l`` of the written ``(l, a, b, n)`` the n-grams of
+    largest counts, at most ``most``, and whether any are left out.  Those of
+    (nearly) equal counts stay or go together; only if those of the largest
+    counts are too many, the first in order of code points stay."""
     level = F.floor(F.log("n") * 32).cast("long")  # some 1,400 levels at most
     there = counted.groupBy("l", level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    keep = F.lit(False)
+    keep, first = F.lit(False), []
     for l in {r["l"] for r in there}:
-        left, cut, share = most, -1, 1.0
-        for r in sorted((r for r in there if r["l"] == l), key=lambda r: -r["level"]):
-            if r["rows"] > left:
-                cut, share = r["level"], left / r["rows"]
-                break
-            left -= r["rows"]
-        u = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 30)) / float(1 << 30)
-        keep = keep | (F.col("l") == l) & ((level > cut) | (level == cut) & (u < share))
-    return counted.filter(keep)
+        rows = sorted((r for r in there if r["l"] == l), key=lambda r: -r["level"])
+        fit = int((np.cumsum([r["rows"] for r in rows]) <= most).sum())
+        if fit:
+            keep = keep | (F.col("l") == l) & (level >= rows[fit - 1]["level"])
+        else:
+            first.append(counted.filter((F.col("l") == l) & (level == rows[0]["level"])).orderBy("a", "b").limit(most))
+    kept = counted.filter(keep)
+    for f in first:
+        kept = kept.union(f)
+    cut = sum(r["rows"] for r in there) > kept.count()
+    return kept, cut
+
+
+def _symbol_columns(counted: DataFrame) -> DataFrame:
+    """``(l, c0 .. c3, n)`` of ``(l, a, b, n)``."""
+    low = (1 << 21) - 1
+    cols = F.shiftright("a", 42), F.shiftright("a", 21).bitwiseAND(low), F.col("a").bitwiseAND(low), F.col("b").bitwiseAND(low)
+    return counted.select("l", *[c.alias(f"c{i}") for i, c in enumerate(cols)], "n")
+
+
+def _levels(counted: DataFrame, kept: DataFrame, there: list[int]) -> list[list[Level]]:
+    """Per language, the levels of the kept n-grams with the counts, discounts
+    and totals of contexts of all counted ones."""
+    every, some = _symbol_columns(counted), cut_lineage(_symbol_columns(kept), "kept-grams")
+    out = {l: [] for l in there}
+    for k in range(ORDER, 0, -1):
+        g = [f"c{i}" for i in range(ORDER - k, ORDER)]
+        if k < ORDER:
+            every = cut_lineage(every.groupBy("l", *g).agg(F.count(F.lit(1)).alias("n")), "grams")
+            some = cut_lineage(every.join(some.select("l", *g).distinct(), ["l", *g], "left_semi"), "kept-grams")
+        mass = (every.groupBy("l", *g[:-1]).agg(F.sum("n").alias("mass"))
+                .join(some.select("l", *g[:-1]).distinct(), ["l", *g[:-1]], "left_semi").toPandas())
+        few = {(r["l"], r["n"]): r["count"] for r in every.filter("n <= 2").groupBy("l", "n").count().collect()}
+        mine = some.toPandas().sort_values(["l", *g])
+        for l in there:
+            x, m = mine[mine["l"] == l], mass[mass["l"] == l]
+            out[l].insert(0, Level(x[g].to_numpy(np.uint32), x["n"].to_numpy(np.float64),
+                                   _share_off(few.get((l, 1), 0), few.get((l, 2), 0)),
+                                   m[g[:-1]].to_numpy(np.uint32), m["mass"].to_numpy(np.float64)))
+    return [out[l] for l in there]
+
+
+def _model(counted: DataFrame, langs: list[str], most: int) -> Model:
+    """The models of the written ``(l, a, b, n)``, ``l`` a number of ``langs``."""
+    kept, cut = _most_frequent(counted, most)
+    cols = [f"c{i}" for i in range(ORDER)]
+    rows = _symbol_columns(kept).toPandas().sort_values(["l", *cols])
+    there = sorted(rows["l"].unique())
+    if not there:
+        return Model([], [], [], [], np.zeros(0, np.float32))
+    names = [langs[l] for l in there]
+    model = kneser_ney(names, rows[cols].to_numpy(np.uint32),
+                       rows["l"].map({l: i for i, l in enumerate(there)}).to_numpy(), rows["n"].to_numpy())
+    return _interpolated(names, _levels(counted, kept, there)) if cut else model
 
 
 def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_grams: int = MAX_GRAMS) -> Model:
     """Models of every language of ``train`` (rows with a null text or
     language are left out; a text without letters teaches nothing).
 
-    All distinct texts of a language are counted, but for those held back by
-    a hash of the text; the text of the smallest hash never is.  The models
-    keep the ``max_grams`` most frequent n-grams of a language.  Without any
-    letter in ``train`` the model has no language and everything is
-    undecided."""
+    All distinct texts of a language are counted.  The models have the
+    n-grams of largest counts of a language, at most ``max_grams``, with
+    statistics of all.  Without any letter in ``train`` the model has no
+    language and everything is undecided."""
     docs = train.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna().filter(F.col("text").rlike("\\p{L}"))
-    u = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(1 << 30)) / float(1 << 30)
-    stats = docs.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"), F.min(u).alias("u")).collect()
-    stats = {r["lang"]: r for r in stats}
-    langs = sorted(stats)
+    langs = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
     if not langs:
         return Model([], [], [], [], np.zeros(0, np.float32))
-    per_lang = lambda f: F.create_map(*[F.lit(x) for i, l in enumerate(langs) for x in (l, f(i, stats[l]))])[F.col("lang")]
-    held = (u < per_lang(lambda i, r: min(0.2, MAX_HELD / max(r["n"], 1)))) & (u > per_lang(lambda i, r: r["u"]))
-    chosen = docs.select("text", per_lang(lambda i, r: i).cast("long").alias("l"), held.alias("held"))
-    cols = [f"c{i}" for i in range(ORDER)]
-    counted = (chosen.filter("not held").select("text", "l").distinct().mapInArrow(_counted_grams, "a long, b long, n long")
-               .groupBy("a", "b").agg(F.sum("n").alias("n")).withColumn("l", F.shiftright("b", 21)))
-    counted = _most_frequent(cut_lineage(counted, "n-grams"), max_grams).toPandas()
-    a, b, low = counted["a"].to_numpy(), counted["b"].to_numpy(), (1 << 21) - 1
-    for c, x in zip(cols, (a >> 42, a >> 21 & low, a & low, b & low)):
-        counted[c] = x
-    counted = counted.sort_values(["l", *cols])
-    there = sorted(counted["l"].unique())
-    if not there:
-        return Model([], [], [], [], np.zeros(0, np.float32))
-    renumber = {l: i for i, l in enumerate(there)}
-    model = kneser_ney([langs[l] for l in there], counted[cols].to_numpy(np.uint32),
-                       counted["l"].map(renumber).to_numpy(), counted["n"].to_numpy())
-
-    def entropies(b):
+    number = F.create_map(*[F.lit(x) for i, l in enumerate(langs) for x in (l, i)])[F.col("lang")].cast("long")
+    half = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(2))
+    chosen = docs.select("text", number.alias("l"), half.alias("half"))
+    counted = (chosen.select("text", (F.col("l") * 2 + F.col("half")).alias("l")).distinct()
+               .mapInArrow(_counted_grams, "a long, b long, n long")
+               .groupBy(F.shiftright("b", 22).alias("l"), "a", F.col("b").bitwiseAND((1 << 21) - 1).alias("b"))
+               .agg(F.sum("n").alias("n"),
+                    F.sum(F.when(F.shiftright("b", 21).bitwiseAND(1) == 0, F.col("n")).otherwise(0)).alias("n0")))
+    counted = cut_lineage(counted, "n-grams")
+    model = _model(counted.select("l", "a", "b", "n"), langs, max_grams)
+    if not model.langs or MAX_HELD == 0:
+        return _calibrated(model, *(np.zeros(0, int),) * 2, np.zeros((0, len(model.langs))))
+    judged = None
+    for i, n in enumerate((F.col("n") - F.col("n0"), F.col("n0"))):  # each half by the other
+        other = _model(cut_lineage(counted.select("l", "a", "b", n.alias("n")).filter("n > 0"), "half"), langs, max_grams)
+        if other.langs:
+            rows = chosen.filter(F.col("half") == i).select("text", "l", F.xxhash64("text").alias("t"))
+            rows = rows.mapInArrow(per_batch(_entropies(other, model.langs, langs)), "l long, t long, n long, h array<double>")
+            judged = rows if judged is None else judged.union(rows)
+    if judged is None:
+        return _calibrated(model, *(np.zeros(0, int),) * 2, np.zeros((0, len(model.langs))))
+    return _calibrated_by(model, cut_lineage(judged.filter("n > 0").dropDuplicates(["l", "t", "n"]), "judged"))
+
+
+def _entropies(model: Model, names: list[str], langs: list[str]):
+    """Function of record batches ``(text, l, t)``: the language's number in
+    ``names`` instead of ``langs``, symbols (0 also if ``model`` has not the
+    language) and cross-entropies in the order of ``names``."""
+    to = np.array([names.index(l) if l in names else -1 for l in langs])
+    at = [names.index(l) for l in model.langs]
+    known = np.isin(np.arange(len(names)), at)
+
+    def run(b):
         h, n = model.cross_entropy(b["text"].to_pylist())
-        return {"l": b["l"], "n": pa.array(n, pa.int64()), "h": pa.array(list(h), pa.list_(pa.float64()))}
+        every = np.full((len(n), len(names)), np.inf)
+        every[:, at] = h
+        l = to[b["l"].to_numpy()]
+        return {"l": l, "t": b["t"], "n": pa.array(np.where((l >= 0) & known[l], n, 0), pa.int64()),
+                "h": pa.array(list(every), pa.list_(pa.float64()))}
+    return run
 
-    cal = chosen.filter("held").select("text", "l").distinct().mapInArrow(per_batch(entropies), "l long, n long, h array<double>")
-    cal = cal.filter("n > 0").toPandas()
-    cal = cal[cal["l"].isin(renumber)]
-    return _calibrated(model, cal["l"].map(renumber).to_numpy(), cal["n"].to_numpy(),
-                       np.array(cal["h"].tolist()).reshape(len(cal), len(model.langs)))
+
+def _losses(lang: np.ndarray, n: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Sum over the texts of -log(chance of their language), by HEATS."""
+    gap = (h.min(axis=1, keepdims=True) - h) * np.minimum(n, 4000)[:, None]
+    own = gap[np.arange(len(lang)), lang]
+    return np.array([np.sum(np.log(np.exp(gap * t).sum(axis=1)) - own * t) for t in HEATS])
+
+
+def _calibrated_by(m: Model, judged: DataFrame) -> Model:
+    """:func:`_calibrated` by the written ``(l, n, h)``: losses are added up in
+    Spark; of the texts that their language fits best, numbers by language, bin
+    of the cross-entropy and of the symbols come to the driver, with the bins'
+    means."""
+    def arrays(b):
+        lang = b["l"].to_numpy()
+        return lang, b["n"].to_numpy(), np.reshape(b["h"].flatten().to_numpy(), (len(lang), -1))
+
+    def losses(b):
+        return {"i": np.arange(len(HEATS)), "loss": _losses(*arrays(b))}
+
+    def right(b):
+        lang, n, h = arrays(b)
+        ok = h.argmin(axis=1) == lang
+        return {"l": lang[ok], "n": n[ok], "own": h[np.arange(len(lang)), lang][ok]}
+
+    rows = judged.select("l", "n", "h")
+    loss = dict(rows.mapInArrow(per_batch(losses), "i long, loss double").groupBy("i").agg(F.sum("loss")).collect())
+    if not loss:
+        return _calibrated(m, *(np.zeros(0, int),) * 2, np.zeros((0, len(m.langs))))
+    bins = (rows.mapInArrow(per_batch(right), "l long, n long, own double")
+            .groupBy("l", F.floor(F.col("own") * BINS).alias("x"), F.floor(F.log("n") * LENGTH_BINS).alias("y"))
+            .agg(F.avg("own").alias("own"), F.avg("n").alias("n"), F.count(F.lit(1)).alias("rows")).toPandas())
+    m.heat = float(HEATS[int(np.argmin([loss[i] for i in range(len(HEATS))]))])
+    return _limited(m, bins["l"].to_numpy(np.int64), bins["n"].to_numpy(np.float64), bins["own"].to_numpy(np.float64),
+                    bins["rows"].to_numpy(np.int64))
 
 
 def _calibrated(m: Model, lang: np.ndarray, n: np.ndarray, h: np.ndarray) -> Model:
-    """Temperature by likelihood of the held-back documents' languages; per
-    language a rejection limit of the standardised excess, for a share
-    REJECTED of its texts (at least LEAST).  Held-back rows that another language
-    fits better set no limit, and a few odd ones lie beyond the quantile.  A
+    """Temperature by likelihood of the judged documents' languages; per
+    language a rejection limit, see :func:`_limited`.  Rows that another
+    language fits better set no limit."""
+    if len(lang):
+        m.heat = float(HEATS[int(np.argmin(_losses(lang, n, h)))])
+    right = h.argmin(axis=1) == lang if len(lang) else np.zeros(0, bool)
+    lang, n, h = lang[right], n[right], h[right]
+    return _limited(m, lang, n, h[np.arange(len(lang)), lang], np.ones(len(lang), np.int64))
+
+
+def _quantile(x: np.ndarray, rows: np.ndarray, q: float) -> float:
+    """The ``q`` quantile of values that stand for so many rows each: a row's
+    value, for the median the mean of the middle two."""
+    order = np.argsort(x, kind="stable")
+    upto = np.cumsum(rows[order])
+    at = lambda i: x[order[np.searchsorted(upto, i, "right")]]
+    last = upto[-1] - 1
+    return float((at(last // 2) + at(last - last // 2)) / 2 if q == 0.5 else at(int(np.floor(q * last))))
+
+
+def _limited(m: Model, lang: np.ndarray, n: np.ndarray, own: np.ndarray, rows: np.ndarray) -> Model:
+    """Per language a rejection limit of the standardised excess, for a share
+    REJECTED of its texts (at least LEAST), by values that stand for so many
+    ``rows`` each.  A few odd ones lie beyond the quantile.  A
     language of fewer than FEW rows takes spread and limit from the rows of
     all, one without any also the typical level; with fewer than 3 rows in all
     nothing is rejected."""
     L = len(m.langs)
     m.mean, m.spread, m.between, m.limit = np.full(L, np.inf), np.ones(L), np.zeros(L), np.full(L, np.inf)
-    if not len(lang):
-        return m
-    own = h[np.arange(len(lang)), lang]
-    gap = (h.min(axis=1, keepdims=True) - h) * np.minimum(n, 4000)[:, None]
-
-    def loss(t):
-        z = gap * t
-        return -np.mean(z[np.arange(len(lang)), lang] - np.log(np.exp(z).sum(axis=1)))
-    m.heat = float(min(np.geomspace(0.002, 1, 28), key=loss))
-    right = h.argmin(axis=1) == lang
-    own, n, lang = own[right], n[right], lang[right]
-    if len(lang) < 3:
+    if rows.sum() < 3:
         return m
     there = np.unique(lang)
     for l in there:
-        m.mean[l] = np.median(own[lang == l])
+        m.mean[l] = _quantile(own[lang == l], rows[lang == l], 0.5)
     typical = np.median(m.mean[there])
     apart = np.max(np.abs(m.mean[there] - typical))
     off = own - m.mean[lang]
     for l in range(L):
         some = lang == l
-        if some.sum() < FEW:
+        if rows[some].sum() < FEW:
             some = np.ones(len(lang), bool)
-        x, k = off[some], n[some]
-        m.spread[l] = max(1.4826 * np.median(np.abs(x * np.sqrt(k))), 1.0)
-        m.between[l] = max(1.4826 * np.median(np.abs(x)), 0.02)
+        x, k, r = off[some], n[some], rows[some]
+        m.spread[l] = max(1.4826 * _quantile(np.abs(x * np.sqrt(k)), r, 0.5), 1.0)
+        m.between[l] = max(1.4826 * _quantile(np.abs(x), r, 0.5), 0.02)
         if l not in there:
             m.mean[l], m.between[l] = typical, np.hypot(m.between[l], apart)
         z = x / m._sd(np.full(len(x), l), k)
-        q = np.quantile(z, TAIL, method="lower")
+        q = _quantile(z, r, TAIL)
         m.limit[l] = max(LEAST, q * (1 + np.log((1 - TAIL) / REJECTED) / np.log(0.5 / (1 - TAIL))))
     return m
 

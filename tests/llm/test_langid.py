@@ -166,3 +166,40 @@ def test_every_language_is_learned_and_rare_grams_go_first(spark, monkeypatch):
     assert m.langs == sorted([*"abcdefgh", "en"])
     langs, _, lang_of, n = seen[0]
     assert np.bincount(lang_of).max() <= 60 and n[lang_of == m.langs.index("en")].min() > 20
+
+
+def test_statistics_and_limits_come_from_all_texts(spark, monkeypatch):
+    limits, levels = [], []
+    real, built = langid._limited, langid._interpolated
+    monkeypatch.setattr(langid, "_limited", lambda m, *a: limits.append(a) or real(m, *a))
+    monkeypatch.setattr(langid, "_interpolated", lambda *a: levels.append(a) or built(*a))
+    texts = [(t[i:], l) for t, l in ((EN, "en"), (DE, "de")) for i in range(40)]
+    langid.fit(spark.createDataFrame(texts + texts[:9], "text string, lang string"), max_grams=60)
+    assert limits[0][3].sum() == len(texts)  # each sets limits, copies once
+    langs, of_order = levels[1]  # of the kept n-grams, by all
+    for name, own in zip(langs, of_order):
+        every = Counter()
+        for t, l in texts:
+            s = langid._padded([t])[0] if l == name else []
+            every.update(tuple(map(int, s[i - 3:i + 1])) for i in range(3, len(s)))
+        for k in (4, 3, 2, 1):
+            every = Counter(g[1:] for g in every) if k < 4 else every
+            at = own[k - 1]
+            assert {tuple(map(int, g)): c for g, c in zip(at.grams, at.counts)}.items() <= every.items()
+            mass = Counter()
+            for g, c in every.items():
+                mass[g[:-1]] += c
+            assert {tuple(map(int, g)): c for g, c in zip(at.contexts, at.mass)}.items() <= mass.items()
+            assert at.discount == langid._discount(np.array(list(every.values())))
+            if k == 4:  # those of largest counts, not some of equal ones
+                assert 0 < len(at.grams) <= 60 < len(every)
+                assert min(at.counts) > max(c for g, c in every.items() if g not in set(map(tuple, at.grams.tolist())))
+
+
+def test_quantiles_of_rows_that_stand_for_many():
+    r = np.random.default_rng(8)
+    for size in (1, 2, 5, 30):
+        x, rows = r.normal(size=size).round(1), r.integers(1, 5, size)
+        every = np.repeat(x, rows)
+        assert langid._quantile(x, rows, 0.5) == pytest.approx(np.median(every))
+        assert langid._quantile(x, rows, 0.95) == np.quantile(every, 0.95, method="lower")
