@@ -20,11 +20,11 @@ import re
 import string
 import uuid
 import zlib
-from itertools import compress, repeat
-from operator import is_
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,22 +36,66 @@ LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.
 _BYTE = np.arange(4, dtype=np.uint8)
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of ranks below 2 ** 32."""
+def _padded(edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of ranks that begin and end at ``edge``: where each rank lies
+    if every row is filled up to a multiple of four, and the edges there."""
+    n = np.diff(edge)
+    padded = np.r_[0, np.cumsum(-(-n // 4) * 4)]
+    return np.arange(edge[0], edge[-1]) + np.repeat(padded[:-1] - edge[:-1], n), padded
+
+
+def encode_rows(ranks: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes of all rows, their edges, data bytes and their edges; row
+    ``i`` has the ranks (below 2 ** 32) from ``edge[i]`` to ``edge[i + 1]``,
+    ``edge[0]`` being 0."""
     r = np.ascontiguousarray(ranks, "<u4")
     more = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    bits = np.zeros(-(-len(r) // 4) * 4, np.uint8)
-    bits[:len(r)] = more
-    control = (bits.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), r.view(np.uint8).reshape(-1, 4)[_BYTE <= more[:, None]].tobytes()
+    at, padded = _padded(edge)
+    bits = np.zeros(padded[-1], np.uint8)
+    bits[at] = more
+    control = bits[0::4] | bits[1::4] << 2 | bits[2::4] << 4 | bits[3::4] << 6
+    data = r.view(np.uint8).reshape(-1, 4)[_BYTE <= more[:, None]]
+    return control, padded // 4, data, np.r_[0, np.cumsum(more, dtype=np.int64) + np.arange(1, len(r) + 1)][edge]
+
+
+def decode_rows(control: np.ndarray, data: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """The ranks of rows that :func:`encode_rows` has coded, by table lookup of
+    the control bytes."""
+    lengths = LENGTHS[control].reshape(-1)[_padded(edge)[0]]
+    out = np.zeros((len(lengths), 4), np.uint8)
+    out[_BYTE < lengths[:, None]] = data
+    return out.view("<u4").reshape(-1)
+
+
+def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Control bytes and data bytes of ranks below 2 ** 32."""
+    control, _, data, _ = encode_rows(ranks, np.array([0, len(ranks)]))
+    return control.tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` ranks, by table lookup of the control bytes."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[_BYTE < lengths[:, None]] = np.frombuffer(data, np.uint8)
-    return out.view("<u4").reshape(-1)
+    return decode_rows(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), np.array([0, n]))
+
+
+def _binary(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """Byte strings that lie one after the other, between byte positions."""
+    if edge[-1] >= 1 << 31:  # beyond what one Arrow array holds
+        raise ValueError("the rows of a slice have more than 2 GB of ids")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edge) - 1, [
+        None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in byte strings without nulls and the edges of the rows."""
+    dtype, column = np.dtype(dtype), column.cast(pa.binary())
+    if not len(column):
+        return np.zeros(0, dtype), np.zeros(1, np.int64)
+    _, edge, data = column.buffers()
+    edge = np.frombuffer(edge, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    size = edge[-1] - edge[0]
+    values = np.frombuffer(data, dtype, size // dtype.itemsize, edge[0]) if size else np.zeros(0, dtype)
+    return values, (edge - edge[0]) // dtype.itemsize
 
 
 #: A blank that another character than white space follows; a blank or line
@@ -127,17 +171,12 @@ class Pieces(dict):
         out.update(zip(rest, self.encode([w if w[:1] == "\n" else " " + w for w in rest])))
         return [out[w] for w in words]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        # a line end becomes the beginning of a piece
-        split = [_BLANK.split(t) if _odd(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        firsts = self.encode([p[0] for p in split])
-        parts = [p[1:] for p in split]
-        got = [list(map(self.get, p)) for p in parts]
-        open_ = [i for i, g in enumerate(got) if None in g]
-        new: set[str] = set()
-        for i in open_:
-            new.update(compress(parts[i], map(is_, got[i], repeat(None))))
+    def known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces; new ones are encoded and remembered."""
+        got = list(map(self.get, pieces))
+        new = [w for w, ids in zip(pieces, got) if ids is None]
+        if not new:
+            return got
         # a word and the punctuation behind it are separate tokens
         cut = {w: w.rstrip(self.punctuation) for w in new}
         cut = {w: c if c and c[-1].isalpha() else w for w, c in cut.items()}
@@ -151,12 +190,46 @@ class Pieces(dict):
                 known[w] = (known[c] if c in known else self[c]) + tail_ids[w[len(c):]]
         if len(self) < self.most:
             self.update(known)
-            for i in open_:
-                got[i] = list(map(self.__getitem__, parts[i]))
-        else:
-            for i in open_:
-                got[i] = [known[w] if ids is None else ids for w, ids in zip(parts[i], got[i])]
-        return [first + b"".join(g) for first, g in zip(firsts, got)]
+        return [known[w] if ids is None else ids for w, ids in zip(pieces, got)]
+
+    def joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in order and the number of each one's.  A piece
+        is looked up once, however often the texts have it."""
+        if not texts:
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        odd = [_odd(t) for t in texts]
+        # a line end becomes the beginning of a piece
+        split = pc.split_pattern(pc.replace_substring(pa.array(["" if o else t for t, o in zip(texts, odd)], pa.string()), "\n", " \n"), " ")
+        if any(odd):
+            own = pa.array([_BLANK.split(t) for t in compress(texts, odd)], split.type)
+            at = np.arange(len(texts))
+            at[odd] = len(texts) + np.arange(len(own))
+            split = pa.concat_arrays([split, own]).take(pa.array(at))
+        edge = np.asarray(split.offsets)
+        flat = split.values.dictionary_encode()
+        firsts = edge[:-1]  # no blank stands before them
+        piece = flat.indices.to_numpy().copy()
+        begin = split.values.take(pa.array(firsts)).to_pylist()
+        later = np.ones(len(piece), bool)
+        later[firsts] = False
+        used = np.bincount(piece[later], minlength=len(flat.dictionary)) > 0
+        words = flat.dictionary.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist()
+        number = np.cumsum(used) - 1
+        coded = self.known(words) + self.encode(begin)
+        piece = number[piece]
+        piece[firsts] = len(words) + np.arange(len(begin))
+        ids = np.frombuffer(b"".join(coded), self.dtype)
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // ids.itemsize
+        n = size[piece]
+        # an id's place is its piece's place and its own inside the piece
+        shift = (np.cumsum(size) - size)[piece] - (np.cumsum(n) - n)
+        return ids[np.repeat(shift, n) + np.arange(n.sum())], np.add.reduceat(n, firsts)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        ids, n = self.joined(texts)
+        raw, edge = ids.tobytes(), (np.r_[0, np.cumsum(n)] * ids.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(edge, edge[1:])]
 
 
 _LOADED: dict[int, Pieces] = {}
@@ -186,11 +259,11 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str =
     with open(tokenizer_path, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     dtype = id_type(tokenizer_path)
-    end = np.array([end_id], dtype).tobytes()
 
     def run(b):
-        ids = [x + end for x in _pieces(model.value, dtype).ids([t or "" for t in b["text"].to_pylist()])]
-        return {"doc_id": b["doc_id"], "ids": pa.array(ids, pa.binary())}
+        ids, n = _pieces(model.value, dtype).joined([t or "" for t in b["text"].to_pylist()])
+        ids = np.insert(ids, np.cumsum(n), end_id)
+        return {"doc_id": b["doc_id"], "ids": _binary(ids, np.r_[0, np.cumsum(n + 1)] * ids.itemsize)}
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return d.mapInArrow(per_batch(run), "doc_id long, ids binary")
@@ -200,7 +273,7 @@ def _counts(dtype: str):
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            n = np.bincount(np.frombuffer(b"".join(b["ids"].to_pylist()), dtype), minlength=len(total))
+            n = np.bincount(_values(b["ids"], dtype)[0], minlength=len(total))
             n[:len(total)] += total
             total = n
         at = np.flatnonzero(total)
@@ -232,13 +305,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     shared = spark.sparkContext.broadcast(rank_of)
 
     def code(b):
-        control, data, n = [], [], []
-        for ids in b["ids"].to_pylist():
-            r = shared.value[np.frombuffer(ids, dtype)]
-            c, d = encode_ranks(r)
-            control.append(c), data.append(d), n.append(len(r))
-        return {"doc_id": b["doc_id"], "n_tokens": pa.array(n, pa.int64()), "control": pa.array(control, pa.binary()),
-                "data": pa.array(data, pa.binary()), "part": b["part"], "row": b["row"]}
+        ids, edge = _values(b["ids"], dtype)
+        control, at, data, to = encode_rows(shared.value[ids], edge)
+        return {"doc_id": b["doc_id"], "n_tokens": pa.array(np.diff(edge)), "control": _binary(control, at),
+                "data": _binary(data, to), "part": b["part"], "row": b["row"]}
 
     # monotonically_increasing_id holds the partition in its upper bits
     ordered = (rows.orderBy(F.col("doc_id").asc_nulls_first(), F.length("ids"), F.xxhash64("ids"))
@@ -248,6 +318,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
      .write.option("compression", "zstd").parquet(f"{path}/tokens"))
 
 
+def _decoded(b: pa.RecordBatch, id_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows of files of the format and the rows' edges."""
+    edge = np.r_[0, np.cumsum(b["n_tokens"].to_numpy())]
+    return id_of[decode_rows(_values(b["control"], np.uint8)[0], _values(b["data"], np.uint8)[0], edge)], edge
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The documents of files of the format: ``doc_id``, ``start`` (number of
     ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian
@@ -257,9 +333,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(ids)
 
     def decode(b):
-        out = [shared.value[decode_ranks(c, d, n)].tobytes() for c, d, n in
-               zip(b["control"].to_pylist(), b["data"].to_pylist(), b["n_tokens"].to_pylist())]
-        return {"doc_id": b["doc_id"], "start": b["start"], "n_tokens": b["n_tokens"], "ids": pa.array(out, pa.binary())}
+        ids, edge = _decoded(b, shared.value)
+        return {"doc_id": b["doc_id"], "start": b["start"], "n_tokens": b["n_tokens"], "ids": _binary(ids, edge * 4)}
 
     return _with_start(rows, rows).mapInArrow(per_batch(decode), "doc_id long, start long, n_tokens long, ids binary")
 
@@ -283,12 +358,10 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(ids)
 
     def crc(b):
-        out, n = [], []
-        for c, d, k in zip(b["control"].to_pylist(), b["data"].to_pylist(), b["n_tokens"].to_pylist()):
-            got = shared.value[decode_ranks(c, d, k)]
-            out.append(zlib.crc32(got.tobytes()))
-            n.append(len(got))
-        return {"doc_id": b["doc_id"], "n_tokens": pa.array(n, pa.int64()), "ids_crc32": pa.array(out, pa.int64()),
+        ids, edge = _decoded(b, shared.value)
+        raw, at = memoryview(ids).cast("B"), (edge * 4).tolist()
+        return {"doc_id": b["doc_id"], "n_tokens": pa.array(np.diff(edge)),
+                "ids_crc32": pa.array([zlib.crc32(raw[i:j]) for i, j in zip(at, at[1:])], pa.int64()),
                 "part": b["part"], "row": b["row"]}
 
     d = rows.mapInArrow(per_batch(crc), "doc_id long, n_tokens long, ids_crc32 long, part int, row long")

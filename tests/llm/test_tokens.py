@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -98,3 +99,39 @@ def test_odd_white_space_is_told_as_by_the_pattern():
     p = tokens.Pieces(TOK, "<u2")
     texts = ["one\ttwo three", "one\xa0two three four", "one two　", " one  two", "eins zwölf\ndrei\x85vier"]
     assert p.ids(texts) == p.encode(texts)
+
+
+def test_a_piece_is_looked_up_once_a_batch():
+    class Counted(tokens.Pieces):
+        looked_up = 0
+
+        def get(self, *a):
+            self.looked_up += 1
+            return super().get(*a)
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+    p = Counted(TOK, "<u2")
+    texts = [" ".join(["one", "two", "three", "four\nfive"] * 25), "", "six  seven two", "one"] * 50
+    for _ in range(2):
+        assert p.ids(texts) == p.encode(texts)
+    assert p.looked_up < 40  # 100 words in 50 texts, twice
+    ids, n = p.joined([])
+    assert len(ids) == len(n) == 0
+
+
+def test_coding_of_many_rows_is_that_of_each_row():
+    r = np.random.default_rng(8)
+    rows = [r.integers(0, 1 << r.choice([3, 8, 12, 20, 32]), n, dtype=np.uint32) for n in r.integers(0, 9, 300)]
+    edge = np.r_[0, np.cumsum([len(x) for x in rows])]
+    control, at, data, to = tokens.encode_rows(np.concatenate(rows), edge)
+    for i, x in enumerate(rows):
+        c, d = tokens.encode_ranks(x)
+        assert control[at[i]:at[i + 1]].tobytes() == c and data[to[i]:to[i + 1]].tobytes() == d
+    assert (tokens.decode_rows(control, data, edge) == np.concatenate(rows)).all()
+    column = pa.array([x.tobytes() for x in rows], pa.binary())
+    values, cut = tokens._values(column.slice(100, 50), "<u4")
+    assert (values == np.concatenate(rows[100:150])).all() and (cut == edge[100:151] - edge[100]).all()
+    assert tokens._binary(np.concatenate(rows), edge * 4).equals(column)
