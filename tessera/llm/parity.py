@@ -255,13 +255,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nodes = cut_lineage(sets.groupBy(*same).agg(F.min("id").alias("node")), "nodes")
     node_rows = (keep_ids(sets, nodes.select("node"), "id")
                  .select(F.col("id").alias("v"), "n", "bits", "keys"))
-    keys = node_rows.select("v", F.explode("keys").alias("k"))
-    shared = cut_lineage(keys.groupBy("k").agg(F.min("v").alias("a"), F.max("v").alias("z"), F.count(F.lit(1)).alias("c"))
-                         .filter("a < z"), "shared")
-    members = cut_lineage(_spread(keys).join(_spread(shared.filter("c > 2").select("k", "a")), ["k", "s"])
-                          .select("k", "a", "v"), "members")
-    stars = (shared.filter("c = 2").select("a", F.col("z").alias("b"))
-             .union(members.filter("a <> v").select("a", F.col("v").alias("b"))).distinct())
+    # the keys are shuffled once: the aggregate and the join read the same exchange
+    keys = node_rows.select("v", F.explode("keys").alias("k")).repartition("k")
+    shared = (keys.groupBy("k").agg(F.min("v").alias("a"), F.max("v").alias("z"), F.count(F.lit(1)).alias("c"))
+              .filter("a < z").select("k", "a", (F.col("c") > 2).alias("many")))
+    sharing = cut_lineage(keys.join(shared, "k").select("k", "a", "v", "many"), "sharing")
+    members = sharing.filter("many").select("k", "a", "v")
+    stars = sharing.filter("a <> v").select("a", F.col("v").alias("b")).distinct()
     size_bits = node_rows.select("v", "n", "bits")
 
     def near(pairs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tessera.llm import parity
 from tessera.llm.base import shingle_set
+from tessera.session import cut_lineage
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -153,3 +154,28 @@ def test_a_tile_task_holds_one_batch_at_a_time(spark, monkeypatch):
     parity._tiles(rows, 9, 10, 100)
     # a tile is given out when the next one begins
     assert seen == [([0], 2), ([1], 3), ([2], 4), ([3], 4)]
+
+
+def test_keys_are_shuffled_once(spark, monkeypatch):
+    written = {}
+
+    def cut(df, name=None, *args):
+        written.setdefault(name, df)
+        return cut_lineage(df, name, *args)
+
+    monkeypatch.setattr(parity, "cut_lineage", cut)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    rows = [(i, " ".join(f"w{j}" for j in range(40)) + f" x{i % 7} y{i % 3}") for i in range(30)] + [(99, "a b"), (98, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = parity.similar_groups(df, words=3, num=4, den=5).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: 0 if i < 30 else i for i, _ in rows}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan that shows what is read twice
+        plans = {n: df.select("*")._jdf.queryExecution().executedPlan().toString() for n, df in written.items()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    shuffled = [line for p in plans.values() for line in p.split("\n") if "Exchange hashpartitioning(k#" in line]
+    keyed = {n: p for n, p in plans.items() if "explode(keys" in p}
+    assert list(keyed) == ["sharing"]
+    assert keyed["sharing"].count("Exchange hashpartitioning(k#") - keyed["sharing"].count("ReusedExchange") in (0, 1)
+    assert keyed["sharing"].count("ReusedExchange") == 1 and shuffled

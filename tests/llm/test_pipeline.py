@@ -1,3 +1,6 @@
+import glob
+import time
+
 import corpus_pipeline as cp
 from tessera.llm import decontaminate, exact, langid, packing
 from tessera.session import cut_lineage
@@ -61,3 +64,24 @@ def test_stages_hand_few_rows_to_python_at_a_time(spark):
         assert int(spark.conf.get(key)) == cp.BATCH_ROWS
     finally:
         spark.conf.set(key, before)
+
+
+def test_shuffle_files_go_when_a_query_ends(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        cp.drop_near_copies(spark, spark.createDataFrame([(1, "a b c d e f"), (2, "x y")], "doc_id long, text string"), "")
+        assert spark.conf.get(key) == "true"
+        table = spark.range(20_000).selectExpr("id % 5000 AS k", "uuid() AS u").repartition(7, "k").groupBy("k").count()
+        local = spark.sparkContext.getConf().get("spark.local.dir", "/tmp")
+        shuffles = lambda: set(glob.glob(f"{local}/blockmgr-*/*/shuffle_*"))
+        kept = shuffles()
+        cut_lineage(table, "counted")
+        for _ in range(50):  # the files are deleted in the background
+            if not shuffles() - kept:
+                break
+            time.sleep(0.2)
+        assert not shuffles() - kept
+    finally:
+        spark.conf.set(key, before)
