@@ -30,8 +30,10 @@ a key but not a component.  Their sketches are compared in tiles of at most
 components as it finds pairs that the sketches allow and gives out only these
 joins, fewer than it has rows, however many of its pairs are close.  They are
 verified; where one fails, the tile took components as joined that may not be,
-so its key is compared again, with sketches four times as wide, until none
-fails.  No link is lost and no task holds more than a tile.
+so the rows that it joined with that pair are compared again, with sketches four
+times as wide, until none fails.  The tile's other rows are apart from these by
+their sketches.  Of keys that have the same rows one is compared.  No link is
+lost and no task holds more than a tile.
 """
 
 from __future__ import annotations
@@ -128,7 +130,9 @@ def _near(a: str, b: str, num: int, den: int):
 def _tiles(rows: DataFrame, num: int, den: int, tile: int) -> DataFrame:
     """Pairs ``(k, a, b)`` that sizes and sketches allow of rows ``(k, v, c,
     n, bits)`` with one key ``k``; taken as links, they join the components
-    ``c`` of each tile that any of its allowed pairs joins.
+    ``c`` of each tile that any of its allowed pairs joins.  Pairs of a tile
+    that are joined with each other have one number ``g``; every component of
+    the tile that is joined with others has a row in one of these pairs.
 
     The rows of a key with g rows are dealt into m = ceil(g / tile) parts and
     each row goes to the m tiles that its part forms with every part."""
@@ -146,7 +150,7 @@ def _tiles(rows: DataFrame, num: int, den: int, tile: int) -> DataFrame:
 
     def joins(v, c, n, bits, own, p, q):
         """The joins of a tile: across its two parts, or within the one."""
-        c = c.copy()
+        c, found = c.copy(), []
         left = np.flatnonzero(own == p)
         right = left if p == q else np.flatnonzero(own == q)
         for i in left:
@@ -155,10 +159,10 @@ def _tiles(rows: DataFrame, num: int, den: int, tile: int) -> DataFrame:
             apart = np.bitwise_count(bits[with_] ^ bits[i]).sum(axis=1, dtype=np.int64)
             with_ = with_[apart * (den + num) <= (n[with_] + n[i]) * (den - num)]
             others, first = np.unique(c[with_], return_index=True)
-            for j in with_[first]:
-                yield (v[i], v[j]) if v[i] < v[j] else (v[j], v[i])
+            found += [(i, j) for j in with_[first]]
             if len(others):
                 c[np.isin(c, others)] = c[i]
+        return [(min(v[i], v[j]), max(v[i], v[j]), c[i]) for i, j in found]
 
     def run(batches):
         rest = None
@@ -175,10 +179,10 @@ def _tiles(rows: DataFrame, num: int, den: int, tile: int) -> DataFrame:
                      joins(v[i:j], c[i:j], n[i:j], bits[i:j], own[i:j], p[i], q[i])]
             rest = [x[at[stop]:] for x in rest]
             if found:
-                kab = np.array(found, np.int64)
-                yield pa.RecordBatch.from_pydict({"k": kab[:, 0], "a": kab[:, 1], "b": kab[:, 2]})
+                kabg = np.array(found, np.int64)
+                yield pa.RecordBatch.from_pydict({x: kabg[:, i] for i, x in enumerate("kabg")})
 
-    return dealt.mapInArrow(run, "k long, a long, b long")
+    return dealt.mapInArrow(run, "k long, a long, b long, g long")
 
 
 def _chunks(batches):
@@ -217,12 +221,27 @@ def _spread(rows: DataFrame) -> DataFrame:
 
 def _apart(members: DataFrame, label: DataFrame) -> DataFrame:
     """The written rows ``(k, v, c)`` of keys that have rows of more than one
-    component."""
+    component, of keys with the same rows those of one."""
     named = cut_lineage(members.join(label.toDF("v", "c"), "v", "left").select("k", "v", F.coalesce("c", "v").alias("c")), "named")
-    split = named.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("k")
+    # sums, as a row may be there twice; of 32 bits each, as they must not overflow
+    halves = [f(F.xxhash64("v", F.lit(i))) for i in (1, 2) for f in
+              (lambda h: h.bitwiseAND(0xFFFFFFFF), lambda h: F.shiftrightunsigned(h, 32))]
+    split = (named.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count(F.lit(1)).alias("rows"),
+                                    *[F.sum(h).alias(f"h{i}") for i, h in enumerate(halves)])
+             .filter("x < y").groupBy("x", "y", "rows", "h0", "h1", "h2", "h3").agg(F.min("k").alias("k")).select("k"))
     return cut_lineage(_spread(named).join(_spread(split), ["k", "s"], "left_semi").drop("s"), "apart")
 
 
+def _torn(apart: DataFrame, found: DataFrame, failed: DataFrame) -> DataFrame:
+    """The rows ``(k, v)`` of the written ``apart`` that tiles joined, in
+    ``found``, with a pair ``(a, b)`` of ``failed``."""
+    groups = cut_lineage(found.join(failed, ["a", "b"], "left_semi").select("k", "g").distinct(), "failed")
+    pairs = found.join(groups, ["k", "g"], "left_semi")
+    ends = pairs.select("k", F.col("a").alias("v")).union(pairs.select("k", "b")).distinct()
+    joined = cut_lineage(apart.join(ends, ["k", "v"], "left_semi").select("k", "c").distinct(), "torn")
+    return apart.join(joined, ["k", "c"], "left_semi").select("k", "v")
+
+
 def _wider(docs: DataFrame, ids: DataFrame, words: int, width: int) -> DataFrame:
     """``(v, n, bits)`` with ``width`` parity bits of the rows of some ids
     (a written table), from the whole texts."""
@@ -295,10 +314,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         new = cut_lineage(_verified(pairs, docs, words, num, den), "verified")
         links = cut_lineage(links.union(new), "links")
         label = components(links)
-        failed = cut_lineage(found.join(pairs.exceptAll(new.distinct()), ["a", "b"], "left_semi").select("k").distinct(), "failed")
+        failed = cut_lineage(pairs.exceptAll(new.distinct()), "failed")
         if not failed.limit(1).count():
             break
-        apart = _apart(_spread(members).join(_spread(failed), ["k", "s"], "left_semi"), label)
+        apart = _apart(_torn(apart, found, failed), label)
         width, tile = 4 * width, max(tile // 2, 2)
         bits = _wider(docs, cut_lineage(apart.select("v").distinct(), "wider"), words, width)
     group = (nodes.join(label.toDF("node", "c"), "node", "left")

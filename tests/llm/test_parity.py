@@ -179,3 +179,26 @@ def test_keys_are_shuffled_once(spark, monkeypatch):
     assert list(keyed) == ["sharing"]
     assert keyed["sharing"].count("Exchange hashpartitioning(k#") - keyed["sharing"].count("ReusedExchange") in (0, 1)
     assert keyed["sharing"].count("ReusedExchange") == 1 and shuffled
+
+
+def test_keys_with_the_same_rows_are_compared_once(spark):
+    rows = [(1, 10), (1, 11), (1, 12), (2, 12), (2, 10), (2, 11), (3, 10), (3, 11), (3, 13), (4, 10), (4, 10), (4, 12),
+            (5, 10), (5, 11), (5, 11), (6, 20), (6, 21)]
+    members = spark.createDataFrame(rows, "k long, v long")
+    label = spark.createDataFrame([(20, 20), (21, 20)], "v long, c long")
+    got = sorted(tuple(r) for r in parity._apart(members, label).select("k", "v", "c").collect())
+    assert got == sorted((k, v, v) for k, v in rows if k not in (2, 6))
+
+
+def test_only_rows_joined_with_a_failed_pair_are_compared_again(spark):
+    """Of one key, the rows around four texts and one by itself; one pair fails."""
+    bits = lambda x: [(1 << 62) - 1 if i == x else 0 for i in range(32)]
+    c = {1: 1, 2: 2, 3: 1, 4: 4, 5: 5, 6: 4, 7: 7, 8: 8, 9: 9}
+    family = {1: 0, 2: 0, 3: 3, 4: 1, 5: 1, 6: 4, 7: 2, 8: 2, 9: 5}
+    rows = cut_lineage(spark.createDataFrame([(k, v, c[v], 100, bits(family[v])) for k in (1, 2) for v in c],
+                                             "k long, v long, c long, n long, bits array<long>"))
+    found = cut_lineage(parity._tiles(rows, 9, 10, 100))
+    assert sorted({(r.a, r.b) for r in found.collect()}) == [(1, 2), (4, 5), (7, 8)]
+    failed = spark.createDataFrame([(4, 5)], "a long, b long")
+    got = sorted(tuple(r) for r in parity._torn(rows.select("k", "v", "c"), found, failed).collect())
+    assert got == [(k, v) for k in (1, 2) for v in (4, 5, 6)]  # 6 is of the component of 4

@@ -1,6 +1,9 @@
 import glob
 import time
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from tessera.llm import decontaminate, exact, langid, packing
 from tessera.session import cut_lineage
@@ -85,3 +88,21 @@ def test_shuffle_files_go_when_a_query_ends(spark):
         assert not shuffles() - kept
     finally:
         spark.conf.set(key, before)
+
+
+def test_stages_hand_few_bytes_to_python_at_a_time(spark):
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(k) for k in keys]
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]})
+
+    try:
+        cp.small_batches(spark)
+        wide = spark.range(0, 900, 1, 1).select(F.array_repeat("id", 8192).alias("bits"))
+        got = wide.mapInArrow(sizes, "n long, bytes long").collect()
+        assert sum(r.n for r in got) == 900 and max(r.bytes for r in got) < 3 * cp.BATCH_BYTES
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
