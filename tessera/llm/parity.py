@@ -32,8 +32,9 @@ joins, fewer than it has rows, however many of its pairs are close.  They are
 verified; where one fails, the tile took components as joined that may not be,
 so the rows that it joined with that pair are compared again, with sketches four
 times as wide, until none fails.  The tile's other rows are apart from these by
-their sketches.  Of keys that have the same rows one is compared.  No link is
-lost and no task holds more than a tile.
+their sketches.  What was joined through several keys is then one new key.  Of
+keys that have the same rows one is compared.  No link is lost and no task holds
+more than a tile.
 """
 
 from __future__ import annotations
@@ -233,13 +234,18 @@ def _apart(members: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _torn(apart: DataFrame, found: DataFrame, failed: DataFrame) -> DataFrame:
-    """The rows ``(k, v)`` of the written ``apart`` that tiles joined, in
-    ``found``, with a pair ``(a, b)`` of ``failed``."""
+    """The rows ``v`` of the written ``apart`` that tiles joined, in ``found``,
+    with a pair ``(a, b)`` of ``failed``.  They get a new key ``k``, one for
+    all rows that were joined, so that a row is there once, however many keys
+    it shared with them."""
     groups = cut_lineage(found.join(failed, ["a", "b"], "left_semi").select("k", "g").distinct(), "failed")
     pairs = found.join(groups, ["k", "g"], "left_semi")
-    ends = pairs.select("k", F.col("a").alias("v")).union(pairs.select("k", "b")).distinct()
-    joined = cut_lineage(apart.join(ends, ["k", "v"], "left_semi").select("k", "c").distinct(), "torn")
-    return apart.join(joined, ["k", "c"], "left_semi").select("k", "v")
+    ends = pairs.select("k", "g", F.col("a").alias("v")).union(pairs.select("k", "g", "b")).distinct()
+    joined = cut_lineage(apart.join(ends, ["k", "v"]).select("k", "g", "c").distinct(), "torn")
+    hubs = joined.groupBy("k", "g").agg(F.min("c").alias("hub"))
+    whole = components(joined.join(hubs, ["k", "g"]).select("hub", "c").distinct())
+    rows = apart.join(joined.select("k", "c").distinct(), ["k", "c"], "left_semi").select("v", "c").distinct()
+    return rows.join(whole.toDF("c", "k"), "c").select("k", "v")
 
 
 def _wider(docs: DataFrame, ids: DataFrame, words: int, width: int) -> DataFrame:
